@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 # Up to this depth the edges of the cells (2**depth + 1 per axis) travel in the plan
 # as one array literal per axis.
 EDGE_TABLE_DEPTH = 12
+# Index of points that lie in no cell.
+OUTSIDE = -1
 # Deepest cells whose two indexes still fit an int column each.
 DEEPEST = 30
 
@@ -87,7 +89,8 @@ def with_quad_index(df: DataFrame, box: Box, depth: int, x: str, y: str) -> Data
     Bit ``k`` from the top tells which half was taken at split ``k``. A point exactly on
     a vertical middle goes to the low side in the lower half of its cell and to the high
     side in the upper half; one on a horizontal middle goes to the lower half. Points
-    outside the box get nulls.
+    outside the box get -1. The columns are never null, so that Spark has no reason to
+    test them for null ahead of a join, which would repeat the whole expression.
     """
     if not 0 <= depth <= DEEPEST:
         raise ValueError(f"depth must be between 0 and {DEEPEST}")
@@ -110,11 +113,10 @@ def _quad_index_by_table(
         return F.split(F.lit(",".join(map(repr, edges.tolist()))), ",").cast("array<double>")
 
     column_edge, row_edge = literal(columns), literal(rows)
-    kept = inside(px, py, box)
     step = df.withColumns(
         {
-            "qx": F.when(kept, _clamped(F.ceil((px - box.x0) * (n / (box.x1 - box.x0))) - 1, n)),
-            "qy": F.when(kept, _clamped(F.ceil((py - box.y0) * (n / (box.y1 - box.y0))) - 1, n)),
+            "qx": _clamped(F.ceil((px - box.x0) * (n / (box.x1 - box.x0))) - 1, n),
+            "qy": _clamped(F.ceil((py - box.y0) * (n / (box.y1 - box.y0))) - 1, n),
         }
     )
     step = step.withColumns(
@@ -128,7 +130,13 @@ def _quad_index_by_table(
     edge = F.col("qx") + 1
     drawn_at = edge.bitwiseAND(-edge)
     moves = (edge < n) & (px == F.get(column_edge, edge)) & (F.col("qy").bitwiseAND(drawn_at) != 0)
-    return step.withColumn("qx", F.when(moves, edge).otherwise(F.col("qx")))
+    kept = inside(px, py, box)
+    return step.withColumns(
+        {
+            "qx": F.when(kept, F.when(moves, edge).otherwise(F.col("qx"))).otherwise(F.lit(OUTSIDE)),
+            "qy": F.when(kept, F.col("qy")).otherwise(F.lit(OUTSIDE)),
+        }
+    )
 
 
 def _quad_index_by_halving(df: DataFrame, box: Box, depth: int, x: str, y: str) -> DataFrame:
@@ -155,7 +163,12 @@ def _quad_index_by_halving(df: DataFrame, box: Box, depth: int, x: str, y: str)
     quad = halve(F.when(kept, px).otherwise(F.lit(box.x0)), F.when(kept, py).otherwise(F.lit(box.y0)))
     return (
         df.withColumn("_quad", quad)
-        .withColumns({axis: F.when(kept, F.col(f"_quad.{axis}")) for axis in ("qx", "qy")})
+        .withColumns(
+            {
+                axis: F.coalesce(F.when(kept, F.col(f"_quad.{axis}")), F.lit(OUTSIDE))
+                for axis in ("qx", "qy")
+            }
+        )
         .drop("_quad")
     )
 

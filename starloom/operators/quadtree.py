@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom import session
-from starloom.functions.geometry import Box, path_box, quad_path, quarters, with_quad_index
+from starloom.functions.geometry import Box, inside, path_box, quad_path, quarters, with_quad_index
 from starloom.operators.bbox import measure_box
 
 CELL_COLUMNS = "depth int, qx int, qy int, cell string, n bigint"
@@ -133,8 +133,8 @@ def _spread(leaves: DataFrame, depth: int) -> DataFrame:
 def count_cells(df: DataFrame, box: Box, depth: int, x: str, y: str) -> DataFrame:
     """Rows per depth-``depth`` cell, ``qx, qy, n``: the only aggregation over the rows."""
     points = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
-    indexed = with_quad_index(points, box, depth, "x", "y")
-    return indexed.filter(F.col("qx").isNotNull()).groupBy("qx", "qy").agg(F.count("*").alias("n"))
+    held = points.filter(inside(F.col("x"), F.col("y"), box))
+    return with_quad_index(held, box, depth, "x", "y").groupBy("qx", "qy").agg(F.count("*").alias("n"))
 
 
 def cell_pyramid(counts: DataFrame, depth: int) -> DataFrame:

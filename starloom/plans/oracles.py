@@ -16,10 +16,13 @@ VECTORS = """
 points AS (
   SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings
 )"""
+EVENTS = """
+points AS (SELECT event_id, value AS x, CAST(user_id AS DOUBLE) AS y FROM events)"""
 BOX = """
 box AS (SELECT min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM points)"""
 POINT_COLUMNS = "l_orderkey, l_linenumber, l_partkey, x, y"
 VECTOR_COLUMNS = "vec_id, x, y"
+EVENT_COLUMNS = "event_id, x, y"
 
 
 def _with(*parts: str) -> str:
@@ -81,11 +84,16 @@ cells AS MATERIALIZED (
     return ",".join(parts)
 
 
-def _tree(threshold: int | str, columns: str = POINT_COLUMNS, max_heavy: int | None = None) -> str:
+def _tree(
+    threshold: int | str,
+    columns: str = POINT_COLUMNS,
+    max_heavy: int | None = None,
+    depth: int = S.MAX_DEPTH,
+) -> str:
     """Leaves: cells that a round reached and no round split."""
     heavy = f"""
 heavy AS (SELECT depth, count(*) FILTER (n > {threshold}) AS heavy FROM cells GROUP BY depth),
-halt AS (SELECT coalesce(min(depth), {S.MAX_DEPTH}) AS stop FROM heavy
+halt AS (SELECT coalesce(min(depth), {depth}) AS stop FROM heavy
          WHERE {'false' if max_heavy is None else f'heavy > {max_heavy}'})"""
     leaves = f"""
 leaves AS MATERIALIZED (
@@ -96,9 +104,9 @@ leaves AS MATERIALIZED (
 ),
 assigned AS (
   SELECT {', '.join('p.' + c.strip() for c in columns.split(','))}, leaves.cell
-  FROM level{S.MAX_DEPTH} AS p JOIN leaves ON starts_with(p.cell, leaves.cell)
+  FROM level{depth} AS p JOIN leaves ON starts_with(p.cell, leaves.cell)
 )"""
-    return ",".join([_levels(S.MAX_DEPTH, columns), heavy, leaves])
+    return ",".join([_levels(depth, columns), heavy, leaves])
 
 
 def _merge(minimum: int) -> str:
@@ -143,17 +151,17 @@ members AS (
   FROM (SELECT id_part, string_split(substr(id_part, 2), '_') AS paths FROM ids)
 ),
 narrowed AS (
-  SELECT id_part, pos, path, 1 AS at, x0, x1, y0, y1 FROM members, box
+  SELECT id_part, pos, path, 1 AS step, x0, x1, y0, y1 FROM members, box
   UNION ALL
-  SELECT id_part, pos, path, at + 1,
-         CASE WHEN path[at] IN ('0', '3') THEN x0 ELSE (x0 + x1) / 2 END,
-         CASE WHEN path[at] IN ('0', '3') THEN (x0 + x1) / 2 ELSE x1 END,
-         CASE WHEN path[at] IN ('0', '1') THEN y0 ELSE (y0 + y1) / 2 END,
-         CASE WHEN path[at] IN ('0', '1') THEN (y0 + y1) / 2 ELSE y1 END
-  FROM narrowed WHERE at <= length(path)
+  SELECT id_part, pos, path, step + 1,
+         CASE WHEN path[step] IN ('0', '3') THEN x0 ELSE (x0 + x1) / 2 END,
+         CASE WHEN path[step] IN ('0', '3') THEN (x0 + x1) / 2 ELSE x1 END,
+         CASE WHEN path[step] IN ('0', '1') THEN y0 ELSE (y0 + y1) / 2 END,
+         CASE WHEN path[step] IN ('0', '1') THEN (y0 + y1) / 2 ELSE y1 END
+  FROM narrowed WHERE step <= length(path)
 ),
 ranges AS (
-  SELECT id_part, pos, '_' || path AS member, x0, x1, y0, y1 FROM narrowed WHERE at = length(path) + 1
+  SELECT id_part, pos, '_' || path AS member, x0, x1, y0, y1 FROM narrowed WHERE step = length(path) + 1
 )"""
 
 
@@ -213,6 +221,10 @@ def _vector_tree(*more: str) -> str:
     return _with(VECTORS, BOX, _tree(S.VECTOR_THRESHOLD, VECTOR_COLUMNS), *more)
 
 
+def _event_tree(*more: str) -> str:
+    return _with(EVENTS, BOX, _tree(S.EVENT_THRESHOLD, EVENT_COLUMNS, depth=S.EVENT_DEPTH), *more)
+
+
 CATALOGUE_COLUMNS = (
     "l_orderkey l_linenumber l_partkey l_suppkey l_extendedprice l_quantity l_discount l_tax "
     "l_returnflag l_shipdate"
@@ -276,12 +288,15 @@ FROM cells, range(4) AS r(q) WHERE depth = {S.STEP_GRID_DEPTH} AND n > {S.STEP_T
         + f"SELECT {leaf_columns} FROM leaves",
         "quadtree_assign": lineitem_tree + "SELECT * FROM assigned",
         "quadtree_vectors": _vector_tree() + "SELECT * FROM assigned",
-        "unfinished_rows": lineitem_tree
+        "quadtree_events": _event_tree() + "SELECT * FROM assigned",
+        "event_leaves": _event_tree() + f"SELECT {leaf_columns} FROM leaves",
+        "unfinished_rows": _event_tree()
         + f"""
-SELECT {POINT_COLUMNS} FROM level{S.HEAVY_DEPTH}
-WHERE cell IN (SELECT cell FROM cells WHERE depth = {S.HEAVY_DEPTH} AND n > {S.THRESHOLD})""",
+SELECT {EVENT_COLUMNS} FROM level{S.HEAVY_DEPTH}
+WHERE cell IN (SELECT cell FROM cells WHERE depth = {S.HEAVY_DEPTH} AND n > {S.EVENT_THRESHOLD})""",
         "merged_cells": merged + "SELECT * FROM groups",
         "merged_vectors": _vector_tree(_merge(S.VECTOR_MINIMUM)) + "SELECT * FROM groups",
+        "merged_events": _event_tree(_merge(S.EVENT_MINIMUM)) + "SELECT * FROM groups",
         "merged_assign": merged + assigned_groups,
         "merged_retag": merged + assigned_groups,
         "merged_ranges": ranges + "SELECT * FROM ranges",

@@ -1,7 +1,8 @@
 """Queries over the given tables.
 
 ``lineitem`` serves as the catalogue: price and quantity are the coordinates, the part is
-the object and the order the source. ``embeddings`` gives continuous coordinates.
+the object and the order the source. ``embeddings`` gives continuous coordinates, and
+``events`` dense regions (small values) next to sparse ones.
 """
 
 from __future__ import annotations
@@ -49,6 +50,14 @@ def _vectors(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _events(spark: SparkSession, folder: str) -> DataFrame:
+    return catalogue.points(_table(spark, folder, "events"), "value", "user_id", "event_id")
+
+
+def _event_tree(points: DataFrame) -> QuadTree:
+    return build_quadtree(points, "x", "y", S.EVENT_THRESHOLD, S.EVENT_DEPTH)
+
+
 def _tree(points: DataFrame) -> QuadTree:
     return build_quadtree(points, "x", "y", S.THRESHOLD, S.MAX_DEPTH)
 
@@ -143,9 +152,18 @@ def quadtree_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return build_quadtree(points, "x", "y", S.VECTOR_THRESHOLD, S.MAX_DEPTH).assign(points, "x", "y")
 
 
+def quadtree_events(spark: SparkSession, folder: str) -> DataFrame:
+    points = _events(spark, folder)
+    return _event_tree(points).assign(points, "x", "y")
+
+
+def event_leaves(spark: SparkSession, folder: str) -> DataFrame:
+    return _event_tree(_events(spark, folder)).leaves()
+
+
 def unfinished_rows(spark: SparkSession, folder: str) -> DataFrame:
-    points = _points(spark, folder)
-    return heavy_rows(points, _tree(points), S.HEAVY_DEPTH, "x", "y")
+    points = _events(spark, folder)
+    return heavy_rows(points, _event_tree(points), S.HEAVY_DEPTH, "x", "y")
 
 
 # Merging and ranges
@@ -160,6 +178,10 @@ def merged_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return merge_cells(tree.counts(), S.VECTOR_MINIMUM)
 
 
+def merged_events(spark: SparkSession, folder: str) -> DataFrame:
+    return merge_cells(_event_tree(_events(spark, folder)).counts(), S.EVENT_MINIMUM)
+
+
 def merged_assign(spark: SparkSession, folder: str) -> DataFrame:
     points = _points(spark, folder)
     tree = _tree(points)
@@ -403,9 +425,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         quadtree_capped,
         quadtree_assign,
         quadtree_vectors,
+        quadtree_events,
+        event_leaves,
         unfinished_rows,
         merged_cells,
         merged_vectors,
+        merged_events,
         merged_assign,
         merged_retag,
         merged_ranges,

@@ -15,9 +15,13 @@ MAX_HEAVY_CELLS = 50
 VECTOR_THRESHOLD = 20
 VECTOR_MINIMUM = 15
 
+EVENT_THRESHOLD = 200
+EVENT_MINIMUM = 150
+EVENT_DEPTH = 8
+
 STEP_GRID_DEPTH = 2
 STEP_THRESHOLD = 3000
-HEAVY_DEPTH = 2
+HEAVY_DEPTH = 3
 WRITTEN_ROWS = 1000
 
 # Block size that makes the row estimate a few thousand rows per file.
