@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from starloom.functions.geometry import Box, path_box
 
+# The wording of the report.
+HEADLINE = "La partition %s corespond a"
+RANGES = "%s dans [%s, %s] et %s dans [%s, %s]"
+
 
 def decode_ranges(ids: DataFrame, box: Box, id_column: str = "id_part") -> DataFrame:
     """Rectangles of cell or group ids: one row ``id, pos, x0, x1, y0, y1`` per member.
@@ -22,17 +26,12 @@ def decode_ranges(ids: DataFrame, box: Box, id_column: str = "id_part") -> DataF
 
 def partition_report(ids: DataFrame, box: Box, x: str, y: str, id_column: str = "id_part") -> DataFrame:
     """Per id, a headline and one line per member rectangle: ``id, report``."""
-    line = F.format_string(
-        f"{x} dans [%s, %s] et {y} dans [%s, %s]",
-        *[F.col(edge).cast("string") for edge in ("x0", "x1", "y0", "y1")],
-    )
+    x0, x1, y0, y1 = (F.col(edge).cast("string") for edge in Box._fields)
+    line = F.format_string(RANGES, F.lit(x), x0, x1, F.lit(y), y0, y1)
     lines = F.transform(F.sort_array(F.collect_list(F.struct("pos", line.alias("line")))), lambda s: s["line"])
     return (
         decode_ranges(ids, box, id_column)
         .groupBy(id_column)
         .agg(F.array_join(lines, "\n").alias("lines"))
-        .select(
-            id_column,
-            F.concat(F.lit("La partition "), id_column, F.lit(" corespond a\n"), "lines").alias("report"),
-        )
+        .select(id_column, F.concat_ws("\n", F.format_string(HEADLINE, id_column), "lines").alias("report"))
     )

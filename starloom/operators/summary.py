@@ -37,21 +37,21 @@ def cell_balance(df: DataFrame, line: Column, cell: str = "cell") -> DataFrame:
 def index_cells(cells: DataFrame, cell: str = "cell") -> DataFrame:
     """Number distinct cell ids from 0 in id order: ``cell, idx``.
 
-    Ids are ranked inside stretches of equal leading characters and each stretch adds
-    the number of ids before it, so only one row per stretch is ordered globally.
+    Ids are ranked inside stretches of equal leading characters, and each stretch starts
+    after the ones before it, so only one row per stretch is ordered globally.
     """
-    ids = cells.select(cell).distinct().withColumn("stretch", F.substring(cell, 1, STRETCH_CHARS))
-    before = Window.orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
+    ids = distinct_cells(cells, cell).withColumn("stretch", F.substring(cell, 1, STRETCH_CHARS))
+    earlier = Window.orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
         ids.groupBy("stretch")
         .agg(F.count("*").alias("size"))
-        .select("stretch", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
+        .select("stretch", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("start"))
     )
     rank = F.row_number().over(Window.partitionBy("stretch").orderBy(cell))
     return (
         ids.withColumn("rank", rank)
-        .join(offsets, "stretch")
-        .select(cell, (F.col("offset") + F.col("rank") - 1).cast("long").alias("idx"))
+        .join(starts, "stretch")
+        .select(cell, (F.col("start") + F.col("rank") - 1).cast("long").alias("idx"))
     )
 
 
@@ -99,24 +99,28 @@ def object_summary(records: DataFrame) -> DataFrame:
     )
 
 
-def paged_lines(df: DataFrame, columns: Sequence[str], page_rows: int, cell: str = "cell") -> DataFrame:
+def paged_lines(
+    df: DataFrame, columns: Sequence[str], page_rows: int, cell: str = "cell", counts: DataFrame | None = None
+) -> DataFrame:
     """The lines of each cell in pages: ``cell, page, piece, n, lines`` (sorted array).
 
     One value per cell would put a whole hot cell into one task and one string. A cell
     with n rows gets ceil(n / page_rows) pages and each line picks its page by hash.
     Equal lines are counted before the shuffle and only repeated inside a page, at
     most ``page_rows`` times per piece, so a mass of copies is spread over pieces. Every row
-    is in exactly one page.
+    is in exactly one page. Known ``counts`` (``cell, n``) save the pass that takes them.
     """
     copies = (
         df.select(cell, csv_line(columns).alias("line"))
         .groupBy(cell, "line")
         .agg(F.count("*").alias("copies"))
     )
-    pages = count_per_cell(df, cell).select(cell, F.ceil(F.col("n") / page_rows).alias("pages"))
+    if counts is None:
+        counts = session.cut_lineage(count_per_cell(df, cell))
+    pages = counts.select(cell, F.ceil(F.col("n") / page_rows).alias("pages"))
     hashed = F.conv(F.substring(F.md5("line"), 1, 8), 16, 10).cast("long")
     placed = (
-        copies.join(pages, cell)
+        session.join_cell_table(copies, pages, cell, "inner")
         .withColumn("page", hashed % F.col("pages"))
         .withColumn("piece", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / page_rows).cast("int"))))
         .withColumn("copies", F.least(F.lit(page_rows), F.col("copies") - F.col("piece") * page_rows).cast("int"))

@@ -368,5 +368,5 @@ SELECT {len(CATALOGUE_COLUMNS)} AS n_fields, l_orderkey, l_extendedprice AS x, l
             _merge(S.MINIMUM),
         )
         + "SELECT data, id_part FROM assigned JOIN groups USING (cell)",
-        "one_file_per_cell": lineitem_tree + "SELECT cell, CAST(1 AS BIGINT) AS files, n FROM leaves",
+        "one_file_per_cell": lineitem_tree + f"SELECT cell, CAST(ceil(n / {S.LARGE_CELL}) AS BIGINT) AS files, n FROM leaves",
     }

@@ -378,7 +378,7 @@ def partitioned_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     points = _points(spark, folder)
     tree = _tree(points)
     path = session.fresh_path(spark, "cells")
-    sinks.write_cells(tree.assign(points, "x", "y"), path, tree.counts(), S.ROWS_PER_FILE)
+    sinks.write_cells(tree.assign(points, "x", "y"), path, S.ROWS_PER_FILE)
     return sinks.read_cells(spark, path, points.schema)
 
 
@@ -387,9 +387,8 @@ def text_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     tree = build_quadtree(rows, X, Y, S.THRESHOLD, S.MAX_DEPTH)
     groups = merge_cells(tree.counts(), S.MINIMUM)
     tagged = tree.assign(rows, X, Y, labels=groups.select("cell", "id_part"))
-    totals = groups.select("id_part", F.col("group_n").alias("n")).distinct()
     path = session.fresh_path(spark, "groups")
-    sinks.write_text(tagged, path, totals, S.ROWS_PER_FILE, rows.columns, "id_part")
+    sinks.write_text(tagged, path, S.ROWS_PER_FILE, rows.columns, "id_part")
     schema = spark.createDataFrame([], "data string").schema
     return sinks.read_cells(spark, path, schema, "id_part", "text")
 
@@ -399,9 +398,7 @@ def one_file_per_cell(spark: SparkSession, folder: str) -> DataFrame:
     points = _points(spark, folder)
     tree = _tree(points)
     path = session.fresh_path(spark, "files")
-    sinks.write_one_file_per_cell(
-        tree.assign(points, "x", "y"), path, summary.index_cells(tree.counts())
-    )
+    sinks.write_file_per_cell(tree.assign(points, "x", "y"), path, tree.counts(), S.LARGE_CELL)
     back = sinks.read_cells(spark, path, points.schema).withColumn("file", F.input_file_name())
     per_file = back.groupBy("cell", "file").agg(F.count("*").alias("n"))
     return per_file.groupBy("cell").agg(F.count("*").alias("files"), F.sum("n").alias("n"))

@@ -29,6 +29,8 @@ SMALL_BLOCK_BYTES = 200_000
 BLOCK_MINIMUM = 1500
 
 PAGE_ROWS = 200
-ROWS_PER_FILE = 1500
+ROWS_PER_FILE = 600
+# Above this a cell gets more than one file.
+LARGE_CELL = 940
 CLUSTERS = 10
 FIRST_ROWS = 100

@@ -10,60 +10,56 @@ from pyspark.sql import types as T
 
 from starloom import session
 from starloom.functions.text import csv_line
-
-
-def gather_cells(df: DataFrame, counts: DataFrame, rows_per_file: int, cell: str = "cell") -> DataFrame:
-    """Bring the rows of a cell together, large cells in several shares.
-
-    ``counts`` (``cell, n``) says how many shares of ``rows_per_file`` a cell needs; its
-    rows take turns by position, so a hot cell or a mass of equal rows is spread evenly.
-    """
-    large = counts.filter(F.col("n") > rows_per_file).select(
-        F.col(cell).alias("_large"), F.ceil(F.col("n") / rows_per_file).alias("_shares")
-    )
-    numbered = df.withColumn("_turn", F.monotonically_increasing_id())
-    shared = session.join_cell_table(numbered, large, F.col(cell) == F.col("_large"), "left")
-    return (
-        shared.withColumn("_share", F.col("_turn") % F.coalesce("_shares", F.lit(1)))
-        .repartition(cell, "_share")
-        .drop("_large", "_shares", "_share", "_turn")
-    )
+from starloom.operators.summary import index_cells
 
 
 def write_cells(
     df: DataFrame,
     path: str,
-    counts: DataFrame,
     rows_per_file: int,
     cell: str = "cell",
     file_format: str = "parquet",
+    mode: str = "error",
 ) -> None:
-    """One directory per cell, in one job; the cell id moves from the rows to the path."""
-    gather_cells(df, counts, rows_per_file, cell).write.partitionBy(cell).format(file_format).save(path)
+    """One directory per cell, in one job; the cell id moves from the rows to the path.
+
+    Rows of a cell are brought together so that small cells get one file. Rebalancing lets
+    adaptive execution split a hot cell over several tasks by blocks of shuffled data,
+    whatever its rows look like, and ``rows_per_file`` bounds each file.
+    """
+    (
+        df.hint("rebalance", F.col(cell))
+        .write.partitionBy(cell)
+        .option("maxRecordsPerFile", rows_per_file)
+        .mode(mode)
+        .format(file_format)
+        .save(path)
+    )
 
 
 def write_text(
-    df: DataFrame,
-    path: str,
-    counts: DataFrame,
-    rows_per_file: int,
-    columns: Sequence[str],
-    cell: str = "cell",
+    df: DataFrame, path: str, rows_per_file: int, columns: Sequence[str], cell: str = "cell"
 ) -> None:
     """One directory per cell with the rows as comma-separated lines."""
-    lines = df.select(cell, csv_line(columns).alias("data"))
-    gather_cells(lines, counts, rows_per_file, cell).write.partitionBy(cell).text(path)
+    write_cells(df.select(cell, csv_line(columns).alias("data")), path, rows_per_file, cell, "text")
 
 
-def write_one_file_per_cell(df: DataFrame, path: str, index: DataFrame, cell: str = "cell") -> None:
-    """Exactly one file per cell: partition ``idx`` of the shuffle holds cell ``idx``.
+def write_file_per_cell(
+    df: DataFrame, path: str, counts: DataFrame, rows_per_file: int, cell: str = "cell"
+) -> None:
+    """Exactly one task and one file for each cell of up to ``rows_per_file`` rows.
 
-    ``index`` numbers the cells from 0. Meant for cells cut to a file's size.
+    Partition k of the shuffle holds the k-th such cell and nothing else. Larger cells
+    (``counts``: ``cell, n``) would make one task as long as the cell, so they are written
+    in several files; rows without a cell go with them.
     """
+    index = index_cells(counts.filter(F.col("n") <= rows_per_file), cell)
+    index = session.cut_lineage(index.select(cell, F.col("idx").cast("int").alias("idx")))
     cells = index.count()
-    places = index.select(cell, F.col("idx").cast("int").alias("idx"))
-    numbered = session.join_cell_table(df, places, cell, "inner", cells)
-    numbered.repartitionById(max(cells, 1), F.col("idx")).drop("idx").write.partitionBy(cell).parquet(path)
+    placed = session.join_cell_table(df, index, cell, "inner", cells)
+    placed.repartitionById(max(cells, 1), F.col("idx")).drop("idx").write.partitionBy(cell).parquet(path)
+    rest = session.join_cell_table(df, index.select(cell), cell, "left_anti", cells)
+    write_cells(rest, path, rows_per_file, cell, mode="append")
 
 
 def read_cells(
