@@ -57,17 +57,24 @@ def _cut_between_full_cells(cells: DataFrame, minimum: int) -> DataFrame:
         .withColumn("cut", F.when(full_pair, F.col("cell")))
         .withColumn("part", F.max("cut").over(order))
     )
-    # A stretch that starts between cuts continues the part of the stretches before it.
-    # One row per stretch, so this ordering without a key stays small.
-    before = Window.orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
+    # What a stretch inherits: a cut at its first cell, or the last cut of the stretches
+    # before it. One row per stretch, so this ordering without a key stays small.
+    stretches = Window.orderBy("stretch")
+    edge_pair = (F.col("first_n") >= minimum) & (F.lag("last_n").over(stretches) >= minimum)
+    inherited = (
         marked.groupBy("stretch")
-        .agg(F.max("cut").alias("last_cut"))
-        .select("stretch", F.max("last_cut").over(before).alias("carried"))
-    )
-    return marked.join(carried, "stretch").select(
-        "cell", "n", F.coalesce("part", "carried", F.lit("")).alias("part")
+        .agg(
+            F.min("cell").alias("first_cell"),
+            F.min_by("n", "cell").alias("first_n"),
+            F.max_by("n", "cell").alias("last_n"),
+            F.max("cut").alias("last_cut"),
+        )
+        .withColumn("edge_cut", F.when(edge_pair, F.col("first_cell")))
+        .withColumn("last_cut", F.coalesce("last_cut", "edge_cut"))
+        .withColumn("carried", F.max("last_cut").over(stretches.rowsBetween(Window.unboundedPreceding, -1)))
+        .select("stretch", F.coalesce("edge_cut", "carried", F.lit("")).alias("inherited"))
     )
+    return marked.join(inherited, "stretch").select("cell", "n", F.coalesce("part", "inherited").alias("part"))
 
 
 class _Walker:
