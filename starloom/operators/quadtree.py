@@ -72,15 +72,16 @@ class QuadTree:
         """
         leaves = self.cells.filter(self._is_leaf()).select("depth", "qx", "qy", F.col("cell").alias(cell))
         if labels is not None:
-            leaves = leaves.join(labels.withColumnRenamed("cell", cell), cell)
+            leaves = session.cut_lineage(leaves.join(labels.withColumnRenamed("cell", cell), cell, "left"))
         extra = [c for c in leaves.columns if c not in ("depth", "qx", "qy")]
         if self.box is None:
             kinds = dict(leaves.dtypes)
             return df.withColumns({c: F.lit(None).cast(kinds[c]) for c in extra})
 
         tagged = with_quad_index(df, self.box, self.depth, x, y)
-        tiers = join_depths(self.leaf_depths)
-        for number, (top, depths, rows) in enumerate(tiers):
+        sizes = leaves.groupBy("depth").agg(F.sum(session.row_bytes(leaves)).alias("size")).collect()
+        tiers = join_depths({row["depth"]: row["size"] for row in sizes})
+        for number, (top, depths, size) in enumerate(tiers):
             shift = self.depth - top
             table = (
                 _spread(leaves.filter(F.col("depth").isin(depths)), top)
@@ -93,28 +94,28 @@ class QuadTree:
             on = (F.shiftright(tagged["qx"], shift) == table["_kx"]) & (
                 F.shiftright(tagged["qy"], shift) == table["_ky"]
             )
-            tagged = session.join_cell_table(tagged, table, on, "left", rows).drop("_kx", "_ky")
+            tagged = session.join_cell_table(tagged, table, on, "left", size).drop("_kx", "_ky")
         found = {c: F.coalesce(*[F.col(f"_{k}_{c}") for k in range(len(tiers))]) for c in extra}
         return tagged.select(*df.columns, *[value.alias(c) for c, value in found.items()])
 
 
-def join_depths(leaf_depths: dict[int, int], limit: int | None = None) -> list[tuple[int, list[int], int]]:
-    """Group leaf depths so that each group needs one join, ``(depth of the key, depths, rows)``.
+def join_depths(sizes: dict[int, int], limit: int | None = None) -> list[tuple[int, list[int], int]]:
+    """Group leaf depths so that each group needs one join: ``(depth of the key, depths, bytes)``.
 
     A leaf at depth d equals 4 ** (t - d) cells at a deeper level t, so shallow leaves can
     join on the key of deeper ones. A group grows while the cells it lists stay within
-    the limit for a broadcast; the counts are exact.
+    the limit for a broadcast. ``sizes`` has the exact bytes of the leaves per depth.
     """
-    limit = session.BROADCAST_ROWS if limit is None else limit
+    limit = session.BROADCAST_BYTES if limit is None else limit
     groups: list[tuple[int, list[int], int]] = []
-    for depth, leaves in sorted(leaf_depths.items()):
+    for depth, size in sorted(sizes.items()):
         if groups:
-            top, depths, rows = groups[-1]
-            together = rows * 4 ** (depth - top) + leaves
+            top, depths, listed = groups[-1]
+            together = listed * 4 ** (depth - top) + size
             if together <= limit:
                 groups[-1] = (depth, [*depths, depth], together)
                 continue
-        groups.append((depth, [depth], leaves))
+        groups.append((depth, [depth], size))
     return groups
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.geometry import Box, inside, quadrant, quarters, uniform_index, uniform_name
@@ -36,6 +36,20 @@ def assign_uniform(df: DataFrame, box: Box, n: int, x: str, y: str, cell: str =
     return df.withColumn(cell, F.when(inside(px, py, box), name).otherwise(F.lit(NO_CELL)))
 
 
+def rows_of_uniform_cell(
+    df: DataFrame, box: Box, n: int, i: int, j: int, x: str, y: str, cell: str = "cell"
+) -> DataFrame:
+    """Tagged rows of cell (i, j). Its closed rectangle is a filter that reaches the scan."""
+
+    def slice_of(value: str, low: float, high: float, at: int) -> Column:
+        step = (high - low) / n
+        upper = high if at == n - 1 else low + (at + 1) * step
+        return F.col(value).between(low + at * step, max(upper, low + (at + 1) * step))
+
+    near = df.filter(slice_of(x, box.x0, box.x1, i) & slice_of(y, box.y0, box.y1, j))
+    return assign_uniform(near, box, n, x, y, cell).filter(F.col(cell) == uniform_name(F.lit(i), F.lit(j), n))
+
+
 def quadrant_cells(spark: SparkSession, box: Box) -> DataFrame:
     """The four quadrants of the box, named 1 to 4 counter-clockwise from the low corner."""
     parts = quarters(*[F.lit(float(v)) for v in box])

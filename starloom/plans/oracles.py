@@ -230,6 +230,9 @@ CATALOGUE_COLUMNS = (
     "l_returnflag l_shipdate"
 ).split()
 
+# The files hold no tax of zero.
+CATALOGUE_LINE = _line([c if c != "l_tax" else "CASE WHEN l_tax > 0 THEN l_tax END" for c in CATALOGUE_COLUMNS])
+
 
 def _ddl_columns() -> str:
     kinds = dict.fromkeys(("l_orderkey", "l_partkey", "l_suppkey"), "NUMBER(19, 0)")
@@ -257,7 +260,7 @@ def oracles() -> dict[str, str]:
         "uniform_hist": uniform + "SELECT cell, count(*) AS n FROM tagged GROUP BY cell",
         "uniform_hist_wide": _with(POINTS, BOX, _uniform(S.WIDE_GRID))
         + "SELECT cell, count(*) AS n FROM tagged GROUP BY cell",
-        "cell_rows": uniform + "SELECT * FROM tagged WHERE cell = '00'",
+        "cell_rows": uniform + "SELECT * FROM tagged WHERE cell = '37'",
         "quadrant_cells": _with(POINTS, BOX)
         + """
 SELECT '1' AS cell, x0, (x0 + x1) / 2 AS x1, y0, (y0 + y1) / 2 AS y1 FROM box
@@ -360,7 +363,18 @@ FROM (SELECT {', '.join(CATALOGUE_COLUMNS)} FROM lineitem)""",
         "field_rows": f"""
 SELECT {len(CATALOGUE_COLUMNS)} AS n_fields, l_orderkey, l_extendedprice AS x, l_quantity AS y FROM lineitem""",
         "ddl_columns": _ddl_columns(),
-        "partitioned_roundtrip": lineitem_tree + "SELECT * FROM assigned",
+        "partitioned_roundtrip": _lineitem_tree(S.FILE_THRESHOLD) + "SELECT * FROM assigned",
+        "written_cell": _lineitem_tree(S.FILE_THRESHOLD)
+        + f"SELECT * FROM assigned WHERE cell = '{S.WRITTEN_CELL}'",
+        "catalogue_job": _with(
+            f"points AS (SELECT {CATALOGUE_LINE} AS data, l_extendedprice AS x, l_quantity AS y FROM lineitem)",
+            BOX,
+            _tree(S.THRESHOLD, "data, x, y", max_heavy=S.MAX_HEAVY_CELLS),
+            _merge(S.MINIMUM),
+        )
+        + """
+SELECT id_part, count(*) AS n, CAST(sum(strlen(data)) AS BIGINT) AS bytes
+FROM assigned JOIN groups USING (cell) GROUP BY id_part""",
         "text_roundtrip": _with(
             f"points AS (SELECT {LINE} AS data, l_extendedprice AS x, l_quantity AS y FROM lineitem)",
             BOX,
@@ -368,5 +382,6 @@ SELECT {len(CATALOGUE_COLUMNS)} AS n_fields, l_orderkey, l_extendedprice AS x, l
             _merge(S.MINIMUM),
         )
         + "SELECT data, id_part FROM assigned JOIN groups USING (cell)",
-        "one_file_per_cell": lineitem_tree + f"SELECT cell, CAST(ceil(n / {S.LARGE_CELL}) AS BIGINT) AS files, n FROM leaves",
+        "one_file_per_cell": _lineitem_tree(S.FILE_THRESHOLD)
+        + f"SELECT cell, CAST(ceil(n / {S.LARGE_CELL}) AS BIGINT) AS files, n FROM leaves",
     }

@@ -91,7 +91,9 @@ def uniform_hist_wide(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cell_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return summary.rows_of_cell(_uniform(spark, folder), "00")
+    points = _points(spark, folder)
+    box = measure_box(points, "x", "y")
+    return uniform.rows_of_uniform_cell(points, box, S.GRID, 3, 7, "x", "y")
 
 
 # Quadrants and quadtree
@@ -374,29 +376,30 @@ def ddl_columns(spark: SparkSession, folder: str) -> DataFrame:
     return columns.join(per_column, "name")
 
 
+def _file_tree(points: DataFrame) -> QuadTree:
+    return build_quadtree(points, "x", "y", S.FILE_THRESHOLD, S.MAX_DEPTH)
+
+
 def partitioned_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     points = _points(spark, folder)
-    tree = _tree(points)
     path = session.fresh_path(spark, "cells")
-    sinks.write_cells(tree.assign(points, "x", "y"), path, S.ROWS_PER_FILE)
+    sinks.write_cells(_file_tree(points).assign(points, "x", "y"), path, S.ROWS_PER_FILE)
     return sinks.read_cells(spark, path, points.schema)
 
 
 def text_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     rows = _lineitem(spark, folder)
     tree = build_quadtree(rows, X, Y, S.THRESHOLD, S.MAX_DEPTH)
-    groups = merge_cells(tree.counts(), S.MINIMUM)
-    tagged = tree.assign(rows, X, Y, labels=groups.select("cell", "id_part"))
+    groups = merge_cells(tree.counts(), S.MINIMUM).select("cell", "id_part")
     path = session.fresh_path(spark, "groups")
-    sinks.write_text(tagged, path, S.ROWS_PER_FILE, rows.columns, "id_part")
-    schema = spark.createDataFrame([], "data string").schema
-    return sinks.read_cells(spark, path, schema, "id_part", "text")
+    sinks.write_text(tree.assign(rows, X, Y, labels=groups), path, S.ROWS_PER_FILE, rows.columns, "id_part")
+    return sinks.read_lines(spark, path, "id_part")
 
 
 def one_file_per_cell(spark: SparkSession, folder: str) -> DataFrame:
     """Rows and files per cell, read back."""
     points = _points(spark, folder)
-    tree = _tree(points)
+    tree = _file_tree(points)
     path = session.fresh_path(spark, "files")
     sinks.write_file_per_cell(tree.assign(points, "x", "y"), path, tree.counts(), S.LARGE_CELL)
     back = sinks.read_cells(spark, path, points.schema).withColumn("file", F.input_file_name())
@@ -404,6 +407,25 @@ def one_file_per_cell(spark: SparkSession, folder: str) -> DataFrame:
     return per_file.groupBy("cell").agg(F.count("*").alias("files"), F.sum("n").alias("n"))
 
 
+def written_cell(spark: SparkSession, folder: str) -> DataFrame:
+    """One cell of a written dataset: only its directory is read."""
+    return summary.rows_of_cell(partitioned_roundtrip(spark, folder), S.WRITTEN_CELL)
+
+
+def catalogue_job(spark: SparkSession, folder: str) -> DataFrame:
+    """From headless files to one directory of lines per merged group, and what it holds."""
+    definition, files = _store_catalogue(spark, folder)
+    rows = catalogue.read_catalogue(spark, files, ddl.ddl_schema(ddl.read_ddl(spark, definition)))
+    # The text is parsed once for the coordinates and once for the rows.
+    points = session.stored(catalogue.points(rows, X, Y), "points")
+    tree = build_quadtree(points, "x", "y", S.THRESHOLD, S.MAX_DEPTH, S.MAX_HEAVY_CELLS)
+    groups = merge_cells(tree.counts(), S.MINIMUM).select("cell", "id_part")
+    path = session.fresh_path(spark, "job")
+    sinks.write_text(tree.assign(rows, X, Y, labels=groups), path, S.ROWS_PER_FILE, rows.columns, "id_part")
+    written = sinks.read_lines(spark, path, "id_part")
+    return summary.cell_balance(written, F.col("data"), "id_part").drop("depth")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
@@ -454,5 +476,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         partitioned_roundtrip,
         text_roundtrip,
         one_file_per_cell,
+        written_cell,
+        catalogue_job,
     )
 }

@@ -29,8 +29,10 @@ SMALL_BLOCK_BYTES = 200_000
 BLOCK_MINIMUM = 1500
 
 PAGE_ROWS = 200
-ROWS_PER_FILE = 600
-# Above this a cell gets more than one file.
-LARGE_CELL = 940
+# Rows a cell may hold before its rows go to several files, and where cells are cut.
+FILE_THRESHOLD = 10_000
+ROWS_PER_FILE = 2000
+LARGE_CELL = 3750
+WRITTEN_CELL = "_13"
 CLUSTERS = 10
 FIRST_ROWS = 100

@@ -5,12 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Most rows a side may have to be sent to every executor. The sides in question are
-# cell tables (a short id and a few numbers), so this is some 100 MB at worst.
-BROADCAST_ROWS = 1 << 20
+# Largest table to send to every executor, and what a row takes there beyond its text:
+# the header, the key and the pointers, and a slot per column.
+BROADCAST_BYTES = 128 << 20
+ROW_BYTES, COLUMN_BYTES = 64, 16
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -41,12 +42,27 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def join_cell_table(df: DataFrame, cells: DataFrame, on, how: str, rows: int | None = None) -> DataFrame:
-    """Join rows to a table of cells, broadcasting the cells only if they are few enough.
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a derived table to the shared folder and read it from there."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    Above the limit the join carries no hint: Spark shuffles both sides and adaptive
-    execution splits the hot keys.
+
+def row_bytes(table: DataFrame) -> Column:
+    """Upper bound of what a row takes in a broadcast table."""
+    texts = [F.coalesce(F.octet_length(name), F.lit(0)) for name, kind in table.dtypes if kind == "string"]
+    fixed = F.lit(ROW_BYTES + COLUMN_BYTES * len(table.columns)).cast("long")
+    return sum(texts, fixed)
+
+
+def join_cell_table(df: DataFrame, cells: DataFrame, on, how: str, size: int | None = None) -> DataFrame:
+    """Join rows to a table of cells, broadcasting the cells only if they are small enough.
+
+    ``size`` is the size of the table in bytes, measured if it is not known. Above the
+    limit the join carries no hint: Spark shuffles both sides and adaptive execution
+    splits the hot keys.
     """
-    if rows is None:
-        rows = cells.count()
-    return df.join(F.broadcast(cells) if rows <= BROADCAST_ROWS else cells, on, how)
+    if size is None:
+        size = cells.agg(F.sum(row_bytes(cells)).alias("size")).first().size or 0
+    return df.join(F.broadcast(cells) if size <= BROADCAST_BYTES else cells, on, how)

@@ -55,10 +55,10 @@ def write_file_per_cell(
     """
     index = index_cells(counts.filter(F.col("n") <= rows_per_file), cell)
     index = session.cut_lineage(index.select(cell, F.col("idx").cast("int").alias("idx")))
-    cells = index.count()
-    placed = session.join_cell_table(df, index, cell, "inner", cells)
-    placed.repartitionById(max(cells, 1), F.col("idx")).drop("idx").write.partitionBy(cell).parquet(path)
-    rest = session.join_cell_table(df, index.select(cell), cell, "left_anti", cells)
+    placed = session.join_cell_table(df, index, cell, "inner")
+    tasks = max(index.count(), 1)
+    placed.repartitionById(tasks, F.col("idx")).drop("idx").write.partitionBy(cell).parquet(path)
+    rest = session.join_cell_table(df, index.select(cell), cell, "left_anti")
     write_cells(rest, path, rows_per_file, cell, mode="append")
 
 
@@ -69,3 +69,8 @@ def read_cells(
     stored = [field for field in schema.fields if field.name != cell]
     named = T.StructType([*stored, T.StructField(cell, T.StringType())])
     return spark.read.schema(named).format(file_format).load(path)
+
+
+def read_lines(spark: SparkSession, path: str, cell: str = "cell") -> DataFrame:
+    """Read lines written per cell: ``data`` and the cell id."""
+    return read_cells(spark, path, T.StructType([T.StructField("data", T.StringType())]), cell, "text")

@@ -148,3 +148,26 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     assert session.shared_folder(spark) == named
     assert session.fresh_path(spark, "x").startswith(named)
     assert session.fresh_path(spark, "x") != session.fresh_path(spark, "x")
+
+
+def test_broadcasts_are_bounded_by_measured_bytes(spark, monkeypatch):
+    cells = spark.createDataFrame([("_0" * 50, 1), ("_1", 2), (None, 3)], "cell string, n long")
+    size = cells.agg(F.sum(session.row_bytes(cells)).alias("size")).first().size
+    assert size == 3 * (session.ROW_BYTES + 2 * session.COLUMN_BYTES) + 100 + 2
+    rows = spark.createDataFrame([("_1", "a"), ("_2", "b")], "cell string, v string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for limit, join in ((size, "BroadcastHashJoin"), (size - 1, "SortMergeJoin")):
+            monkeypatch.setattr(session, "BROADCAST_BYTES", limit)
+            joined = session.join_cell_table(rows, cells, "cell", "left")
+            assert join in joined._jdf.queryExecution().executedPlan().toString()
+            assert sorted((r.v, r.n) for r in joined.collect()) == [("a", 2), ("b", None)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_stored_tables_come_back(spark):
+    df = spark.range(10).select(F.col("id").cast("double").alias("x"))
+    back = session.stored(df, "points")
+    assert sorted(r.x for r in back.collect()) == [float(k) for k in range(10)]
+    assert session.shared_folder(spark) in back.inputFiles()[0]

@@ -75,8 +75,8 @@ def test_tiers_and_shuffled_joins_give_the_same_cells(spark, monkeypatch):
     df = table(spark, points)
     tree = Q.build_quadtree(df, "x", "y", 10, 10)
     expected = leaf_counts(points, 10, 10)
-    for limit in (session.BROADCAST_ROWS, 200, 1):
-        monkeypatch.setattr(session, "BROADCAST_ROWS", limit)
+    for limit in (session.BROADCAST_BYTES, 20_000, 1):
+        monkeypatch.setattr(session, "BROADCAST_BYTES", limit)
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
         try:
             tagged = tree.assign(df, "x", "y")
@@ -154,6 +154,9 @@ def test_labels_travel_in_the_same_join(spark):
     rows = tree.assign(df, "x", "y", labels=labels).collect()
     sizes = Counter(r.cell for r in rows)
     assert all(r.twice == 2 * sizes[r.cell] for r in rows)
+    few = tree.assign(df, "x", "y", labels=labels.filter("twice > 60")).collect()
+    assert Counter(r.cell for r in few) == sizes
+    assert all(r.twice == (2 * sizes[r.cell] if sizes[r.cell] > 30 else None) for r in few)
 
 
 def test_box_of_a_survey_saves_a_pass(spark):

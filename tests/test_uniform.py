@@ -6,7 +6,13 @@ from sample import SAMPLE
 from starloom.functions.geometry import Box
 from starloom.operators.bbox import bounding_box, measure_box
 from starloom.operators.summary import count_per_cell, rows_of_cell
-from starloom.operators.uniform import assign_quadrant, assign_uniform, quadrant_cells, uniform_cells
+from starloom.operators.uniform import (
+    assign_quadrant,
+    assign_uniform,
+    quadrant_cells,
+    rows_of_uniform_cell,
+    uniform_cells,
+)
 
 
 def sky(spark):
@@ -107,3 +113,15 @@ def test_flat_axis(spark):
 def test_rectangles(spark):
     rects = {r.cell: (r.x0, r.x1, r.y0, r.y1) for r in uniform_cells(spark, Box(0.0, 4.0, 0.0, 8.0), 4).collect()}
     assert len(rects) == 16 and rects["12"] == (1.0, 2.0, 4.0, 6.0)
+
+
+def test_rows_of_a_cell_are_filtered_in_the_scan(spark, tmp_path):
+    points = [(k * 0.1, m * 0.3) for k in range(31) for m in range(11)]
+    spark.createDataFrame(points, "x double, y double").write.parquet(str(tmp_path / "points"))
+    df = spark.read.parquet(str(tmp_path / "points"))
+    box = measure_box(df, "x", "y")
+    whole = assign_uniform(df, box, 4, "x", "y")
+    for i, j in ((0, 0), (1, 2), (3, 3)):
+        got = rows_of_uniform_cell(df, box, 4, i, j, "x", "y")
+        assert sorted(got.collect()) == sorted(rows_of_cell(whole, f"{i}{j}").collect())
+        assert "GreaterThanOrEqual(x," in got._jdf.queryExecution().executedPlan().toString()
