@@ -140,13 +140,17 @@ def _quad_index_by_table(
 
 
 def _quad_index_by_halving(df: DataFrame, box: Box, depth: int, x: str, y: str) -> DataFrame:
-    """One vectorised pass per split, for deep cells and axes too short to divide."""
+    """One vectorised pass per split, for deep cells and axes too short to divide.
+
+    The function sent to the executors holds plain numbers and nothing of this package.
+    """
+    x0, x1, y0, y1 = map(float, box)
 
     @F.pandas_udf("struct<qx: int, qy: int>")
     def halve(xs: pd.Series, ys: pd.Series) -> pd.DataFrame:
         px, py = xs.to_numpy(), ys.to_numpy()
-        left, right = np.full(len(px), box.x0), np.full(len(px), box.x1)
-        below, above = np.full(len(py), box.y0), np.full(len(py), box.y1)
+        left, right = np.full(len(px), x0), np.full(len(px), x1)
+        below, above = np.full(len(py), y0), np.full(len(py), y1)
         qx, qy = np.zeros(len(px), "int32"), np.zeros(len(py), "int32")
         for _ in range(depth):
             mx, my = (left + right) / 2, (below + above) / 2
@@ -160,7 +164,7 @@ def _quad_index_by_halving(df: DataFrame, box: Box, depth: int, x: str, y: str)
     px, py = F.col(x).cast("double"), F.col(y).cast("double")
     # Python gets every row of a batch, so points without a cell go in as a corner of the box.
     kept = F.coalesce(inside(px, py, box), F.lit(False))
-    quad = halve(F.when(kept, px).otherwise(F.lit(box.x0)), F.when(kept, py).otherwise(F.lit(box.y0)))
+    quad = halve(F.when(kept, px).otherwise(F.lit(x0)), F.when(kept, py).otherwise(F.lit(y0)))
     return (
         df.withColumn("_quad", quad)
         .withColumns(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -31,16 +31,7 @@ def merge_cells(cells: DataFrame, minimum: int) -> DataFrame:
     parts = _cut_between_full_cells(cells.select("cell", "n"), minimum)
     ordered = parts.repartition("part").sortWithinPartitions("part", "cell")
 
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        walker = _Walker(minimum)
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                walker.take(row.part, row.cell, row.n)
-            yield walker.settled()
-        walker.finish()
-        yield walker.settled()
-
-    headed = session.cut_lineage(ordered.mapInPandas(walk, "cell string, n bigint, head string"))
+    headed = session.cut_lineage(ordered.mapInPandas(_walk(minimum), "cell string, n bigint, head string"))
     groups = headed.groupBy("head").agg(
         F.array_join(F.sort_array(F.collect_list("cell")), "").alias("id_part"),
         F.sum("n").alias("group_n"),
@@ -77,53 +68,60 @@ def _cut_between_full_cells(cells: DataFrame, minimum: int) -> DataFrame:
     return marked.join(inherited, "stretch").select("cell", "n", F.coalesce("part", "inherited").alias("part"))
 
 
-class _Walker:
-    """Walks the cells of sorted parts, holding one closed and one open group."""
-
-    def __init__(self, minimum: int) -> None:
-        self.minimum = minimum
-        self.part: str | None = None
-        self.closed: tuple[str, int] | None = None  # first cell and rows
-        self.open: list[tuple[str, int]] = []
-        self.rows = 0
-        self.out: list[tuple[str, int, str]] = []
-
-    def take(self, part: str, cell: str, n: int) -> None:
-        if part != self.part:
-            self.finish()
-            self.part = part
-        if self.open and self.rows >= self.minimum:
-            self._close()
-        elif self.open and self.closed and self.closed[1] < n:
-            self._give_to_closed()
-        self.open.append((cell, n))
-        self.rows += n
-
-    def finish(self) -> None:
-        if self.open:
-            if self.rows < self.minimum and self.closed:
-                self._give_to_closed()
-            else:
-                self._close()
-        self.closed = None
-
-    def settled(self) -> pd.DataFrame:
-        done, self.out = self.out, []
-        return pd.DataFrame(done, columns=["cell", "n", "head"])
-
-    def _close(self) -> None:
-        head = self.open[0][0]
-        self.closed = (head, self.rows)
-        self._put(head)
-
-    def _give_to_closed(self) -> None:
-        head, rows = self.closed
-        self.closed = (head, rows + self.rows)
-        self._put(head)
-
-    def _put(self, head: str) -> None:
-        self.out += [(cell, n, head) for cell, n in self.open]
-        self.open, self.rows = [], 0
+def _walk(minimum: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Walk over sorted batches ``part, cell, n``; says which cell heads the group of each cell.
+
+    It holds one closed and one open group. The function it returns refers to nothing in
+    this package, so the executors need not have it.
+    """
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part, closed, members, rows, out = None, None, [], 0, []
+
+        def put(head: str) -> None:
+            nonlocal members, rows
+            out.extend((cell, n, head) for cell, n in members)
+            members, rows = [], 0
+
+        def close() -> None:
+            nonlocal closed
+            closed = (members[0][0], rows)
+            put(closed[0])
+
+        def give_to_closed() -> None:
+            nonlocal closed
+            closed = (closed[0], closed[1] + rows)
+            put(closed[0])
+
+        def end_part() -> None:
+            nonlocal closed
+            if members and rows < minimum and closed:
+                give_to_closed()
+            elif members:
+                close()
+            closed = None
+
+        def settled() -> pd.DataFrame:
+            frame = pd.DataFrame(out, columns=["cell", "n", "head"])
+            out.clear()
+            return frame
+
+        for batch in batches:
+            for at, cell, n in zip(batch["part"], batch["cell"], batch["n"], strict=True):
+                if at != part:
+                    end_part()
+                    part = at
+                if members and rows >= minimum:
+                    close()
+                elif members and closed and closed[1] < n:
+                    give_to_closed()
+                members.append((cell, n))
+                rows += n
+            yield settled()
+        end_part()
+        yield settled()
+
+    return walk
 
 
 def retag(df: DataFrame, groups: DataFrame, cell: str = "cell") -> DataFrame:

@@ -1,5 +1,6 @@
 import random
 
+import pandas as pd
 import pytest
 from models import merge_rule
 from test_quadtree import THRESHOLD_3, THRESHOLD_7
@@ -81,15 +82,17 @@ def test_walk_and_cuts_equal_the_rule_on_many_lists():
         minimum, top = rng.randint(1, 12), rng.choice([4, 12, 30])
         sizes = [rng.randint(1, top) for _ in range(rng.randint(1, 25))]
         cells = [(f"_{k:02}", n) for k, n in enumerate(sizes)]
-        walker, part = M._Walker(minimum), 0
-        for k, (cell, n) in enumerate(cells):
+        part, parts = 0, []
+        for k, n in enumerate(sizes):
             if k and n >= minimum and sizes[k - 1] >= minimum and rng.random() < 0.8:
                 part = k  # any of the allowed cuts may be left out
-            walker.take(str(part), cell, n)
-        walker.finish()
+            parts.append(str(part))
+        frame = pd.DataFrame({"part": parts, "cell": [c for c, _ in cells], "n": sizes})
+        half = rng.randint(0, len(frame))
         found = {}
-        for cell, n, head in walker.settled().itertuples(index=False):
-            found.setdefault(head, []).append(cell)
+        for batch in M._walk(minimum)(iter([frame[:half], frame[half:]])):
+            for cell, _, head in batch.itertuples(index=False):
+                found.setdefault(head, []).append(cell)
         assert sorted(map(tuple, found.values())) == [g for g, _ in merge_rule(cells, minimum)]
 
 
