@@ -1,9 +1,10 @@
 """Adaptive quadtree: split every cell that holds more than a threshold of rows.
 
 Which leaf a row ends in depends only on its path and on the number of rows in every
-prefix of that path. So the rows are counted once, at the deepest level; the counts of
-all shallower cells are sums of those, and the splitting is decided on the table of
-cells. Two scans of two columns replace one pass over the rows per round.
+prefix of that path. So the rows are counted once, at a deep level; the counts of all
+shallower cells are sums of those, and the splitting is decided on the table of cells.
+Two scans of two columns replace one pass over the rows per round; only rows of cells
+still too heavy at that level are counted again further down.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from starloom import session
 from starloom.functions.geometry import Box, inside, path_box, quad_path, quarters, with_quad_index
 from starloom.operators.bbox import measure_box
 
+# Levels that the first count covers, and how many more each later count does.
+FIRST_STAGE, LATER_STAGES = 10, 6
 CELL_COLUMNS = "depth int, qx int, qy int, cell string, n bigint"
 
 
@@ -138,9 +141,9 @@ def count_cells(df: DataFrame, box: Box, depth: int, x: str, y: str) -> DataFram
     return with_quad_index(held, box, depth, "x", "y").groupBy("qx", "qy").agg(F.count("*").alias("n"))
 
 
-def cell_pyramid(counts: DataFrame, depth: int) -> DataFrame:
-    """Rows per cell at every level from the root to ``depth``."""
-    levels = counts.withColumn("depth", F.explode(F.sequence(F.lit(0), F.lit(depth))))
+def cell_pyramid(counts: DataFrame, top: int, depth: int) -> DataFrame:
+    """Rows per cell at every level from ``top`` down to ``depth``, the level of ``counts``."""
+    levels = counts.withColumn("depth", F.explode(F.sequence(F.lit(top), F.lit(depth))))
     return levels.groupBy(
         "depth",
         F.expr(f"shiftright(qx, {depth} - depth)").alias("qx"),
@@ -148,6 +151,17 @@ def cell_pyramid(counts: DataFrame, depth: int) -> DataFrame:
     ).agg(F.sum("n").alias("n"))
 
 
+def _children_of_heavy(pyramid: DataFrame, threshold: int) -> DataFrame:
+    """The cells that the rounds create: those whose parent is above the threshold."""
+    siblings = Window.partitionBy("depth", F.shiftright("qx", 1), F.shiftright("qy", 1))
+    path = quad_path(F.col("depth"), F.col("qx"), F.col("qy"))
+    return (
+        pyramid.withColumn("_parent", F.sum("n").over(siblings))
+        .filter((F.col("depth") == 0) | (F.col("_parent") > threshold))
+        .select("depth", "qx", "qy", path.alias("cell"), "n")
+    )
+
+
 def build_quadtree(
     df: DataFrame,
     x: str,
@@ -161,32 +175,33 @@ def build_quadtree(
 
     ``max_heavy_cells`` also stops the splitting at the first level with more heavy cells
     than that. A known ``box`` saves the pass that measures it.
+
+    The first count goes down to ``FIRST_STAGE``. Only if cells of that level are still
+    heavy are their rows, and no others, counted again at a deeper level.
     """
     box = box or measure_box(df, x, y)
     if box is None:
         empty = df.sparkSession.createDataFrame([], CELL_COLUMNS)
         return QuadTree(None, threshold, 0, empty, {})
 
-    pyramid = cell_pyramid(count_cells(df, box, max_depth, x, y), max_depth)
-    siblings = Window.partitionBy("depth", F.shiftright("qx", 1), F.shiftright("qy", 1))
-    reached = (
-        pyramid.withColumn("_parent", F.sum("n").over(siblings))
-        .filter((F.col("depth") == 0) | (F.col("_parent") > threshold))
-        .select("depth", "qx", "qy", quad_path(F.col("depth"), F.col("qx"), F.col("qy")).alias("cell"), "n")
-    )
-    reached = session.cut_lineage(reached)
-
-    # One row per level.
-    levels = (
-        reached.groupBy("depth")
-        .agg(F.count("*").alias("cells"), F.count_if(F.col("n") > threshold).alias("heavy"))
-        .collect()
-    )
-    crowded = [] if max_heavy_cells is None else [r.depth for r in levels if r.heavy > max_heavy_cells]
-    stop = min(crowded, default=max_depth)
-    leaves = {r.depth: r.cells - (r.heavy if r.depth < stop else 0) for r in levels if r.depth <= stop}
+    rows = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+    reached, levels, top, depth = None, {}, 0, min(FIRST_STAGE, max_depth)
+    while True:
+        pyramid = cell_pyramid(count_cells(rows, box, depth, "x", "y"), top, depth)
+        found = session.cut_lineage(_children_of_heavy(pyramid, threshold))
+        reached = found if reached is None else reached.unionByName(found)
+        heavy = F.count_if(F.col("n") > threshold).alias("heavy")
+        # One row per level.
+        levels |= {r.depth: r for r in found.groupBy("depth").agg(F.count("*").alias("cells"), heavy).collect()}
+        crowded = [] if max_heavy_cells is None else [d for d, r in levels.items() if r.heavy > max_heavy_cells]
+        stop = min(crowded, default=max_depth)
+        if depth >= stop or depth not in levels or not levels[depth].heavy:
+            break
+        rows = _rows_of_cells(rows, found.filter(F.col("n") > threshold), box, depth, "x", "y")
+        top, depth = depth + 1, min(depth + LATER_STAGES, max_depth)
+    kept = {d: r.cells - (r.heavy if d < stop else 0) for d, r in levels.items() if d <= stop}
     return QuadTree(
-        box, threshold, stop, reached.filter(F.col("depth") <= stop), {d: n for d, n in leaves.items() if n}
+        box, threshold, stop, reached.filter(F.col("depth") <= stop), {d: n for d, n in kept.items() if n}
     )
 
 
@@ -210,11 +225,16 @@ def split_step(cells: DataFrame, threshold: int) -> DataFrame:
     return cells.select(F.inline(F.when(F.col("n") > threshold, children).otherwise(whole)))
 
 
+def _rows_of_cells(df: DataFrame, cells: DataFrame, box: Box, depth: int, x: str, y: str) -> DataFrame:
+    """Rows lying in the given cells of one depth."""
+    wanted = cells.filter(F.col("depth") == depth).select(F.col("qx").alias("_kx"), F.col("qy").alias("_ky"))
+    indexed = with_quad_index(df, box, depth, x, y)
+    on = (indexed["qx"] == wanted["_kx"]) & (indexed["qy"] == wanted["_ky"])
+    return session.join_cell_table(indexed, wanted, on, "left_semi").drop("qx", "qy")
+
+
 def heavy_rows(df: DataFrame, tree: QuadTree, depth: int, x: str, y: str) -> DataFrame:
     """Rows whose cell is still above the threshold at round ``depth``."""
     if tree.box is None:
         return df.limit(0)
-    heavy = tree.heavy(depth).select(F.col("qx").alias("_kx"), F.col("qy").alias("_ky"))
-    indexed = with_quad_index(df, tree.box, depth, x, y)
-    on = (indexed["qx"] == heavy["_kx"]) & (indexed["qy"] == heavy["_ky"])
-    return session.join_cell_table(indexed, heavy, on, "left_semi").drop("qx", "qy")
+    return _rows_of_cells(df, tree.heavy(depth), tree.box, depth, x, y)

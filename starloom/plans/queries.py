@@ -130,7 +130,7 @@ def grid_step(spark: SparkSession, folder: str) -> DataFrame:
 def level_counts(spark: SparkSession, folder: str) -> DataFrame:
     points = _points(spark, folder)
     counts = count_cells(points, measure_box(points, "x", "y"), S.PATH_DEPTH, "x", "y")
-    levels = cell_pyramid(counts, S.PATH_DEPTH)
+    levels = cell_pyramid(counts, 0, S.PATH_DEPTH)
     return levels.select(quad_path(F.col("depth"), F.col("qx"), F.col("qy")).alias("cell"), "depth", "n")
 
 
