@@ -392,7 +392,9 @@ def text_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     tree = build_quadtree(rows, X, Y, S.THRESHOLD, S.MAX_DEPTH)
     groups = merge_cells(tree.counts(), S.MINIMUM).select("cell", "id_part")
     path = session.fresh_path(spark, "groups")
-    sinks.write_text(tree.assign(rows, X, Y, labels=groups), path, S.ROWS_PER_FILE, rows.columns, "id_part")
+    sinks.write_text(
+        tree.assign(rows, X, Y, labels=groups), path, S.ROWS_PER_FILE, csv_line(rows.columns), "id_part"
+    )
     return sinks.read_lines(spark, path, "id_part")
 
 
@@ -415,13 +417,16 @@ def written_cell(spark: SparkSession, folder: str) -> DataFrame:
 def catalogue_job(spark: SparkSession, folder: str) -> DataFrame:
     """From headless files to one directory of lines per merged group, and what it holds."""
     definition, files = _store_catalogue(spark, folder)
-    rows = catalogue.read_catalogue(spark, files, ddl.ddl_schema(ddl.read_ddl(spark, definition)))
-    # The text is parsed once for the coordinates and once for the rows.
-    points = session.stored(catalogue.points(rows, X, Y), "points")
+    names = ddl.ddl_schema(ddl.read_ddl(spark, definition)).names
+    lines = catalogue.read_lines(spark, files, names, X, Y)
+    # The text is cut once for the coordinates and once for the rows.
+    points = session.stored(lines.select("x", "y"), "points")
     tree = build_quadtree(points, "x", "y", S.THRESHOLD, S.MAX_DEPTH, S.MAX_HEAVY_CELLS)
     groups = merge_cells(tree.counts(), S.MINIMUM).select("cell", "id_part")
     path = session.fresh_path(spark, "job")
-    sinks.write_text(tree.assign(rows, X, Y, labels=groups), path, S.ROWS_PER_FILE, rows.columns, "id_part")
+    sinks.write_text(
+        tree.assign(lines, "x", "y", labels=groups), path, S.ROWS_PER_FILE, F.col("data"), "id_part"
+    )
     written = sinks.read_lines(spark, path, "id_part")
     return summary.cell_balance(written, F.col("data"), "id_part").drop("depth")
 

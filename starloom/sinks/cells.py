@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom import session
-from starloom.functions.text import csv_line
 from starloom.operators.summary import index_cells
 
 
@@ -37,11 +34,9 @@ def write_cells(
     )
 
 
-def write_text(
-    df: DataFrame, path: str, rows_per_file: int, columns: Sequence[str], cell: str = "cell"
-) -> None:
-    """One directory per cell with the rows as comma-separated lines."""
-    write_cells(df.select(cell, csv_line(columns).alias("data")), path, rows_per_file, cell, "text")
+def write_text(df: DataFrame, path: str, rows_per_file: int, line: Column, cell: str = "cell") -> None:
+    """One directory per cell with one line of text per row."""
+    write_cells(df.select(cell, line.alias("data")), path, rows_per_file, cell, "text")
 
 
 def write_file_per_cell(

@@ -8,6 +8,9 @@ from pyspark.sql import types as T
 
 from starloom.functions.text import NULL_TOKEN, fields
 
+# Lines with fewer fields are blank or broken.
+LEAST_FIELDS = 3
+
 
 def read_catalogue(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     """Typed rows of one file, a folder or a glob of files."""
@@ -19,11 +22,27 @@ def read_fields(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path).select(fields(F.col("value")).alias("fields"))
 
 
-def drop_short_rows(rows: DataFrame, least: int = 3) -> DataFrame:
+def drop_short_rows(rows: DataFrame, least: int = LEAST_FIELDS) -> DataFrame:
     """Leave out blank and broken lines: those with fewer than ``least`` fields."""
     return rows.filter(F.size("fields") >= least)
 
 
+def read_lines(spark: SparkSession, path: str | list[str], names: list[str], x: str, y: str) -> DataFrame:
+    """Unchanged lines with their coordinates: ``data, x, y``. Short lines are left out.
+
+    For jobs that hand the text on: it is cut only as far as the later coordinate, and
+    numbers keep the spelling they came with. A field that is no number gives a null.
+    """
+    at_x, at_y = names.index(x), names.index(y)
+    start = F.split("value", ",", max(at_x, at_y, LEAST_FIELDS - 1) + 2)
+    lines = spark.read.text(path).filter(F.size(F.split("value", ",", LEAST_FIELDS)) >= LEAST_FIELDS)
+    return lines.select(
+        F.col("value").alias("data"),
+        F.get(start, F.lit(at_x)).try_cast("double").alias("x"),
+        F.get(start, F.lit(at_y)).try_cast("double").alias("y"),
+    )
+
+
 def points(df: DataFrame, x: str, y: str, *keep: str) -> DataFrame:
     """The two coordinates as doubles, with any columns to keep."""
     return df.select(*keep, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))

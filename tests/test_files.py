@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom import session
+from starloom.functions.text import csv_line
 from starloom.operators.summary import count_per_cell, rows_of_cell
 from starloom.sinks import cells as K
 from starloom.sources import catalogue, ddl
@@ -79,6 +80,19 @@ def test_raw_fields_and_short_rows(spark, folder):
     assert len(kept) == 1 and ",".join(kept[0].fields) == LINES[0]
 
 
+def test_lines_keep_their_spelling(spark, folder):
+    names = ddl.ddl_schema(ddl.read_ddl(spark, str(folder / "schema"))).names
+    (folder / "rows-3.csv").write_text("1,2,NULL,0,NULL,0.0000440547,x\n1,2,3\n")
+    rows = catalogue.read_lines(spark, str(folder / "rows-*.csv"), names, "ra", "decl")
+    got = {r.data: (r.x, r.y) for r in rows.collect()}
+    assert got == {
+        LINES[0]: (358.08941191498536, 3.039583881799817),
+        LINES[1]: (5.12087444172781, 2.559653764516827),
+        "1,2,NULL,0,NULL,0.0000440547,x": (None, 0.0000440547),
+        "1,2,3": (None, None),
+    }
+
+
 def test_only_needed_columns_are_read(spark, tmp_path):
     path = str(tmp_path / "wide")
     spark.range(5).select(*[F.col("id").cast("double").alias(f"c{k}") for k in range(40)]).write.parquet(path)
@@ -138,7 +152,7 @@ def test_file_per_cell(spark, tmp_path):
 
 def test_write_text(spark, tmp_path):
     df, path = tagged(spark).withColumn("s", F.lit(None).cast("string")), str(tmp_path / "out")
-    K.write_text(df, path, 1000, ["k", "s"])
+    K.write_text(df, path, 1000, csv_line(["k", "s"]))
     lines = (Path(path) / "cell=9").glob("part-*")
     assert sorted(line for f in lines for line in f.read_text().split()) == sorted(f"{k},NULL" for k in range(99))
 
