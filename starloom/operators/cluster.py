@@ -12,22 +12,18 @@ from pyspark.sql import functions as F
 from starloom.functions.geometry import squared_distance, usable
 
 
-def _vectors(df: DataFrame, x: str, y: str) -> DataFrame:
-    points = df.filter(usable(F.col(x).cast("double"), F.col(y).cast("double")))
-    return VectorAssembler(inputCols=[x, y], outputCol="features").transform(points)
-
-
 def fit_clusters(df: DataFrame, x: str, y: str, k: int = 10, seed: int | None = None) -> KMeansModel:
-    """Ten rounds from a random start."""
-    kmeans = KMeans(k=k, maxIter=10, initMode="random", predictionCol="cluster")
+    """Ten rounds from a random start, on the rows with finite coordinates."""
+    kmeans = KMeans(k=k, maxIter=10, initMode="random")
     if seed is not None:
         kmeans.setSeed(seed)
-    return kmeans.fit(_vectors(df.select(x, y), x, y))
+    points = df.select(x, y).filter(usable(F.col(x).cast("double"), F.col(y).cast("double")))
+    return kmeans.fit(VectorAssembler(inputCols=[x, y], outputCol="features").transform(points))
 
 
-def predict_clusters(df: DataFrame, model: KMeansModel, x: str, y: str) -> DataFrame:
+def predict_clusters(df: DataFrame, model: KMeansModel, x: str, y: str, cluster: str = "cluster") -> DataFrame:
     """Every row with the cluster of its point."""
-    return model.transform(_vectors(df, x, y)).drop("features")
+    return nearest_centre(df, [tuple(map(float, c)) for c in model.clusterCenters()], x, y, cluster)
 
 
 def nearest_centre(
@@ -35,6 +31,7 @@ def nearest_centre(
 ) -> DataFrame:
     """Tag each row with the number of its nearest centre, the lowest number on a tie.
 
+    Rows without finite coordinates keep a null.
     The centres are a handful of numbers, so they go into the expression: no join.
     """
     px, py = F.col(x).cast("double"), F.col(y).cast("double")
@@ -47,7 +44,7 @@ def nearest_centre(
     number = F.coalesce(
         *[F.when(F.col(name) == F.col("_closest"), F.lit(i)) for i, name in enumerate(names)]
     )
-    return measured.withColumn(cluster, number).drop("_closest", *names)
+    return measured.withColumn(cluster, F.when(usable(px, py), number)).drop("_closest", *names)
 
 
 def cluster_sizes(df: DataFrame, cluster: str = "cluster") -> DataFrame:

@@ -15,11 +15,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom import session
-from starloom.functions.geometry import Box, inside, path_box, quad_path, quarters, with_quad_index
+from starloom.functions.geometry import (
+    DEEPEST,
+    EDGE_TABLE_DEPTH,
+    Box,
+    inside,
+    path_box,
+    quad_path,
+    quarters,
+    with_quad_index,
+)
 from starloom.operators.bbox import measure_box
 
-# Levels that the first count covers, and how many more each later count does.
-FIRST_STAGE, LATER_STAGES = 10, 6
+# Depths at which rows are counted, each only for rows in cells too heavy at the last one.
+STAGES = (10, EDGE_TABLE_DEPTH, 18, 24, DEEPEST)
 CELL_COLUMNS = "depth int, qx int, qy int, cell string, n bigint"
 
 
@@ -176,7 +185,7 @@ def build_quadtree(
     ``max_heavy_cells`` also stops the splitting at the first level with more heavy cells
     than that. A known ``box`` saves the pass that measures it.
 
-    The first count goes down to ``FIRST_STAGE``. Only if cells of that level are still
+    The first count goes down to depth 10 at most. Only if cells of that level are still
     heavy are their rows, and no others, counted again at a deeper level.
     """
     box = box or measure_box(df, x, y)
@@ -185,8 +194,8 @@ def build_quadtree(
         return QuadTree(None, threshold, 0, empty, {})
 
     rows = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
-    reached, levels, top, depth = None, {}, 0, min(FIRST_STAGE, max_depth)
-    while True:
+    reached, levels, top, stop = None, {}, 0, max_depth
+    for depth in [*(d for d in STAGES if d < max_depth), max_depth]:
         pyramid = cell_pyramid(count_cells(rows, box, depth, "x", "y"), top, depth)
         found = session.cut_lineage(_children_of_heavy(pyramid, threshold))
         reached = found if reached is None else reached.unionByName(found)
@@ -198,7 +207,7 @@ def build_quadtree(
         if depth >= stop or depth not in levels or not levels[depth].heavy:
             break
         rows = _rows_of_cells(rows, found.filter(F.col("n") > threshold), box, depth, "x", "y")
-        top, depth = depth + 1, min(depth + LATER_STAGES, max_depth)
+        top = depth + 1
     kept = {d: r.cells - (r.heavy if d < stop else 0) for d, r in levels.items() if d <= stop}
     return QuadTree(
         box, threshold, stop, reached.filter(F.col("depth") <= stop), {d: n for d, n in kept.items() if n}

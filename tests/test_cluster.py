@@ -33,13 +33,13 @@ def test_fit_is_a_fixed_point_of_the_means(spark):
     df = spark.createDataFrame(rows, "id int, x double, y double")
     model = C.fit_clusters(df, "x", "y", 3, seed=5)
     found = C.predict_clusters(df, model, "x", "y").orderBy("id").collect()
-    assert len(found) == len(points) and found[0].id == 0
+    assert len(found) == len(rows) and found.pop().cluster is None
     labels = np.array([r.cluster for r in found])
     centres = np.array(model.clusterCenters())
     xy = np.array(points)
     assert (((xy[:, None] - centres[None]) ** 2).sum(2).argmin(1) == labels).all()
     for k in range(3):
         assert np.allclose(xy[labels == k].mean(0), centres[k], atol=1e-6)
-    assert sorted(r.n for r in C.cluster_sizes(C.predict_clusters(df, model, "x", "y")).collect()) == sorted(
-        np.bincount(labels).tolist()
-    )
+    sizes = {r.cluster: r.n for r in C.cluster_sizes(C.predict_clusters(df, model, "x", "y")).collect()}
+    assert sizes == {None: 1, **dict(enumerate(np.bincount(labels).tolist()))}
+    assert sorted(model.summary.clusterSizes) == sorted(np.bincount(labels).tolist())

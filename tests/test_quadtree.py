@@ -66,8 +66,7 @@ def test_equals_the_rounds(spark, seed, threshold, max_depth, max_heavy):
 
 @pytest.mark.parametrize(("max_depth", "max_heavy"), [(7, None), (9, 4), (9, 40), (30, None)])
 def test_counting_in_stages_equals_the_rounds(spark, monkeypatch, max_depth, max_heavy):
-    monkeypatch.setattr(Q, "FIRST_STAGE", 3)
-    monkeypatch.setattr(Q, "LATER_STAGES", 2)
+    monkeypatch.setattr(Q, "STAGES", (3, 5, 7, 13, 30))
     points = [p for p in clumped(19, 500) if max_depth < 30 or p != (0.123, 0.456)]
     df = table(spark, points)
     tree = Q.build_quadtree(df, "x", "y", 12, max_depth, max_heavy)
