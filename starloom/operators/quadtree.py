@@ -77,7 +77,7 @@ class QuadTree:
     def assign(
         self, df: DataFrame, x: str, y: str, labels: DataFrame | None = None, cell: str = "cell"
     ) -> DataFrame:
-        """Tag each row with its leaf. Rows outside the box keep a null cell.
+        """Tag each row with its leaf, replacing an earlier tag. Rows outside the box get a null.
 
         ``labels`` (``cell`` plus any columns, one row per leaf) adds those columns to the
         rows in the same join, such as the merged group of the leaf.
@@ -108,7 +108,8 @@ class QuadTree:
             )
             tagged = session.join_cell_table(tagged, table, on, "left", size).drop("_kx", "_ky")
         found = {c: F.coalesce(*[F.col(f"_{k}_{c}") for k in range(len(tiers))]) for c in extra}
-        return tagged.select(*df.columns, *[value.alias(c) for c, value in found.items()])
+        payload = [c for c in df.columns if c not in found]
+        return tagged.select(*payload, *[value.alias(c) for c, value in found.items()])
 
 
 def join_depths(sizes: dict[int, int], limit: int | None = None) -> list[tuple[int, list[int], int]]:
@@ -245,5 +246,5 @@ def _rows_of_cells(df: DataFrame, cells: DataFrame, box: Box, depth: int, x: str
 def heavy_rows(df: DataFrame, tree: QuadTree, depth: int, x: str, y: str) -> DataFrame:
     """Rows whose cell is still above the threshold at round ``depth``."""
     if tree.box is None:
-        return df.limit(0)
+        return df.filter(F.lit(False))
     return _rows_of_cells(df, tree.heavy(depth), tree.box, depth, x, y)

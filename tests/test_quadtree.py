@@ -170,6 +170,15 @@ def test_labels_travel_in_the_same_join(spark):
     assert all(r.twice == (2 * sizes[r.cell] if sizes[r.cell] > 30 else None) for r in few)
 
 
+def test_a_new_tag_replaces_the_old_one(spark):
+    points = clumped(23, 200)
+    df = table(spark, points)
+    coarse = Q.build_quadtree(df, "x", "y", 100, 3).assign(df, "x", "y")
+    fine = Q.build_quadtree(df, "x", "y", 20, 6).assign(coarse, "x", "y")
+    assert fine.columns == ["id", "x", "y", "cell"]
+    assert [r.cell for r in fine.orderBy("id").collect()] == leaf_counts(points, 20, 6)
+
+
 def test_box_of_a_survey_saves_a_pass(spark):
     points = clumped(17, 300)
     df = table(spark, points)
