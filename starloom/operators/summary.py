@@ -57,16 +57,17 @@ def index_cells(cells: DataFrame, cell: str = "cell") -> DataFrame:
 
 def unwritten_rows(df: DataFrame, written: DataFrame, cell: str = "cell") -> DataFrame:
     """Rows whose cell is not among the written ones."""
-    return session.join_cell_table(df, written.select(cell).distinct(), cell, "left_anti")
+    known = session.cut_lineage(distinct_cells(written, cell))
+    return session.join_cell_table(df, known, cell, "left_anti")
 
 
-def rows_per_file(df: DataFrame, columns: Sequence[str], block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def rows_per_file(df: DataFrame, line: Column, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """How many rows fill a file: the mean of block size over line size, rounded down.
 
     Lines of equal length are counted first, which leaves few distinct terms to add.
     """
     sizes = (
-        df.select(F.octet_length(csv_line(columns)).alias("size"))
+        df.select(F.octet_length(line).alias("size"))
         .groupBy("size")
         .agg(F.count("*").alias("n"))
     )

@@ -29,7 +29,7 @@ def _with(*parts: str) -> str:
     return "WITH RECURSIVE " + ",".join(parts) + "\n"
 
 
-def _uniform(n: int) -> str:
+def _uniform(n: int, columns: str = POINT_COLUMNS) -> str:
     """Every row against every closed rectangle; the first one in scan order holds it."""
     separator = "" if n <= 10 else "_"
     return f"""
@@ -47,7 +47,7 @@ held AS (
    AND y >= c AND y <= CASE WHEN j = {n} - 1 THEN greatest(d, y1) ELSE d END
   GROUP BY rid
 ),
-tagged AS (SELECT {POINT_COLUMNS}, coalesce(held.cell, '-1') AS cell FROM numbered LEFT JOIN held USING (rid))"""
+tagged AS (SELECT {columns}, coalesce(held.cell, '-1') AS cell FROM numbered LEFT JOIN held USING (rid))"""
 
 
 def _levels(depth: int, columns: str) -> str:
@@ -230,6 +230,7 @@ CATALOGUE_COLUMNS = (
     "l_returnflag l_shipdate"
 ).split()
 
+HELD = "count(*) AS n, CAST(sum(strlen(data)) AS BIGINT) AS bytes"
 # The files hold no tax of zero.
 CATALOGUE_LINE = _line([c if c != "l_tax" else "CASE WHEN l_tax > 0 THEN l_tax END" for c in CATALOGUE_COLUMNS])
 
@@ -252,6 +253,9 @@ def oracles() -> dict[str, str]:
     ranges = _lineitem_tree(S.THRESHOLD, _merge(S.MINIMUM), _ranges())
     assigned_groups = f"SELECT {POINT_COLUMNS}, id_part FROM assigned JOIN groups USING (cell)"
     uniform = _with(POINTS, BOX, _uniform(S.GRID))
+    catalogue_points = (
+        f"points AS (SELECT {CATALOGUE_LINE} AS data, l_extendedprice AS x, l_quantity AS y FROM lineitem)"
+    )
     leaf_columns = "cell, CAST(depth AS INTEGER) AS depth, n, x0, x1, y0, y1"
     return {
         "bbox": _with(POINTS, BOX) + "SELECT * FROM box",
@@ -366,15 +370,18 @@ SELECT {len(CATALOGUE_COLUMNS)} AS n_fields, l_orderkey, l_extendedprice AS x, l
         "partitioned_roundtrip": _lineitem_tree(S.FILE_THRESHOLD) + "SELECT * FROM assigned",
         "written_cell": _lineitem_tree(S.FILE_THRESHOLD)
         + f"SELECT * FROM assigned WHERE cell = '{S.WRITTEN_CELL}'",
-        "catalogue_job": _with(
-            f"points AS (SELECT {CATALOGUE_LINE} AS data, l_extendedprice AS x, l_quantity AS y FROM lineitem)",
+        "uniform_job": _with(
+            catalogue_points,
             BOX,
-            _tree(S.THRESHOLD, "data, x, y", max_heavy=S.MAX_HEAVY_CELLS),
-            _merge(S.MINIMUM),
+            _uniform(S.GRID, "data"),
         )
-        + """
-SELECT id_part, count(*) AS n, CAST(sum(strlen(data)) AS BIGINT) AS bytes
-FROM assigned JOIN groups USING (cell) GROUP BY id_part""",
+        + f"SELECT cell, {HELD} FROM tagged GROUP BY cell",
+        "quadtree_job": _with(catalogue_points, BOX, _tree(S.FILE_THRESHOLD, "data, x, y"))
+        + f"SELECT cell, {HELD} FROM assigned GROUP BY cell",
+        "merged_job": _with(
+            catalogue_points, BOX, _tree(S.THRESHOLD, "data, x, y", max_heavy=S.MAX_HEAVY_CELLS), _merge(S.MINIMUM)
+        )
+        + f"SELECT id_part, {HELD} FROM assigned JOIN groups USING (cell) GROUP BY id_part",
         "text_roundtrip": _with(
             f"points AS (SELECT {LINE} AS data, l_extendedprice AS x, l_quantity AS y FROM lineitem)",
             BOX,

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom import session
+from starloom import jobs, session
 from starloom.functions.geometry import path_box, quad_path, with_quad_index
 from starloom.functions.text import csv_line
 from starloom.operators import cluster, summary, uniform
@@ -212,7 +212,7 @@ def merged_report(spark: SparkSession, folder: str) -> DataFrame:
 def block_partitions(spark: SparkSession, folder: str) -> DataFrame:
     """The whole job: threshold from the block size, split, merge, rows per partition."""
     rows = _lineitem(spark, folder)
-    threshold = summary.rows_per_file(rows, rows.columns, S.SMALL_BLOCK_BYTES).first().rows_per_file
+    threshold = summary.rows_per_file(rows, csv_line(rows.columns), S.SMALL_BLOCK_BYTES).first().rows_per_file
     tree = build_quadtree(rows, X, Y, threshold, S.MAX_DEPTH, S.MAX_HEAVY_CELLS)
     groups = merge_cells(tree.counts(), S.BLOCK_MINIMUM).select("cell", "id_part")
     return summary.count_per_cell(tree.assign(rows, X, Y, labels=groups), "id_part")
@@ -251,7 +251,7 @@ def cell_collect(spark: SparkSession, folder: str) -> DataFrame:
 
 def rows_per_file(spark: SparkSession, folder: str) -> DataFrame:
     rows = _lineitem(spark, folder)
-    return summary.rows_per_file(rows, rows.columns)
+    return summary.rows_per_file(rows, csv_line(rows.columns))
 
 
 def _records(spark: SparkSession, folder: str) -> DataFrame:
@@ -414,21 +414,33 @@ def written_cell(spark: SparkSession, folder: str) -> DataFrame:
     return summary.rows_of_cell(partitioned_roundtrip(spark, folder), S.WRITTEN_CELL)
 
 
-def catalogue_job(spark: SparkSession, folder: str) -> DataFrame:
-    """From headless files to one directory of lines per merged group, and what it holds."""
+def _held(written: DataFrame, cell: str) -> DataFrame:
+    return summary.cell_balance(written, F.col("data"), cell).drop("depth")
+
+
+def uniform_job(spark: SparkSession, folder: str) -> DataFrame:
+    """From headless files to one directory of lines per grid cell, and what it holds."""
     definition, files = _store_catalogue(spark, folder)
-    names = ddl.ddl_schema(ddl.read_ddl(spark, definition)).names
-    lines = catalogue.read_lines(spark, files, names, X, Y)
-    # The text is cut once for the coordinates and once for the rows.
-    points = session.stored(lines.select("x", "y"), "points")
-    tree = build_quadtree(points, "x", "y", S.THRESHOLD, S.MAX_DEPTH, S.MAX_HEAVY_CELLS)
-    groups = merge_cells(tree.counts(), S.MINIMUM).select("cell", "id_part")
-    path = session.fresh_path(spark, "job")
-    sinks.write_text(
-        tree.assign(lines, "x", "y", labels=groups), path, S.ROWS_PER_FILE, F.col("data"), "id_part"
+    out = session.fresh_path(spark, "uniform")
+    return _held(jobs.partition_uniform(spark, definition, files, out, X, Y, S.GRID), "cell")
+
+
+def quadtree_job(spark: SparkSession, folder: str) -> DataFrame:
+    definition, files = _store_catalogue(spark, folder)
+    out = session.fresh_path(spark, "quadtree")
+    written = jobs.partition_quadtree(
+        spark, definition, files, out, X, Y, S.FILE_THRESHOLD, S.MAX_DEPTH, S.ROWS_PER_FILE
+    )
+    return _held(written, "cell")
+
+
+def merged_job(spark: SparkSession, folder: str) -> DataFrame:
+    definition, files = _store_catalogue(spark, folder)
+    out = session.fresh_path(spark, "merged")
+    written = jobs.partition_merged(
+        spark, definition, files, out, X, Y, S.MINIMUM, S.THRESHOLD, S.MAX_DEPTH, S.MAX_HEAVY_CELLS, S.ROWS_PER_FILE
     )
-    written = sinks.read_lines(spark, path, "id_part")
-    return summary.cell_balance(written, F.col("data"), "id_part").drop("depth")
+    return _held(written, "id_part")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -482,6 +494,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         text_roundtrip,
         one_file_per_cell,
         written_cell,
-        catalogue_job,
+        uniform_job,
+        quadtree_job,
+        merged_job,
     )
 }

@@ -51,7 +51,7 @@ def test_unwritten_rows(spark):
 
 def test_rows_per_file_is_a_mean_of_ratios(spark):
     df = spark.createDataFrame([("ab",), ("abcd",), ("é",)], "s string")
-    got = S.rows_per_file(df, ["s"], 1000).first().rows_per_file
+    got = S.rows_per_file(df, F.col("s"), 1000).first().rows_per_file
     assert got == int((1000 / 2 + 1000 / 4 + 1000 / 2) / 3)
 
 
