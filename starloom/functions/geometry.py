@@ -89,56 +89,94 @@ def with_quad_index(df: DataFrame, box: Box, depth: int, x: str, y: str) -> Data
     Bit ``k`` from the top tells which half was taken at split ``k``. A point exactly on
     a vertical middle goes to the low side in the lower half of its cell and to the high
     side in the upper half; one on a horizontal middle goes to the lower half. Points
-    outside the box get -1. The columns are never null, so that Spark has no reason to
-    test them for null ahead of a join, which would repeat the whole expression.
+    outside the box get -1.
     """
-    if not 0 <= depth <= DEEPEST:
-        raise ValueError(f"depth must be between 0 and {DEEPEST}")
-    if depth <= EDGE_TABLE_DEPTH:
-        columns = axis_edges(box.x0, box.x1, depth)
-        rows = axis_edges(box.y0, box.y1, depth)
-        if (np.diff(columns) > 0).all() and (np.diff(rows) > 0).all():
-            return _quad_index_by_table(df, box, columns, rows, x, y)
-    return _quad_index_by_halving(df, box, depth, x, y)
-
-
-def _quad_index_by_table(
-    df: DataFrame, box: Box, columns: np.ndarray, rows: np.ndarray, x: str, y: str
-) -> DataFrame:
-    """Constant work per row: guess by arithmetic, correct against the real edges."""
-    n = len(columns) - 1
+    edges = _edge_tables(box, depth)
+    if edges is None:
+        return _quad_index_by_halving(df, box, depth, x, y)
+    # One column per step, so that each is computed once.
     px, py = F.col(x).cast("double"), F.col(y).cast("double")
-
-    def literal(edges: np.ndarray) -> Column:
-        return F.split(F.lit(",".join(map(repr, edges.tolist()))), ",").cast("array<double>")
-
-    column_edge, row_edge = literal(columns), literal(rows)
-    step = df.withColumns(
-        {
-            "qx": _clamped(F.ceil((px - box.x0) * (n / (box.x1 - box.x0))) - 1, n),
-            "qy": _clamped(F.ceil((py - box.y0) * (n / (box.y1 - box.y0))) - 1, n),
-        }
-    )
+    kept, (columns, rows) = inside(px, py, box), edges
+    step = df.withColumns({"qx": _guessed_slot(px, columns), "qy": _guessed_slot(py, rows)})
     step = step.withColumns(
-        {
-            "qx": _corrected(F.col("qx"), px, lambda i: F.get(column_edge, i), n),
-            "qy": _corrected(F.col("qy"), py, lambda i: F.get(row_edge, i), n),
-        }
+        {"qx": _true_slot(F.col("qx"), px, columns), "qy": _true_slot(F.col("qy"), py, rows)}
     )
-    # A point on the edge between two columns: the lowest set bit of the edge number is
-    # the split that drew the edge, and the same bit of qy is the half taken there.
-    edge = F.col("qx") + 1
-    drawn_at = edge.bitwiseAND(-edge)
-    moves = (edge < n) & (px == F.get(column_edge, edge)) & (F.col("qy").bitwiseAND(drawn_at) != 0)
-    kept = inside(px, py, box)
     return step.withColumns(
         {
-            "qx": F.when(kept, F.when(moves, edge).otherwise(F.col("qx"))).otherwise(F.lit(OUTSIDE)),
-            "qy": F.when(kept, F.col("qy")).otherwise(F.lit(OUTSIDE)),
+            "qx": _or_outside(F.when(kept, _settle_tie(F.col("qx"), F.col("qy"), px, columns))),
+            "qy": _or_outside(F.when(kept, F.col("qy"))),
         }
     )
 
 
+def quad_index(box: Box, depth: int, x: str, y: str) -> tuple[Column, Column] | None:
+    """The two indexes of :func:`with_quad_index` as single expressions.
+
+    They repeat work, but as join keys they spare wide rows the copies that new columns
+    cost. ``None`` if the depth or the axes do not allow it.
+    """
+    edges = _edge_tables(box, depth)
+    if edges is None:
+        return None
+    px, py = F.col(x).cast("double"), F.col(y).cast("double")
+    kept, (columns, rows) = inside(px, py, box), edges
+    qx, qy = _true_slot(_guessed_slot(px, columns), px, columns), _true_slot(_guessed_slot(py, rows), py, rows)
+    return _or_outside(F.when(kept, _settle_tie(qx, qy, px, columns))), _or_outside(F.when(kept, qy))
+
+
+def _or_outside(index: Column) -> Column:
+    """Never null, so that no join adds a null test that would repeat the expression."""
+    return F.coalesce(index, F.lit(OUTSIDE))
+
+
+def _edge_tables(box: Box, depth: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """Edges of both axes, if they are few and lie far enough apart to be found by arithmetic."""
+    if not 0 <= depth <= DEEPEST:
+        raise ValueError(f"depth must be between 0 and {DEEPEST}")
+    if depth > EDGE_TABLE_DEPTH:
+        return None
+    columns, rows = axis_edges(box.x0, box.x1, depth), axis_edges(box.y0, box.y1, depth)
+    return (columns, rows) if _well_apart(columns) and _well_apart(rows) else None
+
+
+def _well_apart(edges: np.ndarray) -> bool:
+    """Whether rounding can shift an edge by no more than a small part of a cell."""
+    return bool(np.diff(edges).min() > 16 * np.spacing(np.abs(edges).max()))
+
+
+def _inner_edges(edges: np.ndarray) -> Column:
+    """The edges as an array, with nothing beyond the outer ones."""
+    texts = [repr(edge) for edge in edges.tolist()]
+    texts[0], texts[-1] = "-Infinity", "Infinity"
+    return F.split(F.lit(",".join(texts)), ",").cast("array<double>")
+
+
+def _guessed_slot(value: Column, edges: np.ndarray) -> Column:
+    n = len(edges) - 1
+    return _clamped(F.ceil((value - float(edges[0])) * (n / float(edges[-1] - edges[0]))) - 1, n)
+
+
+def _true_slot(guess: Column, value: Column, edges: np.ndarray) -> Column:
+    """Index i with edges[i] < value <= edges[i + 1], at most one off the guess.
+
+    The first slot takes the lowest edge.
+    """
+    edge = _inner_edges(edges)
+    too_low, too_high = value > F.get(edge, guess + 1), value <= F.get(edge, guess)
+    return guess + too_low.cast("int") - too_high.cast("int")
+
+
+def _settle_tie(qx: Column, qy: Column, px: Column, columns: np.ndarray) -> Column:
+    """Move a point on the edge between two columns to the higher one if its row says so.
+
+    The lowest set bit of the edge number is the split that drew the edge, and the same
+    bit of qy is the half taken there.
+    """
+    edge = qx + 1
+    moves = (px == F.get(_inner_edges(columns), edge)) & (qy.bitwiseAND(edge).bitwiseAND(-edge) != 0)
+    return qx + moves.cast("int")
+
+
 def _quad_index_by_halving(df: DataFrame, box: Box, depth: int, x: str, y: str) -> DataFrame:
     """One vectorised pass per split, for deep cells and axes too short to divide.
 
@@ -167,12 +205,7 @@ def _quad_index_by_halving(df: DataFrame, box: Box, depth: int, x: str, y: str)
     quad = halve(F.when(kept, px).otherwise(F.lit(x0)), F.when(kept, py).otherwise(F.lit(y0)))
     return (
         df.withColumn("_quad", quad)
-        .withColumns(
-            {
-                axis: F.coalesce(F.when(kept, F.col(f"_quad.{axis}")), F.lit(OUTSIDE))
-                for axis in ("qx", "qy")
-            }
-        )
+        .withColumns({axis: _or_outside(F.when(kept, F.col(f"_quad.{axis}"))) for axis in ("qx", "qy")})
         .drop("_quad")
     )
 

@@ -21,6 +21,7 @@ from starloom.functions.geometry import (
     Box,
     inside,
     path_box,
+    quad_index,
     quad_path,
     quarters,
     with_quad_index,
@@ -29,6 +30,8 @@ from starloom.operators.bbox import measure_box
 
 # Depths at which rows are counted, each only for rows in cells too heavy at the last one.
 STAGES = (10, EDGE_TABLE_DEPTH, 18, 24, DEEPEST)
+# From about this many columns on, copying a row costs more than computing its cell twice.
+WIDE_ROW = 30
 CELL_COLUMNS = "depth int, qx int, qy int, cell string, n bigint"
 
 
@@ -90,28 +93,31 @@ class QuadTree:
             kinds = dict(leaves.dtypes)
             return df.withColumns({c: F.lit(None).cast(kinds[c]) for c in extra})
 
-        tagged = with_quad_index(df, self.box, self.depth, x, y)
+        tagged, keys = _keyed(df, self.box, self.depth, x, y)
         sizes = leaves.groupBy("depth").agg(F.sum(session.row_bytes(leaves)).alias("size")).collect()
         tiers = join_depths({row["depth"]: row["size"] for row in sizes})
         for number, (top, depths, size) in enumerate(tiers):
-            shift = self.depth - top
-            table = (
-                _spread(leaves.filter(F.col("depth").isin(depths)), top)
-                .select(
-                    F.col("qx").alias("_kx"),
-                    F.col("qy").alias("_ky"),
-                    *[F.col(c).alias(f"_{number}_{c}") for c in extra],
-                )
-            )
-            on = (F.shiftright(tagged["qx"], shift) == table["_kx"]) & (
-                F.shiftright(tagged["qy"], shift) == table["_ky"]
+            table = _spread(leaves.filter(F.col("depth").isin(depths)), top).select(
+                F.col("qx").alias("_kx"),
+                F.col("qy").alias("_ky"),
+                *[F.col(c).alias(f"_{number}_{c}") for c in extra],
             )
+            kx, ky = (F.shiftright(key, self.depth - top) for key in keys)
+            on = (kx == table["_kx"]) & (ky == table["_ky"])
             tagged = session.join_cell_table(tagged, table, on, "left", size).drop("_kx", "_ky")
         found = {c: F.coalesce(*[F.col(f"_{k}_{c}") for k in range(len(tiers))]) for c in extra}
         payload = [c for c in df.columns if c not in found]
         return tagged.select(*payload, *[value.alias(c) for c, value in found.items()])
 
 
+def _keyed(df: DataFrame, box: Box, depth: int, x: str, y: str) -> tuple[DataFrame, tuple[Column, Column]]:
+    """Rows and their cell indexes: as new columns, or as expressions where rows are wide."""
+    keys = quad_index(box, depth, x, y) if len(df.columns) > WIDE_ROW else None
+    if keys is None:
+        df, keys = with_quad_index(df, box, depth, x, y), (F.col("qx"), F.col("qy"))
+    return df, keys
+
+
 def join_depths(sizes: dict[int, int], limit: int | None = None) -> list[tuple[int, list[int], int]]:
     """Group leaf depths so that each group needs one join: ``(depth of the key, depths, bytes)``.
 
@@ -238,9 +244,9 @@ def split_step(cells: DataFrame, threshold: int) -> DataFrame:
 def _rows_of_cells(df: DataFrame, cells: DataFrame, box: Box, depth: int, x: str, y: str) -> DataFrame:
     """Rows lying in the given cells of one depth."""
     wanted = cells.filter(F.col("depth") == depth).select(F.col("qx").alias("_kx"), F.col("qy").alias("_ky"))
-    indexed = with_quad_index(df, box, depth, x, y)
-    on = (indexed["qx"] == wanted["_kx"]) & (indexed["qy"] == wanted["_ky"])
-    return session.join_cell_table(indexed, wanted, on, "left_semi").drop("qx", "qy")
+    rows, (kx, ky) = _keyed(df, box, depth, x, y)
+    on = (kx == wanted["_kx"]) & (ky == wanted["_ky"])
+    return session.join_cell_table(rows, wanted, on, "left_semi").select(*df.columns)
 
 
 def heavy_rows(df: DataFrame, tree: QuadTree, depth: int, x: str, y: str) -> DataFrame:

@@ -59,6 +59,10 @@ def test_axis_without_extent_and_axis_of_neighbouring_numbers(spark):
     a = 1.0
     tight = [(a, 0.0), (math.nextafter(a, 2), 1.0), (math.nextafter(math.nextafter(a, 2), 2), 2.0)]
     assert paths(spark, tight, box_of(tight), 6) == [descend(p, box_of(tight), 6) for p in tight]
+    for cells in (8, 100, 5000):  # edges a few, and many, representable numbers apart
+        xs = [1e6 + k * math.ulp(1e6) for k in range(cells)]
+        points = [(v, float(k % 5)) for k, v in enumerate(xs)]
+        assert paths(spark, points, box_of(points), 6) == [descend(p, box_of(points), 6) for p in points]
 
 
 def test_deep_cells_leave_the_edge_table(spark):

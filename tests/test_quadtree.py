@@ -75,7 +75,9 @@ def test_counting_in_stages_equals_the_rounds(spark, monkeypatch, max_depth, max
     assert counts(tree) == Counter(expected)
 
 
-def test_lattice_equals_the_rounds(spark):
+@pytest.mark.parametrize("wide", [30, 0])
+def test_lattice_equals_the_rounds(spark, monkeypatch, wide):
+    monkeypatch.setattr(Q, "WIDE_ROW", wide)
     points = [(i, j) for i in range(17) for j in range(17)]
     df = table(spark, points)
     assert assigned(Q.build_quadtree(df, "x", "y", 3, 8), df) == leaf_counts(points, 3, 8)
