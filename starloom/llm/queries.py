@@ -8,14 +8,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.llm import quality_classifier as quality
+from starloom.llm import quality_rules as rules
 from starloom.llm.packing import pack_best_fit, token_pieces
+from starloom.llm.sharding import feistel_shards
 from starloom.llm.token_counts import count_tokens
+from starloom.session import cut_lineage
 
 # A document of more tokens than this is over the limit.
 TOKEN_LIMIT = 4096
+SHARDS = 24
+# Bytes that a document takes in a shard beside its text.
+ROW_OVERHEAD = 8
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -39,6 +46,49 @@ def packed_documents(docs: DataFrame) -> DataFrame:
     return pack_best_fit(document_pieces(docs), tie=("doc_id", "piece", "ids_crc32"))
 
 
+def held_out(key: str = "doc_id") -> Column:
+    """Rows that no label is learned from."""
+    return F.crc32(F.col(key).cast("string")) % 4 == 2
+
+
+def quality_model(spark: SparkSession, docs: DataFrame, folder: str) -> quality.Model:
+    """Fitted on a bounded sample of the labelled documents that are not held out."""
+    labels = table(spark, folder, "labels").filter(F.col("quality").isNotNull() & ~held_out())
+    labels = quality.sample_rows(labels.select("doc_id", F.col("quality").alias("label")))
+    return quality.train_classifier(docs.select("doc_id", "text").join(F.broadcast(labels), "doc_id"))
+
+
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = quality.add_quality_score(docs, quality_model(spark, docs, folder))
+    return scored.select(
+        "doc_id",
+        F.coalesce(held_out(), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op2_feistel_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select(
+        "doc_id",
+        (F.coalesce(F.octet_length("text"), F.lit(0)) + ROW_OVERHEAD).cast("long").alias("size"),
+        F.coalesce(F.crc32("text"), F.lit(0)).alias("text_crc32"),
+        F.xxhash64("text").alias("text_hash"),
+    )
+    sharded = feistel_shards(docs, SHARDS, ["doc_id", "text_crc32", "size", "text_hash"])
+    return sharded.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "row_number",
+    )
+
+
 def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed_documents(table(spark, folder, "documents"))
 
@@ -54,6 +104,22 @@ def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "source", "text")
+    measured = cut_lineage(rules.measure_rules(docs).drop("text"))
+    judged = rules.join_verdicts(measured, rules.host_verdicts(measured))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_best_fit_packing, op7_token_counts)
+    f.__name__: f
+    for f in (
+        op1_quality_classifier,
+        op2_feistel_sharding,
+        op5_best_fit_packing,
+        op7_token_counts,
+        op9_quality_rules,
+    )
 }
