@@ -2,4 +2,137 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from starloom.llm import chat_formatting as chat
+from starloom.llm import fingerprints as prints
+from starloom.llm import quality_rules as rules
+
+ROTATION = f"""
+WITH said AS (
+    SELECT conv_id, turn, coalesce(role, '{chat.NO_NAME}') AS role, coalesce(text, '') AS text,
+        CAST(floor(turn / {chat.PAGE_TURNS}) AS BIGINT) AS page
+    FROM conversations
+), speakers AS (
+    SELECT DISTINCT conv_id, role AS speaker FROM said WHERE role <> 'system'
+), segments AS (
+    SELECT s.conv_id, speaker, page, turn, role, text,
+        CASE WHEN role = 'system' THEN '{chat.START}system' || chr(10)
+             WHEN role = speaker THEN '{chat.START}assistant' || chr(10)
+             ELSE '{chat.START}user name=' || regexp_replace(role, '{chat.NOT_IN_NAMES}', '_', 'g') || chr(10)
+        END AS head
+    FROM said s JOIN speakers p ON s.conv_id IS NOT DISTINCT FROM p.conv_id
+), placed AS (
+    SELECT *, head || text || '{chat.END}' || chr(10) AS segment,
+        row_number() OVER w AS nth,
+        coalesce(sum(length(head) + length(text) + {len(chat.END) + 1}) OVER (
+            w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS begins
+    FROM segments
+    WINDOW w AS (PARTITION BY conv_id, speaker, page ORDER BY turn NULLS FIRST, role, text)
+)
+SELECT conv_id, speaker, page, CAST(count(*) AS INTEGER) AS n_turns,
+    string_agg(segment, '' ORDER BY nth) AS rendered,
+    coalesce(string_agg(CASE WHEN role = speaker THEN
+        CAST(begins AS BIGINT) || ':' || CAST(begins + length(text) + {len(chat.END)} AS BIGINT) END, ' ' ORDER BY nth), '')
+        AS mask
+FROM placed GROUP BY conv_id, speaker, page
+"""
+
+
+def _tree(text: str) -> str:
+    """Columns ``root, lines, pieces`` of the table ``trees_of_<text>``."""
+    return f"""
+pieces_{text} AS (
+    SELECT doc_id, list_transform(string_split({text}, chr(10)), lambda line: list_transform(
+        regexp_extract_all(line, '{prints.PIECE}'), lambda p: substr(sha256(p), 1, {prints.DIGITS}))) AS leaves
+    FROM pairs
+), lines_{text} AS (
+    SELECT doc_id, flatten(leaves) AS pieces, list_transform(leaves, lambda row:
+        substr(sha256(array_to_string(row, ' ')), 1, {prints.DIGITS})) AS lines
+    FROM pieces_{text}
+), parts_{text} AS (
+    SELECT *, string_split(array_to_string(list_transform(lines, lambda h: h || CASE
+        WHEN starts_with(h, '{prints.SECTION_END}') THEN ' |' ELSE ' ' END), ''), '|') AS parts
+    FROM lines_{text}
+), tree_{text} AS (
+    SELECT *, sha256(array_to_string(list_transform(parts, lambda part:
+        substr(sha256(part), 1, {prints.DIGITS})), ' ')) AS root
+    FROM parts_{text}
+)"""
+
+
+def _likeness(a: str, b: str) -> str:
+    sizes = f"(len(list_distinct({a}.pieces)) + len(list_distinct({b}.pieces)))"
+    return f"""CASE WHEN {a}.root = {b}.root THEN 1.0::DOUBLE
+        WHEN {sizes} = 0 THEN 0.0::DOUBLE
+        ELSE 2.0::DOUBLE * len(list_intersect({a}.pieces, {b}.pieces)) / {sizes} END"""
+
+
+FINGERPRINTS = f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+nexts AS (
+    SELECT doc_id, text, coalesce(lead(text) OVER (ORDER BY doc_id DESC),
+        first_value(text) OVER (ORDER BY doc_id DESC)) AS next_text
+    FROM docs
+), pairs AS (
+    SELECT *, substr(text, 1, length(text) - length(text) // 3) || substr(next_text, 1, length(text) // 3) AS edited
+    FROM nexts
+), {_tree("text")}, {_tree("edited")}, {_tree("next_text")}
+SELECT p.doc_id, length(p.text) AS n_chars, sha256(p.edited) AS edited_sha256,
+    a.root AS fingerprint, b.root AS edited_fingerprint,
+    {_likeness("a", "b")} AS near_edited, {_likeness("a", "c")} AS near_next,
+    CAST(CASE WHEN a.root = b.root THEN 0 ELSE len(list_filter(a.lines, lambda h:
+        list_contains(list_filter(string_split(array_to_string(list_filter(a.parts, lambda part:
+            NOT list_contains(b.parts, part)), ''), ' '), lambda one: NOT list_contains(string_split(
+            array_to_string(list_filter(b.parts, lambda part: NOT list_contains(a.parts, part)), ''), ' '), one)
+            AND one <> ''), h))) END AS INTEGER) AS n_changed_paragraphs
+FROM pairs p JOIN tree_text a USING (doc_id) JOIN tree_edited b USING (doc_id) JOIN tree_next_text c USING (doc_id)
+"""
+
+WORD = r"[^\x20\x09-\x0D]+"
+RULES = f"""
+WITH docs AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
+words AS (SELECT doc_id, regexp_extract_all(text, '{WORD}') AS words FROM docs),
+windows AS (
+    SELECT doc_id, nth, array_to_string(words[nth:nth + {rules.WINDOW_WORDS - 1}], ' ') AS said
+    FROM words, LATERAL (SELECT unnest(range(1, len(words) - {rules.WINDOW_WORDS - 2})) AS nth)
+), again AS (
+    SELECT doc_id, nth FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, said) > 1
+), repeated AS (
+    SELECT doc_id, count(DISTINCT nth + step) AS n_repeat_words
+    FROM again, (SELECT unnest(range({rules.WINDOW_WORDS})) AS step) GROUP BY doc_id
+), lines AS (
+    SELECT doc_id, line, count(*) AS n
+    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs)
+    WHERE regexp_matches(line, '{WORD}') GROUP BY doc_id, line
+), dups AS (SELECT doc_id, CAST(sum(n - 1) AS BIGINT) AS n_dup_lines FROM lines GROUP BY doc_id),
+measures AS (
+    SELECT doc_id, source, len(words) AS n_words,
+        CAST(coalesce(list_sum(list_transform(words, lambda w: length(w))), 0) AS BIGINT) AS word_chars,
+        CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+        coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+    FROM docs JOIN words USING (doc_id) LEFT JOIN dups USING (doc_id) LEFT JOIN repeated USING (doc_id)
+), judged AS (
+    SELECT *, n_words < {rules.LEAST_WORDS}
+        OR 100 * n_repeat_words > {rules.MOST_REPEATED_PERCENT} * n_words AS base_failed
+    FROM measures
+), hosts AS (
+    SELECT source, count(*) AS n, CAST(sum(CAST(base_failed AS INTEGER)) AS BIGINT) AS f FROM judged GROUP BY source
+), spread AS (SELECT sum(f) / sum(n) AS m, avg(f / n) AS r, avg((f / n) * (f / n)) AS rr FROM hosts),
+prior AS (
+    SELECT m, rr - 2 * m * r + m * m AS v FROM spread
+), strength AS (
+    SELECT m, CASE WHEN v > 0 THEN least(greatest(m * (1 - m) / v - 1, {rules.WEAKEST}), {rules.STRONGEST})
+        ELSE {rules.STRONGEST} END AS s
+    FROM prior
+), verdicts AS (
+    SELECT source, (f + s * m) / (n + s) <= {rules.MOST_FAILING} AS host_kept FROM hosts, strength
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND host_kept AS kept
+FROM judged JOIN verdicts v ON judged.source IS NOT DISTINCT FROM v.source
+"""
+
+ORACLES: dict[str, str] = {
+    "op3_perspective_rotation": ROTATION,
+    "op4_merkle_fingerprints": FINGERPRINTS,
+    "op9_quality_rules": RULES,
+}

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from starloom.llm import quality_classifier as quality
 from starloom.llm import quality_rules as rules
+from starloom.llm.chat_formatting import rotate_perspectives
+from starloom.llm.fingerprints import add_tree, changed_paragraphs, likeness
+from starloom.llm.neighbours import with_next_text
 from starloom.llm.packing import pack_best_fit, token_pieces
 from starloom.llm.sharding import feistel_shards
 from starloom.llm.token_counts import count_tokens
@@ -42,6 +45,36 @@ def document_pieces(docs: DataFrame) -> DataFrame:
     )
 
 
+def op3_perspective_rotation(spark: SparkSession, folder: str) -> DataFrame:
+    rotated = rotate_perspectives(table(spark, folder, "conversations"))
+    spans = F.transform("mask", lambda span: F.concat_ws(":", span["begin"].cast("string"), span["end"].cast("string")))
+    return rotated.withColumn("mask", F.array_join(spans, " "))
+
+
+def op4_merkle_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    pairs = with_next_text(docs).withColumn("n_chars", F.char_length("text").cast("long"))
+    swapped = F.floor(F.col("n_chars") / 3).cast("int")
+    edited = F.concat(
+        F.substring("text", F.lit(1), F.col("n_chars").cast("int") - swapped),
+        F.substring("next_text", F.lit(1), swapped),
+    )
+    trees = pairs.withColumn("edited", edited)
+    for text, tree in (("text", "own"), ("edited", "edited_tree"), ("next_text", "next")):
+        trees = add_tree(trees, text, tree)
+    own, other, following = F.col("own"), F.col("edited_tree"), F.col("next")
+    return trees.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        own["root"].alias("fingerprint"),
+        other["root"].alias("edited_fingerprint"),
+        likeness(own, other).alias("near_edited"),
+        likeness(own, following).alias("near_next"),
+        F.size(changed_paragraphs(own, other)).alias("n_changed_paragraphs"),
+    )
+
+
 def packed_documents(docs: DataFrame) -> DataFrame:
     return pack_best_fit(document_pieces(docs), tie=("doc_id", "piece", "ids_crc32"))
 
@@ -118,6 +151,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_quality_classifier,
         op2_feistel_sharding,
+        op3_perspective_rotation,
+        op4_merkle_fingerprints,
         op5_best_fit_packing,
         op7_token_counts,
         op9_quality_rules,
