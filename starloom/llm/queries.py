@@ -17,6 +17,7 @@ from starloom.llm.chat_formatting import rotate_perspectives
 from starloom.llm.fingerprints import add_tree, changed_paragraphs, likeness
 from starloom.llm.neighbours import with_next_text
 from starloom.llm.packing import pack_best_fit, token_pieces
+from starloom.llm.piece_encoding import check_pieces
 from starloom.llm.sharding import feistel_shards
 from starloom.llm.token_counts import count_tokens
 from starloom.session import cut_lineage
@@ -146,6 +147,11 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_piece_encoding(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return check_pieces(docs, tokenizer_file("piece_bpe_32k.model")).drop("text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -156,5 +162,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_best_fit_packing,
         op7_token_counts,
         op9_quality_rules,
+        op10_piece_encoding,
     )
 }
