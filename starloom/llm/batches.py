@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Bytes of text that a worker looks at in one go. A longer text is a slice of its own.
-SLICE_BYTES = 8 << 20
+# Bytes of text that a worker looks at in one go, where it holds numbers for every byte, and
+# where it holds distinct words. A longer text is a slice of its own.
+SLICE_BYTES, WORD_SLICE_BYTES = 2 << 20, 8 << 20
 
 Added = dict[str, "np.ndarray | pa.Array"]
 
@@ -53,7 +54,11 @@ def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]
 
 
 def add_text_columns(
-    df: DataFrame, text: str | Column, schema: str, make: Callable[[], Callable[[pa.Array], Added]]
+    df: DataFrame,
+    text: str | Column,
+    schema: str,
+    make: Callable[[], Callable[[pa.Array], Added]],
+    slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """Add columns computed from whole texts, all other columns unchanged.
 
@@ -75,7 +80,7 @@ def add_text_columns(
         work = make()
         for batch in batches:
             texts, rows = texts_of(batch.column(0)), batch.column(1)
-            for begin, end in slices(texts):
+            for begin, end in slices(texts, slice_bytes):
                 added = work(texts_of(texts.slice(begin, end - begin)))
                 columns = [pa.array(added[name]) for name in new]
                 yield pa.RecordBatch.from_arrays([rows.slice(begin, end - begin), *columns], ["row", *new])

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.batches import kept_in_worker, slices, texts_of
+from starloom.llm.batches import WORD_SLICE_BYTES, kept_in_worker, slices, texts_of
 from starloom.llm.units import joined, split_at_spaces
 from starloom.session import cut_lineage
 
@@ -126,7 +126,7 @@ def token_pieces(
         )
         for batch in batches:
             texts, keys = texts_of(batch.column(1)), batch.column(0)
-            for begin, end in slices(texts):
+            for begin, end in slices(texts, WORD_SLICE_BYTES):
                 ids, starts = tokenizer.ids(texts_of(texts.slice(begin, end - begin)))
                 rows = [[], [], [], [], []]
                 for row in range(end - begin):

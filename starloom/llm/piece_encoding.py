@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.batches import add_text_columns, kept_in_worker
+from starloom.llm.batches import WORD_SLICE_BYTES, add_text_columns, kept_in_worker
 from starloom.llm.units import joined, split_at_spaces
 
 SPACE = "▁"
@@ -407,7 +407,7 @@ def encode_pieces(df: DataFrame, model_path: str, text: str = "text", ids: str =
 
         return work
 
-    return add_text_columns(df, text, f"`{ids}` array<int>", make)
+    return add_text_columns(df, text, f"`{ids}` array<int>", make, WORD_SLICE_BYTES)
 
 
 def decode_pieces(df: DataFrame, model_path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -455,4 +455,4 @@ def check_pieces(df: DataFrame, model_path: str, text: str = "text") -> DataFram
 
         return work
 
-    return add_text_columns(df, text, "n_pieces bigint, ids_crc32 bigint, round_trip boolean", make)
+    return add_text_columns(df, text, "n_pieces bigint, ids_crc32 bigint, round_trip boolean", make, WORD_SLICE_BYTES)

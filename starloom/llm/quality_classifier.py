@@ -92,7 +92,7 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 0) -> Model:
     for text in texts:
         found = np.concatenate([found for found, _ in features(pa.array([text], pa.string()))])
         rows, counts = np.unique(found, return_counts=True)
-        examples.append((rows.astype(np.int64), (counts / max(len(found), 1)).astype(np.float32)))
+        examples.append((rows.astype(np.int32), (counts / max(len(found), 1)).astype(np.float32)))
     steps, step = EPOCHS * len(examples), 0
     for _ in range(EPOCHS):
         for i in rng.permutation(len(examples)):
