@@ -15,6 +15,7 @@ from starloom.llm import quality_classifier as quality
 from starloom.llm import quality_rules as rules
 from starloom.llm.chat_formatting import rotate_perspectives
 from starloom.llm.fingerprints import add_tree, changed_paragraphs, likeness
+from starloom.llm.jaccard_join import near_duplicates
 from starloom.llm.neighbours import with_next_text
 from starloom.llm.packing import pack_best_fit, token_pieces
 from starloom.llm.piece_encoding import check_pieces
@@ -138,6 +139,11 @@ def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "copy_id", "class_id", "n_links")
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "source", "text")
     measured = cut_lineage(rules.measure_rules(docs).drop("text"))
@@ -161,6 +167,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_merkle_fingerprints,
         op5_best_fit_packing,
         op7_token_counts,
+        op8_jaccard_join,
         op9_quality_rules,
         op10_piece_encoding,
     )
