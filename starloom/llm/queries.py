@@ -15,6 +15,7 @@ from starloom.llm import quality_classifier as quality
 from starloom.llm import quality_rules as rules
 from starloom.llm.chat_formatting import rotate_perspectives
 from starloom.llm.fingerprints import add_tree, changed_paragraphs, likeness
+from starloom.llm.html_extraction import extract_main_text, train_extractor
 from starloom.llm.jaccard_join import near_duplicates
 from starloom.llm.neighbours import with_next_text
 from starloom.llm.packing import pack_best_fit, token_pieces
@@ -128,6 +129,12 @@ def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed_documents(table(spark, folder, "documents"))
 
 
+def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    extracted = extract_main_text(pages.select("page_id", "url", "html"), train_extractor(pages))
+    return extracted.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     counted = count_tokens(docs, tokenizer_file("piece_bpe_32k.model"))
@@ -166,6 +173,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_perspective_rotation,
         op4_merkle_fingerprints,
         op5_best_fit_packing,
+        op6_html_extraction,
         op7_token_counts,
         op8_jaccard_join,
         op9_quality_rules,
