@@ -10,22 +10,40 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import queries
+from starloom.llm import queries, stages
 from starloom.session import fresh_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Best-fit packing: one row per piece of a document with its place in a sequence."""
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the rules on texts and hosts."""
+    return stages.keep_by_rules(docs)
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of good quality, by a classifier fitted on the labelled ones among them."""
+    return stages.keep_by_score(docs, queries.quality_model(spark, docs, sf_dir))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return stages.keep_one_of_each(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece of a document, with its place in a sequence."""
     return queries.packed_documents(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
-    ("best-fit packing", packed),
+    ("quality rules", quality_rules),
+    ("quality classifier", quality_classifier),
+    ("n-gram Jaccard join", near_duplicates),
+    ("best-fit packing", packing),
 ]
 
-# SQL cannot express the classifier; tests hold the stages against brute force.
+# SQL cannot express the classifier and the tokenizer; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
