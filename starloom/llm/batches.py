@@ -74,7 +74,9 @@ def add_text_columns(
         column.cast("string").alias("text"),
         F.struct(*[F.col(f"`{name}`") for name in kept] or [F.lit(0).alias("none")]).alias("row"),
     )
-    out = T.StructType([T.StructField("row", narrow.schema["row"].dataType), *fields])
+    # Inside, the new columns have names that cannot meet those of the input.
+    own = [T.StructField(f"_new_{k}", field.dataType) for k, field in enumerate(fields)]
+    out = T.StructType([T.StructField("row", narrow.schema["row"].dataType), *own])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
@@ -83,7 +85,10 @@ def add_text_columns(
             for begin, end in slices(texts, slice_bytes):
                 added = work(texts_of(texts.slice(begin, end - begin)))
                 columns = [pa.array(added[name]) for name in new]
-                yield pa.RecordBatch.from_arrays([rows.slice(begin, end - begin), *columns], ["row", *new])
+                yield pa.RecordBatch.from_arrays([rows.slice(begin, end - begin), *columns], out.names)
 
     done = narrow.mapInArrow(run, out)
-    return done.select(*[F.col(f"row.`{name}`").alias(name) for name in kept], *new)
+    return done.select(
+        *[F.col(f"row.`{name}`").alias(name) for name in kept],
+        *[F.col(field.name).alias(name) for field, name in zip(own, new, strict=True)],
+    )

@@ -350,11 +350,12 @@ class PieceCodec:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text begins (with the end at last)."""
+        texts = pc.replace_substring(texts, SPACE, " ")  # the model takes the mark for a space
         irregular = np.asarray(pc.match_substring_regex(texts, "^$|^ | $|  ").to_numpy(zero_copy_only=False))
         regular = np.flatnonzero(~irregular)
         units = split_at_spaces(texts.take(pa.array(regular)))
         n_words = len(units.words)
-        spelled = [SPACE + word.replace(" ", SPACE) for word in units.words.to_pylist()]
+        spelled = [SPACE + word for word in units.words.to_pylist()]
         codes, sizes = units.codes, np.zeros(len(texts), np.int64)
         sizes[regular] = np.diff(units.starts)
         if not self.vocabulary.prefix:
@@ -417,8 +418,8 @@ def decode_pieces(df: DataFrame, model_path: str, ids: str = "ids", text: str =
     of the name of the new one is replaced.
     """
     kept = [name for name in df.columns if name != text]
-    rows = df.select(F.col(f"`{ids}`").cast("array<int>").alias("ids"), F.struct(*kept).alias("row"))
-    out = T.StructType([T.StructField("row", rows.schema["row"].dataType), T.StructField(text, T.StringType())])
+    rows = df.select(F.col(f"`{ids}`").cast("array<int>").alias("ids"), F.struct(*[F.col(f"`{name}`") for name in kept]).alias("row"))
+    out = T.StructType([T.StructField("row", rows.schema["row"].dataType), T.StructField("_new", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(model_path)
@@ -426,10 +427,10 @@ def decode_pieces(df: DataFrame, model_path: str, ids: str = "ids", text: str =
             lists = pa.concat_arrays([batch.column(0)])
             numbers = np.asarray(lists.flatten(), np.int64)
             starts = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(lists).fill_null(0), np.int64))])
-            yield pa.RecordBatch.from_arrays([batch.column(1), codec.decode(numbers, starts)], ["row", text])
+            yield pa.RecordBatch.from_arrays([batch.column(1), codec.decode(numbers, starts)], out.names)
 
     done = rows.mapInArrow(run, out)
-    return done.select(*[F.col(f"row.`{name}`").alias(name) for name in kept], text)
+    return done.select(*[F.col(f"row.`{name}`").alias(name) for name in kept], F.col("_new").alias(text))
 
 
 def check_pieces(df: DataFrame, model_path: str, text: str = "text") -> DataFrame:

@@ -25,6 +25,7 @@ from starloom.llm.units import split_at_spaces
 
 # Pre-tokens kept between blocks, and the longest one that is kept.
 KEPT_UNITS, KEPT_CHARS = 200_000, 64
+SPACE = "▁"
 RUNS = re.compile(r" *[^ ]+| +$")
 
 
@@ -37,7 +38,7 @@ class PieceCounter:
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.known: dict[str, int] = {}
         pieces = (self.model.id_to_piece(i) for i in range(self.model.get_piece_size()))
-        if any("▁" in piece.lstrip("▁") for piece in pieces):
+        if any(SPACE in piece.lstrip(SPACE) for piece in pieces):
             raise ValueError("this model has pieces that reach across a space")
 
     def count_units(self, units: list[str]) -> np.ndarray:
@@ -56,6 +57,7 @@ class PieceCounter:
 
     def count(self, texts: pa.Array) -> np.ndarray:
         """Pieces of every text. An empty text has none."""
+        texts = pc.replace_substring(texts, SPACE, " ")  # the model takes the mark for a space
         totals = np.zeros(len(texts), np.int64)
         irregular = np.asarray(pc.match_substring_regex(texts, "^$|^ | $|  ").to_numpy(zero_copy_only=False))
         plain, odd = np.flatnonzero(~irregular), np.flatnonzero(irregular)

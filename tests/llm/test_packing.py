@@ -1,0 +1,84 @@
+"""Best-fit packing against the same rule, one document at a time."""
+
+import bisect
+from collections import Counter, defaultdict
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from starloom.llm import queries
+from starloom.llm.packing import best_fit_plan, pack_best_fit
+
+from cases import SCHEMA, case_rows
+
+
+def one_by_one(lengths, capacity):
+    gaps, sequences = [], 0
+    for length in sorted(lengths, reverse=True):
+        at = bisect.bisect_left(gaps, length)
+        if at < len(gaps):
+            gap = gaps.pop(at)
+        else:
+            gap, sequences = capacity, sequences + 1
+        if gap > length:
+            bisect.insort(gaps, gap - length)
+    return sequences
+
+
+def check_places(rows, capacity):
+    """``sequence, offset, length``: gapless, within the capacity; how many sequences."""
+    sequences = defaultdict(list)
+    for sequence, offset, length in rows:
+        sequences[sequence].append((offset, length))
+    for places in sequences.values():
+        end = 0
+        for offset, length in sorted(places):
+            assert offset == end
+            end += length
+        assert end <= capacity
+    return len(sequences)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(1, 40).flatmap(lambda c: st.tuples(st.just(c), st.lists(st.integers(1, c), max_size=120))))
+def test_plan_is_best_fit(case):
+    capacity, lengths = case
+    counts = Counter(lengths)
+    records, sequences = best_fit_plan(dict(counts), capacity)
+    rows = []
+    for length, n in counts.items():
+        own = sorted(r for r in records if r[0] == length)
+        for rank in range(n):
+            _, first, sequence, each, offset = [r for r in own if r[1] <= rank][-1]
+            turn, nth = divmod(rank - first, each)
+            rows.append((sequence + turn, offset + nth * length, length))
+    assert check_places(rows, capacity) == sequences == one_by_one(lengths, capacity)
+
+
+def test_rows_are_placed(spark, monkeypatch):
+    monkeypatch.setattr("starloom.llm.packing.RANK_ROWS", 50)  # a third of all rows have one length
+    lengths = [7] * 400 + [k % 30 + 1 for k in range(800)]
+    rows = [(k if k % 5 else None, length, "x") for k, length in enumerate(lengths)]
+    df = spark.createDataFrame(rows, "doc_id bigint, length bigint, offset string")
+    got = pack_best_fit(df, 30).collect()
+    assert Counter((r.doc_id, r.length) for r in got) == Counter((a, b) for a, b, _ in rows)
+    assert check_places([(r.sequence_id, r.offset, r.length) for r in got], 30) == one_by_one(lengths, 30)
+
+
+def test_repeated_and_empty(spark):
+    schema = "doc_id bigint, length bigint"
+    got = pack_best_fit(spark.createDataFrame([(1, 4)] * 7, schema), 10).collect()
+    assert check_places([(r.sequence_id, r.offset, r.length) for r in got], 10) == 4
+    assert pack_best_fit(spark.createDataFrame([], schema), 10).count() == 0
+    for wrong in (None, 0, 11):
+        with pytest.raises(ValueError):
+            pack_best_fit(spark.createDataFrame([(1, wrong)], schema), 10)
+
+
+def test_documents_are_packed(spark):
+    docs = spark.createDataFrame(case_rows(), SCHEMA)
+    got = queries.packed_documents(docs).collect()
+    assert len({(r.doc_id, r.piece) for r in got}) <= len(got)
+    sequences = check_places([(r.sequence_id, r.offset, r.length) for r in got], 2048)
+    assert sequences == one_by_one([r.length for r in got], 2048)
