@@ -90,11 +90,6 @@ def rotate_perspectives(
             ),
         ),
     )
-    return seen.select(
-        F.col("key.conv").alias(conversation),
-        "speaker",
-        "page",
-        F.size("said").alias("n_turns"),
-        F.array_join("segments", "").alias("rendered"),
-        F.filter(spans, lambda span: span.isNotNull()).alias("mask"),
-    )
+    seen = seen.withColumn("mask", F.filter(spans, lambda span: span.isNotNull()))
+    seen = seen.withColumn("n_turns", F.size("said")).withColumn("rendered", F.array_join("segments", ""))
+    return seen.select(F.col("key.conv").alias(conversation), "speaker", "page", "n_turns", "rendered", "mask")
