@@ -23,7 +23,9 @@ from starloom.llm.words import BASE, Stretches, Words, byte_values, find_words
 BUCKET_BITS = 17
 DIMENSIONS = 8
 GRAMS = (3, 4, 5)
-EPOCHS, RATE = 5, 0.5
+# Passes over the sample, at least so many and at least so many documents in all.
+EPOCHS, LEAST_STEPS = 5, 12_000
+RATE = 0.5
 # Most labelled documents that the model is fitted on, and most bytes of their text.
 SAMPLE_ROWS, SAMPLE_BYTES = 4000, 64 << 20
 THRESHOLD = 0.7
@@ -93,8 +95,9 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 0) -> Model:
         found = np.concatenate([found for found, _ in features(pa.array([text], pa.string()))])
         rows, counts = np.unique(found, return_counts=True)
         examples.append((rows.astype(np.int32), (counts / max(len(found), 1)).astype(np.float32)))
-    steps, step = EPOCHS * len(examples), 0
-    for _ in range(EPOCHS):
+    epochs = max(EPOCHS, -(-LEAST_STEPS // max(len(examples), 1)))
+    steps, step = epochs * len(examples), 0
+    for _ in range(epochs if examples else 0):
         for i in rng.permutation(len(examples)):
             rows, shares = examples[i]
             average = shares @ vectors[rows]
