@@ -58,15 +58,30 @@ def uniform_index(value: Column, low: float, high: float, n: int) -> Column:
     """Index of the first of ``n`` equal closed slices holding ``value``.
 
     A value on an inner edge belongs to the lower slice. The last slice takes what
-    rounding leaves above its upper edge.
+    rounding leaves above its upper edge. Where rounding moves edges by more than a small
+    part of a slice, or lets several fall together, the sorted edges are searched.
     """
     step = (high - low) / n
     if step == 0:
         return F.lit(0)
+    uppers = low + np.arange(1, n + 1) * step
+    if not _well_apart(np.concatenate([[low], uppers])):
+        return _searched(uppers, n)(value)
     guess = _clamped(F.ceil((value - low) / step) - 1, n)
     return _corrected(guess, value, lambda i: F.lit(low) + i * F.lit(step), n)
 
 
+def _searched(uppers: np.ndarray, n: int):
+    """Number of upper edges below a value; the function holds plain numbers only."""
+
+    @F.pandas_udf("int")
+    def search(values: pd.Series) -> pd.Series:
+        found = np.searchsorted(uppers, values.to_numpy(dtype="float64", na_value=np.nan), "left")
+        return pd.Series(np.minimum(found, n - 1).astype("int32"))
+
+    return search
+
+
 def uniform_name(i: Column, j: Column, n: int) -> Column:
     """Cell name: both indexes in a row, separated once a pair could be read two ways."""
     return F.concat_ws("" if n <= 10 else "_", i.cast("string"), j.cast("string"))

@@ -2,7 +2,8 @@
 
 ``definition`` is the path of the table definition, ``files`` a file, folder or glob, and
 ``x`` and ``y`` are column names from the definition. The text is cut twice, once for the
-coordinates and once for the rows; other passes read the stored coordinates.
+coordinates and once for the rows; other passes read the stored coordinates, which are
+removed at the end. An empty catalogue gives an empty result.
 """
 
 from __future__ import annotations
@@ -11,13 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom import session
+from starloom.functions.geometry import DEEPEST
 from starloom.operators.bbox import measure_box
 from starloom.operators.cluster import cluster_sizes, fit_clusters, predict_clusters
+from starloom.operators.lookup import load_tree, store_tree
 from starloom.operators.merge import merge_cells
 from starloom.operators.quadtree import build_quadtree
-from starloom.operators.summary import rows_per_file as estimate_rows
-from starloom.operators.uniform import assign_uniform
-from starloom.sinks.cells import read_lines, write_text
+from starloom.operators.summary import rows_of_size
+from starloom.operators.uniform import assign_quadrant, assign_uniform
+from starloom.sinks.cells import read_groups, read_lines, store_groups, write_text
 from starloom.sources import catalogue, ddl
 
 # Most rows of one output file, unless the caller says otherwise.
@@ -25,8 +28,8 @@ FILE_ROWS = 1_000_000
 
 
 def _lines(spark: SparkSession, definition: str, files: str, x: str, y: str) -> DataFrame:
-    names = ddl.ddl_schema(ddl.read_ddl(spark, definition)).names
-    return catalogue.read_lines(spark, files, names, x, y)
+    positions = ddl.column_positions(ddl.read_ddl(spark, definition))
+    return catalogue.read_lines(spark, files, positions, x, y)
 
 
 def partition_uniform(
@@ -39,6 +42,16 @@ def partition_uniform(
     return read_lines(spark, out)
 
 
+def partition_quadrants(
+    spark: SparkSession, definition: str, files: str, out: str, x: str, y: str, file_rows: int = FILE_ROWS
+) -> DataFrame:
+    """One directory for each of the four quadrants of the box; the written ``data, cell``."""
+    lines = _lines(spark, definition, files, x, y)
+    tagged = assign_quadrant(lines, measure_box(lines, "x", "y"), "x", "y")
+    write_text(tagged, out, file_rows, F.col("data"))
+    return read_lines(spark, out)
+
+
 def partition_quadtree(
     spark: SparkSession,
     definition: str,
@@ -47,14 +60,16 @@ def partition_quadtree(
     x: str,
     y: str,
     threshold: int,
-    max_depth: int = 30,
+    max_depth: int = DEEPEST,
     file_rows: int = FILE_ROWS,
 ) -> DataFrame:
-    """One directory per quadtree leaf; the written ``data, cell``."""
+    """One directory per quadtree leaf; the written ``data, cell``. The split is stored beside it."""
     lines = _lines(spark, definition, files, x, y)
-    points = session.stored(lines.select("x", "y"), "points")
-    tree = build_quadtree(points, "x", "y", threshold, max_depth)
-    write_text(tree.assign(lines, "x", "y"), out, file_rows, F.col("data"))
+    with session.scratch(spark) as store:
+        points = store(lines.select("x", "y"), "points")
+        tree = build_quadtree(points, "x", "y", threshold, max_depth)
+        write_text(tree.assign(lines, "x", "y"), out, file_rows, F.col("data"))
+    store_tree(tree, f"{out}/_split")
     return read_lines(spark, out)
 
 
@@ -67,27 +82,44 @@ def partition_merged(
     y: str,
     minimum: int,
     threshold: int | None = None,
-    max_depth: int = 10,
-    max_heavy_cells: int | None = 50,
+    max_depth: int = DEEPEST,
+    max_heavy_cells: int | None = None,
     file_rows: int = FILE_ROWS,
 ) -> DataFrame:
     """One directory per group of merged leaves; the written ``data, id_part``.
 
-    Without a threshold it is the number of rows that fill a block.
+    Without a threshold it is the number of rows that fill a block. ``max_heavy_cells``
+    stops the splitting early and leaves cells above the threshold; there is no such stop
+    unless it is asked for. A directory bears the name of the first leaf of its group,
+    ``part``; the group's own id, which grows with its members, is kept in a table beside
+    the split.
     """
     lines = _lines(spark, definition, files, x, y)
-    if threshold is None:
-        threshold = estimate_rows(lines, F.col("data")).first().rows_per_file
-    points = session.stored(lines.select("x", "y"), "points")
-    tree = build_quadtree(points, "x", "y", threshold, max_depth, max_heavy_cells)
-    groups = merge_cells(tree.counts(), minimum).select("cell", "id_part")
-    write_text(tree.assign(lines, "x", "y", labels=groups), out, file_rows, F.col("data"), "id_part")
-    return read_lines(spark, out, "id_part")
+    with session.scratch(spark) as store:
+        points = store(lines.select("x", "y", F.octet_length("data").alias("size")), "points")
+        if threshold is None:
+            threshold = rows_of_size(points, "size").first().rows_per_file or 1
+        tree = build_quadtree(points, "x", "y", threshold, max_depth, max_heavy_cells)
+        store_tree(tree, f"{out}/_split")
+        groups = store_groups(merge_cells(tree.counts(), minimum), out)
+        tagged = tree.assign(lines, "x", "y", labels=groups.select("cell", "part"))
+        write_text(tagged, out, file_rows, F.col("data"), "part", mode="append")
+    return read_groups(spark, out)
+
+
+def place_lines(spark: SparkSession, definition: str, files: str, out: str, x: str, y: str) -> DataFrame:
+    """New lines ``data, x, y`` with the leaf of a split written earlier, and its group if it was merged."""
+    tree = load_tree(spark, f"{out}/_split")
+    return tree.assign(_lines(spark, definition, files, x, y), "x", "y")
 
 
 def cluster_catalogue(
     spark: SparkSession, definition: str, files: str, x: str, y: str, k: int = 10, seed: int | None = None
 ) -> DataFrame:
     """Sizes of the k-means clusters of a catalogue, smallest first."""
-    points = session.stored(_lines(spark, definition, files, x, y).select("x", "y"), "points")
-    return cluster_sizes(predict_clusters(points, fit_clusters(points, "x", "y", k, seed), "x", "y"))
+    with session.scratch(spark) as store:
+        points = store(_lines(spark, definition, files, x, y).select("x", "y"), "points")
+        if points.isEmpty():
+            return spark.createDataFrame([], "cluster int, n long")
+        sizes = cluster_sizes(predict_clusters(points, fit_clusters(points, "x", "y", k, seed), "x", "y"))
+        return session.cut_lineage(sizes).orderBy("n", "cluster")

@@ -5,16 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom import session
-
-# Cells are looked at in stretches sharing this many leading characters, so that no task
-# has to see them all to know where the list may be cut. For quadtree ids (one mark and
-# digits 0-3) there are at most 4 + 16 + ... + 4**6 + 1 stretches.
-STRETCH_CHARS = 7
-
+from starloom.operators.stretches import with_stretch
 
 def merge_cells(cells: DataFrame, minimum: int) -> DataFrame:
     """Group cells ``cell, n`` along their id order; ``id_part, cell, n, group_n`` per cell.
@@ -43,8 +38,9 @@ def _cut_between_full_cells(cells: DataFrame, minimum: int) -> DataFrame:
     """Add ``part``: the last cell, up to this one, at which the list may be cut."""
     order = Window.partitionBy("stretch").orderBy("cell")
     full_pair = (F.col("n") >= minimum) & (F.lag("n").over(order) >= minimum)
+    # Cells are looked at in stretches, so that no task has to see them all.
     marked = (
-        cells.withColumn("stretch", F.substring("cell", 1, STRETCH_CHARS))
+        with_stretch(cells)
         .withColumn("cut", F.when(full_pair, F.col("cell")))
         .withColumn("part", F.max("cut").over(order))
     )
@@ -124,6 +120,11 @@ def _walk(minimum: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFr
     return walk
 
 
+def part_key(id_part: Column) -> Column:
+    """Short name of a group: its first cell, which no other group has."""
+    return F.regexp_extract(id_part, "^_[^_]*", 0)
+
+
 def retag(df: DataFrame, groups: DataFrame, cell: str = "cell") -> DataFrame:
     """Replace the leaf id of tagged rows by the id of its merged group, ``id_part``."""
     names = groups.select(F.col("cell").alias(cell), "id_part")

@@ -9,6 +9,7 @@ still too heavy at that level are counted again further down.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,7 +18,6 @@ from pyspark.sql import functions as F
 from starloom import session
 from starloom.functions.geometry import (
     DEEPEST,
-    EDGE_TABLE_DEPTH,
     Box,
     inside,
     path_box,
@@ -28,8 +28,10 @@ from starloom.functions.geometry import (
 )
 from starloom.operators.bbox import measure_box
 
-# Depths at which rows are counted, each only for rows in cells too heavy at the last one.
-STAGES = (10, EDGE_TABLE_DEPTH, 18, 24, DEEPEST)
+# Depth at which all rows are counted.
+FIRST_COUNT = 10
+# Leaves that are listed together where the table of leaves is too large for a broadcast.
+BUNDLE_LEAVES = 64
 # From about this many columns on, copying a row costs more than computing its cell twice.
 WIDE_ROW = 30
 CELL_COLUMNS = "depth int, qx int, qy int, cell string, n bigint"
@@ -93,21 +95,89 @@ class QuadTree:
             kinds = dict(leaves.dtypes)
             return df.withColumns({c: F.lit(None).cast(kinds[c]) for c in extra})
 
+        payload = [c for c in df.columns if c not in extra]
+        tiers = join_depths(_sizes(leaves))
+        if sum(size for _, _, size in tiers) > session.BROADCAST_BYTES:
+            found = _tag_by_bundles(df, leaves, self.box, self.depth, x, y)
+            return found.select(*payload, *[F.col(f"_leaf.{c}").alias(c) for c in extra])
         tagged, keys = _keyed(df, self.box, self.depth, x, y)
-        sizes = leaves.groupBy("depth").agg(F.sum(session.row_bytes(leaves)).alias("size")).collect()
-        tiers = join_depths({row["depth"]: row["size"] for row in sizes})
-        for number, (top, depths, size) in enumerate(tiers):
-            table = _spread(leaves.filter(F.col("depth").isin(depths)), top).select(
-                F.col("qx").alias("_kx"),
-                F.col("qy").alias("_ky"),
-                *[F.col(c).alias(f"_{number}_{c}") for c in extra],
-            )
-            kx, ky = (F.shiftright(key, self.depth - top) for key in keys)
-            on = (kx == table["_kx"]) & (ky == table["_ky"])
-            tagged = session.join_cell_table(tagged, table, on, "left", size).drop("_kx", "_ky")
-        found = {c: F.coalesce(*[F.col(f"_{k}_{c}") for k in range(len(tiers))]) for c in extra}
-        payload = [c for c in df.columns if c not in found]
-        return tagged.select(*payload, *[value.alias(c) for c, value in found.items()])
+        tagged = _tag_by_tiers(tagged, leaves, tiers, keys, self.depth, extra)
+        return tagged.select(*payload, *[F.col(f"_at_{c}").alias(c) for c in extra])
+
+
+def _sizes(leaves: DataFrame) -> dict[int, int]:
+    """Bytes of the leaves in a broadcast table, per depth."""
+    sizes = leaves.groupBy("depth").agg(F.sum(session.row_bytes(leaves)).alias("size")).collect()
+    return {row["depth"]: row["size"] for row in sizes}
+
+
+def _tag_by_tiers(
+    rows: DataFrame,
+    leaves: DataFrame,
+    tiers: list[tuple[int, list[int], int]],
+    keys: tuple[Column, Column],
+    depth: int,
+    extra: list[str],
+) -> DataFrame:
+    """Add ``_at_<column>`` of the leaf of each row, by one broadcast join per tier."""
+    for number, (top, depths, size) in enumerate(tiers):
+        table = _spread(leaves.filter(F.col("depth").isin(depths)), top).select(
+            F.col("qx").alias("_kx"), F.col("qy").alias("_ky"), *[F.col(c).alias(f"_{number}_{c}") for c in extra]
+        )
+        kx, ky = (F.shiftright(key, depth - top) for key in keys)
+        on = (kx == table["_kx"]) & (ky == table["_ky"])
+        rows = session.join_cell_table(rows, table, on, "left", size).drop("_kx", "_ky")
+    found = {f"_at_{c}": F.coalesce(*[F.col(f"_{k}_{c}") for k in range(len(tiers))]) for c in extra}
+    return rows.withColumns(found).drop(*[f"_{k}_{c}" for k in range(len(tiers)) for c in extra])
+
+
+def _tag_by_bundles(df: DataFrame, leaves: DataFrame, box: Box, depth: int, x: str, y: str) -> DataFrame:
+    """Add ``_leaf``, a structure of the leaf's columns, where the leaves are too many to broadcast.
+
+    Leaves that lie together are bundled under the highest cell with few enough of them.
+    A row finds its bundle by broadcast, then the rows are shuffled once, to the list of
+    leaves of their bundle, and look through it.
+    """
+    bundles, size = None, BUNDLE_LEAVES
+    while bundles is None:
+        found = session.cut_lineage(_bundled(leaves, size))
+        places = found.select(F.col("_bd").alias("depth"), F.col("_bx").alias("qx"), F.col("_by").alias("qy"))
+        places = places.withColumn("bundle", F.col("depth"))
+        tiers = join_depths(_sizes(places))
+        if tiers[0][0] == 0 and len(tiers) == 1 or sum(t[2] for t in tiers) <= session.BROADCAST_BYTES:
+            bundles = found
+        size *= 4
+    rows = with_quad_index(df, box, depth, x, y)
+    if tiers[0][0] == 0:  # one bundle
+        rows = rows.withColumn("_at_bundle", F.lit(0))
+    else:
+        rows = _tag_by_tiers(rows, places, tiers, (F.col("qx"), F.col("qy")), depth, ["bundle"])
+    on = (
+        (F.col("_at_bundle") == bundles["_bd"])
+        & (F.expr(f"shiftright(qx, {depth} - _at_bundle)") == bundles["_bx"])
+        & (F.expr(f"shiftright(qy, {depth} - _at_bundle)") == bundles["_by"])
+    )
+    joined = rows.join(bundles, on, "left")
+    own = F.expr(
+        f"get(filter(_leaves, leaf -> shiftright(qx, {depth} - leaf.depth) = leaf.qx"
+        f" and shiftright(qy, {depth} - leaf.depth) = leaf.qy), 0)"
+    )
+    return joined.withColumn("_leaf", own)
+
+
+def _bundled(leaves: DataFrame, most: int) -> DataFrame:
+    """``_bd, _bx, _by, _leaves``: the highest cells with at most ``most`` leaves, and those."""
+    above = leaves.select("depth", "qx", "qy", F.explode(F.sequence(F.lit(0), F.col("depth"))).alias("_bd"))
+    above = above.withColumns(
+        {"_bx": F.expr("shiftright(qx, depth - _bd)"), "_by": F.expr("shiftright(qy, depth - _bd)")}
+    )
+    small = above.groupBy("_bd", "_bx", "_by").agg(F.count("*").alias("_n")).filter(F.col("_n") <= most)
+    place = F.min(F.struct("_bd", "_bx", "_by")).alias("_place")
+    places = above.join(small, ["_bd", "_bx", "_by"]).groupBy("depth", "qx", "qy").agg(place)
+    listed = leaves.join(places, ["depth", "qx", "qy"])
+    return listed.groupBy("_place").agg(F.collect_list(F.struct(*leaves.columns)).alias("_leaves")).select(
+        "_place.*", "_leaves"
+    )
 
 
 def _keyed(df: DataFrame, box: Box, depth: int, x: str, y: str) -> tuple[DataFrame, tuple[Column, Column]]:
@@ -183,12 +253,15 @@ def build_quadtree(
     x: str,
     y: str,
     threshold: int,
-    max_depth: int = 10,
+    max_depth: int = DEEPEST,
     max_heavy_cells: int | None = None,
     box: Box | None = None,
 ) -> QuadTree:
     """Split cells with more than ``threshold`` rows, at most ``max_depth`` times.
 
+    With the default depth a cell stays above the threshold only if its points coincide,
+    or nearly so.
+
     ``max_heavy_cells`` also stops the splitting at the first level with more heavy cells
     than that. A known ``box`` saves the pass that measures it.
 
@@ -202,19 +275,40 @@ def build_quadtree(
 
     rows = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
     reached, levels, top, stop = None, {}, 0, max_depth
-    for depth in [*(d for d in STAGES if d < max_depth), max_depth]:
+    depth, jump, held, fewer = min(FIRST_COUNT, max_depth), 1, None, None
+    while True:
         pyramid = cell_pyramid(count_cells(rows, box, depth, "x", "y"), top, depth)
         found = session.cut_lineage(_children_of_heavy(pyramid, threshold))
         reached = found if reached is None else reached.unionByName(found)
-        heavy = F.count_if(F.col("n") > threshold).alias("heavy")
+        heavy = F.col("n") > threshold
         # One row per level.
-        levels |= {r.depth: r for r in found.groupBy("depth").agg(F.count("*").alias("cells"), heavy).collect()}
+        levels |= {
+            r.depth: r
+            for r in found.groupBy("depth")
+            .agg(
+                F.count("*").alias("cells"),
+                F.count_if(heavy).alias("heavy"),
+                F.max("n").alias("most"),
+                F.sum(F.when(heavy, F.col("n"))).alias("rows"),
+            )
+            .collect()
+        }
         crowded = [] if max_heavy_cells is None else [d for d, r in levels.items() if r.heavy > max_heavy_cells]
         stop = min(crowded, default=max_depth)
         if depth >= stop or depth not in levels or not levels[depth].heavy:
             break
-        rows = _rows_of_cells(rows, found.filter(F.col("n") > threshold), box, depth, "x", "y")
-        top = depth + 1
+        # Rows that are still to be split are stored once they are half as many as before;
+        # others on top of them change no cell that is looked at.
+        last = levels[depth]
+        if held is None or last.rows * 2 <= held:
+            rows = session.cut_lineage(_rows_of_cells(rows, found.filter(heavy), box, depth, "x", "y"))
+            held = last.rows
+        # As many levels as the heaviest cell needs if its rows lie evenly, and one more; twice
+        # as many as before where that was not enough.
+        needed = math.ceil(math.log(last.most / max(threshold, 1), 4)) + 1
+        jump = max(needed, 2 * jump) if fewer is not None and last.most * 2 > fewer else needed
+        fewer = last.most
+        top, depth = depth + 1, min(depth + max(1, jump), max_depth)
     kept = {d: r.cells - (r.heavy if d < stop else 0) for d, r in levels.items() if d <= stop}
     return QuadTree(
         box, threshold, stop, reached.filter(F.col("depth") <= stop), {d: n for d, n in kept.items() if n}

@@ -8,15 +8,19 @@ from pyspark.sql import functions as F
 from starloom.functions.geometry import Box, path_box
 
 # The wording of the report.
-HEADLINE = "La partition %s corespond a"
+HEADLINE = "La partition %scorespond a"
 RANGES = "%s dans [%s, %s] et %s dans [%s, %s]"
 
 
-def decode_ranges(ids: DataFrame, box: Box, id_column: str = "id_part") -> DataFrame:
+def decode_ranges(ids: DataFrame, box: Box | None, id_column: str = "id_part") -> DataFrame:
     """Rectangles of cell or group ids: one row ``id, pos, x0, x1, y0, y1`` per member.
 
+    Without a box, that of a table without points, there are none.
+
     Each ``_`` starts again from the root box; each digit narrows to a quarter.
     """
+    if box is None:
+        ids, box = ids.limit(0), Box(0.0, 0.0, 0.0, 0.0)
     paths = F.split(F.expr(f"substring(`{id_column}`, instr(`{id_column}`, '_') + 1)"), "_")
     members = ids.select(id_column, F.posexplode(paths).alias("pos", "path"))
     return members.withColumn("rect", path_box(F.col("path"), box)).select(
@@ -24,7 +28,7 @@ def decode_ranges(ids: DataFrame, box: Box, id_column: str = "id_part") -> DataF
     )
 
 
-def partition_report(ids: DataFrame, box: Box, x: str, y: str, id_column: str = "id_part") -> DataFrame:
+def partition_report(ids: DataFrame, box: Box | None, x: str, y: str, id_column: str = "id_part") -> DataFrame:
     """Per id, a headline and one line per member rectangle: ``id, report``."""
     x0, x1, y0, y1 = (F.col(edge).cast("string") for edge in Box._fields)
     line = F.format_string(RANGES, F.lit(x), x0, x1, F.lit(y), y0, y1)

@@ -1,0 +1,33 @@
+"""Ids in stretches of bounded size that follow each other in id order."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from starloom import session
+
+# Leading characters that a stretch shares at first, and how many more where it is too large.
+FIRST_CHARS, MORE_CHARS = 7, 4
+# Ids of a stretch at most, unless they are equal.
+STRETCH_IDS = 100_000
+
+
+def with_stretch(ids: DataFrame, cell: str = "cell") -> DataFrame:
+    """Add ``stretch``, leading characters of the id: more of them where many ids share the first.
+
+    Stretches in order hold ids in order, whatever their lengths.
+    """
+    length = FIRST_CHARS
+    marked = session.cut_lineage(ids.withColumn("stretch", F.substring(cell, 1, length)))
+    longest = marked.agg(F.max(F.length(cell))).first()[0] or 0
+    while length < longest:
+        sizes = marked.groupBy("stretch").agg(F.count("*").alias("_ids"))
+        large = session.cut_lineage(sizes.filter(F.col("_ids") > STRETCH_IDS).select("stretch", F.lit(True).alias("_more")))
+        if large.isEmpty():
+            break
+        length += MORE_CHARS
+        finer = F.when(F.col("_more"), F.substring(cell, 1, length)).otherwise(F.col("stretch"))
+        marked = session.join_cell_table(marked, large, "stretch", "left").withColumn("stretch", finer).drop("_more")
+        marked = session.cut_lineage(marked)
+    return marked

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from starloom import session
 from starloom.functions.text import BLOCK_BYTES, csv_line
-from starloom.operators.merge import STRETCH_CHARS
+from starloom.operators.stretches import with_stretch
 
 
 def count_per_cell(df: DataFrame, cell: str = "cell") -> DataFrame:
@@ -40,7 +40,7 @@ def index_cells(cells: DataFrame, cell: str = "cell") -> DataFrame:
     Ids are ranked inside stretches of equal leading characters, and each stretch starts
     after the ones before it, so only one row per stretch is ordered globally.
     """
-    ids = distinct_cells(cells, cell).withColumn("stretch", F.substring(cell, 1, STRETCH_CHARS))
+    ids = with_stretch(distinct_cells(cells, cell), cell)
     earlier = Window.orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         ids.groupBy("stretch")
@@ -62,15 +62,16 @@ def unwritten_rows(df: DataFrame, written: DataFrame, cell: str = "cell") -> Dat
 
 
 def rows_per_file(df: DataFrame, line: Column, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """How many rows fill a file: the mean of block size over line size, rounded down.
+    """How many rows fill a file: the mean of block size over line size, rounded down."""
+    return rows_of_size(df.select(F.octet_length(line).alias("size")), "size", block_bytes)
+
+
+def rows_of_size(df: DataFrame, size: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The same from the sizes of the lines; a null without rows.
 
     Lines of equal length are counted first, which leaves few distinct terms to add.
     """
-    sizes = (
-        df.select(F.octet_length(line).alias("size"))
-        .groupBy("size")
-        .agg(F.count("*").alias("n"))
-    )
+    sizes = df.select(F.col(size).alias("size")).groupBy("size").agg(F.count("*").alias("n"))
     total = F.sum(F.col("n") * (F.lit(float(block_bytes)) / F.col("size")))
     return sizes.agg(F.floor(total / F.sum("n")).alias("rows_per_file"))
 
@@ -123,7 +124,7 @@ def paged_lines(
     placed = (
         session.join_cell_table(copies, pages, cell, "inner")
         .withColumn("page", hashed % F.col("pages"))
-        .withColumn("piece", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / page_rows).cast("int"))))
+        .withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / page_rows))))
         .withColumn("copies", F.least(F.lit(page_rows), F.col("copies") - F.col("piece") * page_rows).cast("int"))
     )
     held = F.sort_array(F.collect_list(F.struct("line", "copies")))

@@ -10,8 +10,14 @@ from starloom.functions.geometry import Box, inside, quadrant, quarters, uniform
 NO_CELL = "-1"
 
 
-def uniform_cells(spark: SparkSession, box: Box, n: int) -> DataFrame:
-    """The n * n rectangles ``cell, x0, x1, y0, y1``, x index first in the name."""
+def _no_cells(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "cell string, x0 double, x1 double, y0 double, y1 double")
+
+
+def uniform_cells(spark: SparkSession, box: Box | None, n: int) -> DataFrame:
+    """The n * n rectangles ``cell, x0, x1, y0, y1``, x index first in the name; none without a box."""
+    if box is None:
+        return _no_cells(spark)
     sx, sy = (box.x1 - box.x0) / n, (box.y1 - box.y0) / n
     at = spark.range(n * n).select(
         F.floor(F.col("id") / n).cast("int").alias("i"), (F.col("id") % n).cast("int").alias("j")
@@ -26,11 +32,13 @@ def uniform_cells(spark: SparkSession, box: Box, n: int) -> DataFrame:
     )
 
 
-def assign_uniform(df: DataFrame, box: Box, n: int, x: str, y: str, cell: str = "cell") -> DataFrame:
-    """Tag each row with its grid cell; rows outside the box get ``-1``.
+def assign_uniform(df: DataFrame, box: Box | None, n: int, x: str, y: str, cell: str = "cell") -> DataFrame:
+    """Tag each row with its grid cell; rows outside the box, or without one, get ``-1``.
 
     The index is arithmetic, so there is no grid to join with and nothing to shuffle.
     """
+    if box is None:
+        return df.withColumn(cell, F.lit(NO_CELL))
     px, py = F.col(x).cast("double"), F.col(y).cast("double")
     name = uniform_name(uniform_index(px, box.x0, box.x1, n), uniform_index(py, box.y0, box.y1, n), n)
     return df.withColumn(cell, F.when(inside(px, py, box), name).otherwise(F.lit(NO_CELL)))
@@ -50,16 +58,20 @@ def rows_of_uniform_cell(
     return assign_uniform(near, box, n, x, y, cell).filter(F.col(cell) == uniform_name(F.lit(i), F.lit(j), n))
 
 
-def quadrant_cells(spark: SparkSession, box: Box) -> DataFrame:
-    """The four quadrants of the box, named 1 to 4 counter-clockwise from the low corner."""
+def quadrant_cells(spark: SparkSession, box: Box | None) -> DataFrame:
+    """The four quadrants of the box, named 1 to 4 counter-clockwise from the low corner; none without a box."""
+    if box is None:
+        return _no_cells(spark)
     parts = quarters(*[F.lit(float(v)) for v in box])
     return spark.range(1).select(F.posexplode(parts).alias("at", "rect")).select(
         (F.col("at") + 1).cast("string").alias("cell"), "rect.*"
     )
 
 
-def assign_quadrant(df: DataFrame, box: Box, x: str, y: str, cell: str = "cell") -> DataFrame:
-    """Tag each row with its quadrant, 1 to 4; rows outside the box get ``-1``."""
+def assign_quadrant(df: DataFrame, box: Box | None, x: str, y: str, cell: str = "cell") -> DataFrame:
+    """Tag each row with its quadrant, 1 to 4; rows outside the box, or without one, get ``-1``."""
+    if box is None:
+        return df.withColumn(cell, F.lit(NO_CELL))
     px, py = F.col(x).cast("double"), F.col(y).cast("double")
     at = quadrant(px, py, (box.x0 + box.x1) / 2, (box.y0 + box.y1) / 2) + 1
     return df.withColumn(cell, F.when(inside(px, py, box), at.cast("string")).otherwise(F.lit(NO_CELL)))

@@ -225,28 +225,66 @@ def _event_tree(*more: str) -> str:
     return _with(EVENTS, BOX, _tree(S.EVENT_THRESHOLD, EVENT_COLUMNS, depth=S.EVENT_DEPTH), *more)
 
 
-CATALOGUE_COLUMNS = (
-    "l_orderkey l_linenumber l_partkey l_suppkey l_extendedprice l_quantity l_discount l_tax "
-    "l_returnflag l_shipdate"
-).split()
-
 HELD = "count(*) AS n, CAST(sum(strlen(data)) AS BIGINT) AS bytes"
-# The files hold no tax of zero.
-CATALOGUE_LINE = _line([c if c != "l_tax" else "CASE WHEN l_tax > 0 THEN l_tax END" for c in CATALOGUE_COLUMNS])
+TAXED = "CASE WHEN l_tax > 0 THEN l_tax END"
+CATALOGUE_LINE = _line([*LINEITEM_COLUMNS, TAXED])
+SHIPPED = "left(CAST(l_shipdate AS VARCHAR), 10) || ' 12:30:00'"
+ODD_LINE = _line(["l_orderkey", "l_linenumber", "l_suppkey", SHIPPED, "l_extendedprice", "l_quantity"])
 
 
 def _ddl_columns() -> str:
     kinds = dict.fromkeys(("l_orderkey", "l_partkey", "l_suppkey"), "NUMBER(19, 0)")
-    kinds |= {"l_linenumber": "NUMBER(10, 0)", "l_returnflag": "char(19)", "l_shipdate": "char(19)"}
+    kinds |= {"l_linenumber": "NUMBER(10, 0)"}
+    kinds |= dict.fromkeys(("l_returnflag", "l_linestatus", "l_shipdate"), "char(19)")
     rows = [
         f"SELECT CAST({at} AS INTEGER) AS ordinal, '{name}' AS name, '{kinds.get(name, 'FLOAT (24)')}' AS ddl_type, "
-        f"{str(name != 'l_tax').lower()} AS not_null, "
-        f"count(*) FILTER ({'l_tax <= 0 OR ' if name == 'l_tax' else ''}{name} IS NULL) AS nulls FROM lineitem"
-        for at, name in enumerate(CATALOGUE_COLUMNS)
+        f"{str(name != 'taxed').lower()} AS not_null, "
+        f"count(*) FILTER ({TAXED if name == 'taxed' else name} IS NULL) AS nulls FROM lineitem"
+        for at, name in enumerate([*LINEITEM_COLUMNS, "taxed"])
     ]
     return "\nUNION ALL ".join(rows)
 
 
+def _fields() -> str:
+    texts = [f"coalesce(CAST({c} AS VARCHAR), 'NULL') AS {c}" for c in LINEITEM_COLUMNS]
+    return f"SELECT CAST({len(texts) + 1} AS INTEGER) AS n_fields, {', '.join(texts)}, coalesce(CAST({TAXED} AS VARCHAR), 'NULL') AS taxed FROM lineitem"
+
+
+def _rectangles() -> str:
+    """The list of rectangles, and the first that holds each row."""
+    return """
+listed AS (
+  SELECT 'g' || CAST(i AS VARCHAR) || CAST(j AS VARCHAR) AS cell,
+         x0 + i * ((x1 - x0) / 4) AS a, x0 + (i + 1) * ((x1 - x0) / 4) AS b,
+         y0 + j * ((y1 - y0) / 4) AS c, y0 + (j + 1) * ((y1 - y0) / 4) AS d
+  FROM box, range(1, 3) AS r(i), range(1, 3) AS s(j)
+  UNION ALL SELECT 'q1', x0, (x0 + x1) / 2, y0, (y0 + y1) / 2 FROM box
+  UNION ALL SELECT 'q2', (x0 + x1) / 2, x1, y0, (y0 + y1) / 2 FROM box
+  UNION ALL SELECT 'q3', (x0 + x1) / 2, x1, (y0 + y1) / 2, y1 FROM box
+),
+numbered AS (SELECT *, row_number() OVER () AS rid FROM points),
+held AS (
+  SELECT rid, min(cell) AS cell FROM numbered JOIN listed ON x BETWEEN a AND b AND y BETWEEN c AND d GROUP BY rid
+)"""
+
+
+def _placed_rows() -> str:
+    """A split built on some rows, then every row descended through its rectangles, first one first."""
+    some = POINTS.strip().removesuffix(")").rstrip() + " WHERE l_linenumber > 1\n)"
+    every = "every AS (SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice AS x, l_quantity AS y FROM lineitem)"
+    numbered = "numbered AS (SELECT *, row_number() OVER () AS rid FROM every)"
+    held = """
+held AS (
+  SELECT rid, min(cell) AS cell FROM numbered JOIN box
+    ON x BETWEEN x0 AND x1 AND y BETWEEN y0 AND y1
+  JOIN (SELECT cell, x0 AS a, x1 AS b, y0 AS c, y1 AS d FROM leaves) ON x BETWEEN a AND b AND y BETWEEN c AND d
+  GROUP BY rid
+)"""
+    return _with("\n" + some, BOX, _tree(S.THRESHOLD), every, numbered, held) + (
+        f"SELECT {POINT_COLUMNS}, cell FROM numbered LEFT JOIN held USING (rid)"
+    )
+
+
 def oracles() -> dict[str, str]:
     lineitem_tree = _lineitem_tree(S.THRESHOLD)
     merged = _lineitem_tree(S.THRESHOLD, _merge(S.MINIMUM))
@@ -309,7 +347,7 @@ WHERE cell IN (SELECT cell FROM cells WHERE depth = {S.HEAVY_DEPTH} AND n > {S.E
         "merged_ranges": ranges + "SELECT * FROM ranges",
         "merged_report": ranges
         + """
-SELECT id_part, 'La partition ' || id_part || ' corespond a' || chr(10) || string_agg(
+SELECT id_part, 'La partition ' || id_part || 'corespond a' || chr(10) || string_agg(
     'x dans [' || CAST(x0 AS VARCHAR) || ', ' || CAST(x1 AS VARCHAR) || '] et y dans ['
     || CAST(y0 AS VARCHAR) || ', ' || CAST(y1 AS VARCHAR) || ']', chr(10) ORDER BY pos) AS report
 FROM ranges GROUP BY id_part""",
@@ -320,7 +358,7 @@ FROM ranges GROUP BY id_part""",
 estimate AS MATERIALIZED (
   SELECT CAST(floor(avg({float(S.SMALL_BLOCK_BYTES)} / strlen({LINE}))) AS BIGINT) AS per_file FROM lineitem
 )""",
-            _tree("(SELECT per_file FROM estimate)", max_heavy=S.MAX_HEAVY_CELLS),
+            _tree("(SELECT per_file FROM estimate)"),
             _merge(S.BLOCK_MINIMUM),
         )
         + "SELECT id_part, CAST(sum(n) AS BIGINT) AS n FROM groups GROUP BY id_part",
@@ -340,8 +378,7 @@ SELECT cell, page, piece, count(*) AS n, string_agg(line, chr(10) ORDER BY line)
 FROM repeated GROUP BY cell, page, piece""",
         "cell_collect": _with(POINTS, BOX, _uniform(S.GRID), _pages())
         + """
-SELECT cell, page, piece, count(*) AS n, min(line) AS first_line, max(line) AS last_line
-FROM repeated GROUP BY cell, page, piece""",
+SELECT cell, page, piece, line FROM repeated""",
         "rows_per_file": f"SELECT CAST(floor(avg(128000000.0 / strlen({LINE}))) AS BIGINT) AS rows_per_file FROM lineitem",
         "object_records": """
 SELECT l_partkey AS object_id, 1 AS n, l_orderkey AS source_id, l_extendedprice AS x_low,
@@ -361,11 +398,25 @@ SELECT * FROM assigned WHERE cell NOT IN (SELECT cell FROM leaves WHERE n >= {S.
         "cluster_sizes": _with(POINTS, _centres())
         + "SELECT cluster, count(*) AS n FROM clustered GROUP BY cluster ORDER BY n, cluster",
         "csv_roundtrip": f"""
-SELECT * REPLACE (CAST(l_linenumber AS BIGINT) AS l_linenumber, CASE WHEN l_tax > 0 THEN l_tax END AS l_tax,
-                  CAST(l_shipdate AS VARCHAR) AS l_shipdate)
-FROM (SELECT {', '.join(CATALOGUE_COLUMNS)} FROM lineitem)""",
-        "field_rows": f"""
-SELECT {len(CATALOGUE_COLUMNS)} AS n_fields, l_orderkey, l_extendedprice AS x, l_quantity AS y FROM lineitem""",
+SELECT * REPLACE (CAST(l_linenumber AS BIGINT) AS l_linenumber, CAST(l_shipdate AS VARCHAR) AS l_shipdate),
+       {TAXED} AS taxed FROM lineitem""",
+        "odd_definition": f"""
+SELECT l_orderkey, CAST(l_linenumber AS INTEGER) AS l_linenumber, {SHIPPED} AS shipped,
+       l_extendedprice, l_quantity FROM lineitem""",
+        "odd_definition_lines": f"SELECT {ODD_LINE} AS data, l_extendedprice AS x, l_quantity AS y FROM lineitem",
+        "field_rows": _fields(),
+        "cluster_check": f"""
+SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS unplaced, CAST(0 AS BIGINT) AS misplaced,
+       CAST({S.CLUSTERS} AS BIGINT) AS centres, true AS numbered FROM lineitem""",
+        "given_rectangles": _with(POINTS, BOX, _rectangles())
+        + f"SELECT {POINT_COLUMNS}, coalesce(cell, '-1') AS cell FROM numbered LEFT JOIN held USING (rid)",
+        "placed_rows": _placed_rows(),
+        "quadrant_job": _with(catalogue_points, BOX)
+        + f"""
+SELECT CASE WHEN x <= (x0 + x1) / 2 AND y <= (y0 + y1) / 2 THEN '1'
+            WHEN x >= (x0 + x1) / 2 AND y <= (y0 + y1) / 2 THEN '2'
+            WHEN x >= (x0 + x1) / 2 AND y >= (y0 + y1) / 2 THEN '3' ELSE '4' END AS cell, {HELD}
+FROM points, box GROUP BY 1""",
         "ddl_columns": _ddl_columns(),
         "partitioned_roundtrip": _lineitem_tree(S.FILE_THRESHOLD) + "SELECT * FROM assigned",
         "written_cell": _lineitem_tree(S.FILE_THRESHOLD)
@@ -379,7 +430,7 @@ SELECT {len(CATALOGUE_COLUMNS)} AS n_fields, l_orderkey, l_extendedprice AS x, l
         "quadtree_job": _with(catalogue_points, BOX, _tree(S.FILE_THRESHOLD, "data, x, y"))
         + f"SELECT cell, {HELD} FROM assigned GROUP BY cell",
         "merged_job": _with(
-            catalogue_points, BOX, _tree(S.THRESHOLD, "data, x, y", max_heavy=S.MAX_HEAVY_CELLS), _merge(S.MINIMUM)
+            catalogue_points, BOX, _tree(S.THRESHOLD, "data, x, y"), _merge(S.MINIMUM)
         )
         + f"SELECT id_part, {HELD} FROM assigned JOIN groups USING (cell) GROUP BY id_part",
         "text_roundtrip": _with(
@@ -390,5 +441,5 @@ SELECT {len(CATALOGUE_COLUMNS)} AS n_fields, l_orderkey, l_extendedprice AS x, l
         )
         + "SELECT data, id_part FROM assigned JOIN groups USING (cell)",
         "one_file_per_cell": _lineitem_tree(S.FILE_THRESHOLD)
-        + f"SELECT cell, CAST(ceil(n / {S.LARGE_CELL}) AS BIGINT) AS files, n FROM leaves",
+        + "SELECT cell, n, true AS one_file FROM leaves",
     }

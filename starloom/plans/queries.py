@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom import jobs, session
-from starloom.functions.geometry import path_box, quad_path, with_quad_index
+from starloom.functions.geometry import path_box, quad_path, squared_distance, with_quad_index
 from starloom.functions.text import csv_line
-from starloom.operators import cluster, summary, uniform
+from starloom.operators import cluster, lookup, summary, uniform
 from starloom.operators.bbox import bounding_box, measure_box
+from starloom.operators.lookup import find_rectangle
 from starloom.operators.merge import merge_cells, retag
 from starloom.operators.quadtree import QuadTree, build_quadtree, cell_pyramid, count_cells, heavy_rows, split_step
 from starloom.operators.ranges import decode_ranges, partition_report
@@ -213,7 +214,7 @@ def block_partitions(spark: SparkSession, folder: str) -> DataFrame:
     """The whole job: threshold from the block size, split, merge, rows per partition."""
     rows = _lineitem(spark, folder)
     threshold = summary.rows_per_file(rows, csv_line(rows.columns), S.SMALL_BLOCK_BYTES).first().rows_per_file
-    tree = build_quadtree(rows, X, Y, threshold, S.MAX_DEPTH, S.MAX_HEAVY_CELLS)
+    tree = build_quadtree(rows, X, Y, threshold)
     groups = merge_cells(tree.counts(), S.BLOCK_MINIMUM).select("cell", "id_part")
     return summary.count_per_cell(tree.assign(rows, X, Y, labels=groups), "id_part")
 
@@ -238,15 +239,9 @@ def cell_text(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cell_collect(spark: SparkSession, folder: str) -> DataFrame:
+    """Every line of every page."""
     rows = summary.paged_lines(_uniform(spark, folder), [*KEYS, "x", "y"], S.PAGE_ROWS)
-    return rows.select(
-        "cell",
-        "page",
-        "piece",
-        F.size("lines").cast("long").alias("n"),
-        F.get("lines", F.lit(0)).alias("first_line"),
-        F.element_at("lines", -1).alias("last_line"),
-    )
+    return rows.select("cell", "page", "piece", F.explode("lines").alias("line"))
 
 
 def rows_per_file(spark: SparkSession, folder: str) -> DataFrame:
@@ -314,56 +309,122 @@ def cluster_fit(spark: SparkSession, folder: str) -> DataFrame:
     return cluster.cluster_sizes(cluster.predict_clusters(points, model, "x", "y"))
 
 
+def cluster_check(spark: SparkSession, folder: str) -> DataFrame:
+    """What must hold for any fitted model: every row counted once, at the nearest returned centre."""
+    points = _points(spark, folder)
+    model = cluster.fit_clusters(points, "x", "y", S.CLUSTERS, seed=1)
+    centres = [tuple(map(float, c)) for c in model.clusterCenters()]
+    found = cluster.predict_clusters(points, model, "x", "y")
+    far = [squared_distance(F.col("x"), F.col("y"), cx, cy) for cx, cy in centres]
+    own = F.coalesce(*[F.when(F.col("cluster") == k, d) for k, d in enumerate(far)])
+    return found.agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(F.col("cluster").isNull()).alias("unplaced"),
+        F.count_if(own > F.least(*far)).alias("misplaced"),
+        F.lit(len(set(centres))).cast("long").alias("centres"),
+        (F.max("cluster") < S.CLUSTERS).alias("numbered"),
+    )
+
+
+# Lookup in partitions that are there
+
+
+def _rectangles(spark: SparkSession, folder: str) -> DataFrame:
+    """A list in which later rectangles overlap earlier ones: the quadrants after four cells of a grid."""
+    box = measure_box(_lineitem(spark, folder), X, Y)
+    inner = uniform.uniform_cells(spark, box, 4).filter(F.col("cell").isin("11", "12", "21", "22"))
+    whole = uniform.quadrant_cells(spark, box).filter("cell <> '4'")
+    listed = inner.withColumn("cell", F.concat(F.lit("g"), "cell")).unionByName(
+        whole.withColumn("cell", F.concat(F.lit("q"), "cell"))
+    )
+    return listed.select(F.col("cell").alias("pos"), "cell", "x0", "x1", "y0", "y1")
+
+
+def given_rectangles(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows tagged by a given list of rectangles; some rows lie in none."""
+    return find_rectangle(_points(spark, folder), _rectangles(spark, folder), "x", "y")
+
+
+def placed_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """All rows placed into a split that was built on some of them and stored."""
+    points = _points(spark, folder)
+    path = session.fresh_path(spark, "split")
+    lookup.store_tree(build_quadtree(points.filter("l_linenumber > 1"), "x", "y", S.THRESHOLD), path)
+    return lookup.load_tree(spark, path).assign(points, "x", "y")
+
+
 # Files
 
 
 def _catalogue_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """lineitem with the types a table definition of the catalogue can name."""
-    return _lineitem(spark, folder).select(
-        *KEYS,
-        "l_suppkey",
-        F.col(X),
-        F.col(Y),
-        "l_discount",
-        F.when(F.col("l_tax") > 0, F.col("l_tax")).alias("l_tax"),
-        "l_returnflag",
-        F.col("l_shipdate").cast("string").alias("l_shipdate"),
-    )
+    """lineitem with text dates, and a column in which some values are missing."""
+    rows = _lineitem(spark, folder).withColumn("l_shipdate", F.col("l_shipdate").cast("string"))
+    return rows.withColumn("taxed", F.when(F.col("l_tax") > 0, F.col("l_tax")))
 
 
 # Definition types that hold the values of each Spark type.
 DDL_TYPES = {"bigint": "NUMBER(19, 0)", "int": "NUMBER(10, 0)", "double": "FLOAT (24)", "string": "char(19)"}
 
 
-def _store_catalogue(spark: SparkSession, folder: str) -> tuple[str, str]:
-    """Write the rows as headless files and their definition; the two paths."""
-    rows = _catalogue_rows(spark, folder)
-    columns = [
-        f"  {name} {DDL_TYPES[kind]} {'DEFAULT NULL' if name == 'l_tax' else 'NOT NULL'}"
-        for name, kind in rows.dtypes
-    ]
+def _store_files(spark: SparkSession, rows: DataFrame, columns: list[str]) -> tuple[str, str]:
+    """Write rows as headless files, blank and broken lines among them, and a definition; the two paths."""
     text = "CREATE TABLE lineitem (\n" + ",\n".join(columns) + "\n);"
     definition, files = (session.fresh_path(spark, name) for name in ("definition", "catalogue"))
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(definition)
     rows.select(csv_line(rows.columns).alias("value")).write.text(files)
+    broken = [("",), ("7",), ("7,8",), ("",)]
+    spark.createDataFrame(broken, "value string").coalesce(1).write.mode("append").text(files)
     return definition, files
 
 
+def _store_catalogue(spark: SparkSession, folder: str) -> tuple[str, str]:
+    rows = _catalogue_rows(spark, folder)
+    columns = [
+        f"  {name} {DDL_TYPES[kind]} {'DEFAULT NULL' if name == 'taxed' else 'NOT NULL'}"
+        for name, kind in rows.dtypes
+    ]
+    return _store_files(spark, rows, columns)
+
+
 def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     definition, files = _store_catalogue(spark, folder)
     schema = ddl.ddl_schema(ddl.read_ddl(spark, definition))
     return catalogue.read_catalogue(spark, f"{files}/part-*", schema)
 
 
+def _store_odd(spark: SparkSession, folder: str) -> tuple[str, str]:
+    """A definition that names a column twice and has types of other systems."""
+    rows = _lineitem(spark, folder).select(
+        "l_orderkey",
+        "l_linenumber",
+        F.col("l_suppkey").alias("again"),
+        F.concat(F.substring(F.col("l_shipdate").cast("string"), 1, 10), F.lit(" 12:30:00")).alias("shipped"),
+        F.col(X),
+        F.col(Y),
+    )
+    kinds = {"l_orderkey": "BIGINT", "l_linenumber": "INT", "shipped": "TIMESTAMP", X: "DOUBLE PRECISION", Y: "REAL"}
+    columns = [f"  {'l_orderkey' if c == 'again' else c} {kinds.get(c, 'BIGINT')}" for c in rows.columns]
+    return _store_files(spark, rows, columns)
+
+
+def odd_definition(spark: SparkSession, folder: str) -> DataFrame:
+    definition, files = _store_odd(spark, folder)
+    rows = catalogue.read_catalogue(spark, files, ddl.ddl_schema(ddl.read_ddl(spark, definition)))
+    return rows.withColumn("shipped", F.date_format("shipped", "yyyy-MM-dd HH:mm:ss"))
+
+
+def odd_definition_lines(spark: SparkSession, folder: str) -> DataFrame:
+    definition, files = _store_odd(spark, folder)
+    return catalogue.read_lines(spark, files, ddl.column_positions(ddl.read_ddl(spark, definition)), X, Y)
+
+
 def field_rows(spark: SparkSession, folder: str) -> DataFrame:
-    _, files = _store_catalogue(spark, folder)
+    """Every field of every line, blank and broken lines left out."""
+    definition, files = _store_catalogue(spark, folder)
     rows = catalogue.drop_short_rows(catalogue.read_fields(spark, files))
-    return rows.select(
-        F.size("fields").alias("n_fields"),
-        F.get("fields", F.lit(0)).cast("long").alias("l_orderkey"),
-        F.get("fields", F.lit(4)).cast("double").alias("x"),
-        F.get("fields", F.lit(5)).cast("double").alias("y"),
-    )
+    positions = ddl.column_positions(ddl.read_ddl(spark, definition))
+    fields = [F.get("fields", F.lit(at)).alias(name) for name, at in positions.items()]
+    return rows.select(F.size("fields").alias("n_fields"), *fields)
 
 
 def ddl_columns(spark: SparkSession, folder: str) -> DataFrame:
@@ -390,23 +451,23 @@ def partitioned_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 def text_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     rows = _lineitem(spark, folder)
     tree = build_quadtree(rows, X, Y, S.THRESHOLD, S.MAX_DEPTH)
-    groups = merge_cells(tree.counts(), S.MINIMUM).select("cell", "id_part")
     path = session.fresh_path(spark, "groups")
-    sinks.write_text(
-        tree.assign(rows, X, Y, labels=groups), path, S.ROWS_PER_FILE, csv_line(rows.columns), "id_part"
-    )
-    return sinks.read_lines(spark, path, "id_part")
+    groups = sinks.store_groups(merge_cells(tree.counts(), S.MINIMUM), path)
+    tagged = tree.assign(rows, X, Y, labels=groups.select("cell", "part"))
+    sinks.write_text(tagged, path, S.ROWS_PER_FILE, csv_line(rows.columns), "part", mode="append")
+    return sinks.read_groups(spark, path)
 
 
 def one_file_per_cell(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows and files per cell, read back."""
+    """Rows per cell, and whether a cell that is to have one file has it, read back."""
     points = _points(spark, folder)
     tree = _file_tree(points)
     path = session.fresh_path(spark, "files")
     sinks.write_file_per_cell(tree.assign(points, "x", "y"), path, tree.counts(), S.LARGE_CELL)
     back = sinks.read_cells(spark, path, points.schema).withColumn("file", F.input_file_name())
     per_file = back.groupBy("cell", "file").agg(F.count("*").alias("n"))
-    return per_file.groupBy("cell").agg(F.count("*").alias("files"), F.sum("n").alias("n"))
+    per_cell = per_file.groupBy("cell").agg(F.count("*").alias("files"), F.sum("n").alias("n"))
+    return per_cell.select("cell", "n", ((F.col("n") > S.LARGE_CELL) | (F.col("files") == 1)).alias("one_file"))
 
 
 def written_cell(spark: SparkSession, folder: str) -> DataFrame:
@@ -425,11 +486,17 @@ def uniform_job(spark: SparkSession, folder: str) -> DataFrame:
     return _held(jobs.partition_uniform(spark, definition, files, out, X, Y, S.GRID), "cell")
 
 
+def quadrant_job(spark: SparkSession, folder: str) -> DataFrame:
+    definition, files = _store_catalogue(spark, folder)
+    out = session.fresh_path(spark, "quadrants")
+    return _held(jobs.partition_quadrants(spark, definition, files, out, X, Y), "cell")
+
+
 def quadtree_job(spark: SparkSession, folder: str) -> DataFrame:
     definition, files = _store_catalogue(spark, folder)
     out = session.fresh_path(spark, "quadtree")
     written = jobs.partition_quadtree(
-        spark, definition, files, out, X, Y, S.FILE_THRESHOLD, S.MAX_DEPTH, S.ROWS_PER_FILE
+        spark, definition, files, out, X, Y, S.FILE_THRESHOLD, file_rows=S.ROWS_PER_FILE
     )
     return _held(written, "cell")
 
@@ -438,7 +505,7 @@ def merged_job(spark: SparkSession, folder: str) -> DataFrame:
     definition, files = _store_catalogue(spark, folder)
     out = session.fresh_path(spark, "merged")
     written = jobs.partition_merged(
-        spark, definition, files, out, X, Y, S.MINIMUM, S.THRESHOLD, S.MAX_DEPTH, S.MAX_HEAVY_CELLS, S.ROWS_PER_FILE
+        spark, definition, files, out, X, Y, S.MINIMUM, S.THRESHOLD, file_rows=S.ROWS_PER_FILE
     )
     return _held(written, "id_part")
 
@@ -487,7 +554,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         cluster_assign,
         cluster_sizes,
         cluster_fit,
+        cluster_check,
+        given_rectangles,
+        placed_rows,
         csv_roundtrip,
+        odd_definition,
+        odd_definition_lines,
         field_rows,
         ddl_columns,
         partitioned_roundtrip,
@@ -495,6 +567,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         one_file_per_cell,
         written_cell,
         uniform_job,
+        quadrant_job,
         quadtree_job,
         merged_job,
     )

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +51,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Like :func:`stored`, for tables that are removed at the end of the block."""
+    paths: list[str] = []
+
+    def store(df: DataFrame, name: str) -> DataFrame:
+        paths.append(fresh_path(spark, name))
+        df.write.parquet(paths[-1])
+        return spark.read.schema(df.schema).parquet(paths[-1])
+
+    try:
+        yield store
+    finally:
+        for path in paths:
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def row_bytes(table: DataFrame) -> Column:
     """Upper bound of what a row takes in a broadcast table."""
     texts = [F.coalesce(F.octet_length(name), F.lit(0)) for name, kind in table.dtypes if kind == "string"]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom import session
-from starloom.operators.summary import index_cells
+from starloom.operators.merge import part_key
 
 
 def write_cells(
@@ -34,26 +34,29 @@ def write_cells(
     )
 
 
-def write_text(df: DataFrame, path: str, rows_per_file: int, line: Column, cell: str = "cell") -> None:
+def write_text(
+    df: DataFrame, path: str, rows_per_file: int, line: Column, cell: str = "cell", mode: str = "error"
+) -> None:
     """One directory per cell with one line of text per row."""
-    write_cells(df.select(cell, line.alias("data")), path, rows_per_file, cell, "text")
+    write_cells(df.select(cell, line.alias("data")), path, rows_per_file, cell, "text", mode)
 
 
 def write_file_per_cell(
     df: DataFrame, path: str, counts: DataFrame, rows_per_file: int, cell: str = "cell"
 ) -> None:
-    """Exactly one task and one file for each cell of up to ``rows_per_file`` rows.
+    """Exactly one file for each cell of up to ``rows_per_file`` rows.
 
-    Partition k of the shuffle holds the k-th such cell and nothing else. Larger cells
-    (``counts``: ``cell, n``) would make one task as long as the cell, so they are written
-    in several files; rows without a cell go with them.
+    Such cells are hashed into as many tasks as any shuffle has, however many cells there
+    are, and a task writes its cells one after the other. Larger cells (``counts``:
+    ``cell, n``) would make one task as long as the cell, so they are written in several
+    files; rows without a cell go with them. The rows are stored once and read for both.
     """
-    index = index_cells(counts.filter(F.col("n") <= rows_per_file), cell)
-    index = session.cut_lineage(index.select(cell, F.col("idx").cast("int").alias("idx")))
-    placed = session.join_cell_table(df, index, cell, "inner")
-    tasks = max(index.count(), 1)
-    placed.repartitionById(tasks, F.col("idx")).drop("idx").write.partitionBy(cell).parquet(path)
-    rest = session.join_cell_table(df, index.select(cell), cell, "left_anti")
+    rows = session.cut_lineage(df)
+    small = session.cut_lineage(counts.filter(F.col("n") <= rows_per_file).select(cell))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = session.join_cell_table(rows, small, cell, "left_semi")
+    placed.repartition(tasks, cell).sortWithinPartitions(cell).write.partitionBy(cell).parquet(path)
+    rest = session.join_cell_table(rows, small, cell, "left_anti")
     write_cells(rest, path, rows_per_file, cell, mode="append")
 
 
@@ -69,3 +72,20 @@ def read_cells(
 def read_lines(spark: SparkSession, path: str, cell: str = "cell") -> DataFrame:
     """Read lines written per cell: ``data`` and the cell id."""
     return read_cells(spark, path, T.StructType([T.StructField("data", T.StringType())]), cell, "text")
+
+
+def store_groups(groups: DataFrame, path: str) -> DataFrame:
+    """Keep ``cell, part, id_part`` beside the partitions; ``part`` names the directory of a group.
+
+    The id of a group grows with its members, and file systems bound the length of a name.
+    """
+    table = groups.select("cell", part_key(F.col("id_part")).alias("part"), "id_part")
+    table.write.parquet(f"{path}/_groups")
+    return table.sparkSession.read.parquet(f"{path}/_groups")
+
+
+def read_groups(spark: SparkSession, path: str) -> DataFrame:
+    """Read lines written per merged group: ``data`` and the whole id of the group, ``id_part``."""
+    names = spark.read.parquet(f"{path}/_groups").select("part", "id_part").distinct()
+    rows = read_lines(spark, path, "part")
+    return session.join_cell_table(rows, names, "part", "left").select("data", "id_part")

@@ -7,14 +7,28 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.functions.text import NULL_TOKEN, fields
+from starloom.sources.ddl import SKIPPED
 
 # Lines with fewer fields are blank or broken.
 LEAST_FIELDS = 3
+OPTIONS = {"quote": "", "nullValue": NULL_TOKEN, "mode": "PERMISSIVE"}
 
 
-def read_catalogue(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
-    """Typed rows of one file, a folder or a glob of files."""
-    return spark.read.schema(schema).csv(path, header=False, quote="", nullValue=NULL_TOKEN)
+def _definition(schema: T.StructType) -> str:
+    return ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema)
+
+
+def read_catalogue(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, least: int = LEAST_FIELDS
+) -> DataFrame:
+    """Typed rows of one file, a folder or a glob of files.
+
+    Lines with fewer than ``least`` fields are left out, and so are fields that the
+    schema marks as skipped.
+    """
+    lines = spark.read.text(path).filter(F.size(F.split("value", ",", least)) >= least)
+    kept = [f"_row.`{name}`" for name in schema.names if not name.startswith(SKIPPED)]
+    return lines.select(F.from_csv("value", _definition(schema), OPTIONS).alias("_row")).select(*kept)
 
 
 def read_fields(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -27,13 +41,17 @@ def drop_short_rows(rows: DataFrame, least: int = LEAST_FIELDS) -> DataFrame:
     return rows.filter(F.size("fields") >= least)
 
 
-def read_lines(spark: SparkSession, path: str | list[str], names: list[str], x: str, y: str) -> DataFrame:
+def read_lines(
+    spark: SparkSession, path: str | list[str], positions: dict[str, int], x: str, y: str
+) -> DataFrame:
     """Unchanged lines with their coordinates: ``data, x, y``. Short lines are left out.
 
+    ``positions`` says where in a line each column stands.
+
     For jobs that hand the text on: it is cut only as far as the later coordinate, and
     numbers keep the spelling they came with. A field that is no number gives a null.
     """
-    at_x, at_y = names.index(x), names.index(y)
+    at_x, at_y = positions[x], positions[y]
     start = F.split("value", ",", max(at_x, at_y, LEAST_FIELDS - 1) + 2)
     lines = spark.read.text(path).filter(F.size(F.split("value", ",", LEAST_FIELDS)) >= LEAST_FIELDS)
     return lines.select(

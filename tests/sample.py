@@ -1,4 +1,8 @@
-"""Thirty detections of a sky survey: right ascension, declination, object id."""
+"""Thirty detections of a sky survey: right ascension, declination, object id.
+
+Fixed values: they are the input of a worked example whose cells, counts and merged groups
+are known, so the expected results in the tests hold for these points and no others.
+"""
 
 SAMPLE = [
     (358.08941191498536, 3.039583881799817, None),

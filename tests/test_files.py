@@ -1,4 +1,6 @@
 from collections import Counter
+from datetime import date, datetime
+from decimal import Decimal
 from pathlib import Path
 
 import pytest
@@ -11,21 +13,23 @@ from starloom.operators.summary import count_per_cell, rows_of_cell
 from starloom.sinks import cells as K
 from starloom.sources import catalogue, ddl
 
-DEFINITION = """CREATE TABLE Detection (
-  detectionId NUMBER(19, 0) NOT NULL,
-  filterId NUMBER(3, 0) NOT NULL,
-  objectId NUMBER(19, 0) DEFAULT NULL,
-  procHistoryId NUMBER(10, 0) NOT NULL,
-  ra FLOAT (24) NOT NULL,
-  decl FLOAT (24) NOT NULL,
-  snr float DEFAULT NULL,
-  flags NUMBER(5, 0) DEFAULT NULL,
-  name char(34)
+DEFINITION = """CREATE TABLE Ship (
+  hull BIGINT NOT NULL,
+  berth NUMBER(3, 0) NOT NULL,
+  owner NUMBER(12, 0) DEFAULT NULL,
+  lon FLOAT (24) NOT NULL,
+  lat DOUBLE NOT NULL,
+  crew INT DEFAULT NULL,
+  built DATE DEFAULT NULL,
+  seen TIMESTAMP DEFAULT NULL,
+  fee DECIMAL(8, 2),
+  label varchar(20),
+  shape GEOMETRY
 );
 """
 LINES = [
-    '29710725217517768,3,NULL,0,358.08941191498536,3.039583881799817,7.5,0,"a"',
-    "29710725217517996,3,430261233778748,9999999999,5.12087444172781,2.559653764516827,NULL,NULL,b c",
+    '9007199254740993,3,NULL,-12.25,71.5,0,1988-02-29,2001-05-06 07:08:09,12.50,"a",x',
+    "42,7,123456789012,0.1,-0.2,NULL,NULL,NULL,NULL,b c,NULL",
 ]
 
 
@@ -39,56 +43,63 @@ def folder(tmp_path):
 
 def test_definition(spark, folder):
     columns = ddl.read_ddl(spark, str(folder / "schema")).orderBy("ordinal").collect()
-    assert [(c.ordinal, c.name) for c in columns][:5] == [
-        (0, "detectionId"), (1, "filterId"), (2, "objectId"), (3, "procHistoryId"), (4, "ra"),
-    ]
-    assert [c.not_null for c in columns] == [True, True, False, True, True, True, False, False, False]
-    assert columns[4].ddl_type == "FLOAT (24)" and len(columns) == 9
+    assert [(c.ordinal, c.name) for c in columns][:4] == [(0, "hull"), (1, "berth"), (2, "owner"), (3, "lon")]
+    assert [c.not_null for c in columns] == [True, True, False, True, True] + [False] * 6
+    assert columns[3].ddl_type == "FLOAT (24)" and len(columns) == 11
 
 
 def test_repeated_lines_and_names(spark, tmp_path):
     path = tmp_path / "odd"
     path.write_text("(\n  a float,\n  b float,\n(\n\n  a float,\n  c float\n);\n")
-    columns = ddl.read_ddl(spark, str(path)).orderBy("ordinal").collect()
-    assert [(c.ordinal, c.name) for c in columns] == [(0, "a"), (1, "b"), (3, "c")]
+    columns = ddl.read_ddl(spark, str(path))
+    assert ddl.column_positions(columns) == {"a": 0, "b": 1, "c": 3}
+    (tmp_path / "rows").write_text("1,2,3,4.5\n\n10,20,30,40.5\n")
+    rows = catalogue.read_catalogue(spark, str(tmp_path / "rows"), ddl.ddl_schema(columns)).collect()
+    assert sorted(map(tuple, rows)) == [(1.0, 2.0, 4.5), (10.0, 20.0, 40.5)] and rows[0].asDict().keys() == {"a", "b", "c"}
+    lines = catalogue.read_lines(spark, str(tmp_path / "rows"), ddl.column_positions(columns), "a", "c")
+    assert sorted((r.x, r.y) for r in lines.collect()) == [(1.0, 4.5), (10.0, 40.5)]
 
 
 def test_types(spark, folder):
     schema = ddl.ddl_schema(ddl.read_ddl(spark, str(folder / "schema")))
-    kinds = [f.dataType for f in schema]
-    long, double = T.LongType(), T.DoubleType()
-    assert kinds == [long, T.ShortType(), long, long, double, double, double, T.IntegerType(), T.StringType()]
+    long, double, text = T.LongType(), T.DoubleType(), T.StringType()
+    assert [f.dataType for f in schema] == [
+        long, T.ShortType(), long, double, double, T.IntegerType(), T.DateType(), T.TimestampNTZType(),
+        T.DecimalType(8, 2), text, text,
+    ]
     assert ddl.spark_type("NUMBER(19, 0)", strict=True) == T.DecimalType(19, 0)
     assert ddl.spark_type("NUMBER(7, 2)") == T.DecimalType(7, 2)
-    with pytest.raises(ValueError):
-        ddl.spark_type("BLOB")
+    assert ddl.spark_type("BLOB") == ddl.spark_type("odd type") == text
 
 
 def test_typed_rows_of_a_glob(spark, folder):
     schema = ddl.ddl_schema(ddl.read_ddl(spark, str(folder / "schema")))
-    rows = catalogue.read_catalogue(spark, str(folder / "rows-*.csv"), schema).filter("decl IS NOT NULL")
-    rows = rows.orderBy("detectionId").collect()
-    assert rows[0].ra == 358.08941191498536 and rows[0].objectId is None and rows[0].name == '"a"'
-    assert rows[1].procHistoryId == 9999999999 and rows[1].snr is None and rows[1].name == "b c"
-    assert len(rows) == 2
+    rows = catalogue.read_catalogue(spark, str(folder / "rows-*.csv"), schema)
+    rows = rows.orderBy("hull").collect()
+    assert tuple(rows[0]) == (42, 7, 123456789012, 0.1, -0.2, None, None, None, None, "b c", None)
+    assert tuple(rows[1]) == (
+        9007199254740993, 3, None, -12.25, 71.5, 0, date(1988, 2, 29), datetime(2001, 5, 6, 7, 8, 9),
+        Decimal("12.50"), '"a"', "x",
+    )
+    assert len(rows) == 2  # neither the blank line nor the broken one
 
 
 def test_raw_fields_and_short_rows(spark, folder):
     raw = catalogue.read_fields(spark, str(folder / "rows-1.csv"))
-    assert sorted(r.n for r in raw.select(F.size("fields").alias("n")).collect()) == [1, 2, 9]
+    assert sorted(r.n for r in raw.select(F.size("fields").alias("n")).collect()) == [1, 2, 11]
     kept = catalogue.drop_short_rows(raw).collect()
     assert len(kept) == 1 and ",".join(kept[0].fields) == LINES[0]
 
 
 def test_lines_keep_their_spelling(spark, folder):
-    names = ddl.ddl_schema(ddl.read_ddl(spark, str(folder / "schema"))).names
-    (folder / "rows-3.csv").write_text("1,2,NULL,0,NULL,0.0000440547,x\n1,2,3\n")
-    rows = catalogue.read_lines(spark, str(folder / "rows-*.csv"), names, "ra", "decl")
+    positions = ddl.column_positions(ddl.read_ddl(spark, str(folder / "schema")))
+    (folder / "rows-3.csv").write_text("1,2,NULL,NULL,0.0000440547,x\n1,2,3\n")
+    rows = catalogue.read_lines(spark, str(folder / "rows-*.csv"), positions, "lon", "lat")
     got = {r.data: (r.x, r.y) for r in rows.collect()}
     assert got == {
-        LINES[0]: (358.08941191498536, 3.039583881799817),
-        LINES[1]: (5.12087444172781, 2.559653764516827),
-        "1,2,NULL,0,NULL,0.0000440547,x": (None, 0.0000440547),
+        LINES[0]: (-12.25, 71.5),
+        LINES[1]: (0.1, -0.2),
+        "1,2,NULL,NULL,0.0000440547,x": (None, 0.0000440547),
         "1,2,3": (None, None),
     }
 
@@ -150,6 +161,20 @@ def test_file_per_cell(spark, tmp_path):
     assert contents(K.read_cells(spark, path, df.schema)) == contents(df)
 
 
+def test_many_cells_need_no_more_tasks(spark, tmp_path):
+    df = spark.range(6000).select(F.concat(F.lit("c"), F.col("id") % 600).alias("cell"), F.col("id").cast("int").alias("k"))
+    path = str(tmp_path / "many")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("many", "cells")
+    K.write_file_per_cell(df, path, count_per_cell(df), 500)
+    stages = {s for j in tracker.getJobIdsForGroup("many") for s in tracker.getJobInfo(j).stageIds}
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert max(info.numTasks for s in stages if (info := tracker.getStageInfo(s))) <= 16
+    files = files_of(path)
+    assert len(files) == 600 and set(files.values()) == {1}
+    assert contents(K.read_cells(spark, path, df.schema)) == contents(df)
+
+
 def test_write_text(spark, tmp_path):
     df, path = tagged(spark).withColumn("s", F.lit(None).cast("string")), str(tmp_path / "out")
     K.write_text(df, path, 1000, csv_line(["k", "s"]))
@@ -185,3 +210,11 @@ def test_stored_tables_come_back(spark):
     back = session.stored(df, "points")
     assert sorted(r.x for r in back.collect()) == [float(k) for k in range(10)]
     assert session.shared_folder(spark) in back.inputFiles()[0]
+
+
+def test_scratch_tables_are_removed(spark):
+    with session.scratch(spark) as store:
+        back = store(spark.range(5).toDF("k"), "some")
+        path = Path(back.inputFiles()[0].removeprefix("file:")).parent
+        assert back.count() == 5 and path.exists()
+    assert not path.exists()

@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 from pathlib import Path
 
@@ -49,3 +50,39 @@ def test_clusters(spark, source):
     definition, files, _, x, y = source
     sizes = [r.n for r in jobs.cluster_catalogue(spark, definition, files, x, y, k=3, seed=2).collect()]
     assert sum(sizes) == 30 and sizes == sorted(sizes)
+
+
+def test_quadrants(spark, source):
+    assert held(jobs.partition_quadrants(spark, *source)) == {"1": 10, "3": 10, "4": 10}
+    assert {p.name for p in Path(source[2]).glob("cell=*")} == {"cell=1", "cell=3", "cell=4"}
+
+
+def test_new_lines_are_placed_into_written_partitions(spark, source):
+    definition, files, out, x, y = source
+    written = {r.data: r.id_part for r in jobs.partition_merged(spark, *source, minimum=5, threshold=7).collect()}
+    placed = jobs.place_lines(spark, definition, files, out, x, y)
+    groups = {r.cell: r.id_part for r in spark.read.parquet(f"{out}/_groups").collect()}
+    assert {r.data: groups[r.cell] for r in placed.collect()} == written
+
+
+def test_many_members(spark, tmp_path):
+    rng = random.Random(1)
+    lines = [f"{k},{rng.random() ** 6},{rng.random() ** 6},NULL" for k in range(4000)]
+    (tmp_path / "schema").write_text(DEFINITION)
+    (tmp_path / "rows.csv").write_text("\n".join(lines))
+    paths = [str(tmp_path / name) for name in ("schema", "rows.csv", "out")]
+    rows = jobs.partition_merged(spark, *paths, "ra", "decl", minimum=1000, threshold=40).collect()
+    assert sorted(r.data for r in rows) == sorted(lines)
+    assert max(len(r.id_part) for r in rows) > 255
+
+
+def test_an_empty_catalogue(spark, tmp_path):
+    (tmp_path / "schema").write_text(DEFINITION)
+    (tmp_path / "rows.csv").write_text("\n\n")
+    definition, files = str(tmp_path / "schema"), str(tmp_path / "rows.csv")
+    for k, job in enumerate((
+        lambda *a: jobs.partition_uniform(*a, 4), jobs.partition_quadrants,
+        lambda *a: jobs.partition_quadtree(*a, 5), lambda *a: jobs.partition_merged(*a, 5), 
+    )):
+        assert job(spark, definition, files, str(tmp_path / f"out{k}"), "ra", "decl").count() == 0
+    assert jobs.cluster_catalogue(spark, definition, files, "ra", "decl").count() == 0

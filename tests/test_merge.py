@@ -2,11 +2,13 @@ import random
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 from models import merge_rule
 from test_quadtree import THRESHOLD_3, THRESHOLD_7
 
 from starloom.functions.geometry import Box
 from starloom.operators import merge as M
+from starloom.operators import stretches
 from starloom.operators.ranges import decode_ranges, partition_report
 
 
@@ -68,8 +70,9 @@ def test_long_lists_equal_the_rule(spark, seed, top, minimum, monkeypatch):
     rng = random.Random(seed)
     cells = [(c, rng.randint(1, top)) for c in ids(1500)]
     expected = {"".join(g): n for g, n in merge_rule(cells, minimum)}
-    for chars in (M.STRETCH_CHARS, 3):
-        monkeypatch.setattr(M, "STRETCH_CHARS", chars)
+    for first, most in ((7, 100_000), (3, 100_000), (2, 20)):
+        monkeypatch.setattr(stretches, "FIRST_CHARS", first)
+        monkeypatch.setattr(stretches, "STRETCH_IDS", most)
         rows = merged(spark, cells, minimum)
         assert group_sizes(rows) == expected
         assert sorted((r.cell, r.n) for r in rows) == sorted(cells)
@@ -132,7 +135,32 @@ def test_report(spark):
     df = spark.createDataFrame([("_0_2",)], "id_part string")
     report = partition_report(df, Box(0.0, 2.0, 0.0, 2.0), "ra", "decl").first().report
     assert report.split("\n") == [
-        "La partition _0_2 corespond a",
+        "La partition _0_2corespond a",
         "ra dans [0.0, 1.0] et decl dans [0.0, 1.0]",
         "ra dans [1.0, 2.0] et decl dans [1.0, 2.0]",
     ]
+
+
+def test_stretches_are_bounded_and_in_order(spark, monkeypatch):
+    monkeypatch.setattr(stretches, "STRETCH_IDS", 10)
+    cells = [*ids(300), "_", "_0", "_01", "_012301230123", "x" * 40, "x" * 41]
+    rows = stretches.with_stretch(spark.createDataFrame([(c,) for c in cells], "cell string")).collect()
+    assert sorted(r.cell for r in rows) == sorted(cells)
+    ordered = [r.stretch for r in sorted(rows, key=lambda r: r.cell)]
+    assert ordered == sorted(ordered)
+    sizes = pd.Series(ordered).value_counts()
+    assert sizes.max() <= 10
+
+
+def test_long_group_names_are_kept_apart_from_directories(spark, tmp_path):
+    from starloom.sinks import cells as sinks
+
+    cells = [("_" + "0123"[k % 4] * (k // 4 + 1), k % 3 + 1) for k in range(160)]
+    groups = M.merge_cells(spark.createDataFrame(cells, "cell string, n long"), 150)
+    path = str(tmp_path / "out")
+    stored = sinks.store_groups(groups, path)
+    assert max(len(r.id_part) for r in stored.collect()) > 600
+    rows = stored.select("cell", "part", "id_part")
+    sinks.write_text(rows, path, 100, F.col("cell"), "part", mode="append")
+    back = {r.data: r.id_part for r in sinks.read_groups(spark, path).collect()}
+    assert back == {r.cell: r.id_part for r in groups.collect()}

@@ -10,6 +10,7 @@ from starloom import session
 from starloom.operators import quadtree as Q
 from starloom.operators.ranges import decode_ranges
 
+LIMIT = session.BROADCAST_BYTES
 THRESHOLD_7 = {
     "_0000": 5, "_0003": 4, "_003": 1, "_21": 3, "_22": 7, "_33333330": 4, "_33333333": 6,
 }
@@ -66,7 +67,7 @@ def test_equals_the_rounds(spark, seed, threshold, max_depth, max_heavy):
 
 @pytest.mark.parametrize(("max_depth", "max_heavy"), [(7, None), (9, 4), (9, 40), (30, None)])
 def test_counting_in_stages_equals_the_rounds(spark, monkeypatch, max_depth, max_heavy):
-    monkeypatch.setattr(Q, "STAGES", (3, 5, 7, 13, 30))
+    monkeypatch.setattr(Q, "FIRST_COUNT", 3)
     points = [p for p in clumped(19, 500) if max_depth < 30 or p != (0.123, 0.456)]
     df = table(spark, points)
     tree = Q.build_quadtree(df, "x", "y", 12, max_depth, max_heavy)
@@ -88,18 +89,34 @@ def test_tiers_and_shuffled_joins_give_the_same_cells(spark, monkeypatch):
     df = table(spark, points)
     tree = Q.build_quadtree(df, "x", "y", 10, 10)
     expected = leaf_counts(points, 10, 10)
-    for limit in (session.BROADCAST_BYTES, 20_000, 1):
+    labels = tree.counts().select("cell", (F.col("n") + 1).alias("more"))
+    for limit in (LIMIT, 20_000, 4000, 1):
         monkeypatch.setattr(session, "BROADCAST_BYTES", limit)
+        monkeypatch.setattr(Q, "BUNDLE_LEAVES", 8)
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
         try:
-            tagged = tree.assign(df, "x", "y")
+            tagged = tree.assign(df, "x", "y", labels=labels)
             plan = tagged._jdf.queryExecution().executedPlan().toString()
-            assert ("SortMergeJoin" in plan) == (limit == 1)
-            assert assigned(tree, df) == expected
+            # Above the limit the rows are shuffled once, to the lists of leaves.
+            joins = plan.count("SortMergeJoin")
+            assert joins == 0 if limit == LIMIT else joins <= 1 if limit == 20_000 else joins == 1
+            assert plan.count("Exchange hash") <= 2
+            rows = tagged.orderBy("id").collect()
+            assert [r.cell for r in rows] == expected
+            assert [r.more for r in rows] == [Counter(expected)[c] + 1 for c in expected]
         finally:
             spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("size", [300, 3000])
+def test_no_leaf_is_above_the_threshold_unless_points_coincide(spark, size):
+    points = clumped(29, size)
+    rows = Q.build_quadtree(table(spark, points), "x", "y", 25).leaves().collect()
+    assert sum(r.n for r in rows) == size
+    heavy = [r for r in rows if r.n > 25]
+    assert [r.n for r in heavy] == [size // 3] and heavy[0].depth == 30
+
+
 def test_join_depths():
     assert Q.join_depths({}) == []
     assert Q.join_depths({2: 3, 4: 5}, 1000) == [(4, [2, 4], 3 * 16 + 5)]

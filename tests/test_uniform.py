@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 from sample import SAMPLE
 
@@ -125,3 +126,27 @@ def test_rows_of_a_cell_are_filtered_in_the_scan(spark, tmp_path):
         got = rows_of_uniform_cell(df, box, 4, i, j, "x", "y")
         assert sorted(got.collect()) == sorted(rows_of_cell(whole, f"{i}{j}").collect())
         assert "GreaterThanOrEqual(x," in got._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize(
+    ("low", "high", "n"),
+    [(1e15, 1e15 + 4, 1000), (1e15, 1e15 + 4, 10_000), (-1e16, -1e16 + 64, 7), (0.1, 0.7, 10_000), (3.0, 3.0000000000000004, 9)],
+)
+def test_edges_that_fall_together(spark, low, high, n):
+    rng = random.Random(3)
+    step = (high - low) / n
+    edges = [low + k * step for k in range(n + 1)]
+    values = sorted({low, high, *(min(high, low + (high - low) * rng.random()) for _ in range(60)), *rng.sample(edges[:-1], min(n, 40))})
+
+    def slot(v):
+        return next((k for k in range(n) if edges[k] <= v <= edges[k + 1]), n - 1)
+
+    df = spark.createDataFrame([(v, 0.5) for v in values], "x double, y double")
+    got = {r.x: r.cell for r in assign_uniform(df, Box(low, high, 0.0, 1.0), n, "x", "y").collect()}
+    assert {v: c.split("_")[0] if n > 10 else c[0] for v, c in got.items()} == {v: str(slot(v)) for v in values}
+
+
+def test_tables_without_points(spark):
+    df = spark.createDataFrame([], "x double, y double")
+    assert assign_uniform(df, None, 4, "x", "y").columns == assign_quadrant(df, None, "x", "y").columns
+    assert uniform_cells(spark, None, 4).count() == quadrant_cells(spark, None).count() == 0
