@@ -32,8 +32,9 @@ from starloom.session import cut_lineage
 
 SEQUENCE_TOKENS = 2048
 END_ID = 0
-# Rows of one length are ranked in groups of about this many.
-RANK_ROWS = 100_000
+# Rows of one length are ranked in groups of about this many, so that a length that many
+# documents have is no group of its own.
+RANK_ROWS = 1000
 # A space beside white space, or at the end of a text: there a cut at spaces would split
 # a run of white space that the tokenizer sees as a whole.
 SPACE = r"\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
@@ -203,13 +204,13 @@ def pack_best_fit(
     if any(size is None or not 0 < size <= capacity for size in counts):
         raise ValueError(f"every length must lie between 1 and {capacity}")
     records, _ = best_fit_plan(counts, capacity)
-    groups = max(1, sum(counts.values()) // RANK_ROWS)
+    # Groups of every length, by the length: an array as long as a sequence.
+    groups = F.array(*[F.lit(max(1, counts.get(k, 0) // RANK_ROWS)).cast("long") for k in range(capacity + 1)])
 
     size, group, rank = "_pack_size", "_pack_group", "_pack_rank"
     ties = [F.col(f"`{name}`") for name in tie]
-    grouped = rows.withColumns(
-        {size: F.col(length).cast("int"), group: F.pmod(F.xxhash64(*ties), F.lit(groups)).cast("int")}
-    )
+    grouped = rows.withColumn(size, F.col(length).cast("int"))
+    grouped = grouped.withColumn(group, F.pmod(F.xxhash64(*ties), F.get(groups, F.col(size))))
     before = Window.partitionBy(size).orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
     firsts = grouped.groupBy(size, group).agg(F.count("*").alias("_pack_n")).select(
         size, group, F.coalesce(F.sum("_pack_n").over(before), F.lit(0)).alias("_pack_first")
