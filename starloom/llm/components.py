@@ -26,10 +26,11 @@ def connected_components(links: DataFrame) -> DataFrame:
     before = _state(links)
     while before[0]:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        # Stored, so that the join deals out both sides anew and can split a node with many links.
+        least = cut_lineage(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
         larger = both.filter(F.col("b") > F.col("a")).join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        larger = larger.distinct()
-        least = larger.groupBy("a").agg(F.min("b").alias("m"))
+        larger = cut_lineage(larger.distinct())
+        least = cut_lineage(larger.groupBy("a").agg(F.min("b").alias("m")))
         smaller = larger.join(least, "a")
         tied = smaller.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
             least.select("a", F.col("m").alias("b"))
