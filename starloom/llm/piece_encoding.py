@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.batches import WORD_SLICE_BYTES, add_text_columns, kept_in_worker
+from starloom.llm.batches import add_text_columns, kept_in_worker
 from starloom.llm.units import joined, split_at_spaces
 
 SPACE = "▁"
@@ -34,8 +34,8 @@ RUNS = re.compile(r" *[^ ]+| +$")
 LOCKSTEP_CHARS = 32
 # Characters that are indexed in one go, so that the table of edges stays small.
 INDEX_CHARS = 1 << 20
-# Pre-tokens whose ids are kept between blocks, and the longest one that is kept.
-KEPT_UNITS, KEPT_CHARS = 200_000, 32
+# Bytes of text in a block: the more, the fewer pre-tokens are distinct.
+BLOCK_BYTES = 16 << 20
 
 
 class Vocabulary:
@@ -294,35 +294,26 @@ class PieceCodec:
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary = vocabulary
-        self.known: dict[str, np.ndarray] = {}
-
-    def unit_ids(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of pre-tokens, written with the mark for spaces, in a row, and where each begins."""
-        if len(self.known) + len(units) > 2 * KEPT_UNITS:
-            self.known.clear()
-        new = [unit for unit in units if unit not in self.known]
-        begin = 0
-        fresh: dict[str, np.ndarray] = {}
-        while begin < len(new):
-            end, chars = begin, 0
-            while end < len(new) and (end == begin or chars + len(new[end]) <= INDEX_CHARS):
-                chars += len(new[end])
-                end += 1
-            ids, starts = self._segment(new[begin:end])
-            for k, unit in enumerate(new[begin:end]):
-                fresh[unit] = ids[starts[k] : starts[k + 1]]
+        sizes = np.array([len(surface) for surface in vocabulary.surfaces], np.int64)
+        self.surface_starts = np.concatenate([[0], np.cumsum(sizes)])
+        self.surface_bytes = np.frombuffer(b"".join(vocabulary.surfaces), np.uint8)
+
+    def segment(self, points: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pre-tokens, given as code points in a row, and where each begins."""
+        ends = np.cumsum(sizes)
+        lists, counts, begin = [], [], 0
+        while begin < len(sizes):
+            first = ends[begin] - sizes[begin]
+            end = max(begin + 1, int(np.searchsorted(ends, first + INDEX_CHARS, "right")))
+            ids, starts = self._segment(points[first : ends[end - 1]], ends[begin:end] - first)
+            lists.append(ids)
+            counts.append(np.diff(starts))
             begin = end
-        lists = [fresh[unit] if unit in fresh else self.known[unit] for unit in units]
-        room = max(0, KEPT_UNITS - len(self.known))
-        for unit in [unit for unit in new if len(unit) <= KEPT_CHARS][:room]:
-            self.known[unit] = fresh[unit].copy()
-        starts = np.concatenate([[0], np.cumsum([len(ids) for ids in lists])]).astype(np.int64)
+        starts = np.concatenate([[0], np.cumsum(np.concatenate([*counts, np.zeros(0, np.int64)]))])
         return np.concatenate([*lists, np.zeros(0, np.int64)]), starts
 
-    def _segment(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _segment(self, points: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         vocabulary = self.vocabulary
-        points = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)
-        ends = np.cumsum([len(unit) for unit in units])
         starts = np.concatenate([[0], ends])
         table = edges_by_position(vocabulary, points, ends)
         relax = relax_left_to_right if vocabulary.unigram else relax_by_score
@@ -334,10 +325,10 @@ class PieceCodec:
         if not len(missing):
             return pieces, first
         # A character without a piece becomes its bytes, or the unknown piece.
-        spelled = [np.array([piece]) for piece in pieces[missing]]
-        for k, at in enumerate(begins[missing]):
-            raw = chr(points[at]).encode("utf-8", "replace")
-            spelled[k] = vocabulary.bytes[list(raw)] if vocabulary.falls_back else np.array([vocabulary.unknown])
+        spelled = []
+        for point in points[begins[missing]].tolist():
+            raw = chr(point).encode("utf-8", "replace")
+            spelled.append(vocabulary.bytes[list(raw)] if vocabulary.falls_back else np.array([vocabulary.unknown]))
         count = np.ones(len(pieces), np.int64)
         count[missing] = [len(ids) for ids in spelled]
         out_starts = np.concatenate([[0], np.cumsum(count)])
@@ -350,42 +341,54 @@ class PieceCodec:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text begins (with the end at last)."""
+        if not self.vocabulary.prefix:
+            raise ValueError("only models that put a space in front are supported")
         texts = pc.replace_substring(texts, SPACE, " ")  # the model takes the mark for a space
         irregular = np.asarray(pc.match_substring_regex(texts, "^$|^ | $|  ").to_numpy(zero_copy_only=False))
         regular = np.flatnonzero(~irregular)
         units = split_at_spaces(texts.take(pa.array(regular)))
-        n_words = len(units.words)
-        spelled = [SPACE + word for word in units.words.to_pylist()]
-        codes, sizes = units.codes, np.zeros(len(texts), np.int64)
+        words, codes = units.words, units.codes
+        sizes = np.zeros(len(texts), np.int64)
         sizes[regular] = np.diff(units.starts)
-        if not self.vocabulary.prefix:
-            raise ValueError("only models that put a space in front are supported")
+        # Pre-tokens of texts with several spaces in a row are cut one text at a time.
         extra: dict[str, int] = {}
-        pieces, last = [], 0
+        parts, last = [], 0
         for row in np.flatnonzero(irregular):
             upto = units.starts[np.searchsorted(regular, row)]
-            pieces.append(codes[last:upto])
-            last = upto
             text = texts[int(row)].as_py()
             runs = [run.replace(" ", SPACE) for run in RUNS.findall(" " + text)] if text else []
-            pieces.append(np.array([extra.setdefault(run, n_words + len(extra)) for run in runs], np.int64))
-            sizes[row] = len(runs)
-        codes = np.concatenate([*pieces, codes[last:]])
-        distinct = dict.fromkeys([*spelled, *extra])
-        place = {unit: k for k, unit in enumerate(distinct)}
-        index = np.array([place[unit] for unit in [*spelled, *extra]], np.int64)
-        values, starts = self.unit_ids(list(distinct))
-        ids, ends = joined(values, starts, index[codes] if len(codes) else codes)
+            numbers = [len(words) + extra.setdefault(run, len(extra)) for run in runs]
+            parts += [codes[last:upto], np.array(numbers, np.int64)]
+            last, sizes[row] = upto, len(runs)
+        codes = np.concatenate([*parts, codes[last:]])
+        line = ""
+        if len(words):
+            whole = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)
+            line = SPACE + pc.binary_join(whole, SPACE)[0].as_py()
+        points = np.frombuffer((line + "".join(extra)).encode("utf-32-le"), np.uint32)
+        lengths = np.concatenate([np.asarray(pc.utf8_length(words), np.int64) + 1, [len(run) for run in extra]])
+        values, starts = self.segment(points, lengths.astype(np.int64))
+        ids, ends = joined(values, starts, codes)
         return ids, ends[np.concatenate([[0], np.cumsum(sizes)])]
 
     def decode(self, ids: np.ndarray, starts: np.ndarray) -> pa.Array:
         """Texts of ids; bytes that are no UTF-8 become replacement characters."""
-        surfaces = self.vocabulary.surfaces
-        out = []
-        for begin, end in zip(starts[:-1], starts[1:], strict=True):
-            text = b"".join([surfaces[number] for number in ids[begin:end].tolist()]).decode("utf-8", "replace")
-            out.append(text[1:] if text.startswith(" ") else text)
-        return pa.array(out, pa.string())
+        content, ends = joined(self.surface_bytes, self.surface_starts, ids)
+        bounds = ends[starts]
+        # The space that encoding puts in front is left out.
+        blank = np.flatnonzero(np.diff(bounds))
+        blank = blank[content[bounds[blank]] == 32]
+        kept = np.ones(len(content), bool)
+        kept[bounds[blank]] = False
+        bounds = bounds - np.concatenate([[0], np.cumsum(~kept)])[bounds]
+        raw = content[kept].tobytes()
+        try:
+            raw.decode()
+            offsets = pa.py_buffer(bounds.astype(np.int64).tobytes())
+            return pa.Array.from_buffers(pa.large_string(), len(starts) - 1, [None, offsets, pa.py_buffer(raw)]).cast(pa.string())
+        except UnicodeDecodeError:
+            texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            return pa.array(texts, pa.string())
 
 
 def codec_of(path: str) -> PieceCodec:
@@ -408,7 +411,7 @@ def encode_pieces(df: DataFrame, model_path: str, text: str = "text", ids: str =
 
         return work
 
-    return add_text_columns(df, text, f"`{ids}` array<int>", make, WORD_SLICE_BYTES)
+    return add_text_columns(df, text, f"`{ids}` array<int>", make, BLOCK_BYTES)
 
 
 def decode_pieces(df: DataFrame, model_path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -456,4 +459,4 @@ def check_pieces(df: DataFrame, model_path: str, text: str = "text") -> DataFram
 
         return work
 
-    return add_text_columns(df, text, "n_pieces bigint, ids_crc32 bigint, round_trip boolean", make, WORD_SLICE_BYTES)
+    return add_text_columns(df, text, "n_pieces bigint, ids_crc32 bigint, round_trip boolean", make, BLOCK_BYTES)
