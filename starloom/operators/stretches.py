@@ -19,15 +19,15 @@ def with_stretch(ids: DataFrame, cell: str = "cell") -> DataFrame:
     Stretches in order hold ids in order, whatever their lengths.
     """
     length = FIRST_CHARS
-    marked = session.cut_lineage(ids.withColumn("stretch", F.substring(cell, 1, length)))
-    longest = marked.agg(F.max(F.length(cell))).first()[0] or 0
-    while length < longest:
-        sizes = marked.groupBy("stretch").agg(F.count("*").alias("_ids"))
+    marked = ids.withColumn("stretch", F.substring(cell, 1, length))
+    sizes = marked.groupBy("stretch").agg(F.count("*").alias("_ids"), F.max(F.length(cell)).alias("_chars"))
+    most = sizes.agg(F.max("_ids").alias("ids"), F.max("_chars").alias("chars")).first()
+    while (most.ids or 0) > STRETCH_IDS and length < most.chars:
         large = session.cut_lineage(sizes.filter(F.col("_ids") > STRETCH_IDS).select("stretch", F.lit(True).alias("_more")))
-        if large.isEmpty():
-            break
         length += MORE_CHARS
         finer = F.when(F.col("_more"), F.substring(cell, 1, length)).otherwise(F.col("stretch"))
         marked = session.join_cell_table(marked, large, "stretch", "left").withColumn("stretch", finer).drop("_more")
         marked = session.cut_lineage(marked)
+        sizes = marked.groupBy("stretch").agg(F.count("*").alias("_ids"), F.max(F.length(cell)).alias("_chars"))
+        most = sizes.agg(F.max("_ids").alias("ids"), F.max("_chars").alias("chars")).first()
     return marked
