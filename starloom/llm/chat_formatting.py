@@ -48,12 +48,13 @@ def rotate_perspectives(
     ``mask`` is an array of ``begin, end``: in each of the speaker's turns the text and the
     marker that ends it. Turns follow their number, then role and text; a null number
     comes first, on a page without a number. A null role is a speaker called
-    ``unknown``, a null text is empty, and turns without a conversation form one together.
-    Repeated rows are rendered each. A conversation of system turns alone has no row, nor has
-    an empty table; columns other than the four named are left out.
+    ``unknown``, a null text is empty, and a turn without a conversation is one by itself.
+    Repeated rows are rendered each; a turn number is expected to be held by few rows of a
+    conversation. A conversation of system turns alone has no row, nor has an empty table;
+    columns other than the four named are left out.
     """
     rows = turns.select(
-        F.struct(F.col(conversation).alias("conv")).alias("key"),
+        F.col(f"`{conversation}`").alias("key"),
         F.floor(F.col(turn) / page_turns).cast("long").alias("page"),
         F.struct(
             F.col(turn).alias("turn"),
@@ -61,10 +62,14 @@ def rotate_perspectives(
             F.coalesce(text, F.lit("")).alias("text"),
         ).alias("said"),
     )
-    speakers = rows.select("key", F.col("said.role").alias("speaker")).distinct()
+    told = rows.filter(F.col("key").isNotNull())
+    speakers = told.select("key", F.col("said.role").alias("speaker")).distinct()
     speakers = speakers.filter(~F.col("speaker").isin(*system_roles)) if system_roles else speakers
-    pages = rows.groupBy("key", "page").agg(F.sort_array(F.collect_list("said")).alias("said"))
-    seen = pages.join(speakers, "key").withColumn(
+    pages = told.groupBy("key", "page").agg(F.sort_array(F.collect_list("said")).alias("said"))
+    alone = rows.filter(F.col("key").isNull()).select("key", "page", F.array("said").alias("said"))
+    alone = alone.withColumn("speaker", F.get("said", F.lit(0))["role"])
+    alone = alone.filter(~F.col("speaker").isin(*system_roles)) if system_roles else alone
+    seen = pages.join(speakers, "key").select("key", "page", "said", "speaker").unionByName(alone).withColumn(
         "segments",
         F.transform(
             "said",
@@ -92,4 +97,4 @@ def rotate_perspectives(
     )
     seen = seen.withColumn("mask", F.filter(spans, lambda span: span.isNotNull()))
     seen = seen.withColumn("n_turns", F.size("said")).withColumn("rendered", F.array_join("segments", ""))
-    return seen.select(F.col("key.conv").alias(conversation), "speaker", "page", "n_turns", "rendered", "mask")
+    return seen.select(F.col("key").alias(conversation), "speaker", "page", "n_turns", "rendered", "mask")

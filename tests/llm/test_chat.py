@@ -17,14 +17,16 @@ ROWS = [
     (3, 0, None, f"a marker {END} inside", "p"),
     (None, 5, "ann", "lost", "p"),
     (None, 6, "cy", "", "p"),
+    (None, 6, "cy", "", "p"),
+    (None, 6, "system", "x", "p"),
     *[(4, k, ("x", "y", "z")[k % 3], f"turn {k}", "p") for k in range(200)],
 ]
 
 
 def by_hand(rows, page_turns):
     pages, speakers = defaultdict(list), defaultdict(set)
-    for conv, turn, role, text, _ in rows:
-        role = role or "unknown"
+    for k, (conv, turn, role, text, _) in enumerate(rows):
+        role, conv = role or "unknown", f"alone {k}" if conv is None else conv
         pages[conv, None if turn is None else turn // page_turns].append((-1 if turn is None else turn, role, text or ""))
         if role != "system":
             speakers[conv].add(role)
@@ -48,8 +50,12 @@ def by_hand(rows, page_turns):
 def test_perspectives(spark):
     for page_turns in (64, 7):
         got = rotate_perspectives(spark.createDataFrame(ROWS, SCHEMA), page_turns=page_turns).collect()
-        found = {(r.conv_id, r.speaker, r.page): (r.n_turns, r.rendered, [tuple(s) for s in r["mask"]]) for r in got}
-        assert len(found) == len(got) and found == by_hand(ROWS, page_turns)
+        found = Counter((r.conv_id, r.speaker, r.page, r.n_turns, r.rendered, *map(tuple, r["mask"])) for r in got)
+        want = Counter(
+            (None if isinstance(conv, str) else conv, speaker, page, n, line, *spans)
+            for (conv, speaker, page), (n, line, spans) in by_hand(ROWS, page_turns).items()
+        )
+        assert found == want
 
 
 def test_masks_cover_what_the_speaker_says(spark):
