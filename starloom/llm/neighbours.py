@@ -13,14 +13,12 @@ STEP = 64
 
 def _count_below(bounds: list[int], key: Column, same: bool) -> Column:
     """How many of the sorted bounds are below the key, or below or equal."""
-    below = lambda found, k: F.size(F.filter(found, lambda b: (b <= k) if same else (b < k)))
-    if len(bounds) <= STEP:
-        return below(F.array(*map(F.lit, bounds)).cast("array<bigint>"), key)
-    rows = [bounds[i : i + STEP] for i in range(0, len(bounds), STEP)]
-    lasts = F.array(*[F.lit(row[-1]) for row in rows]).cast("array<bigint>")
-    table = F.array(*[F.array(*map(F.lit, row)).cast("array<bigint>") for row in [*rows, []]])
-    at = below(lasts, key)
-    return at * STEP + below(F.get(table, at), key)
+    listed = lambda values: F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+    below = lambda found: F.size(F.filter(found, lambda b: (b <= key) if same else (b < key)))
+    if not bounds:
+        return F.lit(0)
+    at = below(listed(bounds[STEP - 1 :: STEP])) * STEP if len(bounds) >= STEP else F.lit(0)
+    return at + below(F.slice(listed(bounds), at + 1, STEP))
 
 
 def with_next_text(df: DataFrame, key: str = "doc_id", text: str = "text", name: str = "next_text") -> DataFrame:
