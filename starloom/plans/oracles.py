@@ -247,7 +247,8 @@ def _ddl_columns() -> str:
 
 def _fields() -> str:
     texts = [f"coalesce(CAST({c} AS VARCHAR), 'NULL') AS {c}" for c in LINEITEM_COLUMNS]
-    return f"SELECT CAST({len(texts) + 1} AS INTEGER) AS n_fields, {', '.join(texts)}, coalesce(CAST({TAXED} AS VARCHAR), 'NULL') AS taxed FROM lineitem"
+    texts.append(f"coalesce(CAST({TAXED} AS VARCHAR), 'NULL') AS taxed")
+    return f"SELECT CAST({len(texts)} AS INTEGER) AS n_fields, {', '.join(texts)} FROM lineitem"
 
 
 def _rectangles() -> str:
