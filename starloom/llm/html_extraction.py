@@ -26,13 +26,19 @@ from pyspark.sql import functions as F
 
 from starloom.llm.batches import add_text_columns, texts_of
 from starloom.llm.boosted_trees import BoostedTrees, fit_trees
-from starloom.llm.page_nodes import ATTRIBUTE_WORDS, KIND, KINDS, Nodes, add_up, node_features, parse_pages
+from starloom.llm.page_nodes import ATTRIBUTE_WORDS, KIND, Nodes, add_up, node_features, parse_pages
 
 # Pages that the trees are fitted on, most bytes of one, and layouts made of each.
 SAMPLE_PAGES, PAGE_BYTES, LAYOUTS = 300, 1 << 18, 3
 # Paragraphs of a page that a layout uses at most.
 LAYOUT_BLOCKS = 12
 SLICE_BYTES = 2 << 20
+# How the element around a main text may name itself in a layout, and what lies around that.
+CONTENT_LABELS = (
+    "", ' class="content"', ' id="main-content"', ' class="post-body"', ' class="entry"', ' class="article-text"',
+    ' class="story"', ' class="page"', ' id="body"', ' class="c12"',
+)
+WRAPPER, PAGE = ' class="wrapper"', ' id="page"'
 # Elements that never hold main text, whatever the trees say about what is in them.
 NEVER = ("nav", "form", "button", "dialog")
 
@@ -98,61 +104,121 @@ def own_labels(nodes: Nodes) -> tuple[np.ndarray, np.ndarray]:
     return inside & ~barred, (has_article | has_main)[nodes.page]
 
 
-def _boilerplate(rng: random.Random, line, name) -> list[str]:
-    """Parts that are no main text, each in one of several forms. ``line`` and ``name`` give text."""
-    pick = rng.choice
-    links = lambda n: "".join(f'<li><a href="/{name()}">{name()}</a></li>' for _ in range(n))
-    attribute = lambda *names: f'{pick(("class", "id"))}="{pick(names)}"'
-    menu = lambda: pick((f"<nav><ul>{links(rng.randint(3, 9))}</ul></nav>", f'<div {attribute("menu", "navbar", "main-nav", "breadcrumbs")}><ul>{links(rng.randint(2, 9))}</ul></div>'))  # noqa: E731, E501
-    header = lambda: pick((f"<header><h2>{name()} {name()}</h2><p>{line()}</p></header>", f'<div {attribute("header", "site-header", "top-banner", "masthead")}><h2>{name()}</h2><p>{line()}</p></div>'))  # noqa: E731, E501
-    footer = lambda: pick((f"<footer>&copy; {name()} {line()}</footer>", f'<footer><ul>{links(4)}</ul><p>{line()}</p></footer>', f'<div {attribute("footer", "site-footer", "bottom", "copyright")}><p>{line()}</p></div>'))  # noqa: E731, E501
-    side = lambda: pick((f"<aside><h3>{name()}</h3><p>{line()}</p></aside>", f'<aside {attribute("sidebar", "related")}><ul>{links(5)}</ul></aside>', f'<div {attribute("sidebar", "related-posts", "widget", "right-rail")}><h3>{name()}</h3><p>{line()}</p><ul>{links(4)}</ul></div>'))  # noqa: E731, E501
-    advert = lambda: f'<{(t := pick(("div", "section", "p", "aside")))} {attribute("ad", "advert", "ad-slot", "sponsored", "promo-box", "banner-ad")}>{line()}</{t}>'  # noqa: E731, E501
-    notice = lambda: f'<{(t := pick(("div", "section", "aside")))} {pick((attribute("cookie-notice", "consent-banner", "alert", "popup", "gdpr-message"), "role=" + chr(34) + "alert" + chr(34)))}><p>{line()}</p><button>{name()}</button></{t}>'  # noqa: E731, E501
-    form = lambda: f'<form {pick(("", attribute("newsletter", "search", "signup")))}><p>{line()}</p><label>{name()}</label><input type="text"><button>{name()}</button></form>'  # noqa: E731, E501
-    remark = lambda: pick((f'<div class="comment"><b>{name()}</b><p>{line()}</p></div>', f"<li><p>{name()}</p><p>{line()} {line()}</p></li>", f"<p>{line()}</p>"))  # noqa: E731, E501
-    comments = lambda: f'<{(t := pick(("div", "section", "ul")))} {attribute("comments", "comment-list", "discussion", "responses")}><h3>{name()}</h3>{"".join(remark() for _ in range(rng.randint(1, 6)))}</{t}>'  # noqa: E731, E501
-    share = lambda: f'<div {attribute("share", "social-links", "byline", "author-meta")}>{name()} <a href="#">{name()}</a></div>'  # noqa: E731, E501
-    return [menu, header, footer, side, advert, notice, form, comments, share]
-
-
-def layout(blocks: list[str], lines: list[str], rng: random.Random) -> str:
-    """A page with the given main text in one of many layouts; its blocks bear ``data-keep``."""
-    line = lambda: html.escape(rng.choice(lines))
-    name = lambda: html.escape(" ".join(rng.choice(lines).split()[: rng.randint(1, 2)]) or "x")
-    menu, header, footer, side, advert, notice, form, comments, share = _boilerplate(rng, line, name)
-    plain = rng.random() < 0.25  # a page that marks nothing by attributes
-    content = []
-    for k, block in enumerate(blocks):
-        text = html.escape(block)
-        tag = "h1" if k == 0 and rng.random() < 0.7 else rng.choice(("p",) * 12 + ("h2", "blockquote", "li", "pre", "div"))
+class Layouts:
+    """Pages made of given texts: main text in blocks that bear ``data-keep``, other parts around it."""
+
+    def __init__(self, lines: list[str], rng: random.Random) -> None:
+        self.lines, self.rng = lines, rng
+
+    def line(self) -> str:
+        return html.escape(self.rng.choice(self.lines))
+
+    def name(self) -> str:
+        words = self.rng.choice(self.lines).split()[: self.rng.randint(1, 2)]
+        return html.escape(" ".join(words) or "x")
+
+    def links(self, n: int) -> str:
+        return "".join(f'<li><a href="/{self.name()}">{self.name()}</a></li>' for _ in range(n))
+
+    def attribute(self, *names: str) -> str:
+        return f' {self.rng.choice(("class", "id"))}="{self.rng.choice(names)}"'
+
+    def wrapped(self, tags: tuple[str, ...], attribute: str, inner: str) -> str:
+        tag = self.rng.choice(tags)
+        return f"<{tag}{attribute}>{inner}</{tag}>"
+
+    def menu(self) -> str:
+        items = f"<ul>{self.links(self.rng.randint(2, 9))}</ul>"
+        if self.rng.random() < 0.5:
+            return f"<nav>{items}</nav>"
+        return f"<div{self.attribute('menu', 'navbar', 'main-nav', 'breadcrumbs')}>{items}</div>"
+
+    def header(self) -> str:
+        inner = f"<h2>{self.name()} {self.name()}</h2><p>{self.line()}</p>"
+        if self.rng.random() < 0.5:
+            return f"<header>{inner}</header>"
+        return f"<div{self.attribute('header', 'site-header', 'top-banner', 'masthead')}>{inner}</div>"
+
+    def footer(self) -> str:
+        choice = self.rng.random()
+        if choice < 0.3:
+            return f"<footer>&copy; {self.name()} {self.line()}</footer>"
+        if choice < 0.6:
+            return f"<footer><ul>{self.links(4)}</ul><p>{self.line()}</p></footer>"
+        return f"<div{self.attribute('footer', 'site-footer', 'bottom', 'copyright')}><p>{self.line()}</p></div>"
+
+    def side(self) -> str:
+        attribute = self.attribute("sidebar", "related-posts", "widget", "right-rail")
+        inner = self.rng.choice(
+            (f"<h3>{self.name()}</h3><p>{self.line()}</p>", f"<ul>{self.links(5)}</ul>",
+             f"<h3>{self.name()}</h3><p>{self.line()}</p><ul>{self.links(4)}</ul>")
+        )
+        return f"<aside>{inner}</aside>" if self.rng.random() < 0.3 else self.wrapped(("aside", "div"), attribute, inner)
+
+    def advert(self) -> str:
+        attribute = self.attribute("ad", "advert", "ad-slot", "sponsored", "promo-box", "banner-ad")
+        return self.wrapped(("div", "section", "p", "aside"), attribute, self.line())
+
+    def notice(self) -> str:
+        attribute = self.attribute("cookie-notice", "consent-banner", "alert", "popup", "gdpr-message")
+        attribute = ' role="alert"' if self.rng.random() < 0.15 else attribute
+        inner = f"<p>{self.line()}</p><button>{self.name()}</button>"
+        return self.wrapped(("div", "section", "aside"), attribute, inner)
+
+    def form(self) -> str:
+        attribute = "" if self.rng.random() < 0.5 else self.attribute("newsletter", "search", "signup")
+        inner = f'<label>{self.name()}</label><input type="text"><button>{self.name()}</button>'
+        return f"<form{attribute}><p>{self.line()}</p>{inner}</form>"
+
+    def remark(self) -> str:
+        return self.rng.choice(
+            (f'<div class="comment"><b>{self.name()}</b><p>{self.line()}</p></div>',
+             f"<li><p>{self.name()}</p><p>{self.line()} {self.line()}</p></li>", f"<p>{self.line()}</p>")
+        )
+
+    def comments(self) -> str:
+        remarks = "".join(self.remark() for _ in range(self.rng.randint(1, 6)))
+        attribute = self.attribute("comments", "comment-list", "discussion", "responses")
+        return self.wrapped(("div", "section", "ul"), attribute, f"<h3>{self.name()}</h3>{remarks}")
+
+    def share(self) -> str:
+        attribute = self.attribute("share", "social-links", "byline", "author-meta")
+        return f'<div{attribute}>{self.name()} <a href="#">{self.name()}</a></div>'
+
+    def block(self, text: str, first: bool) -> str:
+        rng, text = self.rng, html.escape(text)
+        tag = "h1" if first and rng.random() < 0.7 else "p"
+        if tag == "p" and rng.random() < 0.3:
+            tag = rng.choice(("h2", "blockquote", "li", "pre", "div"))
         if tag == "p" and rng.random() < 0.15:
-            words = text.split(" ")
-            words[0] = f"<{(i := rng.choice(('b', 'em', 'a')))}>{words[0]}</{i}>"
-            text = " ".join(words)
+            inline, words = rng.choice(("b", "em", "a")), text.split(" ")
+            text = " ".join([f"<{inline}>{words[0]}</{inline}>", *words[1:]])
         piece = f"<{tag} data-keep>{text}</{tag}>"
-        content.append(f"<ul>{piece}</ul>" if tag == "li" else piece)
-        if rng.random() < 0.08:
-            content.append(rng.choice((advert, side, form, share, notice))())
-    inner = "".join(content)
-    wrapper = rng.choice(("article", "main", "div", "section", "div", "td"))
-    label = "" if plain else rng.choice(
-        ("", ' class="content"', ' id="main-content"', ' class="post-body"', ' class="entry"', ' class="article-text"',
-         ' class="story"', ' class="page"', ' id="body"', ' class="c12"'))
-    inner = f"<{wrapper}{label}>{inner}</{wrapper}>"
-    if wrapper == "td":
-        inner = f"<table><tr>{inner}</tr></table>"
-    for _ in range(rng.randint(0, 2)):
-        inner = f"<div{rng.choice(('', ' class=' + chr(34) + 'wrapper' + chr(34), ' id=' + chr(34) + 'page' + chr(34)))}>{inner}</div>"
-    # Behind the text, what readers and machines have added; before it, the frame.
-    before = [part() for part in (menu, header, notice, advert, side, share) if rng.random() < 0.45]
-    after = [part() for part in (comments, side, advert, form, share, footer, menu, notice) if rng.random() < 0.4]
-    rng.shuffle(before)
-    rng.shuffle(after)
-    if rng.random() < 0.3 and inner.startswith("<div"):
-        inner = inner[: -len("</div>")] + "".join(after) + "</div>"
-        after = []
-    return f"<html><body>{''.join(before)}{inner}{''.join(after)}</body></html>"
+        return f"<ul>{piece}</ul>" if tag == "li" else piece
+
+    def page(self, blocks: list[str]) -> str:
+        """A page with this main text."""
+        rng = self.rng
+        content = []
+        for k, text in enumerate(blocks):
+            content.append(self.block(text, k == 0))
+            if rng.random() < 0.08:
+                content.append(rng.choice((self.advert, self.side, self.form, self.share, self.notice))())
+        label = rng.choice(CONTENT_LABELS) if rng.random() < 0.75 else ""  # or a page that marks nothing
+        inner = self.wrapped(("article", "main", "div", "section", "div"), label, "".join(content))
+        if rng.random() < 0.1:
+            inner = f"<table><tr><td>{inner}</td></tr></table>"
+        # Before the text the frame of the page, behind it what readers and machines have added.
+        before = [self.menu, self.header, self.notice, self.advert, self.side, self.share]
+        after = [self.comments, self.side, self.advert, self.form, self.share, self.footer, self.menu, self.notice]
+        before = [part() for part in rng.sample(before, len(before)) if rng.random() < 0.45]
+        after = [part() for part in rng.sample(after, len(after)) if rng.random() < 0.4]
+        if rng.random() < 0.25:  # some of it within the same element
+            inner = f"<div>{inner}{''.join(after)}</div>"
+            after = []
+        for _ in range(rng.randint(0, 2)):
+            inner = f"<div{rng.choice(('', WRAPPER, PAGE))}>{inner}</div>"
+        return f"<html><body>{''.join(before)}{inner}{''.join(after)}</body></html>"
 
 
 def fit_extractor(pages: list[str], seed: int = 0) -> BoostedTrees:
@@ -175,7 +241,7 @@ def fit_extractor(pages: list[str], seed: int = 0) -> BoostedTrees:
         for _ in range(LAYOUTS):
             first = rng.randrange(max(1, len(blocks) - LAYOUT_BLOCKS + 1))
             chosen = blocks[first : first + rng.randint(1, LAYOUT_BLOCKS)]
-            made.append(layout(chosen, others or blocks, rng))
+            made.append(Layouts(others or blocks, rng).page(chosen))
     if made:
         laid = parse_pages(made)
         parts.append((laid, laid.marked, np.ones(len(laid.page), bool)))

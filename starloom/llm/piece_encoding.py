@@ -381,11 +381,15 @@ class PieceCodec:
         kept = np.ones(len(content), bool)
         kept[bounds[blank]] = False
         bounds = bounds - np.concatenate([[0], np.cumsum(~kept)])[bounds]
-        raw = content[kept].tobytes()
+        content = content[kept]
+        raw, inner = content.tobytes(), bounds[bounds < len(content)]
         try:
+            if ((content[inner] & 0xC0) == 0x80).any():  # a character cut in two
+                raise UnicodeDecodeError("utf-8", raw, 0, 1, "a text begins inside a character")
             raw.decode()
             offsets = pa.py_buffer(bounds.astype(np.int64).tobytes())
-            return pa.Array.from_buffers(pa.large_string(), len(starts) - 1, [None, offsets, pa.py_buffer(raw)]).cast(pa.string())
+            buffers = [None, offsets, pa.py_buffer(raw)]
+            return pa.Array.from_buffers(pa.large_string(), len(starts) - 1, buffers).cast(pa.string())
         except UnicodeDecodeError:
             texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
             return pa.array(texts, pa.string())

@@ -52,7 +52,8 @@ def test_new_layouts(pages, trees):
     texts, others = {}, []
     for node, text in zip(nodes.segment_node.tolist(), nodes.segments, strict=True):
         texts.setdefault(int(nodes.page[node]), []).append(text) if own[node] else others.append(text)
-    made = [extraction.layout(blocks[: rng.randint(1, 20)], others, rng) for blocks in texts.values()]
+    layouts = extraction.Layouts(others, rng)
+    made = [layouts.page(blocks[: rng.randint(1, 20)]) for blocks in texts.values()]
     laid = parse_pages(made)
     kept = extraction.keep_nodes(laid, trees.log_odds(node_features(laid)))[laid.segment_node]
     true, size = laid.marked[laid.segment_node], np.array([len(s) for s in laid.segments])
@@ -118,7 +119,8 @@ def test_trees_learn_and_order():
 
 
 def test_awkward_pages(spark):
-    rows = [(1, "u", None, "t"), (2, None, "", "t"), (None, "u", "<article><p>one two three</p></article><footer>f</footer>", None),
+    marked = "<article><p>one two three</p></article><footer>f</footer>"
+    rows = [(1, "u", None, "t"), (2, None, "", "t"), (None, "u", marked, None),
             (4, "u", "<p>" + "long " * 50000, "t"), (4, "u", "<p>" + "long " * 50000, "t")]
     df = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")
     trees = extraction.train_extractor(df)

@@ -69,6 +69,15 @@ def test_pieces_are_the_library_s(texts, library):
     assert codec.decode(ids, starts).to_pylist() == library.decode(got)
 
 
+def test_bytes_that_are_no_text(library):
+    vocabulary = Vocabulary(MODEL)
+    two = [int(vocabulary.bytes[b]) for b in "é".encode()]
+    for lists in ([[two[0]], [two[1]]], [two, [two[0], 29871], []]):
+        starts = np.concatenate([[0], np.cumsum([len(ids) for ids in lists])])
+        got = PieceCodec(vocabulary).decode(np.array(sum(lists, []), np.int64), starts).to_pylist()
+        assert got == [library.decode(ids) for ids in lists]
+
+
 def test_small_blocks_and_long_units(texts, library, monkeypatch):
     monkeypatch.setattr("starloom.llm.piece_encoding.INDEX_CHARS", 200)
     monkeypatch.setattr("starloom.llm.piece_encoding.LOCKSTEP_CHARS", 16)
