@@ -8,13 +8,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Bytes of text that a worker looks at in one go, where it holds numbers for every byte, and
 # where it holds distinct words. A longer text is a slice of its own.
-SLICE_BYTES, WORD_SLICE_BYTES = 2 << 20, 8 << 20
+SLICE_BYTES, WORD_SLICE_BYTES = 1 << 20, 8 << 20
 
 Added = dict[str, "np.ndarray | pa.Array"]
 
@@ -55,7 +55,7 @@ def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]
 
 def add_text_columns(
     df: DataFrame,
-    text: str | Column,
+    text: str,
     schema: str,
     make: Callable[[], Callable[[pa.Array], Added]],
     slice_bytes: int = SLICE_BYTES,
@@ -68,27 +68,31 @@ def add_text_columns(
     """
     fields = T._parse_datatype_string(schema).fields
     new = [field.name for field in fields]
-    kept = [name for name in df.columns if name not in new]
-    column = F.col(text) if isinstance(text, str) else text
+    # The text itself travels once, also where it is one of the columns to keep.
+    own_text = text in df.columns and text not in new and dict(df.dtypes)[text] == "string"
+    kept = [name for name in df.columns if name not in new and not (own_text and name == text)]
     narrow = df.select(
-        column.cast("string").alias("text"),
+        F.col(f"`{text}`").cast("string").alias("text"),
         F.struct(*[F.col(f"`{name}`") for name in kept] or [F.lit(0).alias("none")]).alias("row"),
     )
     # Inside, the new columns have names that cannot meet those of the input.
     own = [T.StructField(f"_new_{k}", field.dataType) for k, field in enumerate(fields)]
-    out = T.StructType([T.StructField("row", narrow.schema["row"].dataType), *own])
+    out = T.StructType([*narrow.schema.fields, *own] if own_text else [narrow.schema["row"], *own])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            texts, rows = texts_of(batch.column(0)), batch.column(1)
+            passed = batch.columns if own_text else batch.columns[1:]
+            texts = texts_of(batch.column(0))
             for begin, end in slices(texts, slice_bytes):
                 added = work(texts_of(texts.slice(begin, end - begin)))
                 columns = [pa.array(added[name]) for name in new]
-                yield pa.RecordBatch.from_arrays([rows.slice(begin, end - begin), *columns], out.names)
+                same = [column.slice(begin, end - begin) for column in passed]
+                yield pa.RecordBatch.from_arrays([*same, *columns], out.names)
 
     done = narrow.mapInArrow(run, out)
+    place = {name: F.col(f"row.`{name}`") for name in kept} | ({text: F.col("text")} if own_text else {})
     return done.select(
-        *[F.col(f"row.`{name}`").alias(name) for name in kept],
+        *[place[name].alias(name) for name in df.columns if name in place],
         *[F.col(field.name).alias(name) for field, name in zip(own, new, strict=True)],
     )

@@ -32,7 +32,7 @@ from starloom.llm.page_nodes import ATTRIBUTE_WORDS, KIND, Nodes, add_up, node_f
 SAMPLE_PAGES, PAGE_BYTES, LAYOUTS = 300, 1 << 18, 3
 # Paragraphs of a page that a layout uses at most.
 LAYOUT_BLOCKS = 12
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 # How the element around a main text may name itself in a layout, and what lies around that.
 CONTENT_LABELS = (
     "", ' class="content"', ' id="main-content"', ' class="post-body"', ' class="entry"', ' class="article-text"',

@@ -27,7 +27,7 @@ GRAMS = (3, 4, 5)
 EPOCHS, LEAST_STEPS = 5, 12_000
 RATE = 0.5
 # Most labelled documents that the model is fitted on, and most bytes of their text.
-SAMPLE_ROWS, SAMPLE_BYTES = 4000, 64 << 20
+SAMPLE_ROWS, SAMPLE_BYTES = 2500, 32 << 20
 THRESHOLD = 0.7
 
 
