@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.batches import add_text_columns
-from starloom.llm.words import BASE, Stretches, Words, byte_values, find_words
+from starloom.llm.words import BASE, BYTE_VALUES, Stretches, Words, find_words
 
 BUCKET_BITS = 17
 DIMENSIONS = 8
@@ -43,7 +43,7 @@ def features(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Hashed features, family by family: those of all texts in a row, and where each text begins."""
     words: Words = find_words(texts)
     shift, spread = np.uint64(64 - BUCKET_BITS), np.uint64(BASE)
-    stretches = Stretches(byte_values()[words.content])
+    stretches = Stretches(BYTE_VALUES[words.content])
     hashes = stretches.hashes(words.begins, words.ends)
     yield hashes >> shift, words.starts
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.batches import add_text_columns
-from starloom.llm.words import WINDOW_WORDS, Stretches, byte_values, find_words, mixed, windows
+from starloom.llm.words import BYTE_VALUES, WINDOW_WORDS, Stretches, find_words, mixed, windows
 from starloom.session import BROADCAST_BYTES, ROW_BYTES, cut_lineage
 
 LEAST_WORDS = 10
@@ -51,7 +51,7 @@ def measure(texts: pa.Array) -> dict[str, np.ndarray]:
     """The measures of every text of a block."""
     words = find_words(texts)
     content, bounds = words.content, words.bounds
-    stretches = Stretches(byte_values()[content])
+    stretches = Stretches(BYTE_VALUES[content])
 
     in_words = np.zeros(len(content) + 1, np.int8)
     in_words[words.begins] += 1

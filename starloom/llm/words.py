@@ -6,7 +6,6 @@ compared by 64-bit hashes that are taken from running sums, whatever their lengt
 
 from __future__ import annotations
 
-import functools
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,9 +30,8 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values
 
 
-@functools.lru_cache(1)
-def byte_values() -> np.ndarray:
-    return mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
+# A value for every byte, for the running sums.
+BYTE_VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
 
 
 def powers(base: int, n: int) -> np.ndarray:
@@ -94,7 +92,7 @@ def find_words(texts: pa.Array) -> Words:
 
 
 def word_hashes(words: Words) -> np.ndarray:
-    return Stretches(byte_values()[words.content]).hashes(words.begins, words.ends)
+    return Stretches(BYTE_VALUES[words.content]).hashes(words.begins, words.ends)
 
 
 def windows(hashes: np.ndarray, words: Words, size: int = WINDOW_WORDS) -> tuple[np.ndarray, np.ndarray]:
