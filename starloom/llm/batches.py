@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 # Bytes of text that a worker looks at in one go, where it holds numbers for every byte, and
 # where it holds distinct words. A longer text is a slice of its own.
-SLICE_BYTES, WORD_SLICE_BYTES = 1 << 20, 8 << 20
+SLICE_BYTES, WORD_SLICE_BYTES = 1 << 20, 4 << 20
 
 Added = dict[str, "np.ndarray | pa.Array"]
 

@@ -33,9 +33,9 @@ RUNS = re.compile(r" *[^ ]+| +$")
 # Longest pre-token that is relaxed together with others; longer ones go one by one.
 LOCKSTEP_CHARS = 32
 # Characters that are indexed in one go, so that the table of edges stays small.
-INDEX_CHARS = 1 << 20
-# Bytes of text in a block: the more, the fewer pre-tokens are distinct.
-BLOCK_BYTES = 16 << 20
+INDEX_CHARS = 1 << 19
+# Bytes of text in a block.
+BLOCK_BYTES = 4 << 20
 
 
 class Vocabulary:

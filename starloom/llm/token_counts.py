@@ -20,9 +20,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from starloom.llm.batches import WORD_SLICE_BYTES, add_text_columns, kept_in_worker
+from starloom.llm.batches import add_text_columns, kept_in_worker
 from starloom.llm.units import split_at_spaces
 
+# Bytes of text in a block of documents.
+BLOCK_BYTES = 8 << 20
 # Pre-tokens kept between blocks, and the longest one that is kept.
 KEPT_UNITS, KEPT_CHARS = 200_000, 64
 SPACE = "▁"
@@ -88,4 +90,4 @@ def count_tokens(df: DataFrame, model_path: str, text: str = "text", n_tokens: s
         counter = kept_in_worker(("pieces", model_path), lambda: PieceCounter(model_path))
         return lambda texts: {n_tokens: counter.count(texts)}
 
-    return add_text_columns(df, text, f"`{n_tokens}` bigint", make, WORD_SLICE_BYTES)
+    return add_text_columns(df, text, f"`{n_tokens}` bigint", make, BLOCK_BYTES)
