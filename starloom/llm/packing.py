@@ -204,8 +204,9 @@ def pack_best_fit(
     if any(size is None or not 0 < size <= capacity for size in counts):
         raise ValueError(f"every length must lie between 1 and {capacity}")
     records, _ = best_fit_plan(counts, capacity)
-    # Groups of every length, by the length: an array as long as a sequence.
-    groups = F.array(*[F.lit(max(1, counts.get(k, 0) // RANK_ROWS)).cast("long") for k in range(capacity + 1)])
+    # Groups of every length, by the length: an array as long as a sequence, in one literal.
+    many = ",".join(str(max(1, counts.get(k, 0) // RANK_ROWS)) for k in range(capacity + 1))
+    groups = F.split(F.lit(many), ",").cast("array<bigint>")
 
     size, group, rank = "_pack_size", "_pack_group", "_pack_rank"
     ties = [F.col(f"`{name}`") for name in tie]
