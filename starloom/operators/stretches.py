@@ -20,6 +20,8 @@ def with_stretch(ids: DataFrame, cell: str = "cell") -> DataFrame:
     """
     length = FIRST_CHARS
     marked = ids.withColumn("stretch", F.substring(cell, 1, length))
+    if marked.agg(F.count("*")).first()[0] <= STRETCH_IDS:
+        return marked
     sizes = marked.groupBy("stretch").agg(F.count("*").alias("_ids"), F.max(F.length(cell)).alias("_chars"))
     most = sizes.agg(F.max("_ids").alias("ids"), F.max("_chars").alias("chars")).first()
     while (most.ids or 0) > STRETCH_IDS and length < most.chars:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +14,11 @@ LEAST_FIELDS = 3
 OPTIONS = {"quote": "", "nullValue": NULL_TOKEN, "mode": "PERMISSIVE"}
 
 
+def _has_fields(least: int) -> Column:
+    """Whether a line has so many fields, found without cutting it."""
+    return F.substring_index("value", ",", least - 1) != F.col("value") if least > 1 else F.lit(True)
+
+
 def _definition(schema: T.StructType) -> str:
     return ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema)
 
@@ -26,7 +31,7 @@ def read_catalogue(
     Lines with fewer than ``least`` fields are left out, and so are fields that the
     schema marks as skipped.
     """
-    lines = spark.read.text(path).filter(F.size(F.split("value", ",", least)) >= least)
+    lines = spark.read.text(path).filter(_has_fields(least))
     kept = [f"_row.`{name}`" for name in schema.names if not name.startswith(SKIPPED)]
     return lines.select(F.from_csv("value", _definition(schema), OPTIONS).alias("_row")).select(*kept)
 
@@ -53,7 +58,7 @@ def read_lines(
     """
     at_x, at_y = positions[x], positions[y]
     start = F.split("value", ",", max(at_x, at_y, LEAST_FIELDS - 1) + 2)
-    lines = spark.read.text(path).filter(F.size(F.split("value", ",", LEAST_FIELDS)) >= LEAST_FIELDS)
+    lines = spark.read.text(path).filter(_has_fields(LEAST_FIELDS))
     return lines.select(
         F.col("value").alias("data"),
         F.get(start, F.lit(at_x)).try_cast("double").alias("x"),
