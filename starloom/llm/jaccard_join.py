@@ -377,7 +377,8 @@ def near_duplicates(
     wanted = members.select("row_hash", "component", "block", "blocks", "grams_hash", "copies")
     bytes_ = 128 * members.count()
     texts = join_cell_table(docs.select("row_hash", "text"), wanted, "row_hash", "inner", bytes_)
-    sets = _sets_of(texts, size)
+    # A repeated row is as many texts of one hash; its class enters its block once, as ``copies``.
+    sets = _sets_of(texts, size).dropDuplicates(["grams_hash"])
     paired = with_block_pairs(sets, "blocks", "block").select(
         "component", "low", "high", "block", "grams_hash", "copies", "grams", "blocks"
     )
@@ -414,7 +415,7 @@ def near_duplicates(
 
 
 def _sets_of(texts: DataFrame, size: int) -> DataFrame:
-    """The n-gram sets of chosen documents, one document for each class."""
+    """The n-gram sets of chosen documents, a row for each repeat of a document."""
     out = T.StructType([
         *[texts.schema[name] for name in ("component", "block", "blocks", "grams_hash", "copies")],
         T.StructField("grams", T.BinaryType()),

@@ -97,6 +97,19 @@ def test_awkward_rows(spark):
     assert sorted(r.n_links for r in nulls) == [0, 1, 1] and {r.class_id for r in nulls} == {None}
 
 
+@pytest.mark.parametrize("rows_of_block", [join.BLOCK_ROWS, 1])
+def test_repeated_rows_with_a_near_copy(spark, monkeypatch, rows_of_block):
+    monkeypatch.setattr(join, "BLOCK_ROWS", rows_of_block)
+    base = [f"b{k}" for k in range(100)]
+    near, copy = " ".join([*base[:50], "x", *base[51:]]), " ".join(base)
+    rows = [(1, copy)] * 2 + [(2, near)] + [(3, copy)]
+    got = join.near_duplicates(spark.createDataFrame(rows * 5, "doc_id bigint, text string").repartition(6)).collect()
+    want = Counter((key, *found) for (key, _), found in zip(rows * 5, all_pairs(rows * 5), strict=True))
+    assert Counter((r.doc_id, r.class_id, r.n_links) for r in got) == want
+    few = join.near_duplicates(spark.createDataFrame(rows[:3], "doc_id bigint, text string")).collect()
+    assert sorted((r.doc_id, r.n_links) for r in few) == [(1, 2), (1, 2), (2, 2)]
+
+
 def test_one_of_each_stays(spark):
     rows = case_rows()
     kept = stages.keep_one_of_each(spark.createDataFrame(rows, SCHEMA)).collect()
