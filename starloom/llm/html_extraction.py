@@ -39,8 +39,10 @@ CONTENT_LABELS = (
     ' class="story"', ' class="page"', ' id="body"', ' class="c12"',
 )
 WRAPPER, PAGE = ' class="wrapper"', ' id="page"'
-# Elements that never hold main text, whatever the trees say about what is in them.
-NEVER = ("nav", "form", "button", "dialog")
+FORM_LABELS = ("", ' id="form1"', ' id="aspnetForm"', ' id="mainForm"', ' name="form1"', ' class="page-form"', ' id="ctl00"')
+# Elements that never hold main text, whatever the trees say about what is in them. The trees
+# judge forms: many sites lay one around all of a page.
+NEVER = ("nav", "button", "dialog")
 
 
 def keep_nodes(nodes: Nodes, odds: np.ndarray) -> np.ndarray:
@@ -104,6 +106,11 @@ def own_labels(nodes: Nodes) -> tuple[np.ndarray, np.ndarray]:
     return inside & ~barred, (has_article | has_main)[nodes.page]
 
 
+def without_forms(markup: str) -> str:
+    """Forms as blocks with the same attributes: a form cannot lie in a form."""
+    return markup.replace("<form", "<div").replace("</form>", "</div>")
+
+
 class Layouts:
     """Pages made of given texts: main text in blocks that bear ``data-keep``, other parts around it."""
 
@@ -218,7 +225,13 @@ class Layouts:
             after = []
         for _ in range(rng.randint(0, 2)):
             inner = f"<div{rng.choice(('', WRAPPER, PAGE))}>{inner}</div>"
-        return f"<html><body>{''.join(before)}{inner}{''.join(after)}</body></html>"
+        turn = rng.random()
+        if turn < 0.15:  # a form around the text
+            inner = f"<form{rng.choice(FORM_LABELS)}>{without_forms(inner)}</form>"
+        whole = f"{''.join(before)}{inner}{''.join(after)}"
+        if turn > 0.85:  # or around the page
+            whole = f"<form{rng.choice(FORM_LABELS)}>{without_forms(whole)}</form>"
+        return f"<html><body>{whole}</body></html>"
 
 
 def fit_extractor(pages: list[str], seed: int = 0) -> BoostedTrees:

@@ -10,10 +10,16 @@ import numpy as np
 
 # What HTML defines about its elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math object select head".split())
+RAW = frozenset(
+    "script style textarea title noscript template iframe svg object select head annotation annotation-xml".split()
+)
+# Of these, the ones that take the rest of a page if they are left open.
+SWALLOWS = frozenset("script style textarea title".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var".split()
+    "strike strong sub sup time tt u var "
+    "maction math menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace "
+    "msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
 )
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
@@ -156,11 +162,11 @@ def parse_pages(pages: list[str]) -> Nodes:
                 continue  # a comment or declaration
             name = name.lower()
             if name in RAW and not shut:
-                # Its content is no text of the page. A head may be left open.
+                # Its content is no text of the page. Most may be left open.
                 if not (attributes or "").rstrip().endswith("/"):
-                    over = re.compile(rf"</{name}\b[^>]*>" + ("|(?=<body\\b)" if name == "head" else ""), re.I)
+                    over = re.compile(rf"</{name}(?=[\s/>])[^>]*>" + ("|(?=<body\\b)" if name == "head" else ""), re.I)
                     found = over.search(source, at)
-                    at = found.end() if found else at if name == "head" else len(source)
+                    at = found.end() if found else len(source) if name in SWALLOWS else at
                 continue
             if name in ("html", "body", "head"):
                 continue
@@ -171,6 +177,8 @@ def parse_pages(pages: list[str]) -> Nodes:
                     flush()
                 continue
             if name in INLINE:
+                if name in ("mspace", "mtd", "mtr"):
+                    held.append(" ")
                 if not shut:
                     stack.append((name, stack[-1][1]))
                     links += name == "a"
@@ -215,12 +223,30 @@ def parse_pages(pages: list[str]) -> Nodes:
         flush()
 
     as_array = lambda values: np.array(values, np.int64)
-    return Nodes(
+    nodes = Nodes(
         *map(as_array, (page, parent, depth, kind, groups)),
         np.array(marked, bool),
         *map(as_array, (chars, words, link_chars, punctuation, segment_node)),
         segments,
     )
+    around = wrapping_forms(nodes)
+    nodes.kind[around], nodes.groups[around] = KIND["div"], 0
+    return nodes
+
+
+def wrapping_forms(nodes: Nodes) -> np.ndarray:
+    """Forms around a page: they hold an article or main, or lie in neither and hold most of the text."""
+    form = nodes.kind == KIND["form"]
+    if not form.any():
+        return form
+    article = (nodes.kind == KIND["article"]) | (nodes.kind == KIND["main"])
+    inside = article.copy()
+    for level in range(1, int(nodes.depth.max(initial=0)) + 1):
+        at = np.flatnonzero(nodes.depth == level)
+        inside[at] |= inside[nodes.parent[at]]
+    total = np.bincount(nodes.page, nodes.chars)[nodes.page]
+    most = 2 * add_up(nodes, nodes.chars) > total
+    return form & ((add_up(nodes, article) > 0) | (most & ~inside))
 
 
 def add_up(nodes: Nodes, values: np.ndarray) -> np.ndarray:

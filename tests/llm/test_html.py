@@ -61,6 +61,23 @@ def test_new_layouts(pages, trees):
     assert right / (size * kept).sum() > 0.98 and right / (size * true).sum() > 0.98
 
 
+@needs_tables
+@pytest.mark.parametrize("label", ["", ' method="post" id="aspnetForm"'])
+def test_pages_wrapped_in_a_form(pages, trees, label):
+    whole = [page.replace("<body>", f"<body><form{label}><input type=hidden>") + "</form>" for page in pages[120:]]
+    inner = [re.sub("(<article>.*</article>)", rf"<form{label}>\1</form>", page, flags=re.S) for page in pages[120:]]
+    wanted = [article(page) for page in pages[120:]]
+    for made in (whole, inner):
+        assert all("<form" in page for page in made) and extraction.main_texts(made, trees) == wanted
+    own, known = extraction.own_labels(parse_pages(whole))
+    assert known.all() and own.any()
+    plain = [page.replace("<article>", "<div>").replace("</article>", "</div>") for page in whole]
+    right = sum(a == b for a, b in zip(extraction.main_texts(plain, trees), wanted, strict=True))
+    assert right > 0.9 * len(wanted)
+    small = "<form><p>Give us your address and read our news.</p><input><button>Go</button></form></article>"
+    assert extraction.main_texts([page.replace("</article>", small) for page in pages[120:]], trees) == wanted
+
+
 @needs_tables
 def test_choices_never_contradict(pages, trees):
     nodes = parse_pages(pages[:60])
@@ -108,6 +125,15 @@ def test_markup():
     assert len(parse_pages(["<div>" * 200 + "x"]).page) == 201
 
 
+def test_formulas_and_unclosed_elements():
+    formula = "<math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math>"
+    assert texts_of(f"<p>so {formula} holds</p>") == [("p", "so x=2 holds")]
+    for name in ("svg", "math", "object", "select", "template", "noscript", "iframe"):
+        assert texts_of(f"<p>a</p><{name}><p>rest</p>")[-1] == ("p", "rest")
+    for name in ("script", "style", "textarea", "title"):
+        assert texts_of(f"<p>a</p><{name}><p>rest</p>") == [("p", "a")]
+
+
 def test_trees_learn_and_order():
     rng = np.random.default_rng(4)
     rows = rng.normal(size=(3000, 6)).astype(np.float32)
