@@ -28,6 +28,8 @@ EPOCHS, LEAST_STEPS = 5, 12_000
 RATE = 0.5
 # Most labelled documents that the model is fitted on, and most bytes of their text.
 SAMPLE_ROWS, SAMPLE_BYTES = 2500, 32 << 20
+# Texts of more than this share of the bytes come last, by their length.
+LARGE = 1 / 32
 THRESHOLD = 0.7
 
 
@@ -129,7 +131,8 @@ def train_classifier(
     """Fit on the rows given, a bounded sample (``sample_rows``), in one task.
 
     Rows without a label or text are left out. Whole documents are taken in the order of
-    the hash of their key until ``most_bytes`` of text are reached. The task returns the
+    the hash of their key until ``most_bytes`` of text are reached, texts above a small share
+    of that after all others. The task returns the
     model; without any document it is undecided, 0.5 for every text.
     """
     chosen = labelled.filter(F.col(label).isNotNull() & F.col(text).isNotNull()).select(
@@ -137,7 +140,8 @@ def train_classifier(
         F.col(label).cast("int").alias("label"),
         F.xxhash64(F.col(key).cast("string")).alias("turn"),
     )
-    before = Window.orderBy("turn", "text").rowsBetween(Window.unboundedPreceding, -1)
+    late = F.greatest(F.octet_length("text"), F.lit(int(most_bytes * LARGE)))
+    before = Window.orderBy(late, "turn", "text").rowsBetween(Window.unboundedPreceding, -1)
     chosen = chosen.withColumn("before", F.coalesce(F.sum(F.octet_length("text")).over(before), F.lit(0)))
     chosen = chosen.filter((F.col("before") == 0) | (F.col("before") + F.octet_length("text") <= most_bytes))
 

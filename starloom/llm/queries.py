@@ -90,6 +90,8 @@ def held_out(key: str = "doc_id") -> Column:
 def quality_model(spark: SparkSession, docs: DataFrame, folder: str) -> quality.Model:
     """Fitted on a bounded sample of the labelled documents that are not held out."""
     labels = table(spark, folder, "labels").filter(F.col("quality").isNotNull() & ~held_out())
+    # Labels of documents that are not there take no place in the sample.
+    labels = labels.join(docs.select("doc_id"), "doc_id", "left_semi")
     labels = quality.sample_rows(labels.select("doc_id", F.col("quality").alias("label")))
     return quality.train_classifier(docs.select("doc_id", "text").join(F.broadcast(labels), "doc_id"))
 

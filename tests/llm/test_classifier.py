@@ -1,6 +1,7 @@
 """Held-out accuracy of the quality classifier, and its odd inputs."""
 
 import zlib
+from functools import partial
 from pathlib import Path
 
 import numpy as np
@@ -71,3 +72,24 @@ def test_sample_is_bounded(spark):
     model = quality.train_classifier(spark.createDataFrame(rows, "doc_id bigint, text string, label int"))
     good, bad = quality.score(pa.array(["good fine thing", "bad poor thing"]), model)
     assert good > 0.5 > bad
+
+
+def test_a_large_text_does_not_displace_the_others(spark):
+    words = (("good", "fine"), ("bad", "poor"))
+    rows = [(k, " ".join(words[k % 2]) + f" w{k}", 1 - k % 2) for k in range(60)]
+    labelled = spark.createDataFrame(rows, "doc_id bigint, text string, label int")
+    first = quality.sample_rows(labelled, rows=1).first().doc_id
+    rows[first] = (first, "long " * 2000, 1)
+    labelled = spark.createDataFrame(rows, "doc_id bigint, text string, label int")
+    model = quality.train_classifier(labelled, most_bytes=4000)
+    good, bad = quality.score(pa.array(["good fine thing", "bad poor thing"]), model)
+    assert good > 0.5 > bad
+
+
+def test_labels_of_missing_documents_take_no_place(spark, monkeypatch, tmp_path):
+    labels = spark.createDataFrame([(k, k % 2) for k in range(600)], "doc_id bigint, quality int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    docs = spark.createDataFrame([(k, f"text {k}") for k in range(60)], "doc_id bigint, text string")
+    monkeypatch.setattr(quality, "sample_rows", partial(quality.sample_rows, rows=30))
+    monkeypatch.setattr(quality, "train_classifier", lambda labelled: labelled.count())
+    assert queries.quality_model(spark, docs, str(tmp_path)) == 30
