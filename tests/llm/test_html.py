@@ -61,6 +61,43 @@ def test_new_layouts(pages, trees):
     assert right / (size * kept).sum() > 0.98 and right / (size * true).sum() > 0.98
 
 
+def foreign_page(blocks, other, k, rng):
+    """One of five layouts with tags, names and nesting that ``Layouts`` does not make."""
+    line = lambda: html.escape(rng.choice(other))
+    links = lambda n: " | ".join(f'<a href="/{i}">{line().split()[0]}</a>' for i in range(n))
+    around = ("<p>%s</p>", "<p><span>%s</span></p>", "<figure><figcaption>%s</figcaption></figure>", "<dl><dd>%s</dd></dl>")
+    body = "".join(
+        f"<h3>{html.escape(text)}</h3>" if i == 0 else rng.choice(around).replace("%s", html.escape(text))
+        for i, text in enumerate(blocks)
+    )
+    return (
+        f"<center><table><tbody><tr><td>{links(6)}</td></tr><tr><td><table><tr><td>{body}</td></tr></table></td></tr>"
+        f"<tr><td><small>{line()}</small></td></tr></table></center>",
+        f'<div class="masthead__inner">{links(5)}</div><div class="grid"><div class="col-8"><div class="rich-txt">{body}'
+        f'</div></div><div class="col-4"><h4>{line().split()[0]}</h4>{links(6)}</div></div><div class="colophon">{line()}</div>',
+        f'<form id="aspnetForm"><div id="hd">{links(7)}</div><div id="ContentPlaceHolder1">{body}</div>'
+        f'<div id="ft">{line()}</div></form>',
+        f'<div role="navigation">{links(8)}</div><div itemprop="articleBody">{body}</div>'
+        f'<div id="disqus_thread"><p>{line()}</p></div>',
+        f"<section><section><header>{links(4)}</header><div><div><div>{body}</div></div></div></section>"
+        f'<section class="newsletter-box"><p>{line()}</p><input></section></section>',
+    )[k % 5]
+
+
+@needs_tables
+def test_layouts_written_apart(pages, trees):
+    rng = random.Random(77)
+    nodes = parse_pages(pages[120:])
+    own, _ = extraction.own_labels(nodes)
+    texts, others = {}, []
+    for node, text in zip(nodes.segment_node.tolist(), nodes.segments, strict=True):
+        texts.setdefault(int(nodes.page[node]), []).append(text) if own[node] else others.append(text)
+    made = [foreign_page(blocks[:12], others, k, rng) for k, blocks in enumerate(texts.values())]
+    exact = [a == " ".join(b[:12]) for a, b in zip(extraction.main_texts(made, trees), texts.values(), strict=True)]
+    print(sum(exact), len(exact))
+    assert len(exact) == 130 and sum(exact) >= 117
+
+
 @needs_tables
 @pytest.mark.parametrize("label", ["", ' method="post" id="aspnetForm"'])
 def test_pages_wrapped_in_a_form(pages, trees, label):
