@@ -132,8 +132,71 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged JOIN verdicts v ON judged.source IS NOT DISTINCT FROM v.source
 """
 
+NEGATIVES = """
+WITH vectors AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v, row_number() OVER () AS rid
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.rid AS anchor, a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+        CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+    FROM vectors a JOIN vectors r ON a.rid <> r.rid WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT anchor, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id AS negative_id,
+    positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+WINDOW w AS (PARTITION BY anchor, positive_id ORDER BY score DESC, vec_id)
+QUALIFY rank <= 5
+"""
+
+PHRASES = r"""
+WITH lowered AS (
+    SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+    FROM documents
+), pieces AS (
+    SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM lowered
+), worded AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces
+), counted AS (
+    SELECT lang, size, phrase, count(*) AS f FROM (
+        SELECT lang, size, array_to_string(list_slice(words, nth, nth + size - 1), ' ') AS phrase
+        FROM worded, range(1, 5) AS s(size), LATERAL (SELECT unnest(range(1, len(words) - size + 2)) AS nth)
+    ) GROUP BY ALL
+), totals AS (
+    SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counted WHERE size = 1 GROUP BY lang
+), candidates AS (
+    SELECT lang, phrase, size, f AS a, string_split(phrase, ' ') AS words FROM counted WHERE size > 1 AND f >= 30
+), covered AS (
+    SELECT DISTINCT c.lang, part AS phrase FROM (
+        SELECT c.lang, array_to_string(list_slice(words, nth, nth + s.size - 1), ' ') AS part, c.a AS longer
+        FROM candidates c, range(2, 4) AS s(size), LATERAL (SELECT unnest(range(1, c.size - s.size + 2)) AS nth)
+        WHERE s.size < c.size
+    ) p JOIN candidates c ON c.lang = p.lang AND c.phrase = part WHERE 100 * longer >= 80 * c.a
+), cut AS (
+    SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r, CAST(2000000 * CAST(a AS HUGEINT) // (x.f + y.f) AS BIGINT) AS score
+    FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates ANTI JOIN covered USING (lang, phrase)) c
+    JOIN counted x ON x.lang = c.lang AND x.phrase = array_to_string(list_slice(words, 1, k), ' ')
+    JOIN counted y ON y.lang = c.lang AND y.phrase = array_to_string(list_slice(words, k + 1, c.size), ' ')
+), lowest AS (
+    SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER w AS rank, phrase, a, l, r, n, score
+FROM lowest JOIN totals USING (lang)
+WINDOW w AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+QUALIFY rank <= 2000
+"""
+
 ORACLES: dict[str, str] = {
     "op3_perspective_rotation": ROTATION,
     "op4_merkle_fingerprints": FINGERPRINTS,
     "op9_quality_rules": RULES,
+    "op11_hard_negatives": NEGATIVES,
+    "op12_phrase_mining": PHRASES,
 }

@@ -15,11 +15,14 @@ from starloom.llm import quality_classifier as quality
 from starloom.llm import quality_rules as rules
 from starloom.llm.chat_formatting import rotate_perspectives
 from starloom.llm.fingerprints import add_tree, changed_paragraphs, likeness
+from starloom.llm.hard_negatives import mine_hard_negatives
 from starloom.llm.html_extraction import extract_main_text, train_extractor
 from starloom.llm.jaccard_join import near_duplicates
 from starloom.llm.neighbours import with_next_text
 from starloom.llm.packing import pack_best_fit, token_pieces
+from starloom.llm.phrase_mining import mine_phrases
 from starloom.llm.piece_encoding import check_pieces
+from starloom.llm.secret_scan import KINDS, scan_secrets, train_scanner
 from starloom.llm.sharding import feistel_shards
 from starloom.llm.token_counts import count_tokens
 from starloom.session import cut_lineage
@@ -167,6 +170,31 @@ def op10_piece_encoding(spark: SparkSession, folder: str) -> DataFrame:
     return check_pieces(docs, tokenizer_file("piece_bpe_32k.model")).drop("text")
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    moved = (F.col("label").cast("long") + 1) % 10
+    label = F.when(F.col("vec_id") % 7 == 0, moved).otherwise(F.col("label"))
+    return mine_hard_negatives(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+def op12_phrase_mining(spark: SparkSession, folder: str) -> DataFrame:
+    return mine_phrases(table(spark, folder, "documents"))
+
+
+def op13_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scanned = scan_secrets(docs, train_scanner(docs))
+    place = lambda s: F.concat_ws(":", s["kind"], s["begin"].cast("string"), s["end"].cast("string"))
+    number = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda s: s["kind"] != "learned")
+    return scanned.select(
+        "doc_id",
+        *[number(kind).alias(f"n_{kind}") for kind in KINDS[:3]],
+        F.sha2(F.array_join(F.transform(base, place), ","), 256).alias("base_sha256"),
+        F.array_join(F.transform("spans", place), ",").alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -180,5 +208,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_jaccard_join,
         op9_quality_rules,
         op10_piece_encoding,
+        op11_hard_negatives,
+        op12_phrase_mining,
+        op13_secret_scan,
     )
 }
