@@ -2,67 +2,154 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom import session
-from starloom.functions.geometry import Box, usable
+from starloom.functions.geometry import Box, inside, usable
+from starloom.operators.bbox import measure_box
 from starloom.operators.quadtree import QuadTree
 from starloom.operators.uniform import NO_CELL
 
-# Tiles per axis of the grid that rectangles are listed in: at most so many.
-MOST_TILES = 1024
+# The finest grid has 2 ** this tiles per axis.
+FINEST = 16
+# A list of more rectangles is handed down to finer tiles while all lists together stay below
+# this many entries per rectangle.
+LONG_LIST, MOST_ENTRIES = 64, 32
+RECTANGLE = ("pos", "cell", "x0", "x1", "y0", "y1")
+
+
+def _tile(value: Column, low: float, high: float) -> Column:
+    """Index on the finest grid. Rounding is monotone, so a point in a rectangle lies between its corners."""
+    if high == low:
+        return F.lit(0)
+    at = F.floor((value - low) * (2.0**FINEST / (high - low)))
+    return F.greatest(F.lit(0), F.least(F.lit((1 << FINEST) - 1), at)).cast("int")
+
+
+def _listed(rectangles: DataFrame, box: Box) -> DataFrame:
+    """Rectangles by tiles, ``level, tx, ty`` beside their own columns and corners on the finest grid.
+
+    Level 0 is one tile for the whole box. A rectangle is listed at the finest level on which it
+    touches at most two tiles per axis.
+    """
+    corners = {
+        "i0": _tile(F.col("x0"), box.x0, box.x1), "i1": _tile(F.col("x1"), box.x0, box.x1),
+        "j0": _tile(F.col("y0"), box.y0, box.y1), "j1": _tile(F.col("y1"), box.y0, box.y1),
+    }
+    known = rectangles.withColumns(corners)
+    reach = F.greatest(F.col("i1") - F.col("i0"), F.col("j1") - F.col("j0"))
+    known = known.withColumn("up", F.when(reach <= 1, 0).otherwise(F.length(F.bin(reach - 1))).cast("int"))
+    known = known.withColumn("level", F.lit(FINEST) - F.col("up"))
+    spread = lambda low, high: F.explode(F.sequence(F.expr(f"shiftright({low}, up)"), F.expr(f"shiftright({high}, up)")))
+    return known.withColumn("tx", spread("i0", "i1")).withColumn("ty", spread("j0", "j1")).drop("up")
+
+
+def _reachable(listed: DataFrame, box: Box) -> DataFrame:
+    """Leave out what no point of the tile can get: rectangles after one that covers the whole tile."""
+    first, last = f"shiftleft({{0}}, {FINEST} - level)", f"shiftleft({{0}} + 1, {FINEST} - level) - 1"
+    covers = (
+        ((F.expr(f"i0 < {first.format('tx')}")) | (F.col("x0") <= box.x0))
+        & ((F.expr(f"i1 > {last.format('tx')}")) | (F.col("x1") >= box.x1))
+        & ((F.expr(f"j0 < {first.format('ty')}")) | (F.col("y0") <= box.y0))
+        & ((F.expr(f"j1 > {last.format('ty')}")) | (F.col("y1") >= box.y1))
+    )
+    entry = F.struct("pos", "cell")
+    tops = listed.filter(covers).groupBy("level", "tx", "ty").agg(F.min(entry).alias("top"))
+    joined = listed.join(tops, ["level", "tx", "ty"], "left")
+    return joined.filter(F.col("top").isNull() | (entry <= F.col("top"))).drop("top")
+
+
+def _handed_down(listed: DataFrame, long: DataFrame) -> DataFrame:
+    """The lists of some tiles, each rectangle in those of the four smaller tiles that it touches."""
+    half = F.explode(F.array(F.lit(0), F.lit(1)))
+    finer = listed.join(long, ["level", "tx", "ty"], "left_semi").withColumn("dx", half).withColumn("dy", half)
+    finer = finer.withColumns(
+        {"level": F.col("level") + 1, "tx": F.col("tx") * 2 + F.col("dx"), "ty": F.col("ty") * 2 + F.col("dy")}
+    ).drop("dx", "dy")
+    at = lambda corner: F.expr(f"shiftright({corner}, {FINEST} - level)")
+    return finer.filter(F.col("tx").between(at("i0"), at("i1")) & F.col("ty").between(at("j0"), at("j1")))
+
+
+def rectangle_lists(rectangles: DataFrame, box: Box) -> DataFrame:
+    """All lists, ``level, tx, ty`` and a rectangle in each row, their number linear in that of the rectangles.
+
+    A rectangle has four entries at most, and none where an earlier one covers the tile. Lists that are long
+    all the same are handed down level by level, which splits them and lets covering ones end them.
+    """
+    listed = session.cut_lineage(_reachable(_listed(rectangles, box), box))
+    about = listed.agg(F.count("*").alias("entries"), F.countDistinct("pos", "cell").alias("known")).first()
+    most, entries = MOST_ENTRIES * max(about.known, 1), about.entries
+    while entries < most:
+        sizes = listed.groupBy("level", "tx", "ty").agg(F.count("*").alias("n"))
+        long = session.cut_lineage(
+            sizes.filter((F.col("n") > LONG_LIST) & (F.col("level") < FINEST)).select("level", "tx", "ty")
+        )
+        if long.isEmpty():
+            break
+        rest = listed.join(long, ["level", "tx", "ty"], "left_anti")
+        # Lists that meet on a tile become one.
+        finer = session.cut_lineage(_reachable(rest.unionByName(_handed_down(listed, long)), box))
+        entries = finer.count()
+        if entries <= most:
+            listed = finer
+    return listed.select("level", "tx", "ty", *RECTANGLE)
+
+
+def _clipped(rectangles: DataFrame, box: Box | None) -> DataFrame:
+    """Rectangles with an edge at infinity, or all of them, cut at the box of the points."""
+    if box is None:
+        return rectangles.limit(0)
+    edges = {
+        "x0": F.greatest("x0", F.lit(box.x0)), "x1": F.least("x1", F.lit(box.x1)),
+        "y0": F.greatest("y0", F.lit(box.y0)), "y1": F.least("y1", F.lit(box.y1)),
+    }
+    return rectangles.withColumns(edges).filter("x0 <= x1 and y0 <= y1 and not isnan(x0) and not isnan(y0)")
 
 
 def find_rectangle(df: DataFrame, rectangles: DataFrame, x: str, y: str, cell: str = "cell") -> DataFrame:
     """Tag each row with the first closed rectangle that holds its point; ``-1`` if none does.
 
     ``rectangles``: ``pos, cell, x0, x1, y0, y1``, any rectangles, the one with the lowest
-    ``pos`` first. They are listed by the tiles of a coarse grid that they touch. A row
-    looks through the list of its tile, so it is joined once, by broadcast if the lists are
-    small, and no pair of row and rectangle is ever written out.
+    ``pos`` first. They are listed by the tiles of grids from coarse to fine, each at the level of its
+    size. A row looks through the list of its tile at every level that has any, by a broadcast
+    join where the lists of the level are small, and no pair of row and rectangle is ever written out.
     """
-    known = session.cut_lineage(rectangles.select("pos", "cell", "x0", "x1", "y0", "y1"))
-    bounds = known.agg(
-        F.count("*").alias("n"), F.min("x0").alias("x0"), F.max("x1").alias("x1"), F.min("y0").alias("y0"),
-        F.max("y1").alias("y1"), F.sum(session.row_bytes(known)).alias("size"),
-    ).first()
-    if not bounds.n:
-        return df.withColumn(cell, F.lit(NO_CELL))
-    tiles = max(1, min(MOST_TILES, int(bounds.n**0.5)))
-
-    def tile(value, low: float, high: float):
-        if high == low:
-            return F.lit(0)
-        at = F.floor((value - low) * (tiles / (high - low)))
-        return F.greatest(F.lit(0), F.least(F.lit(tiles - 1), at)).cast("int")
-
-    # Rounding is monotone, so a point in a rectangle has a tile between those of its corners.
-    across = F.sequence(tile(F.col("x0"), bounds.x0, bounds.x1), tile(F.col("x1"), bounds.x0, bounds.x1))
-    along = F.sequence(tile(F.col("y0"), bounds.y0, bounds.y1), tile(F.col("y1"), bounds.y0, bounds.y1))
-    real = known.filter((F.col("x0") <= F.col("x1")) & (F.col("y0") <= F.col("y1")))
-    listed = real.withColumn("_tx", F.explode(across)).withColumn("_ty", F.explode(along))
+    known = rectangles.select(*RECTANGLE).filter((F.col("x0") <= F.col("x1")) & (F.col("y0") <= F.col("y1")))
+    known = session.cut_lineage(known)
+    open_ended = known.filter(~(usable(F.col("x0"), F.col("y0")) & usable(F.col("x1"), F.col("y1"))))
+    if not open_ended.isEmpty():
+        known = _clipped(known, measure_box(df, x, y))
+    bounds = known.agg(F.min("x0"), F.max("x1"), F.min("y0"), F.max("y1")).first()
+    payload = [F.col(f"`{c}`") for c in df.columns if c != cell]
+    if bounds[0] is None:
+        return df.select(*payload, F.lit(NO_CELL).alias(cell))
+    box = Box(*bounds)
+    listed = rectangle_lists(known, box)
+    entry = F.struct(*RECTANGLE)
     lists = session.cut_lineage(
-        listed.groupBy("_tx", "_ty").agg(
-            F.sort_array(F.collect_list(F.struct("pos", "cell", "x0", "x1", "y0", "y1"))).alias("_list")
-        )
+        listed.withColumn("size", session.row_bytes(known))
+        .groupBy("level", "tx", "ty")
+        .agg(F.sort_array(F.collect_list(entry)).alias("list"), F.sum("size").alias("size"))
     )
-    size = lists.agg(F.sum(F.size("_list"))).first()[0] or 0
-    size *= bounds.size // bounds.n + 1
+    sizes = {r["level"]: r["size"] for r in lists.groupBy("level").agg(F.sum("size").alias("size")).collect()}
+
     px, py = F.col(x).cast("double"), F.col(y).cast("double")
     rows = df.withColumns({"_px": px, "_py": py})
-    kept = usable(F.col("_px"), F.col("_py"))
-    on = (F.when(kept, tile(F.col("_px"), bounds.x0, bounds.x1)) == lists["_tx"]) & (
-        F.when(kept, tile(F.col("_py"), bounds.y0, bounds.y1)) == lists["_ty"]
-    )
-    holds = F.filter(
-        "_list",
-        lambda r: F.col("_px").between(r["x0"], r["x1"]) & F.col("_py").between(r["y0"], r["y1"]),
-    )
-    joined = session.join_cell_table(rows, lists, on, "left", size)
-    found = joined.withColumn("_found", F.get(holds, F.lit(0))["cell"])
-    payload = [c for c in df.columns if c != cell]
-    return found.select(*payload, F.coalesce("_found", F.lit(NO_CELL)).alias(cell))
+    kept = inside(F.col("_px"), F.col("_py"), box)
+    tiles = {"_i": _tile(F.col("_px"), box.x0, box.x1), "_j": _tile(F.col("_py"), box.y0, box.y1)}
+    rows = rows.withColumns({name: F.when(kept, at) for name, at in tiles.items()})
+    holds = lambda r: F.col("_px").between(r["x0"], r["x1"]) & F.col("_py").between(r["y0"], r["y1"])
+    for level, size in sorted(sizes.items()):
+        here = lists.filter(F.col("level") == level).select(
+            F.col("tx").alias("_tx"), F.col("ty").alias("_ty"), F.col("list").alias("_list")
+        )
+        on = (F.shiftright("_i", FINEST - level) == here["_tx"]) & (F.shiftright("_j", FINEST - level) == here["_ty"])
+        rows = session.join_cell_table(rows, here, on, "left", size)
+        rows = rows.withColumn(f"_at_{level}", F.get(F.filter("_list", holds), F.lit(0))).drop("_tx", "_ty", "_list")
+    found = [F.col(f"_at_{level}") for level in sizes]
+    first = F.least(*found) if len(found) > 1 else found[0]
+    return rows.select(*payload, F.coalesce(first["cell"], F.lit(NO_CELL)).alias(cell))
 
 
 def store_tree(tree: QuadTree, path: str) -> None:

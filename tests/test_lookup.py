@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from models import box_of, leaf_counts
 
 from starloom.operators import lookup
@@ -30,6 +31,59 @@ def test_no_rectangles_and_old_tags(spark):
     assert lookup.find_rectangle(df, one, "x", "y").first().cell == "p"
 
 
+def _first_of(rects, points):
+    out = {}
+    for key, x, y in points:
+        out[key] = next((r[1] for r in sorted(rects) if r[2] <= x <= r[3] and r[4] <= y <= r[5]), "-1")
+    return out
+
+
+@pytest.mark.parametrize("grows", [True, False])
+def test_nested_rectangles(spark, grows):
+    """Each holds the one before it, or lies in it; lists stay linear in their number."""
+    sizes = range(1, 1501) if grows else range(1500, 0, -1)
+    rects = [(k, f"r{n}", -float(n), float(n), -n / 2, n / 2) for k, n in enumerate(sizes)]
+    rng = random.Random(2)
+    points = [(k, rng.uniform(-1600, 1600), rng.uniform(-800, 800)) for k in range(800)] + [(900, 1500.0, 750.0)]
+    df, listed = spark.createDataFrame(points, "id int, x double, y double"), spark.createDataFrame(rects, SCHEMA)
+    got = {r.id: r.cell for r in lookup.find_rectangle(df, listed, "x", "y").collect()}
+    assert got == _first_of(rects, points)
+    lists = lookup.rectangle_lists(listed, lookup.Box(-1500.0, 1500.0, -750.0, 750.0))
+    assert lists.count() <= lookup.MOST_ENTRIES * len(rects)
+
+
+def test_many_rectangles_over_the_whole_box(spark):
+    n = 100_000
+    whole = spark.range(n).selectExpr(
+        "int(id) AS pos", "concat('w', id) AS cell", "0d AS x0", "1d AS x1", "0d AS y0", "1d AS y1"
+    )
+    assert lookup.rectangle_lists(whole, lookup.Box(0.0, 1.0, 0.0, 1.0)).count() == 1
+    points = spark.range(2000).selectExpr("rand(1) * 1.1 AS x", "rand(2) AS y")
+    found = {r.cell: r["count"] for r in lookup.find_rectangle(points, whole, "x", "y").groupBy("cell").count().collect()}
+    assert set(found) == {"w0", "-1"} and sum(found.values()) == 2000
+
+
+def test_many_large_rectangles(spark):
+    rng = random.Random(9)
+    rects = []
+    for k in range(6400):
+        xs, ys = sorted(rng.uniform(0, 100) for _ in range(2)), sorted(rng.uniform(0, 100) for _ in range(2))
+        rects.append((k, f"r{k}", *xs, *ys))
+    points = [(k, rng.uniform(-1, 101), rng.uniform(0, 100)) for k in range(500)]
+    df = spark.createDataFrame(points, "id int, x double, y double")
+    got = {r.id: r.cell for r in lookup.find_rectangle(df, spark.createDataFrame(rects, SCHEMA), "x", "y").collect()}
+    assert got == _first_of(rects, points)
+
+
+def test_edges_at_infinity(spark):
+    inf = float("inf")
+    rects = [(0, "left", -inf, 0.0, -1.0, 1.0), (1, "top", -5.0, 5.0, 1.0, inf), (2, "all", -inf, inf, -inf, inf)]
+    points = [(0, -1e9, 0.0), (1, 0.0, 7e8), (2, 3.0, -2.0), (3, 4.0, 1.0)]
+    df = spark.createDataFrame(points, "id int, x double, y double")
+    got = {r.id: r.cell for r in lookup.find_rectangle(df, spark.createDataFrame(rects, SCHEMA), "x", "y").collect()}
+    assert got == {0: "left", 1: "top", 2: "all", 3: "top"}
+
+
 def test_a_stored_split_places_new_rows(spark, tmp_path):
     rng = random.Random(3)
     points = [(rng.random() ** 3, rng.random()) for _ in range(300)]
