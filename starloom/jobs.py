@@ -20,7 +20,7 @@ from starloom.operators.merge import merge_cells
 from starloom.operators.quadtree import build_quadtree
 from starloom.operators.summary import rows_of_size
 from starloom.operators.uniform import assign_quadrant, assign_uniform
-from starloom.sinks.cells import read_groups, read_lines, store_groups, write_text
+from starloom.sinks.cells import read_lines, store_groups, write_text
 from starloom.sources import catalogue, ddl
 
 # Most rows of one output file, unless the caller says otherwise.
@@ -86,13 +86,13 @@ def partition_merged(
     max_heavy_cells: int | None = None,
     file_rows: int = FILE_ROWS,
 ) -> DataFrame:
-    """One directory per group of merged leaves; the written ``data, id_part``.
+    """One directory per group of merged leaves; the written ``data, part``.
 
     Without a threshold it is the number of rows that fill a block. ``max_heavy_cells``
     stops the splitting early and leaves cells above the threshold; there is no such stop
     unless it is asked for. A directory bears the name of the first leaf of its group,
-    ``part``; the group's own id, which grows with its members, is kept in a table beside
-    the split.
+    ``part``; which leaves belong to it is kept in a table beside the split, from which
+    ``sinks.cells.read_groups`` makes the whole ids.
     """
     lines = _lines(spark, definition, files, x, y)
     with session.scratch(spark) as store:
@@ -104,7 +104,7 @@ def partition_merged(
         groups = store_groups(merge_cells(tree.counts(), minimum), out)
         tagged = tree.assign(lines, "x", "y", labels=groups.select("cell", "part"))
         write_text(tagged, out, file_rows, F.col("data"), "part", mode="append")
-    return read_groups(spark, out)
+    return read_lines(spark, out, "part")
 
 
 def place_lines(spark: SparkSession, definition: str, files: str, out: str, x: str, y: str) -> DataFrame:

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom import session
 from starloom.functions.text import BLOCK_BYTES, csv_line
-from starloom.operators.stretches import with_stretch
+from starloom.operators.ranks import with_rank
 
 
 def count_per_cell(df: DataFrame, cell: str = "cell") -> DataFrame:
@@ -35,24 +35,8 @@ def cell_balance(df: DataFrame, line: Column, cell: str = "cell") -> DataFrame:
 
 
 def index_cells(cells: DataFrame, cell: str = "cell") -> DataFrame:
-    """Number distinct cell ids from 0 in id order: ``cell, idx``.
-
-    Ids are ranked inside stretches of equal leading characters, and each stretch starts
-    after the ones before it, so only one row per stretch is ordered globally.
-    """
-    ids = with_stretch(distinct_cells(cells, cell), cell)
-    earlier = Window.orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        ids.groupBy("stretch")
-        .agg(F.count("*").alias("size"))
-        .select("stretch", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("start"))
-    )
-    rank = F.row_number().over(Window.partitionBy("stretch").orderBy(cell))
-    return (
-        ids.withColumn("rank", rank)
-        .join(starts, "stretch")
-        .select(cell, (F.col("start") + F.col("rank") - 1).cast("long").alias("idx"))
-    )
+    """Number distinct cell ids from 0 in id order: ``cell, idx``; null ids have no number and are left out."""
+    return with_rank(distinct_cells(cells, cell).filter(F.col(cell).isNotNull()), cell)
 
 
 def unwritten_rows(df: DataFrame, written: DataFrame, cell: str = "cell") -> DataFrame:

@@ -269,6 +269,22 @@ held AS (
 )"""
 
 
+def _nested_rectangles() -> str:
+    """Every row against every extent; the least area, then the least name, holds it."""
+    extents = " UNION ALL ".join(
+        f"SELECT '{kind}' || {key} AS cell, min(x) AS a, max(x) AS b, min(y) AS c, max(y) AS d FROM rows GROUP BY {key}"
+        for kind, key in (("p", "l_partkey"), ("s", "l_suppkey"))
+    )
+    return _with(
+        "rows AS (SELECT *, l_extendedprice AS x, l_quantity AS y, row_number() OVER () AS rid FROM lineitem)",
+        f"extents AS ({extents})",
+        "listed AS (SELECT *, row_number() OVER (ORDER BY CAST(round((b - a) * (d - c) * 100) AS BIGINT), cell) AS pos FROM extents)",
+        """held AS (
+  SELECT rid, arg_min(listed.cell, pos) AS cell FROM rows JOIN listed ON x BETWEEN a AND b AND y BETWEEN c AND d GROUP BY rid
+)""",
+    ) + f"SELECT {POINT_COLUMNS}, cell FROM rows JOIN held USING (rid)"
+
+
 def _placed_rows() -> str:
     """A split built on some rows, then every row descended through its rectangles, first one first."""
     some = POINTS.strip().removesuffix(")").rstrip() + " WHERE l_linenumber > 1\n)"
@@ -343,6 +359,28 @@ WHERE cell IN (SELECT cell FROM cells WHERE depth = {S.HEAVY_DEPTH} AND n > {S.E
         "merged_cells": merged + "SELECT * FROM groups",
         "merged_vectors": _vector_tree(_merge(S.VECTOR_MINIMUM)) + "SELECT * FROM groups",
         "merged_events": _event_tree(_merge(S.EVENT_MINIMUM)) + "SELECT * FROM groups",
+        "merged_runs": _lineitem_tree(S.THRESHOLD, _merge(S.LARGE_MINIMUM))
+        + """
+SELECT min(cell) AS part, max(cell) AS last, count(*) AS members, group_n FROM groups GROUP BY id_part, group_n""",
+        "merged_id_pages": _event_tree(_merge(S.EVENT_MINIMUM))
+        + f"""
+SELECT part, page, string_agg(cell, '' ORDER BY cell) AS ids FROM (
+  SELECT cell, min(cell) OVER (PARTITION BY id_part) AS part,
+         (row_number() OVER (PARTITION BY id_part ORDER BY cell) - 1) // {S.PAGE_MEMBERS} AS page FROM groups
+) GROUP BY part, page""",
+        "found_runs": merged
+        + f"""
+SELECT c.cell, coalesce(max(part), (SELECT min(cell) FROM groups)) AS part
+FROM (SELECT DISTINCT cell FROM level{S.PATH_DEPTH}) c
+LEFT JOIN (SELECT min(cell) AS part FROM groups GROUP BY id_part) ON part <= c.cell GROUP BY c.cell""",
+        "merged_report_lines": ranges
+        + """
+SELECT substr(id_part, 1, instr(substr(id_part, 2) || '_', '_')) AS part, pos,
+       'x dans [' || CAST(x0 AS VARCHAR) || ', ' || CAST(x1 AS VARCHAR) || '] et y dans ['
+       || CAST(y0 AS VARCHAR) || ', ' || CAST(y1 AS VARCHAR) || ']' AS line
+FROM (SELECT id_part, CAST(pos AS BIGINT) AS pos, x0, x1, y0, y1 FROM ranges)
+UNION ALL
+SELECT part, -1, 'La partition ' || part || 'corespond a' FROM (SELECT min(cell) AS part FROM groups GROUP BY id_part)""",
         "merged_assign": merged + assigned_groups,
         "merged_retag": merged + assigned_groups,
         "merged_ranges": ranges + "SELECT * FROM ranges",
@@ -411,6 +449,7 @@ SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS unplaced, CAST(0 AS BIGINT) AS m
        CAST({S.CLUSTERS} AS BIGINT) AS centres, true AS numbered FROM lineitem""",
         "given_rectangles": _with(POINTS, BOX, _rectangles())
         + f"SELECT {POINT_COLUMNS}, coalesce(cell, '-1') AS cell FROM numbered LEFT JOIN held USING (rid)",
+        "nested_rectangles": _nested_rectangles(),
         "placed_rows": _placed_rows(),
         "quadrant_job": _with(catalogue_points, BOX)
         + f"""

@@ -18,9 +18,9 @@ from starloom.functions.text import csv_line
 from starloom.operators import cluster, lookup, summary, uniform
 from starloom.operators.bbox import bounding_box, measure_box
 from starloom.operators.lookup import find_rectangle
-from starloom.operators.merge import merge_cells, retag
+from starloom.operators.merge import find_runs, group_runs, id_pages, merge_cells, retag, whole_ids
 from starloom.operators.quadtree import QuadTree, build_quadtree, cell_pyramid, count_cells, heavy_rows, split_step
-from starloom.operators.ranges import decode_ranges, partition_report
+from starloom.operators.ranges import decode_ranges, partition_report, report_lines
 from starloom.plans import settings as S
 from starloom.sinks import cells as sinks
 from starloom.sources import catalogue, ddl
@@ -60,7 +60,7 @@ def _event_tree(points: DataFrame) -> QuadTree:
 
 
 def _tree(points: DataFrame) -> QuadTree:
-    return build_quadtree(points, "x", "y", S.THRESHOLD, S.MAX_DEPTH)
+    return build_quadtree(points, "x", "y", S.THRESHOLD)
 
 
 # Bounding box and uniform grid
@@ -152,7 +152,7 @@ def quadtree_assign(spark: SparkSession, folder: str) -> DataFrame:
 
 def quadtree_vectors(spark: SparkSession, folder: str) -> DataFrame:
     points = _vectors(spark, folder)
-    return build_quadtree(points, "x", "y", S.VECTOR_THRESHOLD, S.MAX_DEPTH).assign(points, "x", "y")
+    return build_quadtree(points, "x", "y", S.VECTOR_THRESHOLD).assign(points, "x", "y")
 
 
 def quadtree_events(spark: SparkSession, folder: str) -> DataFrame:
@@ -172,42 +172,80 @@ def unfinished_rows(spark: SparkSession, folder: str) -> DataFrame:
 # Merging and ranges
 
 
+def _merged(tree: QuadTree, minimum: int = S.MINIMUM) -> DataFrame:
+    return session.cut_lineage(merge_cells(tree.counts(), minimum))
+
+
+def _with_ids(rows: DataFrame, merged: DataFrame) -> DataFrame:
+    """Rows with the whole id of their group instead of its short name."""
+    return session.join_cell_table(rows, session.cut_lineage(whole_ids(merged)), "part", "left").drop("part")
+
+
+def _named(merged: DataFrame) -> DataFrame:
+    """Every cell with the whole id and the size of its group."""
+    runs = group_runs(merged).select("part", "group_n")
+    return _with_ids(merged.join(runs, "part"), merged).select("id_part", "cell", "n", "group_n")
+
+
 def merged_cells(spark: SparkSession, folder: str) -> DataFrame:
-    return merge_cells(_tree(_points(spark, folder)).counts(), S.MINIMUM)
+    return _named(_merged(_tree(_points(spark, folder))))
 
 
 def merged_vectors(spark: SparkSession, folder: str) -> DataFrame:
-    tree = build_quadtree(_vectors(spark, folder), "x", "y", S.VECTOR_THRESHOLD, S.MAX_DEPTH)
-    return merge_cells(tree.counts(), S.VECTOR_MINIMUM)
+    tree = build_quadtree(_vectors(spark, folder), "x", "y", S.VECTOR_THRESHOLD)
+    return _named(_merged(tree, S.VECTOR_MINIMUM))
 
 
 def merged_events(spark: SparkSession, folder: str) -> DataFrame:
-    return merge_cells(_event_tree(_events(spark, folder)).counts(), S.EVENT_MINIMUM)
+    return _named(_merged(_event_tree(_events(spark, folder)), S.EVENT_MINIMUM))
+
+
+def merged_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups above the split threshold by far, as runs of leaves: no two neighbours are full."""
+    return group_runs(_merged(_tree(_points(spark, folder)), S.LARGE_MINIMUM)).drop("start")
+
+
+def merged_id_pages(spark: SparkSession, folder: str) -> DataFrame:
+    return id_pages(_merged(_event_tree(_events(spark, folder)), S.EVENT_MINIMUM), S.PAGE_MEMBERS)
 
 
 def merged_assign(spark: SparkSession, folder: str) -> DataFrame:
     points = _points(spark, folder)
     tree = _tree(points)
-    groups = merge_cells(tree.counts(), S.MINIMUM).select("cell", "id_part")
-    return tree.assign(points, "x", "y", labels=groups).drop("cell")
+    merged = _merged(tree)
+    tagged = tree.assign(points, "x", "y", labels=merged.select("cell", "part"))
+    return _with_ids(tagged.drop("cell"), merged)
 
 
 def merged_retag(spark: SparkSession, folder: str) -> DataFrame:
     points = _points(spark, folder)
     tree = _tree(points)
-    return retag(tree.assign(points, "x", "y"), merge_cells(tree.counts(), S.MINIMUM))
+    merged = _merged(tree)
+    return _with_ids(retag(tree.assign(points, "x", "y"), merged), merged)
+
+
+def found_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Cells of the finest counted level, most of them no leaves, with the run of leaves they lie in."""
+    points = _points(spark, folder)
+    tree = _tree(points)
+    counts = count_cells(points, tree.box, S.PATH_DEPTH, "x", "y")
+    cells = counts.select(quad_path(F.lit(S.PATH_DEPTH), F.col("qx"), F.col("qy")).alias("cell"))
+    return find_runs(cells, group_runs(_merged(tree)))
 
 
 def merged_ranges(spark: SparkSession, folder: str) -> DataFrame:
     tree = _tree(_points(spark, folder))
-    groups = merge_cells(tree.counts(), S.MINIMUM).select("id_part").distinct()
-    return decode_ranges(groups, tree.box)
+    return decode_ranges(whole_ids(_merged(tree)).select("id_part"), tree.box)
 
 
 def merged_report(spark: SparkSession, folder: str) -> DataFrame:
     tree = _tree(_points(spark, folder))
-    groups = merge_cells(tree.counts(), S.MINIMUM).select("id_part").distinct()
-    return partition_report(groups, tree.box, "x", "y")
+    return partition_report(whole_ids(_merged(tree)).select("id_part"), tree.box, "x", "y")
+
+
+def merged_report_lines(spark: SparkSession, folder: str) -> DataFrame:
+    tree = _tree(_points(spark, folder))
+    return report_lines(_merged(tree), tree.box, "x", "y")
 
 
 def block_partitions(spark: SparkSession, folder: str) -> DataFrame:
@@ -215,8 +253,9 @@ def block_partitions(spark: SparkSession, folder: str) -> DataFrame:
     rows = _lineitem(spark, folder)
     threshold = summary.rows_per_file(rows, csv_line(rows.columns), S.SMALL_BLOCK_BYTES).first().rows_per_file
     tree = build_quadtree(rows, X, Y, threshold)
-    groups = merge_cells(tree.counts(), S.BLOCK_MINIMUM).select("cell", "id_part")
-    return summary.count_per_cell(tree.assign(rows, X, Y, labels=groups), "id_part")
+    merged = _merged(tree, S.BLOCK_MINIMUM)
+    tagged = tree.assign(rows, X, Y, labels=merged.select("cell", "part"))
+    return _with_ids(summary.count_per_cell(tagged, "part"), merged)
 
 
 # Listings and summaries
@@ -224,7 +263,7 @@ def block_partitions(spark: SparkSession, folder: str) -> DataFrame:
 
 def cell_balance(spark: SparkSession, folder: str) -> DataFrame:
     rows = _lineitem(spark, folder)
-    tree = build_quadtree(rows, X, Y, S.THRESHOLD, S.MAX_DEPTH)
+    tree = build_quadtree(rows, X, Y, S.THRESHOLD)
     return summary.cell_balance(tree.assign(rows, X, Y), csv_line(rows.columns))
 
 
@@ -345,6 +384,20 @@ def given_rectangles(spark: SparkSession, folder: str) -> DataFrame:
     return find_rectangle(_points(spark, folder), _rectangles(spark, folder), "x", "y")
 
 
+def nested_rectangles(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows tagged by the extents of the parts and suppliers, most of them large and within each other."""
+    rows = _lineitem(spark, folder)
+    edges = [F.min(X).alias("x0"), F.max(X).alias("x1"), F.min(Y).alias("y0"), F.max(Y).alias("y1")]
+    extents = [
+        rows.groupBy(F.concat(F.lit(kind), F.col(key).cast("string")).alias("cell")).agg(*edges)
+        for kind, key in (("p", "l_partkey"), ("s", "l_suppkey"))
+    ]
+    # The smallest one that holds a row comes first.
+    area = F.round((F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0")) * 100).cast("long")
+    listed = extents[0].unionByName(extents[1]).withColumn("pos", F.struct(area.alias("area"), "cell"))
+    return find_rectangle(_points(spark, folder), listed, "x", "y")
+
+
 def placed_rows(spark: SparkSession, folder: str) -> DataFrame:
     """All rows placed into a split that was built on some of them and stored."""
     points = _points(spark, folder)
@@ -438,7 +491,7 @@ def ddl_columns(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _file_tree(points: DataFrame) -> QuadTree:
-    return build_quadtree(points, "x", "y", S.FILE_THRESHOLD, S.MAX_DEPTH)
+    return build_quadtree(points, "x", "y", S.FILE_THRESHOLD)
 
 
 def partitioned_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
@@ -450,7 +503,7 @@ def partitioned_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 def text_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     rows = _lineitem(spark, folder)
-    tree = build_quadtree(rows, X, Y, S.THRESHOLD, S.MAX_DEPTH)
+    tree = build_quadtree(rows, X, Y, S.THRESHOLD)
     path = session.fresh_path(spark, "groups")
     groups = sinks.store_groups(merge_cells(tree.counts(), S.MINIMUM), path)
     tagged = tree.assign(rows, X, Y, labels=groups.select("cell", "part"))
@@ -507,7 +560,7 @@ def merged_job(spark: SparkSession, folder: str) -> DataFrame:
     written = jobs.partition_merged(
         spark, definition, files, out, X, Y, S.MINIMUM, S.THRESHOLD, file_rows=S.ROWS_PER_FILE
     )
-    return _held(written, "id_part")
+    return _with_ids(_held(written, "part"), sinks.stored_groups(spark, out))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -534,10 +587,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         merged_cells,
         merged_vectors,
         merged_events,
+        merged_runs,
+        merged_id_pages,
         merged_assign,
         merged_retag,
+        found_runs,
         merged_ranges,
         merged_report,
+        merged_report_lines,
         block_partitions,
         cell_balance,
         csv_lines,
@@ -556,6 +613,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         cluster_fit,
         cluster_check,
         given_rectangles,
+        nested_rectangles,
         placed_rows,
         csv_roundtrip,
         odd_definition,

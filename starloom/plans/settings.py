@@ -7,6 +7,9 @@ PATH_DEPTH = 6
 THRESHOLD = 2000
 MAX_DEPTH = 10
 MINIMUM = 3000
+# A minimum far above the threshold.
+LARGE_MINIMUM = 10_000
+PAGE_MEMBERS = 3
 
 # A lower threshold with the stop at more than 50 heavy cells.
 CAPPED_THRESHOLD = 500

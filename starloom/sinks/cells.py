@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom import session
-from starloom.operators.merge import part_key
+from starloom.operators.merge import whole_ids
 
 
 def write_cells(
@@ -74,18 +74,23 @@ def read_lines(spark: SparkSession, path: str, cell: str = "cell") -> DataFrame:
     return read_cells(spark, path, T.StructType([T.StructField("data", T.StringType())]), cell, "text")
 
 
-def store_groups(groups: DataFrame, path: str) -> DataFrame:
-    """Keep ``cell, part, id_part`` beside the partitions; ``part`` names the directory of a group.
+def store_groups(merged: DataFrame, path: str) -> DataFrame:
+    """Keep ``part, cell, n, idx`` of merged cells beside the partitions; ``part`` names the directory of a group."""
+    merged.select("part", "cell", "n", "idx").write.parquet(f"{path}/_groups")
+    return stored_groups(merged.sparkSession, path)
 
-    The id of a group grows with its members, and file systems bound the length of a name.
-    """
-    table = groups.select("cell", part_key(F.col("id_part")).alias("part"), "id_part")
-    table.write.parquet(f"{path}/_groups")
-    return table.sparkSession.read.parquet(f"{path}/_groups")
+
+def stored_groups(spark: SparkSession, path: str) -> DataFrame:
+    """The merged cells kept by :func:`store_groups`."""
+    return spark.read.parquet(f"{path}/_groups")
 
 
 def read_groups(spark: SparkSession, path: str) -> DataFrame:
-    """Read lines written per merged group: ``data`` and the whole id of the group, ``id_part``."""
-    names = spark.read.parquet(f"{path}/_groups").select("part", "id_part").distinct()
+    """Read lines written per merged group: ``data`` and the whole id of the group, ``id_part``.
+
+    The whole id is as long as all members of the group together; :func:`read_lines` with ``part``
+    gives the lines with the group's short name.
+    """
+    names = session.cut_lineage(whole_ids(stored_groups(spark, path)))
     rows = read_lines(spark, path, "part")
     return session.join_cell_table(rows, names, "part", "left").select("data", "id_part")

@@ -6,6 +6,7 @@ import pytest
 from sample import SAMPLE
 
 from starloom import jobs
+from starloom.sinks.cells import read_groups
 
 DEFINITION = "CREATE TABLE t (\n  id NUMBER(19, 0),\n  ra FLOAT (24),\n  decl FLOAT (24),\n  objectId NUMBER(19, 0)\n);\n"
 LINES = [f"{k},{x},{y},{'NULL' if o is None else o}" for k, (x, y, o) in enumerate(SAMPLE)]
@@ -38,6 +39,9 @@ def test_quadtree(spark, source):
 
 def test_merged(spark, source):
     assert held(jobs.partition_merged(spark, *source, minimum=5, threshold=7)) == {
+        "_0000": 5, "_0003": 8, "_22": 7, "_33333330": 10,
+    }
+    assert held(read_groups(spark, source[2])) == {
         "_0000": 5, "_0003_003_21": 8, "_22": 7, "_33333330_33333333": 10,
     }
 
@@ -59,9 +63,9 @@ def test_quadrants(spark, source):
 
 def test_new_lines_are_placed_into_written_partitions(spark, source):
     definition, files, out, x, y = source
-    written = {r.data: r.id_part for r in jobs.partition_merged(spark, *source, minimum=5, threshold=7).collect()}
+    written = {r.data: r.part for r in jobs.partition_merged(spark, *source, minimum=5, threshold=7).collect()}
     placed = jobs.place_lines(spark, definition, files, out, x, y)
-    groups = {r.cell: r.id_part for r in spark.read.parquet(f"{out}/_groups").collect()}
+    groups = {r.cell: r.part for r in spark.read.parquet(f"{out}/_groups").collect()}
     assert {r.data: groups[r.cell] for r in placed.collect()} == written
 
 
@@ -71,7 +75,8 @@ def test_many_members(spark, tmp_path):
     (tmp_path / "schema").write_text(DEFINITION)
     (tmp_path / "rows.csv").write_text("\n".join(lines))
     paths = [str(tmp_path / name) for name in ("schema", "rows.csv", "out")]
-    rows = jobs.partition_merged(spark, *paths, "ra", "decl", minimum=1000, threshold=40).collect()
+    assert jobs.partition_merged(spark, *paths, "ra", "decl", minimum=1000, threshold=40).count() == len(lines)
+    rows = read_groups(spark, paths[2]).collect()
     assert sorted(r.data for r in rows) == sorted(lines)
     assert max(len(r.id_part) for r in rows) > 255
 
