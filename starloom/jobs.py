@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from starloom import session
 from starloom.functions.geometry import DEEPEST
 from starloom.operators.bbox import measure_box
-from starloom.operators.cluster import cluster_sizes, fit_clusters, predict_clusters
+from starloom.operators.cluster import cluster_sizes, draw_starts, fit_lloyd, nearest_centre
 from starloom.operators.lookup import load_tree, store_tree
 from starloom.operators.merge import merge_cells
 from starloom.operators.quadtree import build_quadtree
@@ -114,12 +114,13 @@ def place_lines(spark: SparkSession, definition: str, files: str, out: str, x: s
 
 
 def cluster_catalogue(
-    spark: SparkSession, definition: str, files: str, x: str, y: str, k: int = 10, seed: int | None = None
+    spark: SparkSession, definition: str, files: str, x: str, y: str, k: int = 10, seed: int = 0, starts: int = 1
 ) -> DataFrame:
-    """Sizes of the k-means clusters of a catalogue, smallest first."""
+    """Sizes of the k-means clusters of a catalogue, smallest first, of the best of several random starts."""
     with session.scratch(spark) as store:
         points = store(_lines(spark, definition, files, x, y).select("x", "y"), "points")
-        if points.isEmpty():
+        if measure_box(points, "x", "y") is None:
             return spark.createDataFrame([], "cluster int, n long")
-        sizes = cluster_sizes(predict_clusters(points, fit_clusters(points, "x", "y", k, seed), "x", "y"))
+        best = fit_lloyd(points, "x", "y", draw_starts(points, "x", "y", k, starts, seed=seed))
+        sizes = cluster_sizes(nearest_centre(points, best.centres, "x", "y"))
         return session.cut_lineage(sizes).orderBy("n", "cluster")

@@ -2,14 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from starloom import session
 from starloom.functions.geometry import squared_distance, usable
+from starloom.operators.bbox import measure_box
+
+Centres = Sequence[tuple[float, float]]
+# Bits that the largest coordinate takes as a whole number in the sums, and where those are cut in two.
+SUM_BITS, HALF = 46, 1 << 26
 
 
 def fit_clusters(df: DataFrame, x: str, y: str, k: int = 10, seed: int | None = None) -> KMeansModel:
@@ -26,9 +36,103 @@ def predict_clusters(df: DataFrame, model: KMeansModel, x: str, y: str, cluster:
     return nearest_centre(df, [tuple(map(float, c)) for c in model.clusterCenters()], x, y, cluster)
 
 
-def nearest_centre(
-    df: DataFrame, centres: Sequence[tuple[float, float]], x: str, y: str, cluster: str = "cluster"
-) -> DataFrame:
+class Fit(NamedTuple):
+    """The best of several starts: its number, its final centres and the sum of squared distances to them."""
+
+    start: int
+    centres: list[tuple[float, float]]
+    cost: int
+    rounds: int
+
+
+def draw_starts(df: DataFrame, x: str, y: str, k: int, starts: int, *keys: str, seed: int = 0) -> list[list[tuple]]:
+    """For each start the points of ``k`` rows, drawn by the hash of the start's number and the row's keys.
+
+    The rows with the least hashes are kept in each partition before they meet.
+    """
+    points = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"), *[F.col(c) for c in keys])
+    points = points.filter(usable(F.col("x"), F.col("y")))
+    each = points.withColumn("start", F.explode(F.sequence(F.lit(0), F.lit(starts - 1))))
+    turn = F.md5(F.concat_ws(":", F.lit(seed), "start", *[F.col(c).cast("string") for c in keys or ("x", "y")]))
+    order = Window.partitionBy("start").orderBy("turn", "x", "y")
+    chosen = each.withColumn("turn", turn).withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= k)
+    drawn: list[list[tuple]] = [[] for _ in range(starts)]
+    for row in chosen.select("start", "nth", "x", "y").orderBy("start", "nth").collect():
+        drawn[row.start].append((row.x, row.y))
+    return drawn
+
+
+def fit_lloyd(
+    df: DataFrame, x: str, y: str, starts: Sequence[Centres], rounds: int = 10, scale: float | None = None
+) -> Fit:
+    """Move the centres of all starts to the means of their points, at most ``rounds`` times; keep the best.
+
+    A round is one aggregation for all starts together, combined in each task to a row per start and
+    centre. Coordinates are added up as whole multiples of ``1 / scale``, a power of two chosen by the box
+    unless it is given, so the sums, and with them the centres, do not depend on the order of the rows or on how
+    they are partitioned. A centre without points stays where it is; the least sum of squared
+    distances wins, the first start on a tie. Rows without finite coordinates take no part.
+    """
+    points = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+    held = session.cut_lineage(points.filter(usable(F.col("x"), F.col("y"))))
+    far_scale = scale
+    if scale is None:
+        box = measure_box(held, "x", "y")
+        size = math.ceil(math.log2(max(map(abs, box), default=1.0) or 1.0)) if box else 0
+        scale, far_scale = 2.0 ** (SUM_BITS - size), 2.0 ** (SUM_BITS - 2 * size - 3)
+    centres, done = [[tuple(map(float, c)) for c in start] for start in starts], 0
+    while done < rounds:
+        moved = [list(start) for start in centres]
+        for row in _sums(held, centres, scale, far_scale):
+            moved[row.start][row.cluster] = (float(row.sx) / row.n / scale, float(row.sy) / row.n / scale)
+        done += 1
+        if moved == centres:
+            break
+        centres = moved
+    costs = [0] * len(centres)
+    for row in _sums(held, centres, scale, far_scale):
+        costs[row.start] += int(row.far)
+    best = min(range(len(centres)), key=lambda k: (costs[k], k))
+    return Fit(best, centres[best], costs[best], done)
+
+
+def _sums(points: DataFrame, centres: Sequence[Centres], scale: float, far_scale: float) -> list:
+    """Per start and centre the points nearest to it: how many, and the whole-number sums of what they measure."""
+    found = points.mapInArrow(_measured(centres, scale, far_scale), "start int, cluster int, n long, high array<long>, low array<long>")
+    both = lambda k: F.sum(F.col("high")[k].cast("decimal(38,0)") * HALF + F.col("low")[k])
+    sums = [both(k).alias(name) for k, name in enumerate(("sx", "sy", "far"))]
+    return found.groupBy("start", "cluster").agg(F.sum("n").alias("n"), *sums).collect()
+
+
+def _measured(centres: Sequence[Centres], scale: float, far_scale: float):
+    """Sums of each batch, in two halves that fit 64 bits; the function refers to nothing in this package."""
+    starts, half = [np.array(start) for start in centres], float(HALF)
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.asarray(column) for column in batch.columns)
+            rows = []
+            for number, start in enumerate(starts):
+                far = (x[:, None] - start[:, 0]) ** 2 + (y[:, None] - start[:, 1]) ** 2
+                nearest = far.argmin(axis=1)
+                counts = np.bincount(nearest, minlength=len(start))
+                values = (x * scale, y * scale, far[np.arange(len(x)), nearest] * far_scale)
+                whole = [np.copysign(np.floor(np.abs(v) + 0.5), v) for v in values]
+                sums = np.zeros((2, len(start), 3), np.int64)
+                for k, value in enumerate(whole):
+                    high = np.floor(value / half)
+                    np.add.at(sums[0, :, k], nearest, high.astype(np.int64))
+                    np.add.at(sums[1, :, k], nearest, (value - high * half).astype(np.int64))
+                rows += [(number, k, int(counts[k]), *sums[:, k].tolist()) for k in np.flatnonzero(counts)]
+            names = ["start", "cluster", "n", "high", "low"]
+            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return measure
+
+
+def nearest_centre(df: DataFrame, centres: Centres, x: str, y: str, cluster: str = "cluster") -> DataFrame:
     """Tag each row with the number of its nearest centre, the lowest number on a tie.
 
     Rows without finite coordinates keep a null.

@@ -213,6 +213,44 @@ nearest AS (
 clustered AS (SELECT {POINT_COLUMNS}, cluster FROM numbered JOIN nearest USING (rid))"""
 
 
+def _lloyd() -> str:
+    """Round after round for every start: the nearest centre of each point, then the means."""
+    nearest = """
+far{0} AS MATERIALIZED (
+  SELECT start, rid, x, y, min((x - cx) * (x - cx) + (y - cy) * (y - cy)) AS d,
+         arg_min(cluster, struct_pack(d := (x - cx) * (x - cx) + (y - cy) * (y - cy), k := cluster)) AS cluster
+  FROM numbered, centres{0} GROUP BY ALL
+)"""
+    parts = [
+        f"""
+numbered AS (SELECT *, row_number() OVER () AS rid FROM points),
+drawn AS (
+  SELECT start, x, y, row_number() OVER (PARTITION BY start ORDER BY md5(concat_ws(':', 0, start, {POINT_COLUMNS.removesuffix(', x, y')})), x, y) AS nth
+  FROM points, range({S.STARTS}) AS r(start)
+),
+centres0 AS (SELECT start, nth - 1 AS cluster, x AS cx, y AS cy FROM drawn WHERE nth <= {S.CLUSTERS})"""
+    ]
+    for k in range(S.ROUNDS):
+        parts.append(nearest.format(k))
+        parts.append(f"""
+centres{k + 1} AS MATERIALIZED (
+  SELECT start, cluster, coalesce(mx, cx) AS cx, coalesce(my, cy) AS cy FROM centres{k} LEFT JOIN (
+    SELECT start, cluster, CAST(sum(CAST(round(x * {S.SUM_SCALE}) AS HUGEINT)) AS DOUBLE) / count(*) / {float(S.SUM_SCALE)} AS mx,
+           CAST(sum(CAST(round(y * {S.SUM_SCALE}) AS HUGEINT)) AS DOUBLE) / count(*) / {float(S.SUM_SCALE)} AS my
+    FROM far{k} GROUP BY start, cluster
+  ) USING (start, cluster)
+)""")
+    parts.append(nearest.format(S.ROUNDS))
+    parts.append(f"""
+last_centres AS (SELECT * FROM centres{S.ROUNDS}),
+last_sizes AS (SELECT start, cluster, count(*) AS n FROM far{S.ROUNDS} GROUP BY start, cluster),
+best AS (
+  SELECT start FROM far{S.ROUNDS} GROUP BY start
+  ORDER BY sum(CAST(round(d * {S.SUM_SCALE}) AS HUGEINT)), start LIMIT 1
+)""")
+    return ",".join(parts)
+
+
 def _lineitem_tree(threshold: int, *more: str, max_heavy: int | None = None) -> str:
     return _with(POINTS, BOX, _tree(threshold, max_heavy=max_heavy), *more)
 
@@ -447,6 +485,10 @@ SELECT l_orderkey, CAST(l_linenumber AS INTEGER) AS l_linenumber, {SHIPPED} AS s
         "cluster_check": f"""
 SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS unplaced, CAST(0 AS BIGINT) AS misplaced,
        CAST({S.CLUSTERS} AS BIGINT) AS centres, true AS numbered FROM lineitem""",
+        "cluster_starts": _with(POINTS, _lloyd())
+        + """
+SELECT CAST(c.start AS INTEGER) AS start, CAST(c.cluster AS INTEGER) AS cluster, cx, cy, coalesce(n, 0) AS n
+FROM last_centres c JOIN best USING (start) LEFT JOIN last_sizes USING (start, cluster)""",
         "given_rectangles": _with(POINTS, BOX, _rectangles())
         + f"SELECT {POINT_COLUMNS}, coalesce(cell, '-1') AS cell FROM numbered LEFT JOIN held USING (rid)",
         "nested_rectangles": _nested_rectangles(),

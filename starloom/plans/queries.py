@@ -365,6 +365,17 @@ def cluster_check(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def cluster_starts(spark: SparkSession, folder: str) -> DataFrame:
+    """The best of several starts after all rounds: its centres and their sizes."""
+    points = _points(spark, folder)
+    starts = cluster.draw_starts(points, "x", "y", S.CLUSTERS, S.STARTS, *KEYS)
+    best = cluster.fit_lloyd(points, "x", "y", starts, S.ROUNDS, S.SUM_SCALE)
+    centres = [(best.start, k, *centre) for k, centre in enumerate(best.centres)]
+    table = spark.createDataFrame(centres, "start int, cluster int, cx double, cy double")
+    sizes = cluster.cluster_sizes(cluster.nearest_centre(points, best.centres, "x", "y"))
+    return table.join(sizes, "cluster", "left").select("start", "cluster", "cx", "cy", F.coalesce("n", F.lit(0)).alias("n"))
+
+
 # Lookup in partitions that are there
 
 
@@ -612,6 +623,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         cluster_sizes,
         cluster_fit,
         cluster_check,
+        cluster_starts,
         given_rectangles,
         nested_rectangles,
         placed_rows,

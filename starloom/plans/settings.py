@@ -39,3 +39,7 @@ LARGE_CELL = 3750
 WRITTEN_CELL = "_13"
 CLUSTERS = 10
 FIRST_ROWS = 100
+# Starts of the clusters, and steps per unit in which their sums are taken.
+STARTS = 3
+ROUNDS = 10
+SUM_SCALE = 1 << 20

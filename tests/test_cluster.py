@@ -43,3 +43,37 @@ def test_fit_is_a_fixed_point_of_the_means(spark):
     sizes = {r.cluster: r.n for r in C.cluster_sizes(C.predict_clusters(df, model, "x", "y")).collect()}
     assert sizes == {None: 1, **dict(enumerate(np.bincount(labels).tolist()))}
     assert sorted(model.summary.clusterSizes) == sorted(np.bincount(labels).tolist())
+
+
+def lloyd(points, centres, rounds):
+    """The rounds with plain sums."""
+    xy, at = np.array(points), np.array(centres, float)
+    for _ in range(rounds):
+        near = ((xy[:, None] - at[None]) ** 2).sum(2).argmin(1)
+        at = np.array([xy[near == k].mean(0) if (near == k).any() else at[k] for k in range(len(at))])
+    return at, ((xy[:, None] - at[None]) ** 2).sum(2).min(1).sum()
+
+
+def test_all_rounds_of_several_starts(spark):
+    rng = random.Random(12)
+    points = [(rng.uniform(0, 1000), rng.uniform(-5, 5)) for _ in range(700)]
+    df = spark.createDataFrame([*points, (float("inf"), 0.0), (None, 1.0)], "x double, y double").repartition(5)
+    starts = C.draw_starts(df, "x", "y", 6, 4, seed=3)
+    assert len({tuple(s) for s in starts}) == 4 and all(p in points for s in starts for p in s)
+    fits = [lloyd(points, s, 10) for s in starts]
+    best = C.fit_lloyd(df, "x", "y", starts)
+    want = min(range(4), key=lambda k: fits[k][1])
+    assert best.start == want and np.allclose(best.centres, fits[want][0], atol=1e-6)
+    short = C.fit_lloyd(df, "x", "y", starts[:1], rounds=3)
+    assert np.allclose(short.centres, lloyd(points, starts[0], 3)[0], atol=1e-6) and short.rounds == 3
+    assert not np.allclose(short.centres, lloyd(points, starts[0], 2)[0], atol=1e-6)
+    # Whatever order and partitioning the rows have, the centres are the same to the last bit.
+    for parts in (1, 3, 8):
+        assert C.fit_lloyd(df.orderBy("y").repartition(parts), "x", "y", starts) == best
+
+
+def test_centres_without_points_stay(spark):
+    df = spark.createDataFrame([(0.0, 0.0), (1.0, 0.0)], "x double, y double")
+    fit = C.fit_lloyd(df, "x", "y", [[(0.0, 0.0), (0.0, 0.0), (50.0, 50.0)]])
+    assert fit.centres == [(0.5, 0.0), (0.0, 0.0), (50.0, 50.0)] or fit.centres[1:] == [(0.0, 0.0), (50.0, 50.0)]
+    assert C.fit_lloyd(df.limit(0), "x", "y", [[(1.0, 2.0)]]).centres == [(1.0, 2.0)]
