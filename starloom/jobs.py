@@ -8,6 +8,8 @@ removed at the end. An empty catalogue gives an empty result.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,10 +17,11 @@ from starloom import session
 from starloom.functions.geometry import DEEPEST
 from starloom.operators.bbox import measure_box
 from starloom.operators.cluster import cluster_sizes, draw_starts, fit_lloyd, nearest_centre
+from starloom.operators.grow import split_again, with_empty_leaves, with_more_rows
 from starloom.operators.lookup import load_tree, store_tree
 from starloom.operators.merge import merge_cells
-from starloom.operators.quadtree import build_quadtree
-from starloom.operators.summary import rows_of_size
+from starloom.operators.quadtree import QuadTree, build_quadtree
+from starloom.operators.summary import count_per_cell, rows_of_size
 from starloom.operators.uniform import assign_quadrant, assign_uniform
 from starloom.sinks.cells import read_lines, store_groups, write_text
 from starloom.sources import catalogue, ddl
@@ -65,14 +68,58 @@ def partition_quadtree(
 ) -> DataFrame:
     """One directory per quadtree leaf; the written ``data, cell``. The split is stored beside it."""
     lines = _lines(spark, definition, files, x, y)
-    with session.scratch(spark) as store:
-        points = store(lines.select("x", "y"), "points")
+    with session.released(spark):
+        points = session.stored(lines.select("x", "y"), "points")
         tree = build_quadtree(points, "x", "y", threshold, max_depth)
         write_text(tree.assign(lines, "x", "y"), out, file_rows, F.col("data"))
-    store_tree(tree, f"{out}/_split")
+        store_tree(tree, f"{out}/_split")
+    return read_lines(spark, out)
+
+
+def add_lines(
+    spark: SparkSession, definition: str, files: str, out: str, x: str, y: str, file_rows: int = FILE_ROWS
+) -> DataFrame:
+    """Add a delivery to what :func:`partition_quadtree` wrote; the written ``data, cell``.
+
+    The partitions are then those of a split of all rows together in the box of the first delivery. New lines are
+    appended to their leaves; leaves that are now above the threshold are read again, cut, and replaced
+    by directories of their own, and no other file is touched. Lines outside the box have no cell.
+    The new files are complete before an old directory is removed and the split is stored last, so
+    a job that fails can be told by a directory that is no leaf of the stored split.
+    """
+    positions = ddl.column_positions(ddl.read_ddl(spark, definition))
+    with session.released(spark):
+        tree = load_tree(spark, f"{out}/_split")
+        lines = session.stored(catalogue.read_lines(spark, files, positions, x, y), "delivery")
+        if tree.box is None:
+            write_text(tree.assign(lines, "x", "y"), out, file_rows, F.col("data"), mode="append")
+            return read_lines(spark, out)
+        whole = with_empty_leaves(tree)
+        tagged = session.stored(whole.assign(lines, "x", "y"), "tagged")
+        grown, heavy = with_more_rows(whole, count_per_cell(tagged.filter("cell is not null")))
+        names = heavy.select("cell")
+        write_text(session.join_cell_table(tagged, names, "cell", "left_anti"), out, file_rows, F.col("data"), mode="append")
+        if not names.isEmpty():
+            # The condition on the partition column leaves all other directories unread.
+            old = session.join_cell_table(read_lines(spark, out), names, "cell", "left_semi")
+            old = catalogue.cut_again(old, positions, x, y).select("data", "x", "y")
+            rows = old.unionByName(session.join_cell_table(tagged, names, "cell", "left_semi").select("data", "x", "y"))
+            rows = session.stored(rows, "heavy")
+            grown, part = split_again(grown, rows, "x", "y")
+            write_text(part.assign(rows, "x", "y"), out, file_rows, F.col("data"), mode="append")
+            for row in names.toLocalIterator():
+                session.remove(spark, f"{out}/cell={row.cell}")
+        held = replace(grown, cells=grown.cells.filter("n > 0"))
+        held = replace(held, leaf_depths=_leaf_depths(held))
+        store_tree(held, f"{out}/_split", mode="overwrite")
     return read_lines(spark, out)
 
 
+def _leaf_depths(tree: QuadTree) -> dict[int, int]:
+    counts = tree.leaves().groupBy("depth").agg(F.count("*").alias("leaves")).collect()
+    return {r["depth"]: r["leaves"] for r in counts}
+
+
 def partition_merged(
     spark: SparkSession,
     definition: str,
@@ -95,8 +142,8 @@ def partition_merged(
     ``sinks.cells.read_groups`` makes the whole ids.
     """
     lines = _lines(spark, definition, files, x, y)
-    with session.scratch(spark) as store:
-        points = store(lines.select("x", "y", F.octet_length("data").alias("size")), "points")
+    with session.released(spark):
+        points = session.stored(lines.select("x", "y", F.octet_length("data").alias("size")), "points")
         if threshold is None:
             threshold = rows_of_size(points, "size").first().rows_per_file or 1
         tree = build_quadtree(points, "x", "y", threshold, max_depth, max_heavy_cells)
@@ -117,10 +164,11 @@ def cluster_catalogue(
     spark: SparkSession, definition: str, files: str, x: str, y: str, k: int = 10, seed: int = 0, starts: int = 1
 ) -> DataFrame:
     """Sizes of the k-means clusters of a catalogue, smallest first, of the best of several random starts."""
-    with session.scratch(spark) as store:
-        points = store(_lines(spark, definition, files, x, y).select("x", "y"), "points")
+    with session.released(spark):
+        points = session.stored(_lines(spark, definition, files, x, y).select("x", "y"), "points")
         if measure_box(points, "x", "y") is None:
             return spark.createDataFrame([], "cluster int, n long")
         best = fit_lloyd(points, "x", "y", draw_starts(points, "x", "y", k, starts, seed=seed))
         sizes = cluster_sizes(nearest_centre(points, best.centres, "x", "y"))
-        return session.cut_lineage(sizes).orderBy("n", "cluster")
+        rows = [(row["cluster"], row["n"]) for row in sizes.collect()]  # one per cluster
+    return spark.createDataFrame(rows, "cluster int, n long").orderBy("n", "cluster")

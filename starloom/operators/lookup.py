@@ -152,17 +152,17 @@ def find_rectangle(df: DataFrame, rectangles: DataFrame, x: str, y: str, cell: s
     return rows.select(*payload, F.coalesce(first["cell"], F.lit(NO_CELL)).alias(cell))
 
 
-def store_tree(tree: QuadTree, path: str) -> None:
+def store_tree(tree: QuadTree, path: str, mode: str = "error") -> None:
     """Keep a finished split beside the partitions written by it."""
     spark = tree.cells.sparkSession
-    tree.cells.write.parquet(f"{path}/cells")
+    tree.cells.write.mode(mode).parquet(f"{path}/cells")
     sizes = ",".join(f"{depth}:{n}" for depth, n in sorted(tree.leaf_depths.items()))
     box = tuple(tree.box) if tree.box else (None,) * 4
     about = spark.createDataFrame(
         [(*box, tree.threshold, tree.stop, sizes)],
         "x0 double, x1 double, y0 double, y1 double, threshold long, stop int, sizes string",
     )
-    about.coalesce(1).write.parquet(f"{path}/about")
+    about.coalesce(1).write.mode(mode).parquet(f"{path}/about")
 
 
 def load_tree(spark: SparkSession, path: str) -> QuadTree:

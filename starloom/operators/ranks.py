@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom import session
@@ -11,6 +11,26 @@ from starloom import session
 PLACE_BITS = 33
 
 
+def with_rows_before(ids: DataFrame, n: str, cell: str = "cell", name: str = "before") -> DataFrame:
+    """Add the sum of the column ``n`` over all rows that come before in the order of ``cell``, range by range."""
+    tasks = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = ids.repartitionByRange(tasks, cell).sortWithinPartitions(cell)
+    placed = session.cut_lineage(ordered.withColumn("_range", F.spark_partition_id()))
+    sums = {r["_range"]: r["n"] for r in placed.groupBy("_range").agg(F.sum(n).alias("n")).collect()}
+    along = Window.partitionBy("_range").orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum(n).over(along), F.lit(0))
+    return placed.withColumn(name, F.get(_starts(sums), F.col("_range")) + inside).drop("_range")
+
+
+def _starts(sums: dict[int, int]) -> Column:
+    """What the ranges before each range add up to, as an array."""
+    starts, before = [], 0
+    for k in range(max(sums, default=-1) + 1):
+        starts.append(str(before))
+        before += sums.get(k, 0)
+    return F.split(F.lit(",".join(starts) or "0"), ",").cast("array<bigint>")
+
+
 def with_rank(ids: DataFrame, cell: str = "cell", name: str = "idx") -> DataFrame:
     """Add the place of each row in the order of a column without repeats, from 0.
 
@@ -22,10 +42,5 @@ def with_rank(ids: DataFrame, cell: str = "cell", name: str = "idx") -> DataFram
     placed = session.cut_lineage(ordered.withColumn("_place", F.monotonically_increasing_id()))
     part = F.shiftright("_place", PLACE_BITS)
     sizes = {r["part"]: r["n"] for r in placed.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()}
-    starts, before = [], 0
-    for k in range(max(sizes, default=-1) + 1):
-        starts.append(str(before))
-        before += sizes.get(k, 0)
-    listed = F.split(F.lit(",".join(starts) or "0"), ",").cast("array<bigint>")
     place = F.col("_place").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
-    return placed.withColumn(name, F.get(listed, part.cast("int")) + place).drop("_place")
+    return placed.withColumn(name, F.get(_starts(sizes), part.cast("int")) + place).drop("_place")

@@ -340,6 +340,17 @@ held AS (
     )
 
 
+def _grown_split() -> str:
+    """All rows split together, in the box of those that came first."""
+    every = f"every AS (SELECT l_linenumber > 2 AS early, {CATALOGUE_LINE} AS data, l_extendedprice AS x, l_quantity AS y FROM lineitem)"
+    box = "box AS (SELECT min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM every WHERE early)"
+    inside = "points AS (SELECT data, x, y FROM every, box WHERE x BETWEEN x0 AND x1 AND y BETWEEN y0 AND y1)"
+    return _with(every, box, inside, _tree(S.THRESHOLD, "data, x, y")) + f"""
+SELECT cell, {HELD} FROM assigned GROUP BY cell
+UNION ALL
+SELECT NULL, {HELD} FROM every, box WHERE NOT (x BETWEEN x0 AND x1 AND y BETWEEN y0 AND y1) HAVING count(*) > 0"""
+
+
 def oracles() -> dict[str, str]:
     lineitem_tree = _lineitem_tree(S.THRESHOLD)
     merged = _lineitem_tree(S.THRESHOLD, _merge(S.MINIMUM))
@@ -522,6 +533,25 @@ FROM points, box GROUP BY 1""",
             _merge(S.MINIMUM),
         )
         + "SELECT data, id_part FROM assigned JOIN groups USING (cell)",
+        "dealt_cells": lineitem_tree
+        + f"""
+SELECT cell, n, CAST(floor(coalesce(before, 0) * shares / total) AS INTEGER) AS task FROM (
+  SELECT cell, n, sum(n) OVER (ORDER BY cell ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before,
+         sum(n) OVER () AS total, greatest(1, least({S.TASKS}, sum(n) OVER () // {S.DEALT_ROWS})) AS shares
+  FROM leaves WHERE n <= {S.DEALT_ROWS}
+)""",
+        "written_balance": _with(catalogue_points, BOX, _tree(S.FILE_THRESHOLD, "data, x, y"))
+        + """
+SELECT cell, count(*) AS n, CAST(sum(strlen(data) + 1) AS BIGINT) AS bytes, true AS enough_files
+FROM assigned GROUP BY cell""",
+        "line_sources": f"SELECT {LINE} AS data, l_returnflag AS flag, true AS placed FROM lineitem",
+        "rejected_lines": f"""
+SELECT count(*) + 7 AS lines, CAST(4 AS BIGINT) AS short, CAST(2 AS BIGINT) AS bad_x, CAST(1 AS BIGINT) AS bad_y,
+       count(*) AS kept, CAST(sum(strlen({CATALOGUE_LINE})) AS BIGINT) AS bytes FROM lineitem""",
+        "region_rows": lineitem_tree
+        + f"""
+SELECT * FROM assigned WHERE x BETWEEN {S.REGION[0]} AND {S.REGION[1]} AND y BETWEEN {S.REGION[2]} AND {S.REGION[3]}""",
+        "grown_split": _grown_split(),
         "one_file_per_cell": _lineitem_tree(S.FILE_THRESHOLD)
         + "SELECT cell, n, true AS one_file FROM leaves",
     }

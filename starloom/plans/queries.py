@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom import jobs, session
-from starloom.functions.geometry import path_box, quad_path, squared_distance, with_quad_index
+from starloom.functions.geometry import Box, path_box, quad_path, squared_distance, with_quad_index
 from starloom.functions.text import csv_line
 from starloom.operators import cluster, lookup, summary, uniform
 from starloom.operators.bbox import bounding_box, measure_box
@@ -534,6 +534,65 @@ def one_file_per_cell(spark: SparkSession, folder: str) -> DataFrame:
     return per_cell.select("cell", "n", ((F.col("n") > S.LARGE_CELL) | (F.col("files") == 1)).alias("one_file"))
 
 
+def dealt_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaves dealt to writing tasks by their sizes."""
+    return sinks.deal_cells(_tree(_points(spark, folder)).counts(), S.TASKS, S.DEALT_ROWS)
+
+
+def written_balance(spark: SparkSession, folder: str) -> DataFrame:
+    """The files really written per leaf: their bytes as listed, beside the lines in them."""
+    definition, files = _store_catalogue(spark, folder)
+    out = session.fresh_path(spark, "balance")
+    jobs.partition_quadtree(spark, definition, files, out, X, Y, S.FILE_THRESHOLD, file_rows=S.ROWS_PER_FILE)
+    held = sinks.written_balance(spark, out)
+    least = F.ceil(F.col("n") / S.ROWS_PER_FILE)
+    return held.select("cell", "n", "bytes", (F.col("files") >= least).alias("enough_files"))
+
+
+def line_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines with the file they came from, where each flag has files of its own."""
+    rows = _lineitem(spark, folder).withColumn("l_shipdate", F.col("l_shipdate").cast("string"))
+    path = session.fresh_path(spark, "flags")
+    rows.select("l_returnflag", csv_line(rows.columns).alias("value")).write.partitionBy("l_returnflag").text(path)
+    at = {name: k for k, name in enumerate(rows.columns)}
+    lines = catalogue.read_lines(spark, f"{path}/*/part-*", at, X, Y, sources=True)
+    flag = F.regexp_extract("file", "l_returnflag=([^/]*)/", 1)
+    return lines.select("data", flag.alias("flag"), (F.col("block") >= 0).alias("placed"))
+
+
+def rejected_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """What was counted while the good lines were written: no second scan."""
+    definition, files = _store_catalogue(spark, folder)
+    odd = [("1,2,3,4,fifty,6,7,8,9,10,11,12",), ("1,2,3,4,5,,7,8,9,10,11,12",), ("1,2,3,4,5,NaN,7,8,9,10,11,12",)]
+    spark.createDataFrame(odd, "value string").coalesce(1).write.mode("append").text(files)
+    positions = ddl.column_positions(ddl.read_ddl(spark, definition))
+    lines, seen = catalogue.counted_lines(catalogue.judged_lines(spark, files, positions, X, Y))
+    good = session.stored(lines.filter("reason is null").drop("reason"), "good")
+    counted = [F.lit(seen.get[name]).cast("long").alias(name) for name in ("lines", "short", "bad_x", "bad_y")]
+    kept = good.agg(F.count("*").alias("kept"), F.sum(F.octet_length("data")).alias("bytes"))
+    return kept.select(*counted, "kept", "bytes")
+
+
+def region_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of a region from partitions that were written: only directories it touches are read."""
+    points = _points(spark, folder)
+    tree, path = _tree(points), session.fresh_path(spark, "region")
+    sinks.write_cells(tree.assign(points, "x", "y"), path, S.ROWS_PER_FILE)
+    return sinks.read_region(sinks.read_cells(spark, path, points.schema), Box(*S.REGION), tree.box, "x", "y")
+
+
+def grown_split(spark: SparkSession, folder: str) -> DataFrame:
+    """A split built on one delivery, and another one added: what the partitions hold."""
+    rows = _catalogue_rows(spark, folder)
+    kinds = [f"  {name} {DDL_TYPES[kind]}" for name, kind in rows.dtypes]
+    first, then = F.col("l_linenumber") > 2, F.col("l_linenumber") <= 2
+    definition, files = _store_files(spark, rows.filter(first), kinds)
+    _, more = _store_files(spark, rows.filter(then), kinds)
+    out = session.fresh_path(spark, "grown")
+    jobs.partition_quadtree(spark, definition, files, out, X, Y, S.THRESHOLD, file_rows=S.ROWS_PER_FILE)
+    return _held(jobs.add_lines(spark, definition, more, out, X, Y, S.ROWS_PER_FILE), "cell")
+
+
 def written_cell(spark: SparkSession, folder: str) -> DataFrame:
     """One cell of a written dataset: only its directory is read."""
     return summary.rows_of_cell(partitioned_roundtrip(spark, folder), S.WRITTEN_CELL)
@@ -635,6 +694,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         partitioned_roundtrip,
         text_roundtrip,
         one_file_per_cell,
+        dealt_cells,
+        written_balance,
+        line_sources,
+        rejected_lines,
+        region_rows,
+        grown_split,
         written_cell,
         uniform_job,
         quadrant_job,

@@ -36,6 +36,11 @@ PAGE_ROWS = 200
 FILE_THRESHOLD = 10_000
 ROWS_PER_FILE = 2000
 LARGE_CELL = 3750
+# Tasks that cells are dealt to, and rows above which a cell is written in several files.
+TASKS = 7
+DEALT_ROWS = 1500
+# Low and high price, low and high quantity.
+REGION = (20_000.0, 41_000.5, 12.0, 30.5)
 WRITTEN_CELL = "_13"
 CLUSTERS = 10
 FIRST_ROWS = 100

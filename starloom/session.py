@@ -16,6 +16,10 @@ BROADCAST_BYTES = 128 << 20
 ROW_BYTES, COLUMN_BYTES = 64, 16
 
 
+# Folders of the scopes that are open, the innermost one last.
+_SCOPES: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder that the driver and every executor can reach.
 
@@ -34,8 +38,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing has been written to yet."""
-    return f"{shared_folder(spark).rstrip('/')}/starloom/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder, or in that of the innermost scope, that nothing has been written to yet."""
+    folder = _SCOPES[-1] if _SCOPES else f"{shared_folder(spark).rstrip('/')}/starloom"
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -65,8 +70,35 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFram
         yield store
     finally:
         for path in paths:
-            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+            remove(spark, path)
+
+
+@contextlib.contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Checkpoints and stored tables made within the block are removed at its end.
+
+    What the block computes lazily must be written or collected within it.
+    """
+    context = spark.sparkContext
+    shared_folder(spark)
+    scala = context._jsc.sc()
+    before = scala.checkpointDir()
+    own = fresh_path(spark, "scope")
+    _SCOPES.append(own)
+    context.setCheckpointDir(own)
+    try:
+        yield
+    finally:
+        # The folder of the session again, as it was: setting it by name would make another one.
+        getattr(scala, "checkpointDir_$eq")(before)
+        _SCOPES.remove(own)
+        remove(spark, own)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def row_bytes(table: DataFrame) -> Column:

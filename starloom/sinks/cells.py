@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom import session
+from starloom.functions.geometry import DEEPEST, Box, inside
 from starloom.operators.merge import whole_ids
+from starloom.operators.ranks import with_rows_before
+
+# Cells that a region is covered by, at most about so many.
+REGION_CELLS = 64
 
 
 def write_cells(
@@ -41,25 +46,94 @@ def write_text(
     write_cells(df.select(cell, line.alias("data")), path, rows_per_file, cell, "text", mode)
 
 
+def deal_cells(counts: DataFrame, tasks: int, most: int, cell: str = "cell") -> DataFrame:
+    """Deal the cells of up to ``most`` rows to tasks by their sizes: ``cell, n, task``.
+
+    Cells in id order are cut where another equal share of the rows is full. There are at most ``tasks`` shares, and
+    none is below ``most`` rows unless all are in one, so no task has more than twice a share.
+    """
+    small = counts.filter(F.col(cell).isNotNull() & (F.col("n") <= most)).select(cell, "n")
+    total = small.agg(F.sum("n")).first()[0] or 0
+    shares = max(1, min(tasks, total // max(most, 1)))
+    task = F.floor(F.col("before") * shares / F.lit(max(total, 1))).cast("int")
+    return with_rows_before(small, "n", cell).select(cell, "n", task.alias("task"))
+
+
 def write_file_per_cell(
     df: DataFrame, path: str, counts: DataFrame, rows_per_file: int, cell: str = "cell"
 ) -> None:
     """Exactly one file for each cell of up to ``rows_per_file`` rows.
 
-    Such cells are hashed into as many tasks as any shuffle has, however many cells there
-    are, and a task writes its cells one after the other. Larger cells (``counts``:
-    ``cell, n``) would make one task as long as the cell, so they are written in several
+    Such cells are dealt to tasks by their sizes, and a task writes its cells one after the other. Larger
+    cells (``counts``: ``cell, n``) would make one task as long as the cell, so they are written in several
     files; rows without a cell go with them. The rows are stored once and read for both.
     """
     rows = session.cut_lineage(df)
-    small = session.cut_lineage(counts.filter(F.col("n") <= rows_per_file).select(cell))
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = session.join_cell_table(rows, small, cell, "left_semi")
-    placed.repartition(tasks, cell).sortWithinPartitions(cell).write.partitionBy(cell).parquet(path)
-    rest = session.join_cell_table(rows, small, cell, "left_anti")
+    dealt = session.cut_lineage(deal_cells(counts, tasks, rows_per_file, cell)).withColumnRenamed("task", "_task")
+    placed = session.join_cell_table(rows, dealt.select(cell, "_task"), cell, "inner")
+    placed = placed.repartitionById(tasks, F.col("_task")).sortWithinPartitions(cell)
+    placed.select(*df.columns).write.partitionBy(cell).parquet(path)
+    rest = session.join_cell_table(rows, dealt.select(cell), cell, "left_anti")
     write_cells(rest, path, rows_per_file, cell, mode="append")
 
 
+def written_files(spark: SparkSession, path: str, cell: str = "cell") -> DataFrame:
+    """The files of a dataset written per cell, ``cell, file, bytes``: listed, not read."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    name = F.regexp_extract("path", f"/{cell}=([^/]*)/[^/]*$", 1)
+    return listed.select(name.alias(cell), F.col("path").alias("file"), F.col("length").alias("bytes"))
+
+
+def written_balance(spark: SparkSession, path: str, cell: str = "cell") -> DataFrame:
+    """Files and bytes per cell as they were written, and the rows in them: ``cell, files, bytes, n, text_bytes``.
+
+    The first two come from the listing of the files alone; ``text_bytes`` are those of the lines
+    themselves, of which each takes one more in a file without compression.
+    """
+    sizes = written_files(spark, path, cell).groupBy(cell).agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
+    lines = read_lines(spark, path, cell)
+    held = lines.groupBy(cell).agg(F.count("*").alias("n"), F.sum(F.octet_length("data")).alias("text_bytes"))
+    return sizes.join(held, cell, "left").fillna(0, ["n", "text_bytes"])
+
+
+def region_cells(region: Box, box: Box, most: int = REGION_CELLS) -> list[str]:
+    """Ids of cells that cover a region of the box, at most about ``most``, from coarse to fine.
+
+    Cells on the border of the region are quartered while there is room; those within it, and those outside, are not.
+    """
+    done, border = [], [("_", tuple(box))]
+    meets = lambda r: r[0] <= region.x1 and r[1] >= region.x0 and r[2] <= region.y1 and r[3] >= region.y0
+    within = lambda r: region.x0 <= r[0] and r[1] <= region.x1 and region.y0 <= r[2] and r[3] <= region.y1
+    border = [cell for cell in border if meets(cell[1])]
+    while border and len(done) + 4 * len(border) <= most and len(border[0][0]) <= DEEPEST:
+        finer = []
+        for name, (x0, x1, y0, y1) in border:
+            if within((x0, x1, y0, y1)):
+                done.append(name)
+                continue
+            mx, my = (x0 + x1) / 2, (y0 + y1) / 2
+            quarters = [(x0, mx, y0, my), (mx, x1, y0, my), (mx, x1, my, y1), (x0, mx, my, y1)]
+            finer += [(f"{name}{k}", r) for k, r in enumerate(quarters) if meets(r)]
+        border = finer
+    return done + [name for name, _ in border]
+
+
+def read_region(rows: DataFrame, region: Box, box: Box | None, x: str, y: str, cell: str = "cell") -> DataFrame:
+    """Rows of a closed region from a dataset written per quadtree cell over ``box``.
+
+    Cells that the region touches are told by the beginning of their ids, a condition on the partition
+    column, so only their directories are listed and read. Rows without a cell lie in no region.
+    """
+    if box is None:
+        return rows.limit(0)
+    near = F.lit(False)
+    for name in region_cells(region, box):
+        near = near | F.col(cell).startswith(name) | F.lit(name).startswith(F.col(cell))
+    px, py = F.col(x).cast("double"), F.col(y).cast("double")
+    return rows.filter(F.col(cell).isNotNull() & near).filter(inside(px, py, region))
+
+
 def read_cells(
     spark: SparkSession, path: str, schema: T.StructType, cell: str = "cell", file_format: str = "parquet"
 ) -> DataFrame:

@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 from datetime import date, datetime
 from decimal import Decimal
@@ -8,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom import session
+from starloom.functions.geometry import Box
 from starloom.functions.text import csv_line
+from starloom.operators.quadtree import build_quadtree
 from starloom.operators.summary import count_per_cell, rows_of_cell
 from starloom.sinks import cells as K
 from starloom.sources import catalogue, ddl
@@ -218,3 +221,74 @@ def test_scratch_tables_are_removed(spark):
         path = Path(back.inputFiles()[0].removeprefix("file:")).parent
         assert back.count() == 5 and path.exists()
     assert not path.exists()
+
+
+def test_cells_are_dealt_by_size(spark):
+    """Cells of very different sizes: no task gets more than twice the median."""
+    rng = random.Random(7)
+    counts = [(f"_{k:06}", int(rng.paretovariate(0.8)) + 1) for k in range(5000)] + [(None, 9)]
+    dealt = K.deal_cells(spark.createDataFrame(counts, "cell string, n long"), 64, 400).collect()
+    assert {r.cell: r.n for r in dealt} == {c: n for c, n in counts if c and n <= 400}
+    tasks = Counter()
+    for r in dealt:
+        tasks[r.task] += r.n
+    sizes = sorted(tasks.values())
+    assert 10 < len(sizes) <= 64 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    assert K.deal_cells(spark.createDataFrame([], "cell string, n long"), 8, 10).collect() == []
+
+
+def test_a_region_reads_its_directories_only(spark, tmp_path):
+    rng = random.Random(4)
+    points = [(rng.random() ** 2, rng.random()) for _ in range(4000)] + [(0.5, 0.5), (0.25, 0.25), (None, 0.3)]
+    df = spark.createDataFrame(points, "x double, y double")
+    tree = build_quadtree(df, "x", "y", 60)
+    path = str(tmp_path / "cells")
+    K.write_cells(tree.assign(df, "x", "y"), path, 1000)
+    written = K.read_cells(spark, path, df.schema)
+    for region in (Box(0.2, 0.3, 0.6, 0.7), Box(0.25, 0.25, 0.25, 0.25), Box(0.5, 2.0, -1.0, 0.1), Box(5.0, 6.0, 0.0, 1.0)):
+        got = K.read_region(written, region, tree.box, "x", "y")
+        want = [p for p in points if p[0] is not None and region.x0 <= p[0] <= region.x1 and region.y0 <= p[1] <= region.y1]
+        assert sorted((r.x, r.y) for r in got.collect()) == sorted(want)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(cell" in plan or not want
+    assert K.read_region(written, Box(0.0, 1.0, 0.0, 1.0), None, "x", "y").collect() == []
+    # The condition holds for few directories.
+    near = K.region_cells(Box(0.2, 0.3, 0.6, 0.7), tree.box)
+    leaves = [r.cell for r in tree.counts().collect()]
+    touched = [c for c in leaves if any(c.startswith(n) or n.startswith(c) for n in near)]
+    assert len(touched) < len(leaves) / 5 and len(near) <= K.REGION_CELLS
+
+
+def test_lines_say_where_they_came_from(spark, tmp_path):
+    for k in range(3):
+        (tmp_path / f"part-{k}.csv").write_text("".join(f"{k},{i}.5,2,x\n" for i in range(4)) + "\n1,2\n")
+    at = {"id": 0, "x": 1, "y": 2}
+    rows = catalogue.read_lines(spark, str(tmp_path / "part-*.csv"), at, "x", "y", sources=True).collect()
+    assert len(rows) == 12 and all(r.file.endswith(f"part-{r.data[0]}.csv") and r.block == 0 for r in rows)
+    plain = catalogue.read_lines(spark, str(tmp_path / "part-*.csv"), at, "x", "y")
+    assert plain.columns == ["data", "x", "y"] and plain.count() == 12
+
+
+def test_rejected_lines_are_counted_on_the_way(spark, tmp_path):
+    lines = ["1,2.0,3.0", "", "7", "1,2", "1,two,3", "1,,3", "1,2,NaN", "1,inf,4", "1,2,3,4,5", "1,2,x"]
+    (tmp_path / "rows.csv").write_text("\n".join(lines) + "\n")
+    judged = catalogue.judged_lines(spark, str(tmp_path / "rows.csv"), {"id": 0, "x": 1, "y": 2}, "x", "y")
+    assert {r.data: r.reason for r in judged.collect()} == {
+        "1,2.0,3.0": None, "": "short", "7": "short", "1,2": "short", "1,two,3": "x", "1,,3": "x", "1,2,NaN": "y",
+        "1,inf,4": "x", "1,2,3,4,5": None, "1,2,x": "y",
+    }
+    counted, seen = catalogue.counted_lines(judged)
+    counted.filter("reason is null").write.parquet(str(tmp_path / "good"))
+    assert seen.get == {"lines": 10, "short": 3, "bad_x": 3, "bad_y": 2}
+    assert spark.read.parquet(str(tmp_path / "good")).count() == 2
+
+
+def test_written_files_are_listed(spark, tmp_path):
+    df = spark.createDataFrame([("00", "ab"), ("00", "é"), ("11", "x" * 50)], "cell string, data string")
+    K.write_text(df, str(tmp_path / "out"), 1, F.col("data"))
+    files = K.written_files(spark, str(tmp_path / "out")).collect()
+    assert Counter(r.cell for r in files) == {"00": 2, "11": 1}
+    rows = {r.cell: (r.files, r.bytes, r.n, r.text_bytes) for r in K.written_balance(spark, str(tmp_path / "out")).collect()}
+    assert rows == {"00": (2, 6, 2, 4), "11": (1, 51, 1, 50)}
+    plan = K.written_files(spark, str(tmp_path / "out"))._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("ReadSchema")[-1]

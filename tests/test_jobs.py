@@ -5,7 +5,10 @@ from pathlib import Path
 import pytest
 from sample import SAMPLE
 
-from starloom import jobs
+from starloom import jobs, session
+from starloom.functions.geometry import Box
+from starloom.operators.lookup import load_tree
+from starloom.operators.quadtree import build_quadtree
 from starloom.sinks.cells import read_groups
 
 DEFINITION = "CREATE TABLE t (\n  id NUMBER(19, 0),\n  ra FLOAT (24),\n  decl FLOAT (24),\n  objectId NUMBER(19, 0)\n);\n"
@@ -91,3 +94,56 @@ def test_an_empty_catalogue(spark, tmp_path):
     )):
         assert job(spark, definition, files, str(tmp_path / f"out{k}"), "ra", "decl").count() == 0
     assert jobs.cluster_catalogue(spark, definition, files, "ra", "decl").count() == 0
+
+
+def tree_of(written):
+    return Counter(r.cell for r in written.collect())
+
+
+@pytest.mark.parametrize(("seed", "threshold"), [(1, 40), (2, 7), (3, 2000)])
+def test_deliveries_give_the_split_of_all_rows(spark, tmp_path, seed, threshold):
+    """Three deliveries, the later ones also into empty leaves and outside the box."""
+    rng = random.Random(seed)
+    definition = str(tmp_path / "schema")
+    (tmp_path / "schema").write_text(DEFINITION)
+    box = [(0.0, 0.0), (1.0, 1.0)]
+    first = box + [(rng.random() ** 3, rng.random()) for _ in range(300)]
+    second = [(rng.random(), rng.random() ** 5) for _ in range(400)] + [(1.5, 0.5), (0.999, 0.001)]
+    third = [(0.25, 0.75)] * 30 + [(rng.random(), rng.random()) for _ in range(50)]
+    lines, points, n = [], [], 0
+    for k, rows in enumerate((first, second, third)):
+        text = [f"{n + i},{x!r},{y!r},NULL" for i, (x, y) in enumerate(rows)]
+        n += len(rows)
+        lines += text
+        points += rows
+        (tmp_path / f"d{k}.csv").write_text("\n".join(text) + "\n")
+    out = str(tmp_path / "out")
+    jobs.partition_quadtree(spark, definition, str(tmp_path / "d0.csv"), out, "ra", "decl", threshold, max_depth=20)
+    before = {p: p.stat().st_mtime_ns for p in Path(out).glob("cell=*/*.txt")}
+    for k in (1, 2):
+        written = jobs.add_lines(spark, definition, str(tmp_path / f"d{k}.csv"), out, "ra", "decl")
+    rows = written.collect()
+    assert sorted(r.data for r in rows) == sorted(lines)
+    df = spark.createDataFrame([(line, *p) for line, p in zip(lines, points)], "data string, x double, y double")
+    whole = build_quadtree(df, "x", "y", threshold, 20, box=Box(0.0, 1.0, 0.0, 1.0)).assign(df, "x", "y")
+    assert {r.data: r.cell for r in rows} == {r.data: r.cell for r in whole.collect()}
+    stored = load_tree(spark, f"{out}/_split")
+    assert {r.cell: r.n for r in stored.counts().collect()} == Counter(r.cell for r in rows if r.cell)
+    # Files of leaves that were not cut again are those written first.
+    kept = [p for p in before if p.exists()]
+    assert all(p.stat().st_mtime_ns == before[p] for p in kept)
+    assert {p.parent.name for p in before if not p.exists()}.isdisjoint({f"cell={r.cell}" for r in rows})
+
+
+def test_jobs_leave_nothing_in_the_shared_folder(spark, source):
+    shared = Path(session.shared_folder(spark).removeprefix("file:"))
+    held = lambda: {p for p in shared.rglob("*") if p.is_file()}
+    before = held()
+    definition, files, out, x, y = source
+    jobs.partition_quadtree(spark, definition, files, out + "1", x, y, 7)
+    jobs.add_lines(spark, definition, files, out + "1", x, y)
+    jobs.partition_merged(spark, definition, files, out + "2", x, y, 5, 7)
+    jobs.cluster_catalogue(spark, definition, files, x, y, k=3, starts=4)
+    assert held() == before
+    # Outside of a scope checkpoints go where they went before.
+    assert session.cut_lineage(spark.range(3)).count() == 3 and held() - before
