@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from starloom.llm.batches import slices, texts_of
 from starloom.llm.components import connected_components
-from starloom.llm.words import WINDOW_WORDS, Stretches, find_words, mixed, windows, word_hashes
+from starloom.llm.words import WINDOW_WORDS, find_words, hash_rows, mixed, windows, word_hashes
 from starloom.session import cut_lineage, join_cell_table
 
 THRESHOLD = 0.8
@@ -56,7 +56,7 @@ def gram_sets(texts: pa.Array, size: int = WINDOW_WORDS) -> list[np.ndarray]:
     hashes = word_hashes(words)
     grams, firsts = windows(hashes, words, size)
     starts = np.searchsorted(firsts, words.starts)
-    short = Stretches(hashes).hashes(words.starts[:-1], words.starts[1:])
+    short = hash_rows(hashes, words.starts[:-1], np.where(words.per_text < size, words.per_text, 0))
     sets = []
     for row, n in enumerate(words.per_text):
         own = grams[starts[row] : starts[row + 1]] if n >= size else short[row : row + 1] if n else short[:0]

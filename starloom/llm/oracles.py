@@ -117,11 +117,16 @@ measures AS (
     FROM measures
 ), hosts AS (
     SELECT source, count(*) AS n, CAST(sum(CAST(base_failed AS INTEGER)) AS BIGINT) AS f FROM judged GROUP BY source
-), spread AS (SELECT sum(f) / sum(n) AS m, avg(f / n) AS r, avg((f / n) * (f / n)) AS rr FROM hosts),
-prior AS (
-    SELECT m, rr - 2 * m * r + m * m AS v FROM spread
+), sums AS (
+    SELECT CAST(sum(n) AS DOUBLE) AS n, CAST(sum(f) AS DOUBLE) AS f, count(*) AS hosts,
+        sum(CAST(f AS DOUBLE) * f / n) AS ff, sum(CAST(n AS DOUBLE) * n) AS nn FROM hosts
+), prior AS (
+    SELECT f / n AS m, n - nn / n - (hosts - 1) AS room,
+        CASE WHEN f > 0 AND f < n AND n - nn / n - (hosts - 1) > 0
+            THEN ((ff - f / n * f) / (f / n * (1 - f / n)) - (hosts - 1)) / (n - nn / n - (hosts - 1)) ELSE 0 END AS c
+    FROM sums
 ), strength AS (
-    SELECT m, CASE WHEN v > 0 THEN least(greatest(m * (1 - m) / v - 1, {rules.WEAKEST}), {rules.STRONGEST})
+    SELECT m, CASE WHEN c > 0 THEN least(greatest(1 / c - 1, {rules.WEAKEST}), {rules.STRONGEST})
         ELSE {rules.STRONGEST} END AS s
     FROM prior
 ), verdicts AS (

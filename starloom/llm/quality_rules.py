@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.batches import add_text_columns
-from starloom.llm.words import BYTE_VALUES, WINDOW_WORDS, Stretches, find_words, mixed, windows
+from starloom.llm.words import WINDOW_WORDS, find_words, hash_stretches, mixed, windows, word_hashes
 from starloom.session import BROADCAST_BYTES, ROW_BYTES, cut_lineage
 
 LEAST_WORDS = 10
@@ -51,7 +51,6 @@ def measure(texts: pa.Array) -> dict[str, np.ndarray]:
     """The measures of every text of a block."""
     words = find_words(texts)
     content, bounds = words.content, words.bounds
-    stretches = Stretches(BYTE_VALUES[content])
 
     in_words = np.zeros(len(content) + 1, np.int8)
     in_words[words.begins] += 1
@@ -69,9 +68,9 @@ def measure(texts: pa.Array) -> dict[str, np.ndarray]:
     worded = (filled < len(words.begins)) & (np.append(words.begins, len(content))[filled] < line_ends)
     line_begins, line_owner, line_ends = line_begins[worded], line_owner[worded], line_ends[worded]
     line_ends = line_ends - (content[line_ends - 1] == 10)
-    _, dup = repeats(stretches.hashes(line_begins, line_ends), line_owner)
+    _, dup = repeats(hash_stretches(content, line_begins, line_ends), line_owner)
 
-    hashes, firsts = windows(stretches.hashes(words.begins, words.ends), words)
+    hashes, firsts = windows(word_hashes(words), words)
     owner = words.owner
     again, _ = repeats(hashes, owner[firsts])
     covered = np.zeros(len(words.begins) + WINDOW_WORDS + 1, np.int64)
@@ -99,25 +98,36 @@ def measure_rules(df: DataFrame, text: str = "text") -> DataFrame:
     return add_text_columns(df, text, MEASURES, lambda: measure).withColumn("base_failed", failed)
 
 
+def prior(n: float, f: float, hosts: int, ff: float, nn: float) -> tuple[float, float]:
+    """Share of failures and strength of the prior, from the sums of n, f, f * f / n and n * n over the hosts."""
+    m = f / n if n else 0.0
+    room = n - nn / n - (hosts - 1) if n else 0.0
+    if not 0 < m < 1 or room <= 0:
+        return m, STRONGEST
+    correlation = ((ff - m * f) / (m * (1 - m)) - (hosts - 1)) / room
+    return m, min(max(1 / correlation - 1, WEAKEST), STRONGEST) if correlation > 0 else STRONGEST
+
+
 def host_verdicts(rules: DataFrame, host: str = "source", failed: str = "base_failed") -> DataFrame:
     """``host, n_docs, n_failed, shrunk_rate, host_kept``, one row per host; documents without one share a row.
 
-    With the rates r of the hosts, m the share of failures in the corpus and v the mean
-    of (r - m)^2, the prior has the strength s = m (1 - m) / v - 1 within bounds, and the
-    shrunk rate is (failed + s m) / (documents + s).
+    With m the share of failures in the corpus, n documents and f failures of a host, N and H the numbers of
+    all documents and hosts, the spread sum(n (f/n - m)^2) / (m (1 - m)) would be H - 1 by chance alone.
+    What is above that, divided by N - sum(n^2) / N - (H - 1), is the correlation c of the documents
+    of a host; the prior has the strength s = 1 / c - 1 within bounds, the strongest one
+    where the hosts differ by no more than chance. The shrunk rate is (f + s m) / (n + s).
     """
     counts = cut_lineage(
         rules.groupBy(F.col(host).alias("host")).agg(
             F.count("*").alias("n_docs"), F.sum(F.col(failed).cast("long")).alias("n_failed")
         )
     )
-    rate = F.col("n_failed") / F.col("n_docs")
+    n, f = F.col("n_docs").cast("double"), F.col("n_failed").cast("double")
     found = counts.agg(
-        (F.sum("n_failed") / F.sum("n_docs")).alias("m"), F.avg(rate).alias("r"), F.avg(rate * rate).alias("rr")
-    ).first()
-    m = found.m or 0.0
-    v = (found.rr - 2 * m * found.r + m * m) if found.m is not None else 0.0
-    strength = min(max(m * (1 - m) / v - 1, WEAKEST), STRONGEST) if v > 0 else STRONGEST
+        F.sum(n).alias("n"), F.sum(f).alias("f"), F.count("*").alias("hosts"),
+        F.sum(f * f / n).alias("ff"), F.sum(n * n).alias("nn"),
+    ).first()
+    m, strength = prior(found.n or 0.0, found.f or 0.0, found.hosts, found.ff or 0.0, found.nn or 0.0)
     shrunk = (F.col("n_failed") + F.lit(strength * m)) / (F.col("n_docs") + F.lit(strength))
     return counts.withColumn("shrunk_rate", shrunk).withColumn("host_kept", F.col("shrunk_rate") <= MOST_FAILING)
 

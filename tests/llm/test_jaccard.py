@@ -155,3 +155,14 @@ def test_components(spark, links):
         if a != b:
             root[max(find(a), find(b))] = min(find(a), find(b))
     assert {r.node: r.component for r in got} == {k: find(k) for k in list(root)} and len(got) == len(root)
+
+
+def test_regular_texts_that_differ_have_different_sets():
+    """A Thue-Morse sequence and its complement, as words and as one word: no sum of powers tells them apart."""
+    one = "a"
+    for _ in range(11):
+        one += one.translate(str.maketrans("ab", "ba"))
+    other = one.translate(str.maketrans("ab", "ba"))
+    long, twin = (" ".join(["x", text, "y", "z", "t"]) for text in (one, other))
+    a, b, c, d = join.gram_sets(join.pa.array([long, twin, one, other]))
+    assert not set(a) & set(b) and not set(c) & set(d)

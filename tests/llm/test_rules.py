@@ -46,9 +46,13 @@ def verdicts_by_hand(rows):
     for host, bad in rows:
         n[host] += 1
         f[host] += bad
-    m = sum(f.values()) / sum(n.values())
-    v = sum((f[h] / n[h] - m) ** 2 for h in n) / len(n)
-    s = min(max(m * (1 - m) / v - 1, rules.WEAKEST), rules.STRONGEST) if v > 0 else rules.STRONGEST
+    docs, m = sum(n.values()), sum(f.values()) / sum(n.values())
+    s = rules.STRONGEST
+    if 0 < m < 1:
+        excess = sum(n[h] * (f[h] / n[h] - m) ** 2 for h in n) / (m * (1 - m)) - (len(n) - 1)
+        room = docs - sum(k * k for k in n.values()) / docs - (len(n) - 1)
+        c = excess / room if room > 0 else 0
+        s = min(max(1 / c - 1, rules.WEAKEST), rules.STRONGEST) if c > 0 else s
     return {h: (f[h] + s * m) / (n[h] + s) <= rules.MOST_FAILING for h in n}
 
 
@@ -79,3 +83,57 @@ def test_awkward_rows(spark):
         counts[row.doc_id, row["row"]] += 1
     assert counts == Counter((r[0], r[4]) for r in rows)
     assert rules.apply_quality_rules(spark.createDataFrame([], EMPTY)).count() == 0
+
+
+def judged(spark, hosts):
+    rows = [(f"h{k}", n, f) for k, (n, f) in enumerate(hosts)]
+    table = spark.createDataFrame(rows, "source string, n int, f int")
+    each = table.selectExpr("source", "explode(sequence(1, n)) AS at", "f").selectExpr("source", "at <= f AS base_failed")
+    return {int(r.host[1:]): r for r in rules.host_verdicts(each).collect()}
+
+
+def test_hosts_that_do_not_differ_are_all_kept(spark):
+    """20,000 hosts of three documents, each document failing with 0.3: chance alone rejects none."""
+    rng = random.Random(2)
+    found = judged(spark, [(3, sum(rng.random() < 0.3 for _ in range(3))) for _ in range(20_000)])
+    assert all(r.host_kept for r in found.values())
+    assert max(abs(r.shrunk_rate - 0.3) for r in found.values()) < 0.05
+
+
+def test_a_bad_host_among_small_ones_is_rejected(spark):
+    rng = random.Random(3)
+    hosts = [(n, sum(rng.random() < 0.08 for _ in range(n))) for n in rng.choices([1, 2, 3, 200], k=3000)]
+    hosts += [(60, 51), (500, 460), (3, 3)]
+    found = judged(spark, hosts)
+    assert [k for k, r in found.items() if not r.host_kept] in ([3000, 3001], [3001, 3000])
+
+
+def test_the_prior_is_that_of_the_hosts(spark):
+    """Hosts drawn from a beta distribution: its strength is found again, whatever their sizes."""
+    rng = random.Random(5)
+    for a, b in ((2, 8), (10, 30)):
+        counts = []
+        for _ in range(30_000):
+            n, rate = rng.choice([1, 2, 5, 40]), rng.betavariate(a, b)
+            counts.append((n, sum(rng.random() < rate for _ in range(n))))
+        sums = [sum(x) for x in zip(*((n, f, 1, f * f / n, n * n) for n, f in counts))]
+        m, strength = rules.prior(*sums)
+        assert abs(m - a / (a + b)) < 0.01 and abs(strength / (a + b) - 1) < 0.15
+
+
+def thue_morse(order):
+    text = "a"
+    for _ in range(order):
+        text += text.translate(str.maketrans("ab", "ba"))
+    return text
+
+
+@pytest.mark.parametrize("order", [10, 11, 12])
+def test_regular_lines_that_differ_are_no_repeats(order):
+    one = thue_morse(order)
+    other = one.translate(str.maketrans("ab", "ba"))
+    texts = [f"{one}\n{other}", f"{one}\n{one}", " ".join([*one[:1024], *other[:1024]])]
+    found = rules.measure(pa.array(texts))
+    assert found["n_dup_lines"].tolist() == [0, 1, 0]
+    assert found["n_repeat_words"].tolist() == [by_hand(t)[4] for t in texts]
+    assert rules.word_hashes(rules.find_words(pa.array([one, other]))).tolist()[0] != rules.word_hashes(rules.find_words(pa.array([other]))).tolist()[0]
