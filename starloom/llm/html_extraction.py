@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm.batches import add_text_columns, texts_of
 from starloom.llm.boosted_trees import BoostedTrees, fit_trees
-from starloom.llm.page_nodes import ATTRIBUTE_WORDS, KIND, Nodes, add_up, node_features, parse_pages
+from starloom.llm.page_nodes import ATTRIBUTE_WORDS, KIND, Nodes, add_up, inside, node_features, parse_pages
 
 # Pages that the trees are fitted on, most bytes of one, and layouts made of each.
 SAMPLE_PAGES, PAGE_BYTES, LAYOUTS = 300, 1 << 18, 3
@@ -40,9 +40,11 @@ CONTENT_LABELS = (
 )
 WRAPPER, PAGE = ' class="wrapper"', ' id="page"'
 FORM_LABELS = ("", ' id="form1"', ' id="aspnetForm"', ' id="mainForm"', ' name="form1"', ' class="page-form"', ' id="ctl00"')
-# Elements that never hold main text, whatever the trees say about what is in them. The trees
-# judge forms: many sites lay one around all of a page.
-NEVER = ("nav", "button", "dialog")
+# Names of an article that usually mark something else.
+ODD_LABELS = (
+    ' class="review"', ' class="reviews"', ' class="story comment"', ' id="comment"', ' class="message"', ' class="ad-review"',
+    ' class="widget-story"', ' class="alert"', ' class="profile author"', ' class="contact"',
+)
 
 
 def keep_nodes(nodes: Nodes, odds: np.ndarray) -> np.ndarray:
@@ -51,10 +53,8 @@ def keep_nodes(nodes: Nodes, odds: np.ndarray) -> np.ndarray:
     Nodes without text have no say. The root of a page is always kept.
     """
     silent = add_up(nodes, nodes.chars) == 0
-    never = np.isin(nodes.kind, [KIND[name] for name in NEVER])
     keep = np.where(silent, 0.0, -np.logaddexp(0, -odds))
     drop = np.where(silent, 0.0, -np.logaddexp(0, odds))
-    keep[never] = -np.inf
     dropped, best_below = add_up(nodes, drop), np.zeros(len(odds))
     levels = int(nodes.depth.max(initial=0))
     kept_score = np.zeros(len(odds))
@@ -88,22 +88,19 @@ def own_labels(nodes: Nodes) -> tuple[np.ndarray, np.ndarray]:
     """Whether the text directly in a node is main text, and whether its page says so itself."""
     names = list(ATTRIBUTE_WORDS)
     other = sum(1 << names.index(name) for name in ("menu", "advert", "side", "notice", "comment", "form", "share"))
-    outside = np.isin(nodes.kind, [KIND[name] for name in ("nav", "aside", "footer", "form", "button", "dialog")])
-    outside |= (nodes.groups & other) > 0
     article, main = nodes.kind == KIND["article"], nodes.kind == KIND["main"]
-    inside_article, inside_main, barred = article.copy(), main.copy(), outside.copy()
-    for level in range(1, int(nodes.depth.max(initial=0)) + 1):
-        at = np.flatnonzero(nodes.depth == level)
-        parent = nodes.parent[at]
-        inside_article[at] |= inside_article[parent]
-        inside_main[at] |= inside_main[parent]
-        # What an article says about itself holds below it, not above.
-        barred[at] |= barred[parent]
+    inside_article, inside_main = inside(nodes, article), inside(nodes, main)
+    outside = np.isin(nodes.kind, [KIND[name] for name in ("nav", "aside", "footer", "button")])
+    # A form or dialog around an article says nothing about it, and neither do the article's own names.
+    wraps = np.isin(nodes.kind, [KIND[name] for name in ("form", "dialog")])
+    outside |= wraps & (inside_article | inside_main)
+    outside |= ((nodes.groups & other) > 0) & ~article & ~main & ~wraps
+    barred = inside(nodes, outside)
     n_pages = int(nodes.page.max(initial=-1)) + 1
     has_article = np.bincount(nodes.page, article, n_pages) > 0
     has_main = np.bincount(nodes.page, main, n_pages) > 0
-    inside = np.where(has_article[nodes.page], inside_article, inside_main)
-    return inside & ~barred, (has_article | has_main)[nodes.page]
+    within = np.where(has_article[nodes.page], inside_article, inside_main)
+    return within & ~barred, (has_article | has_main)[nodes.page]
 
 
 def without_forms(markup: str) -> str:
@@ -203,18 +200,61 @@ class Layouts:
         piece = f"<{tag} data-keep>{text}</{tag}>"
         return f"<ul>{piece}</ul>" if tag == "li" else piece
 
+    def table_around(self, inner: str) -> str:
+        """A table that lays out the page: cells with links and notes beside, above or below the one with the text."""
+        rng = self.rng
+        row = lambda *cells: f"<tr>{''.join(f'<td>{c}</td>' for c in cells)}</tr>"
+        links = lambda: rng.choice((" ", " | ", "<br>")).join(f'<a href="#">{self.name()}</a>' for _ in range(rng.randint(2, 8)))
+        other = lambda: rng.choice((links, links, self.line, self.advert, self.footer))()
+        middle = row(*rng.choice(((inner,), (inner,), (links(), inner), (inner, other()))))
+        above = row(other()) if rng.random() < 0.5 else ""
+        below = row(other()) if rng.random() < 0.5 else ""
+        return f"<table>{above}{middle}{below}</table>"
+
+    def short(self) -> str:
+        return self.line() if self.rng.random() < 0.4 else self.name()
+
+    def structure(self) -> str:
+        """A list, table, section or the like within a text, all of it kept."""
+        rng, several = self.rng, range(self.rng.randint(2, 5))
+        choice = rng.randrange(10)
+        if choice < 2:
+            items = "".join(f"<li>{self.short()}</li>" for _ in several)
+            return self.wrapped(("ul", "ol"), " data-keep", items)
+        if choice < 4:
+            wide = range(rng.randint(1, 4))
+            head = f"<tr>{''.join(f'<th>{self.name()}</th>' for _ in wide)}</tr>" if rng.random() < 0.5 else ""
+            rows = "".join(f"<tr>{''.join(f'<td>{self.short()}</td>' for _ in wide)}</tr>" for _ in several)
+            return f"<table data-keep>{head}{rows}</table>"
+        if choice == 4:
+            return f"<dl data-keep>{''.join(f'<dt>{self.name()}</dt><dd>{self.short()}</dd>' for _ in several)}</dl>"
+        if choice == 5:
+            return f"<details data-keep><summary>{self.name()}</summary><p>{self.line()}</p></details>"
+        if choice < 8:
+            tag = rng.choice(("h2", "h3"))
+            inner = f"<{tag}>{self.name()}</{tag}>{''.join(f'<p>{self.line()}</p>' for _ in range(rng.randint(1, 3)))}"
+            return self.wrapped(("section", "section", "div"), " data-keep", inner)
+        if choice == 8:
+            return f"<figure data-keep><figcaption>{self.short()}</figcaption></figure>"
+        return self.wrapped(("noscript", "object", "blockquote"), " data-keep", f"<p>{self.line()}</p>")
+
     def page(self, blocks: list[str]) -> str:
         """A page with this main text."""
         rng = self.rng
         content = []
         for k, text in enumerate(blocks):
             content.append(self.block(text, k == 0))
+            while rng.random() < 0.3:
+                content.append(self.structure())
             if rng.random() < 0.08:
                 content.append(rng.choice((self.advert, self.side, self.form, self.share, self.notice))())
         label = rng.choice(CONTENT_LABELS) if rng.random() < 0.75 else ""  # or a page that marks nothing
-        inner = self.wrapped(("article", "main", "div", "section", "div"), label, "".join(content))
-        if rng.random() < 0.1:
-            inner = f"<table><tr><td>{inner}</td></tr></table>"
+        tag = rng.choice(("article", "article", "main", "div", "section", "div"))
+        if tag in ("article", "main") and rng.random() < 0.3:
+            label = rng.choice(ODD_LABELS)
+        inner = f"<{tag}{label}>{''.join(content)}</{tag}>"
+        if rng.random() < 0.15:
+            inner = self.table_around(inner)
         # Before the text the frame of the page, behind it what readers and machines have added.
         before = [self.menu, self.header, self.notice, self.advert, self.side, self.share]
         after = [self.comments, self.side, self.advert, self.form, self.share, self.footer, self.menu, self.notice]
@@ -226,7 +266,9 @@ class Layouts:
         for _ in range(rng.randint(0, 2)):
             inner = f"<div{rng.choice(('', WRAPPER, PAGE))}>{inner}</div>"
         turn = rng.random()
-        if turn < 0.15:  # a form around the text
+        if turn < 0.04:  # the text in an open dialog
+            inner = f"<dialog open>{inner}</dialog>"
+        elif turn < 0.15:  # a form around the text
             inner = f"<form{rng.choice(FORM_LABELS)}>{without_forms(inner)}</form>"
         whole = f"{''.join(before)}{inner}{''.join(after)}"
         if turn > 0.85:  # or around the page

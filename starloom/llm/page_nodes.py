@@ -11,7 +11,7 @@ import numpy as np
 # What HTML defines about its elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset(
-    "script style textarea title noscript template iframe svg object select head annotation annotation-xml".split()
+    "script style textarea title template iframe svg select head annotation annotation-xml".split()
 )
 # Of these, the ones that take the rest of a page if they are left open.
 SWALLOWS = frozenset("script style textarea title".split())
@@ -37,7 +37,7 @@ ENDS_BEFORE = {
 }
 KINDS = (
     "article main section div p h1 h2 h3 h4 ul ol li dl table td nav header footer aside form button fieldset "
-    "blockquote pre figure figcaption details dialog address".split()
+    "blockquote pre figure figcaption details summary dialog address tr th dt dd noscript object".split()
 )
 KIND = {name: k for k, name in enumerate(KINDS)}
 # Words of class, id, role and similar attributes, by what they usually mark.
@@ -223,30 +223,21 @@ def parse_pages(pages: list[str]) -> Nodes:
         flush()
 
     as_array = lambda values: np.array(values, np.int64)
-    nodes = Nodes(
+    return Nodes(
         *map(as_array, (page, parent, depth, kind, groups)),
         np.array(marked, bool),
         *map(as_array, (chars, words, link_chars, punctuation, segment_node)),
         segments,
     )
-    around = wrapping_forms(nodes)
-    nodes.kind[around], nodes.groups[around] = KIND["div"], 0
-    return nodes
 
 
-def wrapping_forms(nodes: Nodes) -> np.ndarray:
-    """Forms around a page: they hold an article or main, or lie in neither and hold most of the text."""
-    form = nodes.kind == KIND["form"]
-    if not form.any():
-        return form
-    article = (nodes.kind == KIND["article"]) | (nodes.kind == KIND["main"])
-    inside = article.copy()
+def inside(nodes: Nodes, flags: np.ndarray) -> np.ndarray:
+    """Whether a node, or one that it lies in, has the flag."""
+    out = flags.copy()
     for level in range(1, int(nodes.depth.max(initial=0)) + 1):
         at = np.flatnonzero(nodes.depth == level)
-        inside[at] |= inside[nodes.parent[at]]
-    total = np.bincount(nodes.page, nodes.chars)[nodes.page]
-    most = 2 * add_up(nodes, nodes.chars) > total
-    return form & ((add_up(nodes, article) > 0) | (most & ~inside))
+        out[at] |= out[nodes.parent[at]]
+    return out
 
 
 def add_up(nodes: Nodes, values: np.ndarray) -> np.ndarray:
@@ -270,6 +261,7 @@ def node_features(nodes: Nodes) -> np.ndarray:
     paragraphs = add_up(nodes, nodes.kind == KIND["p"])
     items = add_up(nodes, nodes.kind == KIND["li"])
     texts = add_up(nodes, nodes.chars > 0)
+    articles = add_up(nodes, (nodes.kind == KIND["article"]) | (nodes.kind == KIND["main"]))
     roots = np.flatnonzero(~has_parent)
     root = roots[np.searchsorted(roots, np.arange(n), "right") - 1]
 
@@ -292,11 +284,13 @@ def node_features(nodes: Nodes) -> np.ndarray:
         above[at] = above[parent[at]] | nodes.groups[parent[at]]
         offset[at] = offset[parent[at]] + before[at]
     total = np.maximum(chars[root], 1.0)
+    below_article = inside(nodes, (nodes.kind == KIND["article"]) | (nodes.kind == KIND["main"]))
     kind_above = np.where(has_parent, nodes.kind[parent], len(KINDS))
     bits = lambda values: [(values >> g) & 1 for g in range(len(ATTRIBUTE_WORDS))]
     columns = [
         *[nodes.kind == k for k in range(len(KINDS))],
-        *[kind_above == KIND[name] for name in ("article", "main", "section", "div", "nav", "footer", "aside", "form")],
+        *[kind_above == KIND[name] for name in ("article", "main", "section", "div", "nav", "footer", "aside", "form", "dialog", "details")],
+        below_article,
         *bits(nodes.groups),
         *bits(above),
         nodes.depth,
@@ -308,6 +302,7 @@ def node_features(nodes: Nodes) -> np.ndarray:
         punctuation / np.maximum(words, 1),
         np.log1p(paragraphs),
         np.log1p(items),
+        np.log1p(articles),
         np.log1p(elements),
         nodes.chars / np.maximum(chars, 1),
         chars / total,

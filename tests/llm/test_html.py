@@ -115,6 +115,61 @@ def test_pages_wrapped_in_a_form(pages, trees, label):
     assert extraction.main_texts([page.replace("</article>", small) for page in pages[120:]], trees) == wanted
 
 
+LINE = "The keepers of the lower lock wrote down what they saw on the river that week."
+INSIDE = {
+    "section": f"<section><h2>Later years</h2><p>{LINE}</p></section>",
+    "two sections": f"<section><h2>One</h2><p>{LINE}</p></section><section><h3>Two</h3><p>{LINE}</p><p>{LINE}</p></section>",
+    "table": f"<table><tr><td>{LINE}</td><td>{LINE}</td></tr></table>",
+    "small table": "<table><tr><th>Year</th><th>Boats</th></tr><tr><td>1901</td><td>12</td></tr></table>",
+    "details": f"<details><summary>More</summary><p>{LINE}</p></details>",
+    "short list": "<ul><li>flour</li><li>two eggs</li></ul>",
+    "steps": "<ol><li>Mix it.</li><li>Let it rest.</li><li>Bake it.</li></ol>",
+    "long list": f"<ul><li>{LINE}</li><li>{LINE}</li></ul>",
+    "definitions": "<dl><dt>Lock</dt><dd>a gate</dd><dt>Weir</dt><dd>a dam</dd></dl>",
+    "figure": f"<figure><img src=x><figcaption>{LINE}</figcaption></figure>",
+    "quote": f"<blockquote><p>{LINE}</p></blockquote>",
+    "code": "<pre>x = 1\ny = 2</pre>",
+    "noscript": f"<noscript><p>{LINE}</p></noscript>",
+    "object": f"<object data=m><p>{LINE}</p></object>",
+    "nested": f"<div><div><p>{LINE}</p><ul><li>a</li><li>b</li></ul></div></div>",
+}
+AROUND = [
+    "", ' class="post"', ' class="review"', ' class="reviews"', ' class="story comment"', ' id="main-comment"',
+]
+
+
+def plain(markup):
+    parts = re.split(r"</?(?:section|h1|h2|h3|p|table|tr|td|th|details|summary|ul|ol|li|dl|dt|dd|figure|figcaption|img|blockquote|pre|noscript|object|div)[^>]*>", markup)
+    return " ".join(" ".join(parts).split())
+
+
+@needs_tables
+@pytest.mark.parametrize("sample", ["sf0.01", "sf0.1"])
+def test_what_lies_in_an_article_stays(spark, sample):
+    """Lists, tables, sections and so on within the article, and articles named like comments; trees as the query fits them."""
+    folder = f"/root/testdata/{sample}"
+    if not Path(folder).exists():
+        pytest.skip("no test tables")
+    fitted = extraction.train_extractor(spark.read.parquet(f"{folder}/pages.parquet"))
+    text = f"<h1>The lower lock</h1><p>{LINE} {LINE}</p>"
+    pages, wanted = [], []
+    for inner in INSIDE.values():
+        for label in AROUND:
+            body = f"{text}{inner}<p>{LINE}</p>"
+            pages.append(
+                f'<html><body><nav><ul><li><a href="/">Home</a></li><li><a href="/b">News</a></li></ul></nav>'
+                f"<article{label}>{body}</article><footer>Copyright of the lock</footer></body></html>"
+            )
+            wanted.append(plain(body))
+    got = extraction.main_texts(pages, fitted)
+    names = [(name, label) for name in INSIDE for label in AROUND]
+    wrong = [(n, len(g), len(w)) for n, g, w in zip(names, got, wanted, strict=True) if g != w]
+    assert not wrong, wrong
+    inner = f"<article>{text}</article>"
+    for around in (f"<dialog open>{inner}</dialog>", f'<form id="f"><nav><a href="/">Home</a></nav>{inner}</form>'):
+        assert extraction.main_texts([f"<body>{around}<footer>foot</footer></body>"], fitted) == [plain(text)]
+
+
 @needs_tables
 def test_choices_never_contradict(pages, trees):
     nodes = parse_pages(pages[:60])
