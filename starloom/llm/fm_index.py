@@ -85,7 +85,7 @@ class WordIndex:
         total = int(ends[-1]) if len(ends) else 0
         owner = np.repeat(np.arange(len(sizes)), sizes)
         rows = np.arange(total) + np.repeat(own - starts, sizes)
-        key = owner * self.symbols + side.last[rows]
+        key = owner * self.symbols + side.last[rows].astype(np.int64)
         order = np.argsort(key, kind="stable")
         key = key[order]
         first = np.flatnonzero(np.diff(key, prepend=-1))

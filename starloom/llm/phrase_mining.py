@@ -1,11 +1,15 @@
 """Phrase collocation mining with an FM-index per shard of the texts.
 
-A shard is some 16 MB of text. Its words are numbered, its pieces are laid in a row with
+A shard is some 6 MB of text. Its words are numbered, its pieces are laid in a row with
 barriers between them, and the interval extension of the index lists the phrases in it
 with their counts, which are summed over the shards. A phrase can only be frequent if all of its parts
 are, so words that are rare in the whole language become barriers, and only phrases made
-of frequent pairs grow beyond two words. What is frequent goes to the shards as a bit table of
-bounded size: where it fills up, more rare phrases are counted, and none is lost.
+of frequent pairs grow beyond two words.
+
+Most phrases are rare, so their words do not travel: the shards send packed hashes with counts first, and
+then the words of those phrases alone whose hash is frequent. What is frequent goes to the shards as a
+bit table of bounded size. Hashes that meet and tables that fill up let rare phrases through to the exact
+sums, and lose none.
 """
 
 from __future__ import annotations
@@ -26,14 +30,18 @@ from starloom.session import cut_lineage
 
 # Most words of a phrase.
 DEPTH = 4
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 6 << 20
+# Rows that a task hands on at a time.
+ROWS = 1 << 16
 # A bit for each frequent phrase, times this, and at most so many bits (16 MB).
-BITS_EACH, MOST_BITS = 16, 1 << 27
+BITS_EACH, MOST_BITS = 64, 1 << 27
+# Hashes that a task packs at a time, and words for each of the buckets they are dealt to.
+PACKED, BUCKET_WORDS, LEAST_BUCKETS = 1 << 21, 1 << 22, 64
 UNKNOWN = "und"
 
 BARRIER = re.compile(rb"[.,;:!?\x0a-\x0d]")
 BARRIER_BYTES = b".,;:!?\x0a\x0b\x0c\x0d"
-WORD_ROWS = "lang string, phrase string, f bigint, h bigint"
+COUNTED = "lang string, phrase string, f bigint"
 
 
 def _lowered() -> tuple[np.ndarray, np.ndarray]:
@@ -129,20 +137,49 @@ def _joined(words: pa.Array, phrases: np.ndarray) -> pa.Array:
     return pc.binary_join_element_wise(*columns, " ") if len(columns) > 1 else columns[0]
 
 
-def _rows(shard_words: pa.Array, langs: pa.Array, found: Phrases, hashes: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [
-            langs.take(pa.array(found.words[:, 0] - 1)),
-            _joined(shard_words, found.words),
-            pa.array(found.counts.astype(np.int64)),
-            pa.array(hashes.view(np.int64)),
-        ],
-        ["lang", "phrase", "f", "h"],
-    )
+def _rows(words: pa.Array, langs: pa.Array, found: Phrases) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(found.counts), ROWS):
+        phrases, counts = found.words[at : at + ROWS], found.counts[at : at + ROWS]
+        columns = [langs.take(pa.array(phrases[:, 0] - 1)), _joined(words, phrases), pa.array(counts.astype(np.int64))]
+        yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "f"])
+
+
+def _pair_hash(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return mixed(left * np.uint64(BASE) + right)
+
+
+LOW = np.uint64(0xFFFFFFFF)
+
+
+def _cut_hash(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The bucket of a hash, its first bits, and the 32 bits after them."""
+    shift = 64 - buckets.bit_length() + 1
+    return hashes >> np.uint64(shift), (hashes >> np.uint64(shift - 32)) & LOW
+
 
+def _bucket_hash(bucket: int | np.ndarray, low: np.ndarray) -> np.ndarray:
+    """One number for a bucket and the low bits of a hash in it."""
+    return mixed((np.asarray(bucket, np.uint64) << np.uint64(32)) | low.astype(np.uint64))
 
-def _pair_hashes(hashes: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    return mixed(hashes[left] * np.uint64(BASE) + hashes[right])
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """An array of numbers, compressed."""
+    raw = numbers.tobytes()
+    return len(raw).to_bytes(4, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unpacked(held: pa.Buffer, kind: str | type) -> np.ndarray:
+    size = int.from_bytes(held.slice(0, 4).to_pybytes(), "little")
+    return np.frombuffer(pa.decompress(held.slice(4), size, codec="zstd"), kind)
+
+
+def _packed_steps(rising: np.ndarray) -> bytes:
+    """Rising numbers by their differences, all first bytes before all second ones."""
+    return _packed(np.diff(rising, prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T.copy())
+
+
+def _unpacked_steps(held: pa.Buffer) -> np.ndarray:
+    return np.cumsum(_unpacked(held, np.uint8).reshape(4, -1).T.copy().view(np.uint32).ravel(), dtype=np.uint32)
 
 
 @dataclass
@@ -151,35 +188,55 @@ class Known:
 
     bits: np.ndarray
     shift: int
+    # Of packed hashes only so many buckets and the low bits are known; 0 for whole ones.
+    buckets: int = 0
+
+    @property
+    def parts(self) -> tuple:
+        """What is sent to the executors, which need not have this package."""
+        return self.bits, self.shift, self.buckets
 
     def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        if self.buckets:
+            hashes = _bucket_hash(*_cut_hash(hashes, self.buckets))
         at = hashes >> np.uint64(self.shift)
         return (self.bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) > 0
 
 
-def known_hashes(frequent: DataFrame) -> Known:
-    """The bit table of a table with hashes ``h``, put together by Spark; the driver gets at most 16 MB."""
-    n = frequent.count()
+def _hashed(words: DataFrame) -> DataFrame:
+    """The hash ``h`` of every word ``lang, phrase``, as the shards compute it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = Shard(np.zeros(0, np.int64), batch.column(1), batch.column(0)).hashes()[1:]
+            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], ["h"])
+
+    return words.select("lang", "phrase").mapInArrow(run, "h bigint")
+
+
+def known_hashes(hashed: DataFrame, buckets: int = 0) -> Known:
+    """The bit table of hashes ``h``, put together by Spark; the driver gets at most 16 MB."""
+    n = hashed.count()
     bits = min(MOST_BITS, max(64, 1 << (n * BITS_EACH - 1).bit_length()))
     shift = 64 - bits.bit_length() + 1
-    at = F.shiftrightunsigned("h", shift)
+    slot = F.shiftrightunsigned(F.shiftrightunsigned("h", shift), 6)
     one = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(h, {shift}) & 63 as int))")
     table = np.zeros(bits // 64, np.uint64)
-    words = frequent.groupBy(F.shiftrightunsigned(at, 6).alias("slot")).agg(F.bit_or(one).alias("bits")).toArrow()
+    words = hashed.groupBy(slot.alias("slot")).agg(F.bit_or(one).alias("bits")).toArrow()
     if words.num_rows:
         table[words["slot"].to_numpy()] = words["bits"].to_numpy().astype(np.int64).view(np.uint64)
-    return Known(table, shift)
+    return Known(table, shift, buckets)
 
 
 def _summed(counted: DataFrame, least: int) -> DataFrame:
-    """Frequent phrases of the whole table, ``lang, phrase, f, h``, stored."""
-    total = counted.groupBy("lang", "phrase").agg(F.sum("f").alias("f"), F.any_value("h").alias("h"))
+    """Frequent phrases of the whole table, ``lang, phrase, f``, stored."""
+    total = counted.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
     return cut_lineage(total.filter(F.col("f") >= least))
 
 
 def index_shards(docs: DataFrame, words: Known) -> DataFrame:
     """One row per shard: its frequent words and both transforms, stored for the searches to come."""
-    sent = docs.sparkSession.sparkContext.broadcast((words.bits, words.shift))
+    sent = docs.sparkSession.sparkContext.broadcast(words.parts)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = Known(*sent.value)
@@ -194,59 +251,143 @@ def index_shards(docs: DataFrame, words: Known) -> DataFrame:
             text[1:-1][lone] = 0
             text = text[np.append(True, (text[1:] > 0) | (text[:-1] > 0))]
             which = pa.array(np.flatnonzero(kept) - 1)
+            width = np.dtype(np.uint16 if len(which) < 1 << 16 else np.uint32)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([shard.words.take(which).to_pylist()], pa.list_(pa.string())),
                     pa.array([shard.langs.take(which).to_pylist()], pa.list_(pa.string())),
-                    pa.array([last_column(text, DEPTH - 1).tobytes()], pa.binary()),
-                    pa.array([last_column(text[::-1], DEPTH - 1).tobytes()], pa.binary()),
+                    pa.array([_packed(last_column(text, DEPTH - 1).astype(width))], pa.binary()),
+                    pa.array([_packed(last_column(text[::-1], DEPTH - 1).astype(width))], pa.binary()),
+                    pa.array([width.itemsize], pa.int32()),
                 ],
-                ["words", "langs", "forward", "backward"],
+                ["words", "langs", "forward", "backward", "width"],
             )
 
-    kinds = "words array<string>, langs array<string>, forward binary, backward binary"
+    kinds = "words array<string>, langs array<string>, forward binary, backward binary, width int"
     return cut_lineage(docs.mapInArrow(build, kinds))
 
 
 def count_words(docs: DataFrame) -> DataFrame:
-    """How often each word occurs in each shard: ``lang, phrase, f, h``."""
+    """How often each word occurs in each shard: ``lang, phrase, f``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in shards(batches):
             found = Phrases(np.arange(1, len(shard.words) + 1)[:, None], None, None, np.bincount(shard.text)[1:])
-            yield _rows(shard.words, shard.langs, found, shard.hashes()[1:])
+            yield from _rows(shard.words, shard.langs, found)
 
-    return docs.mapInArrow(count, WORD_ROWS)
+    return docs.mapInArrow(count, COUNTED)
 
 
-def count_phrases(indexes: DataFrame, pairs: Known | None = None) -> DataFrame:
-    """Phrases of each index: pairs of words, or, with the frequent pairs, those of three and four words.
+def _grown(batches: Iterator[pa.RecordBatch], pairs: Known | None, longer: bool) -> Iterator[tuple]:
+    """The phrases of each index, ``words, langs, phrases, hashes``.
 
-    Pairs grow to the right by one word, and those triples to the left by another.
+    These are its pairs of words, the likely ones if those are known, and, if asked for, what grows of them: triples,
+    to the right by a word, and from those phrases of four, to the left by another.
     """
-    sent = indexes.sparkSession.sparkContext.broadcast((pairs.bits, pairs.shift) if pairs else None)
+    for batch in batches:
+        for row in range(batch.num_rows):
+            words, langs = (batch.column(k)[row].values for k in (0, 1))
+            width = f"u{batch.column(4)[row].as_py()}"
+            forward, backward = (_unpacked(batch.column(k)[row].as_buffer(), width) for k in (2, 3))
+            index = WordIndex(forward, backward)
+            hashes = Shard(forward, words, langs).hashes()
+
+            def hashed(found: Phrases, first: int = 0, last: int | None = None) -> np.ndarray:
+                columns = found.words[:, first:last].T  # noqa: B023
+                out = hashes[columns[0]]  # noqa: B023
+                for column in columns[1:]:
+                    out = _pair_hash(out, hashes[column])  # noqa: B023
+                return out
+
+            found = index.extend_right(index.single_words())
+            marks = hashed(found)
+            if pairs is not None:
+                likely = pairs(marks)
+                found, marks = found[likely], marks[likely]
+            yield words, langs, found, marks
+            if longer:
+                found = index.extend_right(found)
+                found = found[pairs(hashed(found, 1))]
+                yield words, langs, found, hashed(found)
+                found = index.extend_left(found)
+                found = found[pairs(hashed(found, 0, 2))]
+                yield words, langs, found, hashed(found)
+
+
+def likely_phrases(indexes: DataFrame, least: int, buckets: int, pairs: Known | None = None) -> DataFrame:
+    """Hashes ``h`` of phrases that may occur ``least`` times: of pairs, or, with those known, of longer phrases.
+
+    A task packs the hashes of its shards by bucket; a bucket's hashes are summed together.
+    """
+    sent = indexes.sparkSession.sparkContext.broadcast(pairs.parts if pairs else None)
+
+    def summed(hashes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        keys, place = np.unique(np.concatenate(hashes), return_inverse=True)
+        return keys, np.bincount(place, np.concatenate(counts), len(keys)).astype(np.int64)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Known(*sent.value) if sent.value else None
+        held, counts, size = [], [], 0
+
+        def packed() -> pa.RecordBatch:
+            keys, n = summed(held, counts)
+            bucket, below = _cut_hash(keys, buckets)
+            bucket, below, few = bucket.astype(np.int64), below.astype(np.uint32), np.minimum(n, 1 << 31).astype(np.uint32)
+            starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+            parts = list(zip(starts, np.append(starts[1:], len(keys)), strict=True))
+            columns = [[_packed_steps(below[b:e]) for b, e in parts], [_packed(few[b:e]) for b, e in parts]]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(bucket[starts]), *[pa.array(c, pa.binary()) for c in columns]], ["bucket", "hashes", "counts"]
+            )
+
+        for at, (_, _, found, marks) in enumerate(_grown(batches, known, known is not None)):
+            if known is not None and at % 3 == 0:  # the pairs themselves
+                continue
+            held.append(marks)
+            counts.append(found.counts)
+            size += len(marks)
+            if size >= PACKED:
+                yield packed()
+                held, counts, size = [], [], 0
+        if size:
+            yield packed()
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, held, counts, size = None, [], [], 0
+
+        def frequent() -> pa.RecordBatch:
+            keys, n = summed(held, counts)
+            return pa.RecordBatch.from_arrays([pa.array(_bucket_hash(here, keys[n >= least]).view(np.int64))], ["h"])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common = Known(*sent.value) if sent.value else None
         for batch in batches:
-            for row in range(batch.num_rows):
-                words, langs = (batch.column(k)[row].values for k in (0, 1))
-                forward, backward = (np.frombuffer(batch.column(k)[row].as_py(), np.int32) for k in (2, 3))
-                index = WordIndex(forward, backward)
-                hashes = Shard(forward, words, langs).hashes()
-                found = index.extend_right(index.single_words())
-                marks = _pair_hashes(hashes, found.words[:, 0], found.words[:, 1])
-                if common is None:
-                    yield _rows(words, langs, found, marks)
-                    continue
-                found = index.extend_right(found[common(marks)])
-                found = found[common(_pair_hashes(hashes, found.words[:, 1], found.words[:, 2]))]
-                yield _rows(words, langs, found, np.zeros(len(found.counts), np.uint64))
-                found = index.extend_left(found)
-                found = found[common(_pair_hashes(hashes, found.words[:, 0], found.words[:, 1]))]
-                yield _rows(words, langs, found, np.zeros(len(found.counts), np.uint64))
+            for bucket, hashes, few in zip(*batch.columns, strict=True):
+                if bucket.as_py() != here and held:
+                    yield frequent()
+                    held, counts, size = [], [], 0
+                here = bucket.as_py()
+                held.append(_unpacked_steps(hashes.as_buffer()))
+                counts.append(_unpacked(few.as_buffer(), np.uint32))
+                size += len(held[-1])
+                if size >= PACKED:  # what has met so far is summed
+                    keys, n = summed(held, counts)
+                    held, counts, size = [keys], [n], 0
+        if held:
+            yield frequent()
+
+    dealt = indexes.mapInArrow(pack, "bucket long, hashes binary, counts binary")
+    return cut_lineage(dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(unpack, "h bigint"))
+
+
+def count_phrases(indexes: DataFrame, pairs: Known, longer: Known) -> DataFrame:
+    """The likely phrases of each index with their words: ``lang, phrase, f``."""
+    sent = indexes.sparkSession.sparkContext.broadcast((pairs.parts, longer.parts))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, wanted = (Known(*parts) for parts in sent.value)
+        for at, (words, langs, found, marks) in enumerate(_grown(batches, known, True)):
+            yield from _rows(words, langs, found[wanted(marks)] if at % 3 else found)
 
-    return indexes.mapInArrow(count, WORD_ROWS)
+    return indexes.mapInArrow(count, COUNTED)
 
 
 def _part(phrase: Column, first: Column | int, size: Column | int) -> Column:
@@ -276,16 +417,21 @@ def mine_phrases(
         F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(UNKNOWN)).alias("lang"),
         F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"),
     )
-    words = count_words(narrow).groupBy("lang", "phrase").agg(F.sum("f").alias("f"), F.any_value("h").alias("h"))
+    # Rare words are only summed: what they add to the words in all, per language.
+    words = count_words(narrow).groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    common = F.col("f") >= least
+    words = words.groupBy("lang", F.when(common, F.col("phrase")).alias("phrase")).agg(F.sum("f").alias("f"))
     words = cut_lineage(words)
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    common = cut_lineage(words.filter(F.col("f") >= least))
-    indexes = index_shards(narrow, known_hashes(common))
-    pairs = _summed(count_phrases(indexes), least)
-    longer = _summed(count_phrases(indexes, known_hashes(pairs)), least)
-
-    size = F.size(F.split("phrase", " "))
-    found = pairs.unionByName(longer).select("lang", "phrase", F.col("f").alias("a"), size.alias("size"))
+    common = words.filter(F.col("phrase").isNotNull())
+    indexes = index_shards(narrow, known_hashes(_hashed(common)))
+    n_words = totals.agg(F.sum("n")).first()[0] or 0
+    buckets = max(LEAST_BUCKETS, 1 << (n_words // BUCKET_WORDS).bit_length())
+    pairs = known_hashes(likely_phrases(indexes, least, buckets), buckets)
+    longer = known_hashes(likely_phrases(indexes, least, buckets, pairs), buckets)
+    phrases = _summed(count_phrases(indexes, pairs, longer), least)
+
+    found = phrases.withColumnRenamed("f", "a").withColumn("size", F.size(F.split("phrase", " ")))
     # A longer phrase takes the place of a shorter one only if one with a single word more does.
     ends = F.array(_part(F.col("phrase"), 0, F.col("size") - 1), _part(F.col("phrase"), 1, F.col("size") - 1))
     grown = found.filter("size > 2").select("lang", F.explode(ends).alias("phrase"), "a")
@@ -295,8 +441,7 @@ def mine_phrases(
     own = found.join(grown, ["lang", "phrase"], "left")
     own = own.filter(F.col("longer").isNull() | (wide("longer") * of < wide("a") * share)).drop("longer")
 
-    counts = common.select("lang", "phrase", "f").unionByName(pairs.select("lang", "phrase", "f"))
-    counts = cut_lineage(counts.unionByName(longer.select("lang", "phrase", "f")))
+    counts = common.unionByName(phrases)
     cut = own.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("size") - 1)))
     cut = cut.withColumns(
         {
