@@ -20,6 +20,8 @@ DIGITS = 32
 SECTION_END = "0"
 # A piece: up to so many characters and the sentence end behind them, or sentence ends alone.
 PIECE = "[^.!?]{1,80}[.!?]*|[.!?]+"
+# Equal hashes in a row.
+RUN = rf"([0-9a-f]{{{DIGITS}}})(?: \1)*+"
 
 
 def _digest(text: Column) -> Column:
@@ -47,47 +49,106 @@ def _sections(paragraphs: Column) -> Column:
 
 
 def add_tree(df: DataFrame, text: str | Column = "text", tree: str = "tree") -> DataFrame:
-    """Add the tree of every whole text: ``root, sections, paragraphs, pieces``.
+    """Add the tree of every whole text: ``root, sections, held, paragraphs, n_pieces``.
 
-    The root is hexadecimal text. ``sections`` hold the hashes of their paragraphs in a
-    row, ``paragraphs`` the hash of every line, ``pieces`` those below them. A null text
+    The root is hexadecimal text. ``sections`` are the hashes of the sections, ``held`` the hashes of the pieces in each,
+    put in a row, ``paragraphs`` the hash of every line. A null text
     counts as empty, and an empty text has one empty paragraph. A column of the name of the
     new one is replaced; repeated rows get a tree each.
     """
     column = F.col(f"`{text}`") if isinstance(text, str) else text
     pieces, lines, parts = "_tree_pieces", "_tree_lines", "_tree_parts"
-    rows = df.withColumn(pieces, _pieces(column))
-    rows = rows.withColumn(lines, F.transform(pieces, lambda row: _digest(F.array_join(row, " "))))
-    rows = rows.withColumn(parts, _sections(F.col(lines)))
-    root = F.sha2(F.array_join(F.transform(parts, _digest), " "), 256)
+    rows = df.withColumn(pieces, F.transform(_pieces(column), lambda row: F.array_join(row, " ")))
+    rows = rows.withColumn(lines, F.transform(pieces, _digest))
+    rows = rows.withColumn(parts, F.transform(_sections(F.col(lines)), _digest))
+    # The pieces of every line, with a bar where its section ends.
+    marked = F.zip_with(
+        lines, pieces, lambda h, row: F.concat(row, F.when(h.startswith(SECTION_END), F.lit(" |")).otherwise(F.lit(" ")))
+    )
+    held = F.transform(F.split(F.array_join(marked, ""), r"\|", -1), lambda row: F.trim(row))
+    count = F.aggregate(F.transform(pieces, _n_hashes), F.lit(0).cast("long"), lambda n, k: n + k)
+    root = F.sha2(F.array_join(parts, " "), 256)
     found = F.struct(
         root.alias("root"),
         F.col(parts).alias("sections"),
+        held.alias("held"),
         F.col(lines).alias("paragraphs"),
-        F.flatten(pieces).alias("pieces"),
+        count.alias("n_pieces"),
     )
     return rows.withColumn(tree, found).drop(pieces, lines, parts)
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """Share of different pieces that two trees have in common: 1 for equal roots, 0 to 1 otherwise."""
-    common = F.size(F.array_intersect(a["pieces"], b["pieces"]))
-    sizes = F.size(F.array_distinct(a["pieces"])) + F.size(F.array_distinct(b["pieces"]))
-    share = F.when(sizes > 0, 2.0 * common / sizes).otherwise(F.lit(0.0))
-    return F.when(a["root"] == b["root"], F.lit(1.0)).otherwise(share)
+def _n_hashes(row: Column) -> Column:
+    """How many hashes are in a row, with a blank between them."""
+    return F.floor((F.length(row) + 1) / (DIGITS + 1)).cast("long")
 
 
-def changed_paragraphs(a: Column, b: Column) -> Column:
-    """Places, from 0, of the paragraphs of the first text that the second one does not have.
+def _numbered(hashes: Column) -> Column:
+    """The hashes with a number each, so that equal ones differ: the first is 0, the next 1, and so on."""
+    runs = F.regexp_extract_all(F.array_join(F.array_sort(hashes), " "), F.lit(RUN), F.lit(0))
+    tags = F.transform(
+        runs,
+        lambda run: F.transform(
+            F.sequence(F.lit(0).cast("long"), _n_hashes(run) - 1),
+            lambda k: F.concat(F.substring(run, 1, DIGITS), F.lit(":"), k.cast("string")),
+        ),
+    )
+    return F.flatten(tags)
+
+
+def _pieces_below(tree: Column, sections: Column) -> Column:
+    """The pieces of some sections, given as numbered hashes."""
+    rows = F.transform(
+        sections, lambda tag: F.element_at(tree["held"], F.array_position(tree["sections"], F.substring(tag, 1, DIGITS)).cast("int"))
+    )
+    return F.regexp_extract_all(F.array_join(rows, " "), F.lit(f"[0-9a-f]{{{DIGITS}}}"), F.lit(0))
+
+
+def add_likeness(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
+    """Add how alike two trees are, 0 to 1, and 1 only for equal roots.
 
-    Equal roots end the comparison; otherwise only paragraphs in sections that differ are
-    looked up among the paragraphs of the sections that differ on the other side.
+    It is the share of what the trees have in common of their pieces, each as often as it occurs, and their
+    roots. The comparison goes down from the roots: sections that both have, as often as both have them, are equal as
+    they are, and only the pieces of the other sections are compared.
     """
-    joined = lambda x, y: F.split(
-        F.trim(F.array_join(F.array_except(x["sections"], y["sections"]), "")), " ", -1
+    own, other, below_own, below_other = (f"_like_{k}" for k in range(4))
+    differ = F.col(f"{a}.root") != F.col(f"{b}.root")
+    rows = df.withColumns(
+        {
+            own: F.when(differ, _numbered(F.col(f"{a}.sections"))),
+            other: F.when(differ, _numbered(F.col(f"{b}.sections"))),
+        }
     )
-    gone = F.array_except(joined(a, b), joined(b, a))
-    places = F.filter(
-        F.transform(a["paragraphs"], lambda h, i: F.when(F.array_contains(gone, h), i)), lambda i: i.isNotNull()
+    rows = rows.withColumns(
+        {
+            below_own: _pieces_below(F.col(a), F.array_except(own, other)),
+            below_other: _pieces_below(F.col(b), F.array_except(other, own)),
+        }
+    )
+    met = F.size(F.array_intersect(_numbered(F.col(below_own)), _numbered(F.col(below_other))))
+    common = F.col(f"{a}.n_pieces") - F.size(below_own) + met
+    share = 2.0 * common / (F.col(f"{a}.n_pieces") + F.col(f"{b}.n_pieces") + 2)
+    return rows.withColumn(name, F.when(differ, share).otherwise(F.lit(1.0))).drop(own, other, below_own, below_other)
+
+
+def _equal_beginning(a: Column, b: Column) -> Column:
+    """How many entries two arrays have in common from their beginnings on."""
+    first = F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), False)
+    return F.when(first > 0, first - 1).otherwise(F.size(a)).cast("int")
+
+
+def changed_paragraphs(a: Column, b: Column) -> Column:
+    """Where the first text differs from the second: ``begin, end, other_end``, paragraphs counted from 0.
+
+    Paragraphs ``begin`` to ``end`` of the first stand where the second has those from ``begin`` to ``other_end``; all before and
+    behind are equal. Moved, repeated and removed paragraphs lie in that branch; the two ends are ``begin`` where one
+    side has nothing there, and all three are 0 for equal roots.
+    """
+    x, y = a["paragraphs"], b["paragraphs"]
+    begin = _equal_beginning(x, y)
+    behind = F.least(_equal_beginning(F.reverse(x), F.reverse(y)), F.least(F.size(x), F.size(y)) - begin)
+    differ = a["root"] != b["root"]
+    place = lambda at: F.when(differ, at).otherwise(F.lit(0))
+    return F.struct(
+        place(begin).alias("begin"), place(F.size(x) - behind).alias("end"), place(F.size(y) - behind).alias("other_end")
     )
-    return F.when(a["root"] == b["root"], F.array().cast("array<int>")).otherwise(places)

@@ -54,17 +54,22 @@ pieces_{text} AS (
         WHEN starts_with(h, '{prints.SECTION_END}') THEN ' |' ELSE ' ' END), ''), '|') AS parts
     FROM lines_{text}
 ), tree_{text} AS (
-    SELECT *, sha256(array_to_string(list_transform(parts, lambda part:
+    SELECT *, list_histogram(pieces) AS counts, sha256(array_to_string(list_transform(parts, lambda part:
         substr(sha256(part), 1, {prints.DIGITS})), ' ')) AS root
     FROM parts_{text}
 )"""
 
 
 def _likeness(a: str, b: str) -> str:
-    sizes = f"(len(list_distinct({a}.pieces)) + len(list_distinct({b}.pieces)))"
+    counts = f"least({a}.counts[k], coalesce({b}.counts[k], 0))"
     return f"""CASE WHEN {a}.root = {b}.root THEN 1.0::DOUBLE
-        WHEN {sizes} = 0 THEN 0.0::DOUBLE
-        ELSE 2.0::DOUBLE * len(list_intersect({a}.pieces, {b}.pieces)) / {sizes} END"""
+        ELSE 2.0::DOUBLE * coalesce(list_sum(list_transform(map_keys({a}.counts), lambda k: {counts})), 0)
+            / (len({a}.pieces) + len({b}.pieces) + 2) END"""
+
+
+def _equal_beginning(a: str, b: str) -> str:
+    same = f"list_position(list_transform(list_zip({a}, {b}), lambda z: z[1] IS NOT DISTINCT FROM z[2]), false)"
+    return f"CASE WHEN coalesce({same}, 0) > 0 THEN {same} - 1 ELSE len({a}) END"
 
 
 FINGERPRINTS = f"""
@@ -80,11 +85,12 @@ nexts AS (
 SELECT p.doc_id, length(p.text) AS n_chars, sha256(p.edited) AS edited_sha256,
     a.root AS fingerprint, b.root AS edited_fingerprint,
     {_likeness("a", "b")} AS near_edited, {_likeness("a", "c")} AS near_next,
-    CAST(CASE WHEN a.root = b.root THEN 0 ELSE len(list_filter(a.lines, lambda h:
-        list_contains(list_filter(string_split(array_to_string(list_filter(a.parts, lambda part:
-            NOT list_contains(b.parts, part)), ''), ' '), lambda one: NOT list_contains(string_split(
-            array_to_string(list_filter(b.parts, lambda part: NOT list_contains(a.parts, part)), ''), ' '), one)
-            AND one <> ''), h))) END AS INTEGER) AS n_changed_paragraphs
+    CAST(CASE WHEN a.root = b.root THEN 0 ELSE {_equal_beginning("a.lines", "b.lines")} END AS INTEGER)
+        AS first_changed_paragraph,
+    CAST(CASE WHEN a.root = b.root THEN 0 ELSE len(a.lines) - {_equal_beginning("a.lines", "b.lines")} - least(
+        {_equal_beginning("list_reverse(a.lines)", "list_reverse(b.lines)")},
+        least(len(a.lines), len(b.lines)) - {_equal_beginning("a.lines", "b.lines")}) END AS INTEGER)
+        AS n_changed_paragraphs
 FROM pairs p JOIN tree_text a USING (doc_id) JOIN tree_edited b USING (doc_id) JOIN tree_next_text c USING (doc_id)
 """
 

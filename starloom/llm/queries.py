@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from starloom.llm import quality_classifier as quality
 from starloom.llm import quality_rules as rules
 from starloom.llm.chat_formatting import rotate_perspectives
-from starloom.llm.fingerprints import add_tree, changed_paragraphs, likeness
+from starloom.llm.fingerprints import add_likeness, add_tree, changed_paragraphs
 from starloom.llm.hard_negatives import mine_hard_negatives
 from starloom.llm.html_extraction import extract_main_text, train_extractor
 from starloom.llm.jaccard_join import near_duplicates
@@ -68,16 +68,18 @@ def op4_merkle_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     trees = pairs.withColumn("edited", edited)
     for text, tree in (("text", "own"), ("edited", "edited_tree"), ("next_text", "next")):
         trees = add_tree(trees, text, tree)
-    own, other, following = F.col("own"), F.col("edited_tree"), F.col("next")
+    trees = add_likeness(add_likeness(trees, "own", "edited_tree", "near_edited"), "own", "next", "near_next")
+    changed = changed_paragraphs(F.col("own"), F.col("edited_tree"))
     return trees.select(
         "doc_id",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
-        own["root"].alias("fingerprint"),
-        other["root"].alias("edited_fingerprint"),
-        likeness(own, other).alias("near_edited"),
-        likeness(own, following).alias("near_next"),
-        F.size(changed_paragraphs(own, other)).alias("n_changed_paragraphs"),
+        F.col("own.root").alias("fingerprint"),
+        F.col("edited_tree.root").alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+        changed["begin"].alias("first_changed_paragraph"),
+        (changed["end"] - changed["begin"]).alias("n_changed_paragraphs"),
     )
 
 
