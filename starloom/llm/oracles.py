@@ -6,35 +6,42 @@ from starloom.llm import chat_formatting as chat
 from starloom.llm import fingerprints as prints
 from starloom.llm import quality_rules as rules
 
-ROTATION = f"""
+ROTATION = rf"""
 WITH said AS (
-    SELECT conv_id, turn, coalesce(role, '{chat.NO_NAME}') AS role, coalesce(text, '') AS text,
+    SELECT conv_id, turn, coalesce(role, '{chat.NO_NAME}') AS role,
+        regexp_replace(coalesce(text, ''), '{chat.MARKER}', '<\1|im_', 'g') AS text,
         CAST(floor(turn / {chat.PAGE_TURNS}) AS BIGINT) AS page,
         CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS lone
     FROM conversations
 ), speakers AS (
     SELECT DISTINCT conv_id, lone, role AS speaker FROM said WHERE role <> 'system'
+), ranked AS (
+    SELECT *, row_number() OVER (w ORDER BY turn NULLS FIRST, role, text) AS nth, count(*) OVER w AS held
+    FROM said WINDOW w AS (PARTITION BY conv_id, lone, page)
 ), segments AS (
-    SELECT s.conv_id, s.lone, speaker, page, turn, role, text,
+    SELECT s.conv_id, s.lone, speaker, page, role, text, nth,
+        CASE WHEN held > {chat.MOST_ROWS * chat.PAGE_TURNS} THEN (nth - 1) // {chat.PAGE_TURNS} ELSE 0 END AS part,
         CASE WHEN role = 'system' THEN '{chat.START}system' || chr(10)
              WHEN role = speaker THEN '{chat.START}assistant' || chr(10)
-             ELSE '{chat.START}user name=' || regexp_replace(role, '{chat.NOT_IN_NAMES}', '_', 'g') || chr(10)
+             ELSE '{chat.START}user name=' || array_to_string(list_transform(
+                list_filter(string_split(role, ''), lambda c: c <> ''), lambda c: CASE
+                    WHEN regexp_full_match(c, '{chat.IN_NAMES}') THEN c WHEN c = '_' THEN '__'
+                    ELSE '_' || lower(hex(c)) || '_' END), '') || chr(10)
         END AS head
-    FROM said s JOIN speakers p ON s.conv_id IS NOT DISTINCT FROM p.conv_id AND s.lone IS NOT DISTINCT FROM p.lone
+    FROM ranked s JOIN speakers p ON s.conv_id IS NOT DISTINCT FROM p.conv_id AND s.lone IS NOT DISTINCT FROM p.lone
 ), placed AS (
     SELECT *, head || text || '{chat.END}' || chr(10) AS segment,
-        row_number() OVER w AS nth,
         coalesce(sum(length(head) + length(text) + {len(chat.END) + 1}) OVER (
-            w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS begins
+            PARTITION BY conv_id, lone, speaker, page, part ORDER BY nth
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS begins
     FROM segments
-    WINDOW w AS (PARTITION BY conv_id, lone, speaker, page ORDER BY turn NULLS FIRST, role, text)
 )
-SELECT conv_id, speaker, page, CAST(count(*) AS INTEGER) AS n_turns,
+SELECT conv_id, speaker, page, part, CAST(count(*) AS INTEGER) AS n_turns,
     string_agg(segment, '' ORDER BY nth) AS rendered,
     coalesce(string_agg(CASE WHEN role = speaker THEN
         CAST(begins AS BIGINT) || ':' || CAST(begins + length(text) + {len(chat.END)} AS BIGINT) END, ' ' ORDER BY nth), '')
         AS mask
-FROM placed GROUP BY conv_id, lone, speaker, page
+FROM placed GROUP BY conv_id, lone, speaker, page, part
 """
 
 
