@@ -120,9 +120,13 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 0) -> Model:
 
 
 def sample_rows(labels: DataFrame, key: str = "doc_id", rows: int = SAMPLE_ROWS) -> DataFrame:
-    """At most ``rows`` of the labelled keys, those with the least hash: the same in every run."""
-    turn = F.xxhash64(F.col(key).cast("string"))
-    return labels.orderBy(turn, *labels.columns).limit(rows)
+    """At most ``rows`` of the labelled keys, one row each, those with the least hash: the same in every run.
+
+    Of several rows of a key the first one in the order of its other columns is taken.
+    """
+    others = [c for c in labels.columns if c != key]
+    each = labels.groupBy(key).agg(F.min(F.struct(*others)).alias("_row")).select(key, *[F.col(f"_row.{c}") for c in others])
+    return each.orderBy(F.xxhash64(F.col(key).cast("string")), key).limit(rows).select(*labels.columns)
 
 
 def train_classifier(
@@ -130,20 +134,29 @@ def train_classifier(
 ) -> Model:
     """Fit on the rows given, a bounded sample (``sample_rows``), in one task.
 
-    Rows without a label or text are left out. Whole documents are taken in the order of
-    the hash of their key until ``most_bytes`` of text are reached, texts above a small share
-    of that after all others. The task returns the
-    model; without any document it is undecided, 0.5 for every text.
+    Rows without a label or text are left out, and of several rows of a key the shortest text counts. Whole documents
+    are taken in the order of the hash of their key until ``most_bytes`` of text are reached, texts above a small share
+    of that after all others. They are chosen by key and length, and only the texts chosen, one per key, meet in
+    the task. It returns the model; without any document it is undecided, 0.5 for every text.
     """
-    chosen = labelled.filter(F.col(label).isNotNull() & F.col(text).isNotNull()).select(
+    usable = labelled.filter(F.col(label).isNotNull() & F.col(text).isNotNull()).select(
+        F.col(key).cast("string").alias("key"),
         F.col(text).alias("text"),
         F.col(label).cast("int").alias("label"),
-        F.xxhash64(F.col(key).cast("string")).alias("turn"),
+        F.octet_length(text).alias("size"),
+        F.xxhash64(text).alias("mark"),
     )
-    late = F.greatest(F.octet_length("text"), F.lit(int(most_bytes * LARGE)))
-    before = Window.orderBy(late, "turn", "text").rowsBetween(Window.unboundedPreceding, -1)
-    chosen = chosen.withColumn("before", F.coalesce(F.sum(F.octet_length("text")).over(before), F.lit(0)))
-    chosen = chosen.filter((F.col("before") == 0) | (F.col("before") + F.octet_length("text") <= most_bytes))
+    each = usable.groupBy("key").agg(F.min(F.struct("size", "mark", "label")).alias("at"))
+    each = each.select("key", "at.*", F.xxhash64("key").alias("turn"))
+    late = F.greatest("size", F.lit(int(most_bytes * LARGE)))
+    # One short row per key of the sample, so this ordering without a key stays small.
+    before = Window.orderBy(late, "turn", "key").rowsBetween(Window.unboundedPreceding, -1)
+    chosen = each.withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0)))
+    chosen = chosen.filter((F.col("before") == 0) | (F.col("before") + F.col("size") <= most_bytes))
+    chosen = chosen.select(F.col("key").alias("own"), F.col("mark").alias("own_mark"), F.col("label").alias("own_label"), "before")
+    on = F.col("key").eqNullSafe(F.col("own")) & (F.col("mark") == F.col("own_mark")) & (F.col("label") == F.col("own_label"))
+    chosen = usable.join(F.broadcast(chosen), on).dropDuplicates(["own"])
+    chosen = chosen.repartition(1).sortWithinPartitions("before", "own")
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         contents, marks = [], []

@@ -93,3 +93,15 @@ def test_labels_of_missing_documents_take_no_place(spark, monkeypatch, tmp_path)
     monkeypatch.setattr(quality, "sample_rows", partial(quality.sample_rows, rows=30))
     monkeypatch.setattr(quality, "train_classifier", lambda labelled: labelled.count())
     assert queries.quality_model(spark, docs, str(tmp_path)) == 30
+
+
+def test_repeats_of_a_document_count_once(spark):
+    """One document that holds nearly all rows: no task gets more than one copy of its text."""
+    words = (("good", "fine"), ("bad", "poor"))
+    rows = [(k, " ".join(words[k % 2]) + f" w{k}", 1 - k % 2) for k in range(60)]
+    once = quality.train_classifier(spark.createDataFrame(rows, "doc_id bigint, text string, label int"))
+    many = spark.createDataFrame(rows + [rows[7]] * 3000 + [(7, rows[7][1] + " and longer", 1)], "doc_id bigint, text string, label int")
+    again = quality.train_classifier(many, most_bytes=4000)
+    assert again.bias == once.bias and (again.logits == once.logits).all()
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 1), (2, 1), (None, 1)], "doc_id bigint, label int")
+    assert sorted(map(tuple, quality.sample_rows(labels).collect()), key=str) == [(1, 0), (2, 1), (None, 1)]
