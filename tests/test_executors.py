@@ -9,6 +9,8 @@ import sys
 sys.path.insert(0, {repo!r})
 from pyspark.sql import SparkSession, functions as F
 from starloom import build_quadtree, merge_cells
+from starloom.operators.cluster import fit_lloyd
+from starloom.operators.merge import find_runs, group_runs
 
 spark = (
     SparkSession.builder.master("local[2]")
@@ -20,7 +22,11 @@ df = spark.range(200).select(F.rand(1).alias("x"), F.rand(2).alias("y"))
 tree = build_quadtree(df, "x", "y", 20, max_depth=14)
 groups = merge_cells(tree.counts(), 30)
 assert groups.agg(F.sum("n")).first()[0] == 200
-print("all rows:", tree.assign(df, "x", "y", labels=groups).filter("id_part is not null").count())
+found = find_runs(groups.select("cell"), group_runs(groups)).join(groups, ["cell", "part"]).count()
+assert found == groups.count()
+assert fit_lloyd(df, "x", "y", [[(0.0, 0.0), (1.0, 1.0)]]).rounds > 1
+labels = groups.select("cell", "part")
+print("all rows:", tree.assign(df, "x", "y", labels=labels).filter("part is not null").count())
 """
 
 
