@@ -24,7 +24,7 @@ from starloom.llm.phrase_mining import mine_phrases
 from starloom.llm.piece_encoding import check_pieces
 from starloom.llm.secret_scan import KINDS, scan_secrets, train_scanner
 from starloom.llm.sharding import feistel_shards
-from starloom.llm.token_counts import count_tokens
+from starloom.llm.token_counts import count_text_tokens
 from starloom.session import cut_lineage
 
 # A document of more tokens than this is over the limit.
@@ -143,14 +143,10 @@ def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", "text")
-    counted = count_tokens(docs, tokenizer_file("piece_bpe_32k.model"))
-    return counted.select(
-        "doc_id",
-        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
-        "n_tokens",
-        (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"),
-    )
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
+    docs = table(spark, folder, "documents").select("doc_id", n_bytes, "text")
+    counted = count_text_tokens(docs, tokenizer_file("piece_bpe_32k.model"), "text")
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
 def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:

@@ -175,3 +175,26 @@ def test_pieces_of_documents(spark):
         for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
             want.add((row.doc_id, k, a, b - a, zlib.crc32(ids[a:b].tobytes())))
     assert {tuple(row) for row in got} == want and len(got) == len(want)
+
+
+def test_counts_join_across_blocks(spark, texts, library, monkeypatch):
+    """Small blocks, many buckets, texts of all shapes: each distinct pre-token is counted once for the table."""
+    from starloom.llm import token_counts
+
+    monkeypatch.setattr(token_counts, "BLOCK_BYTES", 300)
+    rows = [(k, text, k % 3) for k, text in enumerate([*texts[:400], None, "", " ", "a" * 5000, "b  c ", "▁x ▁"])]
+    df = spark.createDataFrame([*rows, rows[5], rows[5]], "doc_id long, text string, held int").repartition(6)
+    want = Counter((r[0], len(library.encode(r[1] or ""))) for r in [*rows, rows[5], rows[5]])
+    got = token_counts.count_text_tokens(df, MODEL, "text")
+    assert got.columns == ["doc_id", "held", "n_tokens"]
+    assert Counter((r.doc_id, r.n_tokens) for r in got.collect()) == want
+
+
+def test_distinct_units_cover_the_texts(texts):
+    from starloom.llm.token_counts import _pack_words, _unpack_words, distinct_units
+
+    words, codes, owner = distinct_units(pa.array(texts))
+    assert len(words) == len(set(words.to_pylist())) and (np.bincount(codes, minlength=len(words)) > 0).all()
+    assert _unpack_words(pa.py_buffer(_pack_words(words))).to_pylist() == words.to_pylist()
+    assert _unpack_words(pa.py_buffer(_pack_words(words.slice(0, 0)))).to_pylist() == []
+    assert set(owner.tolist()) <= set(range(len(texts)))
