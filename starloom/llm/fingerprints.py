@@ -22,6 +22,7 @@ SECTION_END = "0"
 PIECE = "[^.!?]{1,80}[.!?]*|[.!?]+"
 # Equal hashes in a row.
 RUN = rf"([0-9a-f]{{{DIGITS}}})(?: \1)*+"
+SECTION_RUN = r"(#[^#]*+)(?:\1(?=#|$))*+"
 
 
 def _digest(text: Column) -> Column:
@@ -96,12 +97,22 @@ def _numbered(hashes: Column) -> Column:
     return F.flatten(tags)
 
 
-def _pieces_below(tree: Column, sections: Column) -> Column:
-    """The pieces of some sections, given as numbered hashes."""
-    rows = F.transform(
-        sections, lambda tag: F.element_at(tree["held"], F.array_position(tree["sections"], F.substring(tag, 1, DIGITS)).cast("int"))
+def _numbered_sections(held: Column) -> Column:
+    """The sections, each as ``#`` and its pieces, with a number so that equal ones differ."""
+    joined = F.array_join(F.array_sort(F.transform(held, lambda row: F.concat(F.lit("#"), row))), "")
+    runs = F.regexp_extract_all(joined, F.lit(SECTION_RUN), F.lit(0))
+    tags = F.transform(
+        runs,
+        lambda run: F.transform(
+            F.split(F.substring(run, 2, 1 << 30), "#", -1), lambda row, k: F.concat(F.lit("#"), row, F.lit(":"), k.cast("string"))
+        ),
     )
-    return F.regexp_extract_all(F.array_join(rows, " "), F.lit(f"[0-9a-f]{{{DIGITS}}}"), F.lit(0))
+    return F.flatten(tags)
+
+
+def _pieces_of(sections: Column) -> Column:
+    """The pieces of some numbered sections."""
+    return F.regexp_extract_all(F.array_join(sections, " "), F.lit(f"[0-9a-f]{{{DIGITS}}}"), F.lit(0))
 
 
 def add_likeness(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
@@ -115,15 +126,13 @@ def add_likeness(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
     differ = F.col(f"{a}.root") != F.col(f"{b}.root")
     rows = df.withColumns(
         {
-            own: F.when(differ, _numbered(F.col(f"{a}.sections"))),
-            other: F.when(differ, _numbered(F.col(f"{b}.sections"))),
+            own: F.when(differ, _numbered_sections(F.col(f"{a}.held"))),
+            other: F.when(differ, _numbered_sections(F.col(f"{b}.held"))),
         }
     )
+    # No function on arrays refers to a column from within: the column would be computed for every element.
     rows = rows.withColumns(
-        {
-            below_own: _pieces_below(F.col(a), F.array_except(own, other)),
-            below_other: _pieces_below(F.col(b), F.array_except(other, own)),
-        }
+        {below_own: _pieces_of(F.array_except(own, other)), below_other: _pieces_of(F.array_except(other, own))}
     )
     met = F.size(F.array_intersect(_numbered(F.col(below_own)), _numbered(F.col(below_other))))
     common = F.col(f"{a}.n_pieces") - F.size(below_own) + met
