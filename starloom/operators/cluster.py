@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom import session
@@ -48,16 +49,19 @@ class Fit(NamedTuple):
 def draw_starts(df: DataFrame, x: str, y: str, k: int, starts: int, *keys: str, seed: int = 0) -> list[list[tuple]]:
     """For each start the points of ``k`` rows, drawn by the hash of the start's number and the row's keys.
 
-    The rows with the least hashes are kept in each partition before they meet.
+    A task keeps the rows with the least hashes as it reads, ``k`` per start, and sorts or stores no others.
     """
     points = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"), *[F.col(c) for c in keys])
     points = points.filter(usable(F.col("x"), F.col("y")))
-    each = points.withColumn("start", F.explode(F.sequence(F.lit(0), F.lit(starts - 1))))
-    turn = F.md5(F.concat_ws(":", F.lit(seed), "start", *[F.col(c).cast("string") for c in keys or ("x", "y")]))
-    order = Window.partitionBy("start").orderBy("turn", "x", "y")
-    chosen = each.withColumn("turn", turn).withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= k)
+    hashed = lambda start: F.md5(
+        F.concat_ws(":", F.lit(seed), F.lit(start), *[F.col(c).cast("string") for c in keys or ("x", "y")])
+    )
+    each = [
+        points.select(F.lit(start).alias("start"), hashed(start).alias("turn"), "x", "y").orderBy("turn", "x", "y").limit(k)
+        for start in range(starts)
+    ]
     drawn: list[list[tuple]] = [[] for _ in range(starts)]
-    for row in chosen.select("start", "nth", "x", "y").orderBy("start", "nth").collect():
+    for row in sorted(reduce(DataFrame.unionByName, each).collect(), key=lambda r: (r.start, r.turn, r.x, r.y)):
         drawn[row.start].append((row.x, row.y))
     return drawn
 
@@ -74,7 +78,13 @@ def fit_lloyd(
     distances wins, the first start on a tie. Rows without finite coordinates take no part.
     """
     points = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
-    held = session.cut_lineage(points.filter(usable(F.col("x"), F.col("y"))))
+    with session.scratch(df.sparkSession) as store:
+        # As Parquet the two columns take a fraction of what rows of a checkpoint take.
+        held = store(points.filter(usable(F.col("x"), F.col("y"))), "points")
+        return _best_fit(held, starts, rounds, scale)
+
+
+def _best_fit(held: DataFrame, starts: Sequence[Centres], rounds: int, scale: float | None) -> Fit:
     far_scale = scale
     if scale is None:
         box = measure_box(held, "x", "y")

@@ -1,7 +1,10 @@
+import hashlib
 import random
+from pathlib import Path
 
 import numpy as np
 
+from starloom import session
 from starloom.operators import cluster as C
 
 
@@ -77,3 +80,22 @@ def test_centres_without_points_stay(spark):
     fit = C.fit_lloyd(df, "x", "y", [[(0.0, 0.0), (0.0, 0.0), (50.0, 50.0)]])
     assert fit.centres == [(0.5, 0.0), (0.0, 0.0), (50.0, 50.0)] or fit.centres[1:] == [(0.0, 0.0), (50.0, 50.0)]
     assert C.fit_lloyd(df.limit(0), "x", "y", [[(1.0, 2.0)]]).centres == [(1.0, 2.0)]
+
+
+def test_starts_have_the_least_hashes(spark):
+    rng = random.Random(8)
+    points = [(k, rng.uniform(0, 9), float(rng.randint(0, 3))) for k in range(300)] + [(300, None, 1.0), (301, float("nan"), 1.0)]
+    df = spark.createDataFrame(points, "id int, x double, y double").repartition(7)
+    turn = lambda start, key: hashlib.md5(f"5:{start}:{key}".encode()).hexdigest()
+    want = [[p[1:] for p in sorted(points[:300], key=lambda p: turn(start, p[0]))[:4]] for start in range(3)]
+    assert C.draw_starts(df, "x", "y", 4, 3, "id", seed=5) == want
+    assert C.draw_starts(df.limit(0), "x", "y", 4, 3, "id") == [[], [], []]
+
+
+def test_a_fit_leaves_no_copy_of_its_points(spark):
+    folder = Path(session.shared_folder(spark))
+    held = lambda: sum(f.stat().st_size for f in folder.rglob("*") if f.is_file())
+    df = spark.range(20_000).selectExpr("rand(1) AS x", "rand(2) AS y")
+    before = held()
+    assert C.fit_lloyd(df, "x", "y", C.draw_starts(df, "x", "y", 3, 2)).rounds > 1
+    assert held() - before < 1000
