@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +12,7 @@ from starloom import session
 from starloom.functions.geometry import Box, inside, usable
 from starloom.operators.bbox import measure_box
 from starloom.operators.quadtree import QuadTree
+from starloom.operators.ranks import PLACE_BITS
 from starloom.operators.uniform import NO_CELL
 
 # The finest grid has 2 ** this tiles per axis.
@@ -16,6 +20,8 @@ FINEST = 16
 # A list of more rectangles is handed down to finer tiles while all lists together stay below
 # this many entries per rectangle.
 LONG_LIST, MOST_ENTRIES = 64, 32
+# Bytes of rectangles that are sent to every executor, and what one takes there beyond its name.
+SENT_BYTES, SENT_RECTANGLE = 64 << 20, 40
 RECTANGLE = ("pos", "cell", "x0", "x1", "y0", "y1")
 
 
@@ -111,20 +117,112 @@ def find_rectangle(df: DataFrame, rectangles: DataFrame, x: str, y: str, cell: s
     """Tag each row with the first closed rectangle that holds its point; ``-1`` if none does.
 
     ``rectangles``: ``pos, cell, x0, x1, y0, y1``, any rectangles, the one with the lowest
-    ``pos`` first. They are listed by the tiles of grids from coarse to fine, each at the level of its
-    size. A row looks through the list of its tile at every level that has any, by a broadcast
-    join where the lists of the level are small, and no pair of row and rectangle is ever written out.
+    ``pos`` first; of equal ones only the first counts. As many as may be sent to every executor, in the order
+    of ``pos``, are looked through there, and what they hold is done: no later one comes before them. If there are
+    more, the rows left over look through lists of the others by the tiles of grids from coarse to fine, each at the
+    level of its size. No pair of row and rectangle is ever written out.
     """
     known = rectangles.select(*RECTANGLE).filter((F.col("x0") <= F.col("x1")) & (F.col("y0") <= F.col("y1")))
     known = session.cut_lineage(known)
     open_ended = known.filter(~(usable(F.col("x0"), F.col("y0")) & usable(F.col("x1"), F.col("y1"))))
     if not open_ended.isEmpty():
         known = _clipped(known, measure_box(df, x, y))
-    bounds = known.agg(F.min("x0"), F.max("x1"), F.min("y0"), F.max("y1")).first()
+    first = F.min(F.struct("pos", F.coalesce(F.col("cell").cast("string"), F.lit(NO_CELL)).alias("cell")))
+    known = known.groupBy("x0", "x1", "y0", "y1").agg(first.alias("_first")).select("_first.*", "x0", "x1", "y0", "y1")
+    known = session.cut_lineage(known.orderBy("pos", "cell").withColumn("_turn", F.monotonically_increasing_id()))
+    last = _last_sent(known)
     payload = [F.col(f"`{c}`") for c in df.columns if c != cell]
-    if bounds[0] is None:
+    if last is None:
         return df.select(*payload, F.lit(NO_CELL).alias(cell))
-    box = Box(*bounds)
+    sent, others = known.filter(F.col("_turn") <= last), known.filter(F.col("_turn") > last).drop("_turn")
+    px, py = F.col(x).cast("double"), F.col(y).cast("double")
+    rows = df.withColumn("_first", _first_of(sent)(px, py))
+    if others.isEmpty():
+        return rows.select(*payload, F.coalesce("_first", F.lit(NO_CELL)).alias(cell))
+    rows = session.stored(rows, "placed")
+    done = rows.filter("_first is not null").select(*payload, F.col("_first").alias(cell))
+    return done.unionByName(_by_lists(rows.filter("_first is null").drop("_first"), others, x, y, cell))
+
+
+def _last_sent(ordered: DataFrame) -> int | None:
+    """The ``_turn`` of the last rectangle that is sent, None if there is none at all."""
+    part, size = F.shiftright("_turn", PLACE_BITS), F.octet_length("cell") + SENT_RECTANGLE
+    sizes = ordered.groupBy(part.alias("part")).agg(F.count("*").alias("n"), F.sum(size).alias("size"))
+    last, room = None, SENT_BYTES
+    for row in sorted(sizes.collect()):
+        fit = row.n if row.size <= room else max(room * row.n // row.size, 1 if last is None else 0)
+        if fit:
+            last = (row.part << PLACE_BITS) + fit - 1
+        room -= row.size
+        if fit < row.n:
+            break
+    return last
+
+
+def _first_of(ordered: DataFrame):
+    """A function of both coordinates: the name of the first rectangle that holds the point, null if none does.
+
+    Points are halved until one rectangle holds all of a part, or the part and the rectangles that come before that
+    one are few. The first rectangles hold most points, so the others are looked at for the points left over. The
+    function refers to nothing in this package.
+    """
+    table = ordered.select("_turn", "x0", "x1", "y0", "y1", "cell").toArrow().sort_by("_turn")
+    edges = [table.column(name).to_numpy() for name in ("x0", "x1", "y0", "y1")]
+    sent = ordered.sparkSession.sparkContext.broadcast((edges, table.column("cell").combine_chunks()))
+    few, first_look = 1 << 17, 1 << 12
+    wide, high = (max(float(edges[k + 1].max()) - float(edges[k].min()), 5e-324) for k in (0, 2))
+
+    def place(px: np.ndarray, py: np.ndarray, x0, x1, y0, y1) -> np.ndarray:
+        out = np.full(len(px), -1)
+        todo = [(np.arange(len(px)), np.arange(len(x0)))]
+        while todo:
+            points, rects = todo.pop()
+            if not len(points):
+                continue
+            xs, ys = px[points], py[points]
+            left, right, below, above = xs.min(), xs.max(), ys.min(), ys.max()
+            a, b, c, d = x0[rects], x1[rects], y0[rects], y1[rects]
+            near = (a <= right) & (b >= left) & (c <= above) & (d >= below)
+            whole = np.flatnonzero(near & (a <= left) & (b >= right) & (c <= below) & (d >= above))
+            if len(whole):
+                near[whole[0] + 1 :] = False
+            rects = rects[near]
+            if not len(rects):
+                continue
+            if len(rects) == 1 and len(whole):
+                out[points] = rects[0]
+            elif len(points) * len(rects) <= few:
+                holds = (x0[rects] <= xs[:, None]) & (xs[:, None] <= x1[rects])
+                holds &= (y0[rects] <= ys[:, None]) & (ys[:, None] <= y1[rects])
+                found = holds.any(axis=1)
+                out[points[found]] = rects[holds.argmax(axis=1)[found]]
+            else:
+                values = xs if (right - left) / wide >= (above - below) / high else ys
+                halves = np.argpartition(values, len(points) // 2)
+                todo += [(points[halves[: len(points) // 2]], rects), (points[halves[len(points) // 2 :]], rects)]
+        return out
+
+    @F.pandas_udf("string")
+    def first(xs: pd.Series, ys: pd.Series) -> pd.Series:
+        (x0, x1, y0, y1), names = sent.value
+        px, py = (values.to_numpy(dtype="float64", na_value=np.nan) for values in (xs, ys))
+        turn, open_ = np.full(len(px), -1), np.flatnonzero(np.isfinite(px) & np.isfinite(py))
+        at, look = 0, first_look
+        while len(open_) and at < len(x0):
+            now = slice(at, at + look)
+            found = place(px[open_], py[open_], x0[now], x1[now], y0[now], y1[now])
+            turn[open_] = np.where(found >= 0, found + at, -1)
+            open_ = open_[found < 0]
+            at, look = at + look, look * 8
+        return names.take(pa.array(turn, mask=turn < 0)).to_pandas()
+
+    return first
+
+
+def _by_lists(df: DataFrame, known: DataFrame, x: str, y: str, cell: str) -> DataFrame:
+    """Tag each row by the lists of rectangles; by a broadcast join where the lists of a level are small."""
+    payload = [F.col(f"`{c}`") for c in df.columns if c != cell]
+    box = Box(*known.agg(F.min("x0"), F.max("x1"), F.min("y0"), F.max("y1")).first())
     listed = rectangle_lists(known, box)
     entry = F.struct(*RECTANGLE)
     lists = session.cut_lineage(
@@ -140,16 +238,17 @@ def find_rectangle(df: DataFrame, rectangles: DataFrame, x: str, y: str, cell: s
     tiles = {"_i": _tile(F.col("_px"), box.x0, box.x1), "_j": _tile(F.col("_py"), box.y0, box.y1)}
     rows = rows.withColumns({name: F.when(kept, at) for name, at in tiles.items()})
     holds = lambda r: F.col("_px").between(r["x0"], r["x1"]) & F.col("_py").between(r["y0"], r["y1"])
-    for level, size in sorted(sizes.items()):
+    for number, (level, size) in enumerate(sorted(sizes.items())):
         here = lists.filter(F.col("level") == level).select(
             F.col("tx").alias("_tx"), F.col("ty").alias("_ty"), F.col("list").alias("_list")
         )
         on = (F.shiftright("_i", FINEST - level) == here["_tx"]) & (F.shiftright("_j", FINEST - level) == here["_ty"])
         rows = session.join_cell_table(rows, here, on, "left", size)
-        rows = rows.withColumn(f"_at_{level}", F.get(F.filter("_list", holds), F.lit(0))).drop("_tx", "_ty", "_list")
-    found = [F.col(f"_at_{level}") for level in sizes]
-    first = F.least(*found) if len(found) > 1 else found[0]
-    return rows.select(*payload, F.coalesce(first["cell"], F.lit(NO_CELL)).alias(cell))
+        found = F.get(F.filter("_list", holds), F.lit(0))
+        found = F.when(found.isNotNull(), F.struct(found["pos"].alias("pos"), found["cell"].alias("cell")))
+        # A row carries the first one so far, not one for every level.
+        rows = rows.withColumn("_at", F.least("_at", found) if number else found).drop("_tx", "_ty", "_list")
+    return rows.select(*payload, F.coalesce(F.col("_at")["cell"], F.lit(NO_CELL)).alias(cell))
 
 
 def store_tree(tree: QuadTree, path: str, mode: str = "error") -> None:

@@ -2,6 +2,7 @@ import random
 
 import pytest
 from models import box_of, leaf_counts
+from pyspark.sql import functions as F
 
 from starloom.operators import lookup
 from starloom.operators.quadtree import build_quadtree
@@ -98,3 +99,36 @@ def test_a_stored_split_places_new_rows(spark, tmp_path):
     empty = build_quadtree(df.limit(0), "x", "y", 20)
     lookup.store_tree(empty, str(tmp_path / "none"))
     assert lookup.load_tree(spark, str(tmp_path / "none")).assign(df, "x", "y").filter("cell is null").count() == 300
+
+
+@pytest.mark.parametrize("sent", [1, 3000, 1 << 26])
+def test_rectangles_beyond_those_that_are_sent(spark, monkeypatch, sent):
+    """The first ones go to the executors, the others to lists; names and places may be equal or missing."""
+    monkeypatch.setattr(lookup, "SENT_BYTES", sent)
+    rng = random.Random(sent)
+    rects = []
+    for k in range(300):
+        xs, ys = sorted(rng.choices(range(30), k=2)), sorted(rng.choices(range(30), k=2))
+        rects.append((k // 2, f"r{k}", *map(float, xs), *map(float, ys)))
+    rects += [(900, "late", *r[2:]) for r in rects[:50]] + [(400, None, -5.0, -4.0, -5.0, 40.0), (0, "bad", 2.0, 1.0, 0.0, 9.0)]
+    points = [(k, float(rng.randint(-1, 31)), rng.choice((0.5, 0.0)) + rng.randint(-1, 31)) for k in range(800)]
+    points += [(900, None, 1.0), (901, 1.0, float("nan")), (902, float("inf"), 1.0), (903, -4.5, 3.0)]
+    df = spark.createDataFrame(points, "id int, x double, y double").withColumn("cell", F.lit("old"))
+    found = lookup.find_rectangle(df, spark.createDataFrame(rects, SCHEMA).repartition(3), "x", "y")
+    got = {r.id: r.cell for r in found.collect()}
+    known = [r for r in rects if r[1]]
+    assert got == _first_of(known, [(k, -99.0 if x is None else x, y) for k, x, y in points])
+
+
+def test_many_sent_rectangles_write_no_lists(spark, monkeypatch):
+    """What is looked through at the executors needs no list, however many rectangles lie within each other."""
+    monkeypatch.setattr(lookup, "rectangle_lists", None)
+    rng = random.Random(4)
+    rects = [(k, f"r{k}", -rng.uniform(1, 50), rng.uniform(1, 50), -rng.uniform(1, 50), rng.uniform(1, 50)) for k in range(5000)]
+    points = [(k, rng.uniform(-55, 55), rng.uniform(-55, 55)) for k in range(3000)]
+    df, listed = spark.createDataFrame(points, "id int, x double, y double"), spark.createDataFrame(rects, SCHEMA)
+    got = {r.id: r.cell for r in lookup.find_rectangle(df, listed, "x", "y").collect()}
+    want = {}
+    for key, x, y in points:
+        want[key] = next((r[1] for r in rects if r[2] <= x <= r[3] and r[4] <= y <= r[5]), "-1")
+    assert got == want
