@@ -90,7 +90,7 @@ def add_lines(
     positions = ddl.column_positions(ddl.read_ddl(spark, definition))
     with session.released(spark):
         tree = load_tree(spark, f"{out}/_split")
-        lines = session.stored(catalogue.read_lines(spark, files, positions, x, y), "delivery")
+        lines = catalogue.read_lines(spark, files, positions, x, y)
         if tree.box is None:
             write_text(tree.assign(lines, "x", "y"), out, file_rows, F.col("data"), mode="append")
             return read_lines(spark, out)
@@ -100,15 +100,16 @@ def add_lines(
         names = heavy.select("cell")
         write_text(session.join_cell_table(tagged, names, "cell", "left_anti"), out, file_rows, F.col("data"), mode="append")
         if not names.isEmpty():
-            # The condition on the partition column leaves all other directories unread.
-            old = session.join_cell_table(read_lines(spark, out), names, "cell", "left_semi")
+            # Only the directories of these leaves are listed and read; one that was empty has none.
+            held = names.join(tree.cells.filter("n > 0").select("cell"), "cell", "left_semi")
+            paths = [f"{out}/cell={row.cell}" for row in held.collect()]  # one per leaf that is cut
+            old = read_lines(spark, out, paths=paths)
             old = catalogue.cut_again(old, positions, x, y).select("data", "x", "y")
             rows = old.unionByName(session.join_cell_table(tagged, names, "cell", "left_semi").select("data", "x", "y"))
             rows = session.stored(rows, "heavy")
             grown, part = split_again(grown, rows, "x", "y")
             write_text(part.assign(rows, "x", "y"), out, file_rows, F.col("data"), mode="append")
-            for row in names.toLocalIterator():
-                session.remove(spark, f"{out}/cell={row.cell}")
+            session.remove(spark, *paths)
         held = replace(grown, cells=grown.cells.filter("n > 0"))
         held = replace(held, leaf_depths=_leaf_depths(held))
         store_tree(held, f"{out}/_split", mode="overwrite")

@@ -135,17 +135,26 @@ def read_region(rows: DataFrame, region: Box, box: Box | None, x: str, y: str, c
 
 
 def read_cells(
-    spark: SparkSession, path: str, schema: T.StructType, cell: str = "cell", file_format: str = "parquet"
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    cell: str = "cell",
+    file_format: str = "parquet",
+    paths: list[str] | None = None,
 ) -> DataFrame:
-    """Read a dataset written per cell; ``00`` stays text and does not become a number."""
+    """Read a dataset written per cell, or only some of its directories; ``00`` stays text and does not become a number."""
     stored = [field for field in schema.fields if field.name != cell]
     named = T.StructType([*stored, T.StructField(cell, T.StringType())])
-    return spark.read.schema(named).format(file_format).load(path)
+    if paths is not None and not paths:
+        return spark.createDataFrame([], named)
+    read = spark.read.schema(named).format(file_format)
+    with session.listing_in_few_tasks(spark):
+        return read.load(path) if paths is None else read.option("basePath", path).load(paths)
 
 
-def read_lines(spark: SparkSession, path: str, cell: str = "cell") -> DataFrame:
-    """Read lines written per cell: ``data`` and the cell id."""
-    return read_cells(spark, path, T.StructType([T.StructField("data", T.StringType())]), cell, "text")
+def read_lines(spark: SparkSession, path: str, cell: str = "cell", paths: list[str] | None = None) -> DataFrame:
+    """Read lines written per cell, or those of some directories: ``data`` and the cell id."""
+    return read_cells(spark, path, T.StructType([T.StructField("data", T.StringType())]), cell, "text", paths)
 
 
 def store_groups(merged: DataFrame, path: str) -> DataFrame:

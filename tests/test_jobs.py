@@ -147,3 +147,26 @@ def test_jobs_leave_nothing_in_the_shared_folder(spark, source):
     assert held() == before
     # Outside of a scope checkpoints go where they went before.
     assert session.cut_lineage(spark.range(3)).count() == 3 and held() - before
+
+
+def test_a_delivery_lists_only_the_directories_that_are_cut(spark, tmp_path, monkeypatch):
+    """Many leaves, one of them too heavy after the delivery, and one that was empty before."""
+    (tmp_path / "t.sql").write_text("CREATE TABLE t (\n  ra FLOAT (24),\n  decl FLOAT (24),\n  name char(9)\n);")
+    grid = [(a / 8 + 0.01, b / 8 + 0.01) for a in range(8) for b in range(8) if (a, b) != (3, 3)] + [(0.0, 0.0), (1.0, 1.0)]
+    first = [f"{x},{y},a{k}" for k, (x, y) in enumerate(grid)]
+    more = [f"{0.51 + k / 1000},{0.51 + k / 900},b{k}" for k in range(5)] + [f"{0.40 + k / 100},{0.41 + k / 90},c{k}" for k in range(5)]
+    for name, lines in (("first", first), ("more", more)):
+        (tmp_path / f"{name}.csv").write_text("\n".join(lines) + "\n")
+    definition, out = str(tmp_path / "t.sql"), str(tmp_path / "out")
+    jobs.partition_quadtree(spark, definition, str(tmp_path / "first.csv"), out, "ra", "decl", 2)
+    read, removed = [], []
+    kept_read, kept_remove = jobs.read_lines, session.remove
+    monkeypatch.setattr(jobs, "read_lines", lambda *a, **k: read.append(kept_read(*a, **k)) or read[-1])
+    monkeypatch.setattr(session, "remove", lambda spark, *p: removed.extend(p) or kept_remove(spark, *p))
+    written = jobs.add_lines(spark, definition, str(tmp_path / "more.csv"), out, "ra", "decl")
+    cut = [p for p in removed if "/cell=" in p]
+    assert len(read) == 2 and len(cut) == 1
+    assert {Path(f.removeprefix("file:")).parent for f in read[0].inputFiles()} == {Path(p) for p in cut}
+    assert sorted(r.data for r in written.collect()) == sorted(first + more)
+    assert not any(Path(p).exists() for p in cut)
+    assert spark.conf.get(session.LISTING_TASKS) == "10000"
