@@ -88,24 +88,54 @@ def _gradients(net: Net, codes: np.ndarray, labels: np.ndarray) -> Net:
     }
 
 
+def new_state(seed: int) -> Net:
+    """A new net, its moment estimates (``first_`` and ``second_`` before the name) and the number of steps so far."""
+    net = new_net(np.random.default_rng(seed))
+    moments = {f"{kind}_{name}": np.zeros_like(value) for kind in ("first", "second") for name, value in net.items()}
+    return net | moments | {"step": np.zeros(1)}
+
+
+def net_of(state: Net) -> Net:
+    return {name.removeprefix("first_"): state[name.removeprefix("first_")] for name in state if name.startswith("first_")}
+
+
+def train_round(state: Net, codes: np.ndarray, labels: np.ndarray, number: int, seed: int) -> Net:
+    """One of ``EPOCHS`` rounds: mini-batches of all rows, more than once where they are few, with a falling rate."""
+    rng = np.random.default_rng([seed, number])
+    state = {name: value.copy() for name, value in state.items()}
+    net = net_of(state)
+    batches = -(-len(codes) // BATCH)
+    steps = batches * max(1, -(-LEAST_STEPS // (EPOCHS * max(batches, 1))))
+    for done in range(steps):
+        if done % batches == 0:
+            order = rng.permutation(len(codes))
+        chosen = order[done % batches * BATCH :][:BATCH]
+        state["step"] += 1
+        step, rate = float(state["step"][0]), RATE * (1 - (number + done / steps) / EPOCHS)
+        for name, slope in _gradients(net, codes[chosen], labels[chosen]).items():
+            first, second = state[f"first_{name}"], state[f"second_{name}"]
+            first += 0.1 * (slope - first)
+            second += 0.001 * (slope * slope - second)
+            mean, spread = first / (1 - 0.9**step), second / (1 - 0.999**step)
+            net[name] -= (rate * mean / (np.sqrt(spread) + 1e-8)).astype(np.float32)
+    return state
+
+
 def train(codes: np.ndarray, labels: np.ndarray, seed: int = 0) -> Net:
-    """Mini-batches with moment estimates and a falling rate."""
-    rng = np.random.default_rng(seed)
-    net = new_net(rng)
-    first = {name: np.zeros_like(value) for name, value in net.items()}
-    second = {name: np.zeros_like(value) for name, value in net.items()}
-    rounds = -(-len(codes) // BATCH)
-    epochs = max(EPOCHS, -(-LEAST_STEPS // max(rounds, 1)))
-    steps, step = epochs * rounds, 0
-    for _ in range(epochs):
-        order = rng.permutation(len(codes))
-        for at in range(0, len(codes), BATCH):
-            chosen = order[at : at + BATCH]
-            step += 1
-            rate = RATE * (1 - (step - 1) / steps)
-            for name, slope in _gradients(net, codes[chosen], labels[chosen]).items():
-                first[name] += 0.1 * (slope - first[name])
-                second[name] += 0.001 * (slope * slope - second[name])
-                mean, spread = first[name] / (1 - 0.9**step), second[name] / (1 - 0.999**step)
-                net[name] -= (rate * mean / (np.sqrt(spread) + 1e-8)).astype(np.float32)
-    return net
+    """All rounds on rows that fit one machine."""
+    state = new_state(seed)
+    for number in range(EPOCHS):
+        state = train_round(state, codes, labels, number, seed)
+    return net_of(state)
+
+
+def as_numbers(state: Net) -> np.ndarray:
+    """All values in a row; second moments by their roots, whose sizes are those of the others."""
+    return np.concatenate([np.sqrt(v).ravel() if k.startswith("second") else v.ravel() for k, v in state.items()]).astype(float)
+
+
+def from_numbers(like: Net, numbers: np.ndarray) -> Net:
+    """The state whose values are given in a row, in the shapes of another one."""
+    cuts = np.cumsum([value.size for value in like.values()])[:-1]
+    parts = zip(like.items(), np.split(numbers, cuts), strict=True)
+    return {k: (n**2 if k.startswith("second") else n).reshape(v.shape).astype(v.dtype) for (k, v), n in parts}
