@@ -36,3 +36,24 @@ def test_python_tasks_need_no_package(tmp_path):
         [sys.executable, "-c", SCRIPT.format(repo=repo)], cwd=tmp_path, capture_output=True, text=True, timeout=300
     )
     assert "all rows: 200" in done.stdout, done.stderr[-2000:]
+
+
+RECTANGLES = """
+import sys
+sys.path.insert(0, {repo!r})
+from pyspark.sql import SparkSession, functions as F
+from starloom.operators.lookup import find_rectangle
+
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+points = spark.range(200).select((F.col("id") / 200).alias("x"), F.lit(0.5).alias("y"))
+listed = spark.sql("SELECT 1 AS pos, 'a' AS cell, 0d AS x0, 0.5d AS x1, 0d AS y0, 1d AS y1")
+print("held rows:", find_rectangle(points, listed, "x", "y").filter("cell = 'a'").count())
+"""
+
+
+def test_rectangles_need_no_package(tmp_path):
+    repo = str(Path(__file__).resolve().parent.parent)
+    done = subprocess.run(
+        [sys.executable, "-c", RECTANGLES.format(repo=repo)], cwd=tmp_path, capture_output=True, text=True, timeout=300
+    )
+    assert "held rows: 101" in done.stdout, done.stderr[-2000:]
